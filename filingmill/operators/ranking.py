@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +19,8 @@ def value_bin(value: Column) -> Column:
     """A whole number that never decreases as `value` grows; null lowest, then NaN."""
     magnitude = F.least(F.abs(value), F.lit(1e300)) * _BIN_ZERO
     scaled = F.floor(F.log1p(magnitude) * _BINS_PER_E).cast("bigint")
-    return (
-        F.when(value.isNull(), F.lit(_NULL_BIN))
-        .when(F.isnan(value), F.lit(_NAN_BIN))
-        .when(value < 0, -scaled)
-        .otherwise(scaled)
-    )
+    numbers = F.when(F.isnan(value), _NAN_BIN).when(value < 0, -scaled).otherwise(scaled)
+    return F.coalesce(F.when(value.isNotNull(), numbers), F.lit(_NULL_BIN))
 
 
 def rank_descending(df: DataFrame, groups: Sequence[str], value: str, output: str) -> DataFrame:
@@ -45,24 +42,27 @@ def rank_descending(df: DataFrame, groups: Sequence[str], value: str, output: st
     before = (Window.unboundedPreceding, -1)
     in_bin = Window.partitionBy(*groups, "_bin").orderBy(F.col(value).desc()).rowsBetween(*before)
     over_bins = Window.partitionBy(*groups).orderBy(F.col("_bin").desc()).rowsBetween(*before)
-    bins = (
-        counts.groupBy(*groups, "_bin")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(*groups, "_bin", F.coalesce(F.sum("_rows").over(over_bins), F.lit(0)).alias("_above"))
-    )
-    ranks = (
-        counts.withColumn("_in_bin", F.coalesce(F.sum("_rows").over(in_bin), F.lit(0)))
-        .join(bins, [*groups, "_bin"])
-        .select(
-            *(F.col(g).alias(f"_g_{g}") for g in groups),
-            F.col(value).alias("_value"),
-            (F.col("_above") + F.col("_in_bin") + 1).alias(output),
-        )
+    above_in_bin = F.coalesce(F.sum("_rows").over(in_bin), F.lit(0))
+    above_bin = F.coalesce(F.sum("_rows").over(over_bins), F.lit(0))
+
+    bins = counts.groupBy(*groups, "_bin").agg(F.sum("_rows").alias("_rows"))
+    offsets = _prefixed(bins.select(*groups, "_bin", above_bin.alias("above")), "_o_")
+    counted = counts.select(*groups, value, "_bin", above_in_bin.alias("_above"))
+    ranks = counted.join(offsets, _same(groups, "_o_") & (F.col("_bin") == F.col("_o__bin"))).select(
+        *groups, value, (F.col("_above") + F.col("_o_above") + 1).alias(output)
     )
-    same = F.col(value).eqNullSafe(F.col("_value"))
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return df.join(ranks, same).drop("_value", *(f"_g_{g}" for g in groups))
+    ranks = _prefixed(ranks, "_r_", keep=output)
+    return df.join(ranks, _same([*groups, value], "_r_")).select(*df.columns, output)
+
+
+def _prefixed(df: DataFrame, prefix: str, keep: str | None = None) -> DataFrame:
+    return df.select(*(F.col(c).alias(c if c == keep else prefix + c) for c in df.columns))
+
+
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Equality with the prefixed columns in which null matches null."""
+    pairs = (F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns)
+    return reduce(Column.__and__, pairs)
 
 
 def best_first(value: Column) -> list[Column]:

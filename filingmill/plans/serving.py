@@ -88,7 +88,23 @@ def _check_metric(metric: str) -> None:
         raise ValueError(f"unknown metric {metric}; one of {', '.join(METRICS)}")
 
 
-def current_institutions(
+def _page(rows: DataFrame, order: list[str], limit: int, offset: int) -> DataFrame:
+    return rows.orderBy(*order).offset(offset).limit(limit + 1)
+
+
+def _with_lookup(page: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The page as local rows, and the rows of `other` for its institutions.
+
+    A page has at most `MAX_LIMIT + 1` rows, so they are fetched first and their keys become a
+    filter that reaches the scan of `other`, in place of shuffling all of it to join a few rows.
+    """
+    rows = page.collect()
+    keys = [row.cert for row in rows]
+    local = page.sparkSession.createDataFrame(rows, page.schema)
+    return local, other.filter(F.col("cert").isin(keys))
+
+
+def list_institutions(
     institutions: DataFrame,
     latest: DataFrame,
     *,
@@ -96,32 +112,28 @@ def current_institutions(
     bkclass: str | None = None,
     min_asset: float | None = None,
     max_asset: float | None = None,
+    limit: int = DEFAULT_LIMIT,
+    offset: int = 0,
 ) -> DataFrame:
-    """Current, known institutions with their latest assets; an absent bound filters nothing."""
+    """One page of current, known institutions in key order, plus the look-ahead row.
+
+    An absent bound filters nothing; an institution without figures is outside any asset bound.
+    Without a bound the page is cut first and figures are looked up for its rows only.
+    """
     rows = institutions.filter(F.col("is_current") & (F.col("institution_sk") != UNKNOWN_SK))
     if state is not None:
         rows = rows.filter(F.col("state") == state)
     if bkclass is not None:
         rows = rows.filter(F.col("bkclass") == bkclass)
-    rows = rows.join(latest, "cert", "left")
+    if min_asset is None and max_asset is None:
+        page, figures = _with_lookup(_page(rows, ["cert"], limit, offset), latest)
+        return contract(page.join(figures, "cert", "left"), INSTITUTION).orderBy("cert")
+    figures = latest
     if min_asset is not None:
-        rows = rows.filter(F.col("latest_asset") >= min_asset)
+        figures = figures.filter(F.col("latest_asset") >= min_asset)
     if max_asset is not None:
-        rows = rows.filter(F.col("latest_asset") <= max_asset)
-    return contract(rows, INSTITUTION)
-
-
-def list_institutions(
-    institutions: DataFrame,
-    latest: DataFrame,
-    *,
-    limit: int = DEFAULT_LIMIT,
-    offset: int = 0,
-    **filters,
-) -> DataFrame:
-    """One page in key order, plus the look-ahead row."""
-    rows = current_institutions(institutions, latest, **filters)
-    return rows.orderBy("cert").offset(offset).limit(limit + 1)
+        figures = figures.filter(F.col("latest_asset") <= max_asset)
+    return _page(contract(rows.join(figures, "cert"), INSTITUTION), ["cert"], limit, offset)
 
 
 def get_institution(institutions: DataFrame, fact: DataFrame, cert: int) -> DataFrame:
@@ -152,7 +164,7 @@ def institution_financials(
     if date_to is not None:
         rows = rows.filter(F.col("repdte") <= F.lit(date_to))
     periods = contract(rows.withColumnRenamed("stalp", "state"), FINANCIAL_PERIOD)
-    return periods.orderBy("repdte").offset(offset).limit(limit + 1)
+    return _page(periods, ["repdte"], limit, offset)
 
 
 def rankings(
@@ -176,23 +188,22 @@ def rankings(
     rows = rows.filter(F.col(column).isNotNull()).select(
         "cert", "state", "repdte", F.col(column).alias("value")
     )
-    page = ranked_page(rows, "value", "cert", limit + 1, offset)
-    named = join_as_of(page, institutions, "cert", "repdte", {"name": "name"})
+    page, versions = _with_lookup(ranked_page(rows, "value", "cert", limit + 1, offset), institutions)
+    named = join_as_of(page, versions, "cert", "repdte", {"name": "name"})
     entries = named.withColumn("metric", F.lit(metric))
     return contract(entries, RANKING_ENTRY).orderBy("rank", "cert")
 
 
 def health(freshness: DataFrame) -> DataFrame:
     """One row: ok with the published freshness, degraded when nothing was published."""
-    published = freshness.limit(1)
-    nothing = freshness.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    row = nothing.join(published.withColumn("_published", F.lit(True)), F.lit(True), "left")
-    found = F.col("_published").isNotNull()
+    fields = ("published_at", "max_repdte", "financials_row_count")
+    row = freshness.limit(1).agg(
+        F.count("*").alias("_rows"), *(F.first(name).alias(name) for name in fields)
+    )
+    found = F.col("_rows") > 0
     return row.select(
         F.when(found, "ok").otherwise("degraded").alias("status"),
-        "published_at",
-        "max_repdte",
-        "financials_row_count",
+        *fields,
         F.when(~found, "No freshness metric published yet.").alias("detail"),
     ).to(HEALTH)
 

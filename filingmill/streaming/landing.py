@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,9 +150,12 @@ def start_landing(
     a landing restarted from a new checkpoint never replaces what an older one wrote.
     """
 
+    @cache
+    def run_id() -> str:
+        return messages.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
-        writer(batch, root, f"{run[:8]}-{batch_id:012d}", topic=topic, fields=fields)
+        writer(batch, root, f"{run_id()}-{batch_id:012d}", topic=topic, fields=fields)
 
     stream = messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": MAX_WAIT} if run_forever else {"availableNow": True}
