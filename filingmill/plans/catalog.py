@@ -525,7 +525,7 @@ def dq_overlap_history(i: Inputs) -> DataFrame:
 def dq_rerun(i: Inputs) -> DataFrame:
     """A rerun over the same filings in another arrival order, and one amended quarter."""
     before = clean_financials(i.raw_financials)[0]
-    again = i.raw_financials.repartition("STALP").withColumn(
+    again = i.raw_financials.repartition("_batch_id").withColumn(
         "ASSET", F.when(F.col("REPDTE") == "19970630", F.col("ASSET") + 1).otherwise(F.col("ASSET"))
     )
     after = clean_financials(again)[0]

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,8 +22,8 @@ def _schema_groups(spark: SparkSession, path: str) -> list[tuple[T.StructType, l
     """`(schema, paths)` of one partition: one entry, or one per file when the files disagree."""
     try:
         return [(spark.read.option("mergeSchema", True).parquet(path).schema, [path])]
-    except PySparkException as error:
-        if error.getCondition() is None or "MERGE_SCHEMA" not in error.getCondition():
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
             raise
     files = spark.read.parquet(path).inputFiles()
     return [(spark.read.parquet(file).schema, [file]) for file in files]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import UTC, datetime
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -14,6 +15,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from filingmill.schemas import DT_MARKER, FINANCIALS_FIELDS, MESSAGE, PROVENANCE, TOPIC, TYPES
 from filingmill.sources.landing import stamp_raw
 
+logger = logging.getLogger(__name__)
+
 STREAM_DATASET = "financials_stream"
 # Rows of a micro-batch and how long a slow trickle may wait: fixed values of the landing policy.
 MAX_MESSAGES = 1000
@@ -93,8 +96,9 @@ def land_batch(
     consumed_at: datetime | None = None,
     fields: dict[str, str] | None = None,
     tasks: int = WRITE_TASKS,
-) -> None:
+) -> dict[str, int]:
     """Write one micro-batch: landed rows by report date and source partition, rejects by reason.
+    Returns how many there were of each, counted while writing.
 
     `batch` names a folder of its own, replaced when the batch runs again, so a batch that was
     written but not committed before a crash is not landed twice. A batch is bounded by the
@@ -116,11 +120,26 @@ def land_batch(
                 "batch": F.lit(batch),
             },
         )
-        _write(landed, f"{root}/raw/{STREAM_DATASET}", ["dt", "source_partition", "batch"], tasks)
+        count = F.count("*").alias("rows")
+        landed_rows, bad_rows = Observation(), Observation()
+        _write(
+            landed.observe(landed_rows, count),
+            f"{root}/raw/{STREAM_DATASET}",
+            ["dt", "source_partition", "batch"],
+            tasks,
+        )
         bad = tagged.filter("_reject_reason is not null").withColumn("batch", F.lit(batch))
-        _write(bad, f"{root}/quarantine/{STREAM_DATASET}", ["_reject_reason", "batch"], tasks)
+        _write(
+            bad.observe(bad_rows, count),
+            f"{root}/quarantine/{STREAM_DATASET}",
+            ["_reject_reason", "batch"],
+            tasks,
+        )
+        counts = {"landed": landed_rows.get["rows"], "quarantined": bad_rows.get["rows"]}
     finally:
         tagged.unpersist()
+    logger.info("batch %s of %s: %s", batch, topic, counts)
+    return counts
 
 
 def _write(df: DataFrame, path: str, parts: list[str], tasks: int) -> None:

@@ -1,0 +1,143 @@
+"""Projection, deduplication and quarantine on small hand-made deliveries."""
+
+import math
+
+from filingmill.operators.dedupe import latest_per_key
+from filingmill.operators.projection import BAD_CAST, project_branches, project_financials
+from filingmill.operators.quarantine import (
+    REASON,
+    clean_branches,
+    clean_financials,
+    clean_tagged,
+    quarantine_split,
+    rejected,
+    tag_rejects,
+)
+from filingmill.schemas import FINANCIALS_KEY
+
+FILING = (
+    "CERT long, REPDTE string, NAME string, STALP string, STNAME string, BKCLASS string, "
+    "ASSET double, DEP double, EQ double, NETINC double, ROA double, ROE double, "
+    "_ingested_at string, _batch_id string"
+)
+
+
+def filing(cert, repdte="20240331", asset=100.0, at="2024-05-01", batch="b1"):
+    return (cert, repdte, "Bank", "VA", "Virginia", "N", asset, 1.0, 1.0, 1.0, 1.0, 1.0, at, batch)
+
+
+def filings(spark, *rows):
+    return spark.createDataFrame(list(rows), FILING)
+
+
+def test_fields_outside_the_allowlist_are_left_out(spark):
+    raw = filings(spark, filing(1)).selectExpr("*", "'x' as SOME_NEW_FIELD")
+    assert project_financials(raw).columns == [
+        "cert", "repdte", "name", "stalp", "stname", "bkclass", "asset", "dep", "eq", "netinc",
+        "roa", "roe", "_ingested_at", "_batch_id", BAD_CAST,
+    ]
+
+
+def test_a_field_missing_from_a_period_is_null(spark):
+    row = project_financials(filings(spark, filing(1)).drop("ROE")).first()
+    assert row.roe is None and row.roa == 1.0
+
+
+def test_latest_delivery_wins_then_larger_batch(spark):
+    raw = filings(
+        spark,
+        filing(1, asset=1.0, at="2024-05-01"),
+        filing(1, asset=2.0, at="2024-06-01"),
+        filing(2, asset=3.0, batch="b1"),
+        filing(2, asset=4.0, batch="b2"),
+    )
+    good = {r.cert: r.asset for r in clean_financials(raw)[0].collect()}
+    assert good == {1: 2.0, 2: 4.0}
+
+
+def test_full_ties_have_one_survivor_whatever_the_order(spark):
+    rows = [filing(1, asset=float(n)) for n in range(20)]
+    first = clean_financials(filings(spark, *rows))[0].collect()
+    second = clean_financials(filings(spark, *reversed(rows)).repartition(3, "ASSET"))[0].collect()
+    assert first == second and len(first) == 1
+
+
+def test_reject_reasons(spark):
+    raw = filings(
+        spark,
+        filing(None),
+        filing(2, asset=-1.0),
+        filing(3, asset=None),
+        filing(4, asset=math.nan),
+        filing(None, repdte="20240630", asset=-1.0),
+        filing(6, repdte=None),
+    )
+    good, bad = clean_financials(raw)
+    assert {r.cert for r in good.collect()} == {3, 4}
+    reasons = sorted((r.cert or 0, r[REASON]) for r in bad.collect())
+    assert reasons == [(0, "missing_key"), (0, "missing_key"), (2, "negative_value"), (6, "missing_key")]
+
+
+def test_text_that_does_not_cast_is_rejected_and_the_job_survives(spark):
+    raw = spark.createDataFrame(
+        [("abc", "20240331", "1", "t1", "b"), ("7", "20240331", "much", "t1", "b"), ("8", "20240331", "2", "t1", "b")],
+        "CERT string, REPDTE string, ASSET string, _ingested_at string, _batch_id string",
+    )
+    good, bad = clean_financials(raw)
+    assert [r.cert for r in good.collect()] == [8]
+    assert {(r.cert, r[REASON]) for r in bad.collect()} == {(None, "bad_cast"), (7, "bad_cast")}
+
+
+def test_text_that_is_no_day_is_rejected_on_request(spark):
+    df = spark.createDataFrame([(1, "20240331"), (2, "2024-3"), (3, None)], "cert long, repdte string")
+    tagged = tag_rejects(df, ["cert"], text_days=["repdte"])
+    assert [(r.cert, r[REASON]) for r in rejected(tagged).collect()] == [(2, "bad_cast")]
+
+
+def test_every_keyless_row_is_kept_when_asked(spark):
+    raw = filings(spark, *(filing(None, batch=f"b{n}") for n in range(5)), filing(1))
+    projected = project_financials(raw)
+    collapsed = clean_tagged(projected, FINANCIALS_KEY, ["asset"])
+    kept = clean_tagged(projected, FINANCIALS_KEY, ["asset"], keep_all_rejects=True)
+    assert rejected(collapsed).count() == 1
+    assert rejected(kept).count() == 5
+    assert kept.count() == 6
+
+
+def test_rows_with_a_null_in_the_key_form_one_group(spark):
+    df = spark.createDataFrame(
+        [(None, "a", "1", "x"), (None, "b", "2", "y")], "k long, v string, _ingested_at string, _batch_id string"
+    )
+    assert [r.v for r in latest_per_key(df, ["k"]).collect()] == ["b"]
+
+
+BRANCH = (
+    "CERT long, UNINUMBR long, NAMEFULL string, CITYBR string, STALPBR string, STNAMEBR string, "
+    "DEPSUMBR double, ASSET double, YEAR long, _ingested_at string, _batch_id string"
+)
+
+
+def branch(cert, uninumbr=1, deposits=5.0, year=2024, at="t1"):
+    return (cert, uninumbr, "Bank", "City", "VA", "Virginia", deposits, 1.0, year, at, "b")
+
+
+def test_branch_report_date_is_june_30(spark):
+    df = spark.createDataFrame([branch(1), branch(2, year=None)], BRANCH)
+    assert [r.repdte for r in project_branches(df).collect()] == ["20240630", None]
+
+
+def test_branches_dedupe_and_quarantine(spark):
+    df = spark.createDataFrame(
+        [branch(1, at="t1", deposits=1.0), branch(1, at="t2", deposits=2.0), branch(1, 2),
+         branch(None), branch(3, None), branch(4, year=None), branch(5, deposits=-1.0)],
+        BRANCH,
+    )
+    good, bad = clean_branches(df)
+    assert sorted((r.cert, r.uninumbr, r.depsumbr) for r in good.collect()) == [(1, 1, 2.0), (1, 2, 5.0)]
+    assert sorted(r[REASON] for r in bad.collect()) == ["missing_key"] * 3 + ["negative_value"]
+
+
+def test_split_of_any_frame(spark):
+    df = spark.createDataFrame([(1, -1.0, 1.0), (2, 1.0, -1.0), (3, 1.0, 1.0)], "k int, a double, b double")
+    good, bad = quarantine_split(df, ["k"], ["a", "b"])
+    assert [r.k for r in good.collect()] == [3] and bad.count() == 2

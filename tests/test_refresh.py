@@ -1,0 +1,188 @@
+"""The whole refresh on a small lake: gate, publication, reruns, serving reads."""
+
+import datetime as dt
+
+import pytest
+
+from filingmill.plans.quality import changed_rows
+from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh
+from filingmill.plans.serving import NotFoundError, Reads
+from filingmill.schemas import FRESHNESS
+from filingmill.sources.landing import dataset_path, land, write_partitions
+from filingmill.sources.warehouse import FRESHNESS_TABLE, Warehouse, load_table
+from filingmill.streaming.landing import STREAM_DATASET
+
+PUBLISHED = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
+QUARTERS = ["20240331", "20240630", "20240930", "20241231"]
+INSTITUTION = "CERT long, NAME string, CITY string, STALP string, BKCLASS string, REGAGNT string, NAMEHCR string, dt string"
+FILING = "CERT long, REPDTE string, NAME string, STALP string, STNAME string, BKCLASS string, ASSET double, DEP double, EQ double, NETINC double, ROA double, ROE double"
+BRANCH = "CERT long, UNINUMBR long, NAMEFULL string, CITYBR string, STALPBR string, STNAMEBR string, DEPSUMBR double, ASSET double, YEAR long"
+STATES = {1: "VA", 2: "VA", 3: "TX", 4: "TX"}
+MARTS = [
+    "dim_institution", "dim_date", "fct_bank_quarterly_financials", "mart_latest_financials",
+    "mart_profitability_trends", "mart_asset_growth", "mart_deposit_concentration",
+]
+
+
+def filing(cert, quarter, asset):
+    state = STATES.get(cert, "NY")
+    return (cert, quarter, f"Bank {cert}", state, state, "N", asset, 1.0, 1.0, 1.0, asset / 100, float(cert or 0))
+
+
+def fill(spark, root, states=STATES):
+    """Raw layer: two snapshots with one rename, four quarters of four banks and a stranger, branches."""
+    snapshots = [(c, f"Bank {c}", "City", s, "N", "OCC", None, "20240101") for c, s in states.items()]
+    snapshots += [(1, "Renamed 1", "City", "VA", "N", "OCC", None, "20240701")]
+    write_partitions(spark.createDataFrame(snapshots, INSTITUTION), dataset_path(root, "institutions"))
+    rows = [filing(c, q, 100.0 * c + 10 * k) for c in (1, 2, 3, 4, 99) for k, q in enumerate(QUARTERS)]
+    rows += [filing(None, QUARTERS[0], 1.0), filing(None, QUARTERS[0], 2.0), filing(5, QUARTERS[0], -1.0)]
+    filings = spark.createDataFrame(rows, FILING)
+    land(filings, root, "financials", filings.REPDTE, source_url="u", batch_id="b", ingested_at="2025-01-01")
+    branches = [(c, c * 10 + n, "n", "c", STATES[c], "s", 10.0 * c, 1.0, 2024) for c in STATES for n in range(3)]
+    frame = spark.createDataFrame(branches, BRANCH)
+    land(frame, root, "sod", frame.YEAR, source_url="u", batch_id="b", ingested_at="2025-01-01")
+
+
+def make_lake(spark, folder, name):
+    return Lake(spark, str(folder / "lake"), Warehouse(spark, name, str(folder / "warehouse"), buckets=4))
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    lake = make_lake(spark, tmp_path_factory.mktemp("refresh"), "refreshed")
+    assert Reads(lake.warehouse).health().detail == "Freshness table does not exist yet."
+    with pytest.raises(RuntimeError, match="institutions, financials, sod"):
+        refresh(lake)
+    fill(spark, lake.root)
+    counts = refresh(lake, published_at=PUBLISHED)
+    assert counts["financials"] == {"cleaned": 20, "quarantine": 3}
+    assert counts["branch_deposits"] == {"cleaned": 12, "quarantine": 0}
+    return lake
+
+
+def test_rejects_are_kept_with_their_reason(lake):
+    reasons = sorted(r._reject_reason for r in lake.read("financials", BAD).collect())
+    assert reasons == ["missing_key", "missing_key", "negative_value"]
+
+
+def test_freshness_is_published(lake):
+    assert lake.warehouse.table(FRESHNESS_TABLE).schema.simpleString() == FRESHNESS.simpleString()
+    health = Reads(lake.warehouse).health()
+    assert (health.status, health.max_repdte, health.financials_row_count) == ("ok", dt.date(2024, 12, 31), 20)
+    assert health.published_at == dt.datetime(2026, 1, 1)
+
+
+def test_facts_of_strangers_refer_to_the_unknown_member(lake):
+    fact = lake.warehouse.table("fct_bank_quarterly_financials")
+    assert {r.cert for r in fact.filter("institution_sk = 'unknown'").collect()} == {99}
+
+
+def test_fact_table_is_bucketed_so_marts_do_not_shuffle_it(lake, spark):
+    from filingmill.operators.marts import latest_financials, profitability_trends
+
+    fact = lake.warehouse.table("fct_bank_quarterly_financials")
+    for mart in (latest_financials, profitability_trends):
+        plan = mart(fact)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+
+
+def test_a_rerun_and_a_streamed_copy_change_nothing(lake, spark):
+    before = {}
+    for name in MARTS:
+        path = f"{lake.root}/before/{name}"
+        lake.warehouse.table(name).write.parquet(path)
+        before[name] = spark.read.parquet(path)
+    raw = spark.read.parquet(lake.raw("financials"))
+    write_partitions(raw.selectExpr("*").withColumn("dt", raw.REPDTE), lake.raw(STREAM_DATASET))
+    refresh(lake, published_at=PUBLISHED)
+    for name in MARTS:
+        assert changed_rows(before[name], lake.warehouse.table(name)).count() == 0, name
+
+
+def test_publication_is_blocked_by_a_failing_check(spark, tmp_path):
+    lake = make_lake(spark, tmp_path, "blocked")
+    fill(spark, lake.root, {**STATES, 6: "ZZ"})
+    with pytest.raises(ChecksFailedError) as blocked:
+        refresh(lake, published_at=PUBLISHED)
+    assert [(r.check, r.subject, r.failures) for r in blocked.value.failures] == [("accepted_values", "state", 1)]
+    assert not lake.warehouse.exists(FRESHNESS_TABLE)
+    assert Reads(lake.warehouse).health().status == "degraded"
+
+
+def test_loading_nothing_is_an_error(lake):
+    with pytest.raises(RuntimeError, match="nothing cleaned"):
+        load_table(lake.warehouse, "t", None, FRESHNESS)
+
+
+def test_ensured_tables_are_created_once(lake):
+    lake.warehouse.ensure_table("ensured", FRESHNESS)
+    assert lake.warehouse.table("ensured").count() == 0
+    lake.warehouse.replace("ensured", lake.warehouse.table(FRESHNESS_TABLE))
+    lake.warehouse.ensure_table("ensured", FRESHNESS)
+    assert lake.warehouse.table("ensured").count() == 1
+    lake.warehouse.ensure_table("empty_freshness", FRESHNESS)
+    from filingmill.plans.serving import health
+
+    row = health(lake.warehouse.table("empty_freshness")).first()
+    assert (row.status, row.detail) == ("degraded", "No freshness metric published yet.")
+
+
+# ---- reads ------------------------------------------------------------------------------------------
+
+
+def test_list_pages_and_filters(lake):
+    reads = Reads(lake.warehouse)
+    page = reads.institutions(limit=2)
+    assert ([r.cert for r in page.items], page.has_more) == ([1, 2], True)
+    rest = reads.institutions(limit=2, offset=2)
+    assert ([r.cert for r in rest.items], rest.has_more) == ([3, 4], False)
+    assert [r.cert for r in reads.institutions(state="tx").items] == [3, 4]
+    assert [r.cert for r in reads.institutions(bkclass="n", min_asset=200, max_asset=350).items] == [2, 3]
+    assert page.items[0].name == "Renamed 1" and page.items[0].latest_asset == 130.0
+
+
+def test_one_institution(lake):
+    row = Reads(lake.warehouse).institution(1)
+    assert (row.name, row.latest_repdte) == ("Renamed 1", dt.date(2024, 12, 31))
+    assert row.valid_from == dt.date(2024, 7, 1)
+    with pytest.raises(NotFoundError):
+        Reads(lake.warehouse).institution(12345)
+
+
+def test_series_is_in_date_order_within_bounds(lake):
+    page = Reads(lake.warehouse).financials(2, date_from=dt.date(2024, 6, 30), date_to=dt.date(2024, 9, 30))
+    assert [(r.repdte, r.asset, r.state) for r in page.items] == [
+        (dt.date(2024, 6, 30), 210.0, "VA"), (dt.date(2024, 9, 30), 220.0, "VA"),
+    ]
+
+
+def test_rankings(lake):
+    reads = Reads(lake.warehouse)
+    top = reads.rankings("asset", limit=2)
+    assert [(r["rank"], r.cert, r.name, r.metric) for r in top.items] == [
+        (1, 99, None, "asset"), (2, 4, "Bank 4", "asset"),
+    ]
+    assert top.has_more and top.items[0].repdte == dt.date(2024, 12, 31)
+    state = reads.rankings("asset_growth_qoq", state="va", period=dt.date(2024, 6, 30))
+    assert [(r["rank"], r.cert, r.name) for r in state.items] == [(1, 1, "Bank 1"), (2, 2, "Bank 2")]
+    assert [r["rank"] for r in reads.rankings("roe", limit=2, offset=2).items] == [3, 4]
+
+
+@pytest.mark.parametrize(
+    "call",
+    [
+        lambda r: r.institutions(limit=0),
+        lambda r: r.institutions(limit=501),
+        lambda r: r.institutions(offset=-1),
+        lambda r: r.institutions(state="Texas"),
+        lambda r: r.institutions(bkclass="ABCDE"),
+        lambda r: r.institutions(min_asset=-1),
+        lambda r: r.institution(0),
+        lambda r: r.financials(1, date_from=dt.date(2025, 1, 1), date_to=dt.date(2024, 1, 1)),
+        lambda r: r.rankings("profit"),
+        lambda r: r.rankings(state="1A"),
+    ],
+)
+def test_invalid_arguments_are_refused(lake, call):
+    with pytest.raises(ValueError):
+        call(Reads(lake.warehouse))
