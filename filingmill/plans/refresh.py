@@ -27,6 +27,7 @@ from filingmill.schemas import (
     FINANCIALS_KEY,
     HISTORY,
 )
+from filingmill.session import prepare
 from filingmill.sources.drift import read_projected
 from filingmill.sources.landing import dataset_path, require_raw, write_partitions
 from filingmill.sources.warehouse import Warehouse, load_table, publish_freshness
@@ -193,6 +194,7 @@ def refresh(
 ) -> dict[str, dict[str, int]]:
     """Run every stage in order. A stage that fails stops the run; rerunning it is safe, because
     each stage replaces what it writes."""
+    prepare(lake.spark)
     require_raw(lake.spark, lake.root)
     clean_institutions(lake)
     counts = {"financials": clean_financials(lake), "branch_deposits": clean_branches(lake)}

@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows that arrive partitioned by one column of a longer key are shuffled by the whole key, so
+    # that one hot value of that column does not gather its rows in one task.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 
@@ -31,7 +34,7 @@ def build_session(app_name: str = "filingmill", master: str | None = None, **con
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key) != value:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 

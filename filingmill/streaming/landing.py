@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 from functools import cache
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -98,7 +98,7 @@ def land_batch(
     tasks: int = WRITE_TASKS,
 ) -> dict[str, int]:
     """Write one micro-batch: landed rows by report date and source partition, rejects by reason.
-    Returns how many there were of each, counted while writing.
+    Returns how many there were of each.
 
     `batch` names a folder of its own, replaced when the batch runs again, so a batch that was
     written but not committed before a crash is not landed twice. A batch is bounded by the
@@ -107,9 +107,12 @@ def land_batch(
     when = (consumed_at or datetime.now(UTC)).isoformat()
     tagged = parse_messages(messages, topic, fields).persist()
     try:
-        good = tagged.filter("_reject_reason is null").drop("_reject_reason")
+        is_good = F.col("_reject_reason").isNull()
+        counts = tagged.agg(
+            F.count_if(is_good).alias("landed"), F.count_if(~is_good).alias("quarantined")
+        ).first().asDict()
         landed = stamp_raw(
-            good,
+            tagged.filter(is_good).drop("_reject_reason"),
             source_url=f"kafka://{topic}",
             batch_id=batch,
             ingested_at=when,
@@ -120,22 +123,12 @@ def land_batch(
                 "batch": F.lit(batch),
             },
         )
-        count = F.count("*").alias("rows")
-        landed_rows, bad_rows = Observation(), Observation()
-        _write(
-            landed.observe(landed_rows, count),
-            f"{root}/raw/{STREAM_DATASET}",
-            ["dt", "source_partition", "batch"],
-            tasks,
-        )
-        bad = tagged.filter("_reject_reason is not null").withColumn("batch", F.lit(batch))
-        _write(
-            bad.observe(bad_rows, count),
-            f"{root}/quarantine/{STREAM_DATASET}",
-            ["_reject_reason", "batch"],
-            tasks,
-        )
-        counts = {"landed": landed_rows.get["rows"], "quarantined": bad_rows.get["rows"]}
+        if counts["landed"]:
+            parts = ["dt", "source_partition", "batch"]
+            _write(landed, f"{root}/raw/{STREAM_DATASET}", parts, tasks)
+        if counts["quarantined"]:
+            rejects = tagged.filter(~is_good).withColumn("batch", F.lit(batch))
+            _write(rejects, f"{root}/quarantine/{STREAM_DATASET}", ["_reject_reason", "batch"], tasks)
     finally:
         tagged.unpersist()
     logger.info("batch %s of %s: %s", batch, topic, counts)

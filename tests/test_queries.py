@@ -47,6 +47,15 @@ def test_repeated_deliveries_are_pruned_before_the_shuffle(spark, name):
     assert planned(spark, name).count("WindowGroupLimit") >= 2
 
 
+def test_a_join_on_part_of_the_key_does_not_replace_the_shuffle_by_all_of_it(spark):
+    limits = planned(spark, "scd2_history").split("WindowGroupLimit")
+    assert re.search(r"hashpartitioning\(cert#\d+L?, snapshot_date#\d+", limits[1])
+
+
+def test_periods_are_pruned_by_folder(spark):
+    assert re.search(r"PartitionFilters: \[.*dt#", planned(spark, "period_range"))
+
+
 @pytest.mark.parametrize("name", ["mart_asset_growth", "mart_deposit_concentration", "fct_financials", "scd2_history"])
 def test_no_mart_is_built_in_one_task(spark, name):
     assert "SinglePartition" not in planned(spark, name)

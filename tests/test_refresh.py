@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql.functions import col
 
 from filingmill.plans.quality import changed_rows
 from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh
@@ -10,7 +11,8 @@ from filingmill.plans.serving import NotFoundError, Reads
 from filingmill.schemas import FRESHNESS
 from filingmill.sources.landing import dataset_path, land, write_partitions
 from filingmill.sources.warehouse import FRESHNESS_TABLE, Warehouse, load_table
-from filingmill.streaming.landing import STREAM_DATASET
+from filingmill.sources.messages import filing_messages
+from filingmill.streaming.landing import STREAM_DATASET, file_messages, start_landing
 
 PUBLISHED = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
 QUARTERS = ["20240331", "20240630", "20240930", "20241231"]
@@ -93,7 +95,8 @@ def test_a_rerun_and_a_streamed_copy_change_nothing(lake, spark):
         lake.warehouse.table(name).write.parquet(path)
         before[name] = spark.read.parquet(path)
     raw = spark.read.parquet(lake.raw("financials"))
-    write_partitions(raw.selectExpr("*").withColumn("dt", raw.REPDTE), lake.raw(STREAM_DATASET))
+    copies = raw.drop("dt").selectExpr("*", "REPDTE as dt", "0 as source_partition", "'copy' as batch")
+    write_partitions(copies, lake.raw(STREAM_DATASET), ["dt", "source_partition", "batch"])
     refresh(lake, published_at=PUBLISHED)
     for name in MARTS:
         assert changed_rows(before[name], lake.warehouse.table(name)).count() == 0, name
@@ -186,3 +189,19 @@ def test_rankings(lake):
 def test_invalid_arguments_are_refused(lake, call):
     with pytest.raises(ValueError):
         call(Reads(lake.warehouse))
+
+
+def test_a_landed_stream_joins_the_next_refresh(lake, spark, tmp_path):
+    raw = spark.read.parquet(lake.raw("financials")).drop("dt", "_source_url")
+    late = raw.filter("CERT = 1 and REPDTE = '20241231'").selectExpr(
+        "* except (ASSET, _ingested_at)", "999.0 as ASSET", "'2026-01-01' as _ingested_at"
+    )
+    sent = filing_messages(raw.unionByName(late), col("REPDTE"))
+    topic = sent.selectExpr("*", "0 as partition", "monotonically_increasing_id() as offset")
+    topic.write.json(str(tmp_path / "topic"))
+    stream = file_messages(spark, str(tmp_path / "topic"), files_per_trigger=100)
+    start_landing(stream, lake.root, str(tmp_path / "checkpoint")).awaitTermination()
+
+    counts = refresh(lake, published_at=PUBLISHED)
+    assert counts["financials"] == {"cleaned": 20, "quarantine": 3}
+    assert Reads(lake.warehouse).institution(1).latest_asset == 999.0
