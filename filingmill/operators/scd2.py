@@ -34,14 +34,13 @@ def build_history(snapshots: DataFrame, low_water_mark: str = LOW_WATER_MARK) ->
         .filter("_previous is null or _previous <> _hash")
         .withColumn("_next", F.lead("snapshot_date").over(by_day))
     )
-    iso = "yyyy-MM-dd"
     return versions.select(
         "cert",
         *attributes,
         F.when(F.col("_previous").isNull(), F.lit(low_water_mark))
-        .otherwise(F.date_format("snapshot_date", iso))
+        .otherwise(F.col("snapshot_date").cast("string"))
         .alias("valid_from"),
-        F.coalesce(F.date_format(F.date_sub("_next", 1), iso), F.lit(OPEN_END)).alias("valid_to"),
+        F.coalesce(F.date_sub("_next", 1).cast("string"), F.lit(OPEN_END)).alias("valid_to"),
         F.col("_next").isNull().alias("is_current"),
         "_hash",
     )

@@ -21,14 +21,14 @@ from filingmill.plans import models, quality, serving
 from filingmill.plans.inputs import Inputs
 from filingmill.schemas import (
     BANK_CLASSES,
+    BRANCH_DICTIONARY,
     BRANCH_KEY,
     FINANCIALS_KEY,
     METRICS,
     UNKNOWN_SK,
     columns_of,
 )
-from filingmill.sources import landing, messages
-from filingmill.sources.drift import read_projected
+from filingmill.sources import drift, landing, messages
 from filingmill.sources.warehouse import freshness
 from filingmill.streaming import landing as stream
 
@@ -159,7 +159,16 @@ def drift_read(i: Inputs) -> DataFrame:
     for span, kind in [*spans, ("dt > '19991231'", "string")]:
         typed = rows.filter(span).withColumn("CERT", F.col("CERT").cast(kind))
         landing.write_partitions(typed, path)
-    return read_projected(i.spark, path, project_financials).drop(BAD_CAST)
+    return drift.read_projected(i.spark, path, project_financials).drop(BAD_CAST)
+
+
+@_query
+def schema_drift(i: Inputs) -> DataFrame:
+    """Branch records with one field nobody announced and one that turned into text."""
+    drifted = i.raw_branches.withColumns(
+        {"UNINUMBR": F.col("UNINUMBR").cast("string"), "BRAND_NEW": F.col("STALPBR")}
+    )
+    return drift.schema_drift(drifted, BRANCH_DICTIONARY)
 
 
 @_query
@@ -530,21 +539,32 @@ def dq_rerun(i: Inputs) -> DataFrame:
     )
     after = clean_financials(again)[0]
     changed = quality.changed_rows(before, after)
-    return changed.select("change", "cert", "repdte", "asset", "_batch_id")
+    return changed.select("change", "cert", "repdte", "asset", "_batch_id", "copies")
 
 
 @_query
 def dq_report(i: Inputs) -> DataFrame:
+    """All declared checks over stored tables, each table built once from those below it."""
+    folder = i.folder("models")
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return i.spark.read.parquet(f"{folder}/{name}")
+
     tables = {
-        "dim_institution": i.dim,
-        "dim_date": models.dim_date(i.financials),
-        "fct_bank_quarterly_financials": i.fact,
-        "mart_latest_financials": marts.latest_financials(i.fact),
-        "mart_profitability_trends": marts.profitability_trends(i.fact),
-        "mart_asset_growth": marts.asset_growth_unranked(i.fact),
-        "mart_deposit_concentration": marts.deposit_concentration(i.branches),
-        "stg_institution_history": models.stage_history(i.history),
-        "stg_financials": models.stage_financials(i.financials),
-        "stg_branch_deposits": models.stage_branches(i.branches),
+        "stg_institution_history": store("history", models.stage_history(i.history)),
+        "stg_financials": store("financials", models.stage_financials(i.financials)),
+        "stg_branch_deposits": store("branches", models.stage_branches(i.branches)),
+    }
+    dim = store("dim", models.dim_institution(tables["stg_institution_history"]))
+    fact = store("fact", models.fct_financials(tables["stg_financials"], dim))
+    tables |= {
+        "dim_institution": dim,
+        "dim_date": models.dim_date(tables["stg_financials"]),
+        "fct_bank_quarterly_financials": fact,
+        "mart_latest_financials": marts.latest_financials(fact),
+        "mart_profitability_trends": marts.profitability_trends(fact),
+        "mart_asset_growth": marts.asset_growth(fact),
+        "mart_deposit_concentration": marts.deposit_concentration(tables["stg_branch_deposits"]),
     }
     return quality.check_report(tables)

@@ -23,7 +23,7 @@ def _padded(number: Column) -> Column:
 
 
 def _day_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("string")
 
 
 @dataclass(frozen=True)

@@ -11,9 +11,10 @@ from filingmill.schemas import LOW_WATER_MARK, OPEN_END, UNKNOWN_NAME, UNKNOWN_S
 
 
 def _staged(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A message may bring any text as its provenance; text that is no time is null here."""
     return df.select(
         *columns,
-        F.to_timestamp("_ingested_at").alias("ingested_at"),
+        F.try_to_timestamp(F.col("_ingested_at")).alias("ingested_at"),
         F.col("_batch_id").alias("batch_id"),
     )
 

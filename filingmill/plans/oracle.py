@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from filingmill.schemas import BANK_CLASSES, METRICS, STATE_CODES
+from filingmill.schemas import BANK_CLASSES, BRANCH_DICTIONARY, METRICS, STATE_CODES
 
 # Named subqueries, each over those before it.
 _VIEWS = {
@@ -363,10 +363,10 @@ _SQL = {
         where b.valid_from <= a.valid_to group by all""",
     "dq_rerun": """
         select unnest(['removed', 'added']) as change, cert, repdte,
-               unnest([asset, asset + 1]) as asset, _batch_id
+               unnest([asset, asset + 1]) as asset, _batch_id, 1 as copies
         from dedup_fin where repdte = '19970630' and cert is not null and asset >= 0
         union all
-        select 'added', cert, repdte, asset + 1, _batch_id
+        select 'added', cert, repdte, asset + 1, _batch_id, 1
         from dedup_fin
         where repdte = '19970630' and cert is not null and asset < 0 and asset + 1 >= 0""",
 }
@@ -440,7 +440,24 @@ def _report() -> str:
     return "\nunion all\n".join(rows)
 
 
+def _drift() -> str:
+    """The branch dictionary against the raw branch columns, one of them new and one retyped."""
+    present = "CERT UNINUMBR NAMEFULL CITYBR STALPBR STNAMEBR DEPSUMBR ASSET YEAR".split()
+    rows = [
+        "select 'BRAND_NEW' as field, 'added' as drift, cast(null as varchar) as expected, "
+        "'string' as found, count(stalpbr) as rows from raw_branch",
+        "select 'UNINUMBR', 'retyped', 'number', 'string', count(uninumbr) from raw_branch",
+    ]
+    rows += [
+        f"select '{name}', 'missing', '{kind}', null, 0"
+        for name, kind in BRANCH_DICTIONARY.items()
+        if name not in present
+    ]
+    return "\nunion all\n".join(rows)
+
+
 _SQL["dq_report"] = _report()
+_SQL["schema_drift"] = _drift()
 
 
 def oracle_sql() -> dict[str, str]:

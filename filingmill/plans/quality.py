@@ -67,10 +67,14 @@ def overlapping_windows(versions: DataFrame, touching: bool = False) -> DataFram
 
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows a rerun removed or added, duplicates counted."""
-    gone = before.exceptAll(after).withColumn("change", F.lit("removed"))
-    new = after.exceptAll(before).withColumn("change", F.lit("added"))
-    return gone.unionByName(new)
+    """Rows a rerun removed or added, with how many copies of each. One grouping of both sides."""
+    signed = before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
+    net = signed.groupBy(*before.columns).agg(F.sum("_sign").alias("_net")).filter("_net <> 0")
+    return net.select(
+        F.when(F.col("_net") > 0, "added").otherwise("removed").alias("change"),
+        *before.columns,
+        F.abs("_net").alias("copies"),
+    )
 
 
 # ---- declared checks over named tables ------------------------------------------------------------
@@ -148,7 +152,9 @@ def _row_checks(checks: Iterable[Check]) -> list[tuple[str, str, Column]]:
     return found
 
 
-def _count_row_checks(model: str, df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
+def _count_row_checks(
+    model: str, df: DataFrame, checks: list[tuple[str, str, Column]]
+) -> DataFrame:
     """All row-wise checks of a table in one pass over it."""
     counted = df.agg(*(F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)))
     results = F.array(

@@ -11,6 +11,7 @@ from functools import reduce
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingmill.sources.landing import PARTITION, partition_values
@@ -68,21 +69,35 @@ def read_projected(
 def schema_drift(df: DataFrame, dictionary: dict[str, str]) -> DataFrame:
     """Columns of `df` against a field dictionary (`string` or `number` per name).
 
-    One row per difference: `added` (not in the dictionary), `missing`, or `retyped`.
+    One row per difference - `added` (not in the dictionary), `missing` or `retyped` - with the
+    number of rows that hold a value, all counted in one pass. Stamped columns are not compared.
     """
-    numeric = (T.NumericType,)
-    present = {
-        f.name: "number" if isinstance(f.dataType, numeric) else f.dataType.simpleString()
+    found = {
+        f.name: "number" if isinstance(f.dataType, T.NumericType) else f.dataType.simpleString()
         for f in df.schema.fields
         if not f.name.startswith("_")
     }
-    rows = [(name, "added", None, kind) for name, kind in present.items() if name not in dictionary]
-    rows += [(name, "missing", kind, None) for name, kind in dictionary.items() if name not in present]
-    rows += [
-        (name, "retyped", dictionary[name], kind)
-        for name, kind in present.items()
-        if name in dictionary and dictionary[name] != kind
+    differences = [
+        (name, "added" if known is None else "missing" if kind is None else "retyped", known, kind)
+        for name in sorted(found.keys() | dictionary.keys())
+        for known, kind in [(dictionary.get(name), found.get(name))]
+        if known != kind
     ]
-    return df.sparkSession.createDataFrame(
-        sorted(rows), "field string, drift string, expected string, found string"
+    counts = df.agg(
+        F.lit(0).cast("bigint").alias("_none"),
+        *(F.count(name).alias(name) for name, _, _, kind in differences if kind is not None),
     )
+    rows = [
+        F.struct(
+            F.lit(name).alias("field"),
+            F.lit(drift).alias("drift"),
+            F.lit(known).cast("string").alias("expected"),
+            F.lit(kind).cast("string").alias("found"),
+            F.col("_none" if kind is None else name).alias("rows"),
+        )
+        for name, drift, known, kind in differences
+    ]
+    if not rows:
+        empty = "field string, drift string, expected string, found string, rows bigint"
+        return df.sparkSession.createDataFrame([], empty)
+    return counts.select(F.inline(F.array(*rows)))

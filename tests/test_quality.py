@@ -58,9 +58,10 @@ def test_offenders_are_returned(tables):
 
 
 def test_changed_rows_count_duplicates(spark):
-    before = spark.createDataFrame([(1,), (1,), (2,)], "v int")
-    after = spark.createDataFrame([(1,), (2,), (3,)], "v int")
-    assert sorted((r.change, r.v) for r in quality.changed_rows(before, after).collect()) == [("added", 3), ("removed", 1)]
+    before = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,)], "v int")
+    after = spark.createDataFrame([(1,), (2,), (3,), (None,)], "v int")
+    found = sorted((r.change, r.v, r.copies) for r in quality.changed_rows(before, after).collect())
+    assert found == [("added", 3, 1), ("removed", 1, 2)]
     assert quality.changed_rows(before, before.repartition(2)).count() == 0
 
 

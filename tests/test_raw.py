@@ -112,11 +112,15 @@ def test_files_of_one_partition_may_disagree(spark, tmp_path):
 
 
 def test_schema_drift(spark):
-    df = spark.createDataFrame([], "CERT string, UNINUMBR long, BRAND_NEW string, _batch_id string")
-    found = {(r.field, r.drift) for r in schema_drift(df, BRANCH_DICTIONARY).collect()}
-    assert {("CERT", "retyped"), ("BRAND_NEW", "added"), ("YEAR", "missing")} <= found
+    df = spark.createDataFrame(
+        [("7", 1, None, "b"), ("8", 2, "x", "b")], "CERT string, UNINUMBR long, BRAND_NEW string, _batch_id string"
+    )
+    found = {(r.field, r.drift): r.rows for r in schema_drift(df, BRANCH_DICTIONARY).collect()}
+    assert found["CERT", "retyped"] == 2 and found["BRAND_NEW", "added"] == 1
+    assert found["YEAR", "missing"] == 0
     assert ("UNINUMBR", "retyped") not in found and len(found) == 82
     assert sum(kind == "string" for kind in BRANCH_DICTIONARY.values()) == 44
+    assert schema_drift(df, {"CERT": "string", "UNINUMBR": "number", "BRAND_NEW": "string"}).count() == 0
 
 
 def test_messages_are_keyed_and_carry_their_partition(spark):
