@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from datetime import UTC, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,13 +24,16 @@ def page_schema(record: T.StructType) -> T.StructType:
 
 
 def read_pages(
-    spark: SparkSession, path: str, record: T.StructType, page_per_file: bool = True
+    spark: SparkSession, path: str, record: T.StructType | None = None, page_per_file: bool = True
 ) -> DataFrame:
     """Landed pages, one JSON document per file or per line; hive folders become columns.
 
-    A page holds at most the interface's page size, so one is a small unit of work.
+    A page holds at most the interface's page size, so one is a small unit of work. Without a
+    `record` schema the fields are inferred, which keeps every field any record has but reads the
+    pages twice.
     """
-    return spark.read.schema(page_schema(record)).option("multiLine", page_per_file).json(path)
+    reader = spark.read if record is None else spark.read.schema(page_schema(record))
+    return reader.option("multiLine", page_per_file).json(path)
 
 
 def unwrap_pages(pages: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
@@ -119,6 +122,28 @@ def land(
     write_partitions(stamped, dataset_path(root, dataset))
 
 
+def ingest_pages(
+    spark: SparkSession,
+    pages_path: str,
+    root: str,
+    dataset: str,
+    partition: str,
+    *,
+    record: T.StructType | None = None,
+    page_per_file: bool = True,
+    **stamps,
+) -> list[Row]:
+    """Land every record of the pages in the partition its field `partition` names.
+
+    Returns the sources that announced another number of records than arrived, one row each. Pages
+    without a source folder count as one source.
+    """
+    pages = read_pages(spark, pages_path, record, page_per_file)
+    source = ["source"] if "source" in pages.columns else []
+    land(unwrap_pages(pages), root, dataset, F.col(partition), **stamps)
+    return incomplete_pages(pages, source).collect()
+
+
 def dataset_path(root: str, dataset: str, layer: str = "raw") -> str:
     return f"{root}/{layer}/{dataset}"
 

@@ -18,7 +18,7 @@ SNAPSHOT = (
 
 
 def history(spark, *rows):
-    full = [(cert, day, name, city, "VA", "N", "FDIC", None) for cert, day, name, city in rows]
+    full = [(cert, day, name, city, "VA", "N", "OCC", None) for cert, day, name, city in rows]
     return build_history(project_snapshots(spark.createDataFrame(full, SNAPSHOT)))
 
 
@@ -61,7 +61,7 @@ def test_repeated_and_keyless_snapshots(spark):
 
 def test_hash_joins_attributes_and_treats_null_as_empty(spark):
     row = history(spark, (1, "20250101", "A", None)).first()
-    assert row._hash == hashlib.sha256(b"A||VA|N|FDIC|").hexdigest()
+    assert row._hash == hashlib.sha256(b"A||VA|N|OCC|").hexdigest()
 
 
 def test_facts_take_the_version_of_their_date(spark):

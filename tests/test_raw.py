@@ -28,6 +28,26 @@ def test_pages_are_read_and_unwrapped_in_any_order(spark, tmp_path):
     assert [(r.source, r.announced, r.received) for r in short] == [("b", 4, 1)]
 
 
+def test_ingested_pages_keep_every_field_and_report_what_is_missing(spark, tmp_path):
+    pages = [
+        {"meta": {"total": 2}, "data": [{"data": {"CERT": 1, "REPDTE": "20240331"}, "score": 1}]},
+        {"meta": {"total": 2}, "data": [{"data": {"CERT": 2, "REPDTE": "20240630", "NEW": "x"}}]},
+    ]
+    for name, page in zip("ab", pages, strict=True):
+        folder = tmp_path / "pages" / f"source={name}"
+        folder.mkdir(parents=True)
+        (folder / "1.json").write_text(json.dumps(page, indent=1))
+    root = str(tmp_path / "lake")
+    short = landing.ingest_pages(
+        spark, str(tmp_path / "pages"), root, "financials", "REPDTE", source_url="u", batch_id="b"
+    )
+    assert sorted((r.source, r.announced, r.received) for r in short) == [("a", 2, 1), ("b", 2, 1)]
+    rows = spark.read.parquet(landing.dataset_path(root, "financials")).orderBy("CERT").collect()
+    assert [(r.CERT, r.NEW, r._batch_id, str(r.dt)) for r in rows] == [
+        (1, None, "b", "20240331"), (2, "x", "b", "20240630"),
+    ]
+
+
 def test_a_records_own_provenance_stays(spark):
     records = spark.createDataFrame(
         [(1, "t0", None), (2, None, "old")], "CERT long, _ingested_at string, _batch_id string"

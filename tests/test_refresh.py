@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql.functions import col
 
+from filingmill.jobs import main
 from filingmill.plans.quality import changed_rows
 from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh
 from filingmill.plans.serving import NotFoundError, Reads
@@ -205,3 +206,15 @@ def test_a_landed_stream_joins_the_next_refresh(lake, spark, tmp_path):
     counts = refresh(lake, published_at=PUBLISHED)
     assert counts["financials"] == {"cleaned": 20, "quarantine": 3}
     assert Reads(lake.warehouse).institution(1).latest_asset == 999.0
+
+
+def test_the_refresh_command(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    fill(spark, root)
+    main(["refresh", "--root", root, "--warehouse", str(tmp_path / "tables"), "--database", "by_command", "--buckets", "2"])
+    assert Reads(Warehouse(spark, "by_command", str(tmp_path / "tables"))).health().status == "ok"
+
+
+def test_commands_refuse_missing_arguments():
+    with pytest.raises(SystemExit):
+        main(["replay", "--root", "r"])
