@@ -363,7 +363,7 @@ _SQL = {
         where b.valid_from <= a.valid_to group by all""",
     "dq_rerun": """
         select unnest(['removed', 'added']) as change, cert, repdte,
-               unnest([asset, asset + 1]) as asset, _batch_id, 1 as copies
+               unnest([asset, asset + 1]) as asset, _batch_id, cast(1 as bigint) as copies
         from dedup_fin where repdte = '19970630' and cert is not null and asset >= 0
         union all
         select 'added', cert, repdte, asset + 1, _batch_id, 1

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from filingmill.functions.columns import parse_day
 from filingmill.operators import marts
 from filingmill.operators.projection import (
     BAD_CAST,
@@ -75,8 +76,12 @@ class Lake:
 
 
 def _write_outcomes(tagged: DataFrame, path: str, cluster_by: Sequence[str]) -> dict[str, int]:
-    """Write good rows and rejects in one job and count both in it."""
+    """Write good rows and rejects in one job and count both in it.
+
+    Text that is no date goes to the default partition, so bad dates cannot multiply folders.
+    """
     counts = Observation()
+    is_day = parse_day(F.col("repdte"), "yyyyMMdd").isNotNull()
     rows = (
         tagged.observe(
             counts,
@@ -84,7 +89,7 @@ def _write_outcomes(tagged: DataFrame, path: str, cluster_by: Sequence[str]) ->
             F.count_if(F.col(REASON).isNotNull()).alias(BAD),
         )
         .withColumn(OUTCOME, F.when(F.col(REASON).isNull(), GOOD).otherwise(BAD))
-        .withColumn("dt", F.col("repdte"))
+        .withColumn("dt", F.when(is_day, F.col("repdte")))
     )
     write_partitions(rows, path, [OUTCOME, "dt"], cluster_by=cluster_by, replace_all=True)
     return counts.get
@@ -120,15 +125,19 @@ def clean_branches(lake: Lake) -> dict[str, int]:
     return _clean(lake, ["sod"], "branch_deposits", project_branches, BRANCH_KEY, "depsumbr")
 
 
-def clean_institutions(lake: Lake) -> None:
+def clean_institutions(lake: Lake) -> dict[str, int]:
     snapshots = read_projected(lake.spark, lake.raw("institutions"), project_snapshots)
     if snapshots is None:
         raise RuntimeError("no raw institutions partitions to clean")
-    history = build_history(snapshots)
-    history.write.mode("overwrite").parquet(lake.conformed("institution_history"))
-    keyless_snapshots(snapshots).write.mode("overwrite").parquet(
-        lake.conformed("institution_rejects")
-    )
+    outputs = {
+        GOOD: (build_history(snapshots), lake.conformed("institution_history")),
+        BAD: (keyless_snapshots(snapshots), lake.conformed("institution_rejects")),
+    }
+    counts = {}
+    for outcome, (rows, path) in outputs.items():
+        rows.write.mode("overwrite").parquet(path)
+        counts[outcome] = lake.spark.read.parquet(path).count()  # from the file footers
+    return counts
 
 
 def load(lake: Lake) -> None:
@@ -196,8 +205,11 @@ def refresh(
     each stage replaces what it writes."""
     prepare(lake.spark)
     require_raw(lake.spark, lake.root)
-    clean_institutions(lake)
-    counts = {"financials": clean_financials(lake), "branch_deposits": clean_branches(lake)}
+    counts = {
+        "institutions": clean_institutions(lake),
+        "financials": clean_financials(lake),
+        "branch_deposits": clean_branches(lake),
+    }
     load(lake)
     build_models(lake.warehouse)
     gate(lake.warehouse, checks)

@@ -60,6 +60,7 @@ def lake(spark, tmp_path_factory):
     counts = refresh(lake, published_at=PUBLISHED)
     assert counts["financials"] == {"cleaned": 20, "quarantine": 3}
     assert counts["branch_deposits"] == {"cleaned": 12, "quarantine": 0}
+    assert counts["institutions"] == {"cleaned": 5, "quarantine": 0}
     return lake
 
 
