@@ -20,7 +20,8 @@ def survey_date(year: Column) -> Column:
 
 def row_hash(columns: Iterable[str]) -> Column:
     """Change fingerprint of a row; null and empty text are the same value to it."""
-    return F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), 256)
+    parts = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)
+    return F.sha2(F.concat_ws("|", *parts), 256)
 
 
 def surrogate_key(*parts: Column) -> Column:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_as_of(facts: DataFrame, versions: DataFrame, key: str, day: str, take: dict[str, str]) -> DataFrame:
+def join_as_of(
+    facts: DataFrame, versions: DataFrame, key: str, day: str, take: dict[str, str]
+) -> DataFrame:
     """Left join each fact to the version of `key` whose window holds `day`, bounds included.
 
     `take` maps version columns to output names. The equality on the key makes this a hash or

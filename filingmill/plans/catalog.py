@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import UTC, date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -542,15 +543,16 @@ def dq_rerun(i: Inputs) -> DataFrame:
     return changed.select("change", "cert", "repdte", "asset", "_batch_id", "copies")
 
 
+def _store(i: Inputs, folder: str, name: str, df: DataFrame) -> DataFrame:
+    """Write a table that is read more than once, as the refresh does, and read it back."""
+    df.write.parquet(f"{folder}/{name}")
+    return i.spark.read.parquet(f"{folder}/{name}")
+
+
 @_query
 def dq_report(i: Inputs) -> DataFrame:
     """All declared checks over stored tables, each table built once from those below it."""
-    folder = i.folder("models")
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return i.spark.read.parquet(f"{folder}/{name}")
-
+    store = partial(_store, i, i.folder("models"))
     tables = {
         "stg_institution_history": store("history", models.stage_history(i.history)),
         "stg_financials": store("financials", models.stage_financials(i.financials)),

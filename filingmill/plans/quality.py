@@ -22,9 +22,8 @@ def null_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
     """Keys held by more than one row, and by how many. A key with a null is no key."""
-    return (
-        df.groupBy(*keys).agg(F.count("*").alias(count)).filter(F.col(count) > 1).dropna(subset=list(keys))
-    )
+    whole = reduce(Column.__and__, (F.col(c).isNotNull() for c in keys))
+    return df.filter(whole).groupBy(*keys).agg(F.count("*").alias(count)).filter(F.col(count) > 1)
 
 
 def unaccepted_values(df: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
@@ -38,7 +37,8 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
     Child keys are counted before the anti-join, so a key most rows share is one row in it.
     """
-    used = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("row_count"))
+    referring = child.filter(F.col(column).isNotNull())
+    used = referring.groupBy(column).agg(F.count("*").alias("row_count"))
     known = parent.select(F.col(parent_column).alias(column))
     return used.join(known, column, "left_anti")
 
@@ -172,8 +172,9 @@ def _count_row_checks(
 
 
 def _counted(failing: DataFrame, check: str, model: str, subject: str) -> DataFrame:
+    labels = {"check": check, "model": model, "subject": subject}
     return failing.agg(F.count("*").alias("failures")).select(
-        F.lit(check).alias("check"), F.lit(model).alias("model"), F.lit(subject).alias("subject"), "failures"
+        *(F.lit(value).alias(name) for name, value in labels.items()), "failures"
     )
 
 

@@ -66,7 +66,9 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
     )
 
 
-def parse_messages(messages: DataFrame, topic: str = TOPIC, fields: dict[str, str] | None = None) -> DataFrame:
+def parse_messages(
+    messages: DataFrame, topic: str = TOPIC, fields: dict[str, str] | None = None
+) -> DataFrame:
     """Decode values and tag what cannot be landed: `bad_json` or `missing_partition`.
 
     `_payload` keeps the value as received, with the fields the declared ones leave out.
