@@ -99,8 +99,11 @@ def land_batch(
     fields: dict[str, str] | None = None,
     tasks: int = WRITE_TASKS,
 ) -> dict[str, int]:
-    """Write one micro-batch: landed rows by report date and source partition, rejects by reason.
-    Returns how many there were of each.
+    """Write one micro-batch: landed rows by report date, rejects by reason. Returns how many there
+    were of each.
+
+    A report date gets one file, in order of source partition and offset: files are what landing
+    costs, and the ranges a file covers can be read from it (`flush_manifest`).
 
     `batch` names a folder of its own, replaced when the batch runs again, so a batch that was
     written but not committed before a crash is not landed twice. A batch is bounded by the
@@ -121,13 +124,11 @@ def land_batch(
             extra={
                 "_consumed_at": F.lit(when),
                 "dt": F.col(DT_MARKER),
-                "source_partition": F.col("_kafka_partition"),
                 "batch": F.lit(batch),
             },
         )
         if counts["landed"]:
-            parts = ["dt", "source_partition", "batch"]
-            _write(landed, f"{root}/raw/{STREAM_DATASET}", parts, tasks)
+            _write(landed, f"{root}/raw/{STREAM_DATASET}", ["dt", "batch"], tasks)
         if counts["quarantined"]:
             rejects = tagged.filter(~is_good).withColumn("batch", F.lit(batch))
             _write(rejects, f"{root}/quarantine/{STREAM_DATASET}", ["_reject_reason", "batch"], tasks)
@@ -140,6 +141,7 @@ def land_batch(
 def _write(df: DataFrame, path: str, parts: list[str], tasks: int) -> None:
     (
         df.repartition(tasks, *parts)
+        .sortWithinPartitions(*parts, "_kafka_partition", "_kafka_offset")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
@@ -176,18 +178,22 @@ def start_landing(
     return stream.trigger(**trigger).start()
 
 
+def _by_source(landed: DataFrame) -> DataFrame:
+    return landed.withColumn("source_partition", F.col("_kafka_partition"))
+
+
 def landed_groups(landed: DataFrame) -> DataFrame:
     """Rows per report date and source partition."""
-    return landed.groupBy("dt", "source_partition").agg(F.count("*").alias("rows"))
+    return _by_source(landed).groupBy("dt", "source_partition").agg(F.count("*").alias("rows"))
 
 
 def flush_manifest(landed: DataFrame) -> DataFrame:
-    """Offset range, row count and range label of every landed group and batch."""
-    label = F.format_string(
-        "stream-p%d-%012d-%012d", F.col("source_partition"), F.col("first_offset"), F.col("last_offset")
-    )
+    """Offset range, row count and range label per report date, source partition and batch."""
+    offsets = F.col("first_offset"), F.col("last_offset")
+    label = F.format_string("stream-p%d-%012d-%012d", F.col("source_partition"), *offsets)
     return (
-        landed.groupBy("dt", "source_partition", "batch")
+        _by_source(landed)
+        .groupBy("dt", "source_partition", "batch")
         .agg(
             F.min("_kafka_offset").alias("first_offset"),
             F.max("_kafka_offset").alias("last_offset"),

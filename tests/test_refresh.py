@@ -97,8 +97,8 @@ def test_a_rerun_and_a_streamed_copy_change_nothing(lake, spark):
         lake.warehouse.table(name).write.parquet(path)
         before[name] = spark.read.parquet(path)
     raw = spark.read.parquet(lake.raw("financials"))
-    copies = raw.filter("CERT is not null").drop("dt").selectExpr("*", "REPDTE as dt", "0 as source_partition", "'copy' as batch")
-    write_partitions(copies, lake.raw(STREAM_DATASET), ["dt", "source_partition", "batch"])
+    copies = raw.filter("CERT is not null").drop("dt").selectExpr("*", "REPDTE as dt", "'copy' as batch")
+    write_partitions(copies, lake.raw(STREAM_DATASET), ["dt", "batch"])
     refresh(lake, published_at=PUBLISHED)
     for name in MARTS:
         assert changed_rows(before[name], lake.warehouse.table(name)).count() == 0, name
