@@ -48,13 +48,18 @@ def project_branches(raw: DataFrame) -> DataFrame:
 def project_snapshots(raw: DataFrame, snapshot_date: Column | None = None) -> DataFrame:
     """Institution snapshots: the key, the snapshot day and the tracked attributes.
 
-    The day is that of the partition (`dt`, yyyyMMdd) unless given.
+    The day is that of the partition (`dt`, yyyyMMdd) unless given. A field the files of a day lack
+    comes out null.
     """
     day = F.to_date(F.col("dt").cast("string"), "yyyyMMdd") if snapshot_date is None else snapshot_date
-    stamps = [c for c in PROVENANCE if c in raw.columns]
+
+    def text(field: str) -> Column:
+        value = F.col(field) if field in raw.columns else F.lit(None)
+        return value.cast("string")
+
     return raw.select(
         F.col("CERT").try_cast("bigint").alias("cert"),
         day.alias("snapshot_date"),
-        *(F.col(field).cast("string").alias(name) for field, name in TRACKED_FIELDS.items()),
-        *stamps,
+        *(text(field).alias(name) for field, name in TRACKED_FIELDS.items()),
+        *(text(stamp).alias(stamp) for stamp in PROVENANCE),
     )

@@ -46,7 +46,7 @@ TRACKED_FIELDS = {
 PROVENANCE = ("_ingested_at", "_batch_id")
 
 FINANCIALS_KEY = ("cert", "repdte")
-BRANCH_KEY = ("cert", "uninumbr", "repdte")
+BRANCH_KEY = ("uninumbr", "cert", "repdte")  # the most selective first: sorts compare it first
 
 LOW_WATER_MARK = "1900-01-01"
 OPEN_END = "9999-12-31"

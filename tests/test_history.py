@@ -59,6 +59,13 @@ def test_repeated_and_keyless_snapshots(spark):
     assert [(r.name, r._reject_reason) for r in lost.collect()] == [("C", "missing_key")]
 
 
+def test_days_that_lack_a_field_or_stamps_still_union(spark):
+    new = spark.createDataFrame([(1, "20250101", "A", "t", "b")], "CERT long, dt string, NAME string, _ingested_at string, _batch_id string")
+    old = spark.createDataFrame([(1, "20240101", "A")], "CERT long, dt string, NAME string")
+    both = project_snapshots(new).unionByName(project_snapshots(old))
+    assert windows(build_history(both)) == [("A", "1900-01-01", "9999-12-31", True)]
+
+
 def test_hash_joins_attributes_and_treats_null_as_empty(spark):
     row = history(spark, (1, "20250101", "A", None)).first()
     assert row._hash == hashlib.sha256(b"A||VA|N|OCC|").hexdigest()
