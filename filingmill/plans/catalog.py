@@ -55,7 +55,7 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-# ---- sources, sinks, table input and output ---------------------------------------------------
+# ---- sources, sinks, table input and output ------------------------------------------------------
 
 
 def _pages(i: Inputs, delivered: str) -> DataFrame:
@@ -204,7 +204,7 @@ def replay_messages(i: Inputs) -> DataFrame:
     return decoded.select("key", *(f"v.{f.name}" for f in fields.fields if f.name != "_corrupt"))
 
 
-# ---- projection, dedupe, quarantine ---------------------------------------------------------------
+# ---- projection, dedupe, quarantine --------------------------------------------------------------
 
 
 @_query
@@ -292,7 +292,7 @@ def restatement(i: Inputs) -> DataFrame:
     return clean_financials(i.raw_financials.unionByName(amended))[0]
 
 
-# ---- history, facts, marts --------------------------------------------------------------------------
+# ---- history, facts, marts -----------------------------------------------------------------------
 
 
 @_query
@@ -358,7 +358,7 @@ def mart_deposit_concentration(i: Inputs) -> DataFrame:
     )
 
 
-# ---- serving ------------------------------------------------------------------------------------------
+# ---- serving -------------------------------------------------------------------------------------
 
 
 def _list(i: Inputs, **arguments) -> DataFrame:
@@ -421,7 +421,7 @@ def freshness_(i: Inputs) -> DataFrame:
     return freshness(i.fact, PUBLISHED_AT)
 
 
-# ---- streaming ------------------------------------------------------------------------------------------
+# ---- streaming -----------------------------------------------------------------------------------
 
 
 def _landed(i: Inputs) -> str:
@@ -479,7 +479,7 @@ def stream_manifest(i: Inputs) -> DataFrame:
     )
 
 
-# ---- data quality: the checks on data that violates them -------------------------------------------------
+# ---- data quality: the checks on data that violates them -----------------------------------------
 
 
 @_query

@@ -9,7 +9,8 @@ _VIEWS = {
     "filed": """
         select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
                cast(o_orderdate as date) as day,
-               last_day(date_trunc('quarter', cast(o_orderdate as date)) + interval 2 month) as quarter_end,
+               last_day(date_trunc('quarter', cast(o_orderdate as date)) + interval 2 month)
+                   as quarter_end,
                c_name, c_mktsegment, n_name
         from orders
         join customer on c_custkey = o_custkey
@@ -45,7 +46,8 @@ _VIEWS = {
                cast(year(l_shipdate) as bigint) as year,
                cast(year(l_shipdate) as varchar) || '0630' as repdte,
                strftime(l_shipdate, '%Y-%m-%d') as _ingested_at,
-               lpad(cast(l_orderkey as varchar), 12, '0') || '-' || cast(l_linenumber as varchar) as _batch_id
+               lpad(cast(l_orderkey as varchar), 12, '0') || '-' || cast(l_linenumber as varchar)
+                   as _batch_id
         from lineitem join filed on o_orderkey = l_orderkey""",
     "dedup_branch": """
         select * from raw_branch
@@ -80,7 +82,8 @@ _VIEWS = {
     "run_of": """
         select *, sum(case when _hash is distinct from before then 1 else 0 end)
                       over (partition by cert order by snapshot_date) as run
-        from (select *, lag(_hash) over (partition by cert order by snapshot_date) as before from daily)""",
+        from (select *, lag(_hash) over (partition by cert order by snapshot_date) as before
+              from daily)""",
     "version": """
         select cert, run, min(snapshot_date) as first_day, min_by(name, snapshot_date) as name,
                min_by(coalesce(city, ''), snapshot_date) as city, min(state) as state,
@@ -153,8 +156,16 @@ _VIEWS = {
         from events""",
 }
 
-_FIN = "cert, repdte, name, stalp, stname, bkclass, asset, dep, eq, netinc, roa, roe, _ingested_at, _batch_id"
-_RAW = ", ".join(f'{c.strip()} as "{c.strip().upper()}"' for c in _FIN.split(",")[:12])
+_FIELDS = "cert repdte name stalp stname bkclass asset dep eq netinc roa roe".split()
+_FIN = ", ".join([*_FIELDS, "_ingested_at", "_batch_id"])
+
+
+def _raw(**changed: str) -> str:
+    """The raw fields under their own names, some of them replaced by an expression."""
+    return ", ".join(f'{changed.get(name, name)} as "{name.upper()}"' for name in _FIELDS)
+
+
+_RAW = _raw()
 _RAW_CASED = f"{_RAW}, _ingested_at, _batch_id"
 
 
@@ -196,7 +207,8 @@ _REASON = """case when cert is null or repdte is null then 'missing_key' else 'n
 
 _SQL = {
     "pages_unwrap": """
-        select o_orderkey as "ID", o_custkey as "CERT", o_totalprice as "ASSET", o_orderpriority as "NAME"
+        select o_orderkey as "ID", o_custkey as "CERT", o_totalprice as "ASSET",
+               o_orderpriority as "NAME"
         from orders""",
     "pages_complete": """
         select strftime(quarter_end, '%Y%m%d') as source, count(*) as announced,
@@ -204,7 +216,8 @@ _SQL = {
         from filed group by 1 having count(*) filter (where o_orderstatus = 'P') > 0""",
     "raw_stamp": f"""
         select {_RAW},
-               case when bkclass = 'BUILDING' then _ingested_at else '2026-01-01T00:00:00+00:00' end as _ingested_at,
+               case when bkclass = 'BUILDING' then _ingested_at else '2026-01-01T00:00:00+00:00' end
+                   as _ingested_at,
                case when bkclass = 'BUILDING' then _batch_id else 'batch-1' end as _batch_id,
                'file:/landed/' || repdte as _source_url,
                '2026-01-01T00:00:00+00:00' as _consumed_at
@@ -214,7 +227,7 @@ _SQL = {
                case when repdte >= '19980101' then stalp end as "STALP"
         from raw_fin""",
     "raw_overwrite": f"""
-        select {_RAW.replace('asset as "ASSET"', "case when repdte >= '19980101' then asset + 1 else asset end as " + '"ASSET"')},
+        select {_raw(asset="case when repdte >= '19980101' then asset + 1 else asset end")},
                _ingested_at, _batch_id
         from raw_fin""",
     "partitions": """select distinct repdte as dt from raw_fin""",
@@ -259,17 +272,17 @@ _SQL = {
     "clean_with_stream": "select * from good_fin",
     "restatement": """
         select * from (
-            select * replace (case when bkclass = 'BUILDING' then asset + 50000 else asset end as asset,
-                              case when bkclass = 'BUILDING' then '2100-01-01' else _ingested_at end as _ingested_at)
-            from (select * from raw_fin
-                  qualify row_number() over (
-                      partition by cert, repdte
-                      order by bkclass = 'BUILDING' desc,
-                               case when bkclass = 'BUILDING' then null else _ingested_at end desc nulls last,
-                               _batch_id desc) = 1))
+            select * from (
+                select * from raw_fin
+                union all
+                select * replace (asset + 50000 as asset, '2100-01-01' as _ingested_at)
+                from raw_fin where bkclass = 'BUILDING')
+            qualify row_number() over (
+                partition by cert, repdte order by _ingested_at desc, _batch_id desc) = 1)
         where cert is not null and asset >= 0""",
     "scd2_history": """
-        select * replace (cast(valid_from as varchar) as valid_from, cast(valid_to as varchar) as valid_to)
+        select * replace (cast(valid_from as varchar) as valid_from,
+                          cast(valid_to as varchar) as valid_to)
         from history""",
     "dim_institution": "select * from dim",
     "dim_date": """
@@ -281,7 +294,8 @@ _SQL = {
     "mart_latest_financials": "select * from latest",
     "mart_profitability_trends": "select * from trends",
     "mart_asset_growth": """
-        select *, rank() over (partition by repdte order by asset_growth_qoq desc nulls last) as qoq_growth_rank
+        select *, rank() over (partition by repdte order by asset_growth_qoq desc nulls last)
+                      as qoq_growth_rank
         from growth""",
     "bank_state_deposits": """
         select * replace (round(total_deposits, 2) as total_deposits) from bank_state""",
@@ -290,7 +304,8 @@ _SQL = {
     "mart_deposit_concentration": """
         select cert, state, repdte, round(total_deposits, 2) as total_deposits,
                round(deposit_share, 8) as deposit_share,
-               round(10000 * sum(deposit_share * deposit_share) over (partition by state, repdte), 4) as state_hhi
+               round(10000 * sum(deposit_share * deposit_share) over (partition by state, repdte), 4)
+                   as state_hhi
         from shares""",
     "list_institutions": "select * from institution order by cert limit 51",
     "list_institutions_filtered": """
@@ -327,7 +342,8 @@ _SQL = {
     "stream_deduped": """
         select CERT as "CERT", REPDTE as "REPDTE", ASSET as "ASSET", _ingested_at, _batch_id
         from event where marked
-        qualify row_number() over (partition by CERT, REPDTE order by _ingested_at desc, _batch_id desc) = 1""",
+        qualify row_number() over (
+            partition by CERT, REPDTE order by _ingested_at desc, _batch_id desc) = 1""",
     "stream_groups": """
         select REPDTE as dt, source_partition, count(*) as rows from event where marked group by all""",
     "stream_manifest": """
@@ -351,7 +367,8 @@ _SQL = {
         select institution_sk, count(*) as row_count from fact
         where institution_sk not in (select institution_sk from history_sk ) group by all""",
     "dq_overlap": """
-        select cert, snapshot_date as valid_from, cast(snapshot_date + interval 100 day as date) as valid_to,
+        select cert, snapshot_date as valid_from,
+               cast(snapshot_date + interval 100 day as date) as valid_to,
                cast(previous + interval 100 day as date) as prior_valid_to
         from (select cert, snapshot_date,
                      lag(snapshot_date) over (partition by cert order by snapshot_date) as previous

@@ -77,7 +77,7 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-# ---- declared checks over named tables ------------------------------------------------------------
+# ---- declared checks over named tables -----------------------------------------------------------
 
 
 @dataclass(frozen=True)

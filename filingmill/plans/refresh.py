@@ -149,8 +149,8 @@ def load(lake: Lake) -> None:
     load_table(warehouse, BRANCHES_TABLE, lake.read("branch_deposits"), BRANCHES)
 
 
-def build_models(warehouse: Warehouse) -> None:
-    """Staging views, then every model, each from the stored tables below it."""
+def stage(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The staging models as temporary views; nothing is stored for them."""
     views = {
         "stg_financials": models.stage_financials(warehouse.table(FINANCIALS_TABLE)),
         "stg_branch_deposits": models.stage_branches(warehouse.table(BRANCHES_TABLE)),
@@ -158,7 +158,12 @@ def build_models(warehouse: Warehouse) -> None:
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)
+    return views
+
 
+def build_models(warehouse: Warehouse) -> None:
+    """Every curated model, each from the stored tables below it."""
+    views = stage(warehouse)
     history, filings = views["stg_institution_history"], views["stg_financials"]
     warehouse.replace("dim_institution", models.dim_institution(history), sort_by=["cert"])
     warehouse.replace("dim_date", models.dim_date(filings))
@@ -183,12 +188,9 @@ def build_models(warehouse: Warehouse) -> None:
 
 
 def checked_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    spark = warehouse.spark
-    staged = ("stg_financials", "stg_branch_deposits", "stg_institution_history")
-    stored = {check.model for check in GATE_CHECKS} - set(staged)
-    return {name: spark.table(name) for name in staged} | {
-        name: warehouse.table(name) for name in stored
-    }
+    views = stage(warehouse)
+    stored = {check.model for check in GATE_CHECKS} - views.keys()
+    return views | {name: warehouse.table(name) for name in stored}
 
 
 def gate(warehouse: Warehouse, checks: Sequence[Check] = GATE_CHECKS) -> None:

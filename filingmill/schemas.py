@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# ---- fixed values: raw field -> Spark type (the cleaned name is the lower-cased field) --------
+# ---- fixed values: raw field -> Spark type (the cleaned name is the lower-cased field) -----------
 
 FINANCIALS_FIELDS = {
     "CERT": "bigint",
@@ -56,7 +56,7 @@ UNKNOWN_NAME = "Unknown Institution"
 REQUIRED_RAW = ("institutions", "financials", "sod")
 BACKFILL_WINDOW = ("20230331", "20251231")
 
-# ---- fixed values: accepted codes ------------------------------------------------------------
+# ---- fixed values: accepted codes ----------------------------------------------------------------
 
 BANK_CLASSES = ("NM", "SM", "N", "SI", "SB", "NC", "SL", "OI")
 
@@ -65,7 +65,7 @@ STATE_CODES = tuple(
     "NC ND NE NH NJ NM NV NY OH OK OR PA PR RI SC SD TN TX UT VA VI VT WA WI WV WY".split()
 )
 
-# ---- fixed values: fields the branch survey is known to carry, by kind -------------------------
+# ---- fixed values: fields the branch survey is known to carry, by kind ---------------------------
 
 BRANCH_TEXT_FIELDS = tuple(
     "ADDRESBR ADDRESS BKCLASS BRCENM CALL CBSA_DIV_NAMB CHARTER CHRTAGNN CHRTAGNT CITY CITY2BR "
@@ -84,7 +84,7 @@ BRANCH_DICTIONARY = dict.fromkeys(BRANCH_TEXT_FIELDS, "string") | dict.fromkeys(
     BRANCH_NUMBER_FIELDS, "number"
 )
 
-# ---- fixed values: rankable metric -> (mart, column) ------------------------------------------
+# ---- fixed values: rankable metric -> (mart, column) ---------------------------------------------
 
 METRICS = {
     "roa": ("mart_profitability_trends", "roa"),
@@ -96,7 +96,7 @@ METRICS = {
     "asset_growth_yoy": ("mart_asset_growth", "asset_growth_yoy"),
 }
 
-# ---- declared tables ---------------------------------------------------------------------------
+# ---- declared tables -----------------------------------------------------------------------------
 
 
 TYPES = {
@@ -150,7 +150,7 @@ HEALTH = columns_of(
     "detail string"
 )
 
-# ---- the message topic: columns as the Kafka source names them ------------------------------------
+# ---- the message topic: columns as the Kafka source names them -----------------------------------
 
 TOPIC = "filing.received"
 DT_MARKER = "_repdte_partition"

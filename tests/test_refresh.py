@@ -132,7 +132,7 @@ def test_ensured_tables_are_created_once(lake):
     assert (row.status, row.detail) == ("degraded", "No freshness metric published yet.")
 
 
-# ---- reads ------------------------------------------------------------------------------------------
+# ---- reads ---------------------------------------------------------------------------------------
 
 
 def test_list_pages_and_filters(lake):
