@@ -11,7 +11,10 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+)
 
 
 def connect(folder):
@@ -72,11 +75,11 @@ def main():
         try:
             df = query(spark, folder)
             wrong = difference(con, df, sql[name]) if name in sql else "no SQL"
-            rows = ""
         except Exception as error:  # noqa: BLE001 - report and go on to the next query
             wrong = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += wrong is not None
-        print(f"{'ok ' if wrong is None else 'BAD'} {time.time() - start:6.2f}s {name} {wrong or rows}", flush=True)
+        mark = "ok " if wrong is None else "BAD"
+        print(f"{mark} {time.time() - start:6.2f}s {name} {wrong or ''}", flush=True)
     print(f"{bad} differ; SQL without query: {sorted(set(sql) - set(entry.queries()))}")
     spark.stop()
 

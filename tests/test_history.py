@@ -60,7 +60,8 @@ def test_repeated_and_keyless_snapshots(spark):
 
 
 def test_days_that_lack_a_field_or_stamps_still_union(spark):
-    new = spark.createDataFrame([(1, "20250101", "A", "t", "b")], "CERT long, dt string, NAME string, _ingested_at string, _batch_id string")
+    stamped = "CERT long, dt string, NAME string, _ingested_at string, _batch_id string"
+    new = spark.createDataFrame([(1, "20250101", "A", "t", "b")], stamped)
     old = spark.createDataFrame([(1, "20240101", "A")], "CERT long, dt string, NAME string")
     both = project_snapshots(new).unionByName(project_snapshots(old))
     assert windows(build_history(both)) == [("A", "1900-01-01", "9999-12-31", True)]

@@ -13,10 +13,15 @@ DAY = [dt.date(2024, 1, n) for n in range(1, 29)]
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    child = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (2, None, "y"), (None, "c", None)], "k int, ref string, code string")
+    child = spark.createDataFrame(
+        [(1, "a", "x"), (1, "b", "x"), (2, None, "y"), (None, "c", None)],
+        "k int, ref string, code string",
+    )
     parent = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
-    span = spark.createDataFrame([(1, DAY[0], DAY[9]), (1, DAY[8], DAY[20]), (2, DAY[0], DAY[5])], "cert long, valid_from date, valid_to date")
-    good = spark.createDataFrame([(1, DAY[0], DAY[5]), (1, DAY[6], DAY[9])], "cert long, valid_from date, valid_to date")
+    window = "cert long, valid_from date, valid_to date"
+    crossing = [(1, DAY[0], DAY[9]), (1, DAY[8], DAY[20]), (2, DAY[0], DAY[5])]
+    span = spark.createDataFrame(crossing, window)
+    good = spark.createDataFrame([(1, DAY[0], DAY[5]), (1, DAY[6], DAY[9])], window)
     return {"child": child, "parent": parent, "span": span, "good": good}
 
 
@@ -50,11 +55,16 @@ def test_row_checks_of_a_table_share_one_pass(tables):
 
 
 def test_offenders_are_returned(tables):
-    assert [r.ref for r in quality.null_rows(tables["child"], ["k"]).collect()] == ["c"]
-    assert [(r.k, r.row_count) for r in quality.repeated_keys(tables["child"], ["k"]).collect()] == [(1, 2)]
-    assert [(r.code, r.row_count) for r in quality.unaccepted_values(tables["child"], "code", ["x"]).collect()] == [("y", 1)]
-    orphans = quality.orphan_keys(tables["child"], "ref", tables["parent"], "id").collect()
-    assert [(r.ref, r.row_count) for r in orphans] == [("c", 1)]
+    child = tables["child"]
+    assert [r.ref for r in quality.null_rows(child, ["k"]).collect()] == ["c"]
+    counted = {
+        "repeated": quality.repeated_keys(child, ["k"]),
+        "unaccepted": quality.unaccepted_values(child, "code", ["x"]),
+        "orphans": quality.orphan_keys(child, "ref", tables["parent"], "id"),
+    }
+    assert {name: [tuple(r) for r in df.collect()] for name, df in counted.items()} == {
+        "repeated": [(1, 2)], "unaccepted": [("y", 1)], "orphans": [("c", 1)],
+    }
 
 
 def test_changed_rows_count_duplicates(spark):

@@ -52,9 +52,11 @@ def test_a_records_own_provenance_stays(spark):
     records = spark.createDataFrame(
         [(1, "t0", None), (2, None, "old")], "CERT long, _ingested_at string, _batch_id string"
     )
-    out = landing.stamp_raw(records, source_url="u", batch_id="new", ingested_at=dt.datetime(2026, 1, 1, tzinfo=dt.UTC))
-    now = "2026-01-01T00:00:00+00:00"
-    assert [tuple(r) for r in out.orderBy("CERT").collect()] == [(1, "t0", "new", "u"), (2, now, "old", "u")]
+    when = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
+    out = landing.stamp_raw(records, source_url="u", batch_id="new", ingested_at=when)
+    assert [tuple(r) for r in out.orderBy("CERT").collect()] == [
+        (1, "t0", "new", "u"), (2, when.isoformat(), "old", "u"),
+    ]
 
 
 def test_one_batch_id_per_write(spark):
@@ -111,8 +113,9 @@ def test_period_selection(spark):
 def test_periods_whose_types_disagree_are_read_together(spark, tmp_path):
     path = str(tmp_path / "financials")
     kinds = {"20240331": "int", "20240630": "string", "20240930": "bigint", "20241231": "int"}
+    schema = "CERT int, REPDTE string, _ingested_at string, _batch_id string"
     for day, kind in kinds.items():
-        frame = spark.createDataFrame([(7, day, "t", "b")], "CERT int, REPDTE string, _ingested_at string, _batch_id string")
+        frame = spark.createDataFrame([(7, day, "t", "b")], schema)
         frame.withColumn("CERT", frame.CERT.cast(kind)).write.parquet(f"{path}/dt={day}")
     out = read_projected(spark, path, project_financials).drop(BAD_CAST)
     assert sorted((r.cert, r.repdte) for r in out.collect()) == [(7, day) for day in kinds]
@@ -145,12 +148,20 @@ def test_schema_drift(spark):
 
 def test_messages_are_keyed_and_carry_their_partition(spark):
     raw = spark.createDataFrame(
-        [(10042, 5.0, "t0", "b2", "20230331"), (7, 1.0, "t0", "b1", "20230331"), (None, 1.0, "t", "b", "20230331"), (8, 1.0, "t", "b", "20230630")],
+        [
+            (10042, 5.0, "t0", "b2", "20230331"),
+            (7, 1.0, "t0", "b1", "20230331"),
+            (None, 1.0, "t", "b", "20230331"),
+            (8, 1.0, "t", "b", "20230630"),
+        ],
         "CERT long, ASSET double, _ingested_at string, _batch_id string, dt string",
     )
     out = {r.key: json.loads(r.value) for r in messages.replay_partition(raw, "20230331").collect()}
     assert set(out) == {"10042", "7"}
-    assert out["10042"] == {"CERT": 10042, "ASSET": 5.0, "_ingested_at": "t0", "_batch_id": "b2", "_repdte_partition": "20230331"}
+    assert out["10042"] == {
+        "CERT": 10042, "ASSET": 5.0, "_ingested_at": "t0", "_batch_id": "b2",
+        "_repdte_partition": "20230331",
+    }
     limited = messages.replay_partition(raw.filter("CERT is not null"), "20230331", limit=1)
     assert [r.key for r in limited.collect()] == ["7"]
     assert messages.keyless_filings(raw).count() == 1

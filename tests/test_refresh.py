@@ -17,9 +17,18 @@ from filingmill.streaming.landing import STREAM_DATASET, file_messages, start_la
 
 PUBLISHED = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
 QUARTERS = ["20240331", "20240630", "20240930", "20241231"]
-INSTITUTION = "CERT long, NAME string, CITY string, STALP string, BKCLASS string, REGAGNT string, NAMEHCR string, dt string"
-FILING = "CERT long, REPDTE string, NAME string, STALP string, STNAME string, BKCLASS string, ASSET double, DEP double, EQ double, NETINC double, ROA double, ROE double"
-BRANCH = "CERT long, UNINUMBR long, NAMEFULL string, CITYBR string, STALPBR string, STNAMEBR string, DEPSUMBR double, ASSET double, YEAR long"
+INSTITUTION = (
+    "CERT long, NAME string, CITY string, STALP string, BKCLASS string, REGAGNT string, "
+    "NAMEHCR string, dt string"
+)
+FILING = (
+    "CERT long, REPDTE string, NAME string, STALP string, STNAME string, BKCLASS string, "
+    "ASSET double, DEP double, EQ double, NETINC double, ROA double, ROE double"
+)
+BRANCH = (
+    "CERT long, UNINUMBR long, NAMEFULL string, CITYBR string, STALPBR string, "
+    "STNAMEBR string, DEPSUMBR double, ASSET double, YEAR long"
+)
 STATES = {1: "VA", 2: "VA", 3: "TX", 4: "TX"}
 MARTS = [
     "dim_institution", "dim_date", "fct_bank_quarterly_financials", "mart_latest_financials",
@@ -109,7 +118,8 @@ def test_publication_is_blocked_by_a_failing_check(spark, tmp_path):
     fill(spark, lake.root, {**STATES, 6: "ZZ"})
     with pytest.raises(ChecksFailedError) as blocked:
         refresh(lake, published_at=PUBLISHED)
-    assert [(r.check, r.subject, r.failures) for r in blocked.value.failures] == [("accepted_values", "state", 1)]
+    failures = [(r.check, r.subject, r.failures) for r in blocked.value.failures]
+    assert failures == [("accepted_values", "state", 1)]
     assert not lake.warehouse.exists(FRESHNESS_TABLE)
     assert Reads(lake.warehouse).health().status == "degraded"
 
@@ -212,8 +222,10 @@ def test_a_landed_stream_joins_the_next_refresh(lake, spark, tmp_path):
 def test_the_refresh_command(spark, tmp_path):
     root = str(tmp_path / "lake")
     fill(spark, root)
-    main(["refresh", "--root", root, "--warehouse", str(tmp_path / "tables"), "--database", "by_command", "--buckets", "2"])
-    assert Reads(Warehouse(spark, "by_command", str(tmp_path / "tables"))).health().status == "ok"
+    tables = str(tmp_path / "tables")
+    where = ["--root", root, "--warehouse", tables, "--database", "by_command"]
+    main(["refresh", *where, "--buckets", "2"])
+    assert Reads(Warehouse(spark, "by_command", tables)).health().status == "ok"
 
 
 def test_commands_refuse_missing_arguments():

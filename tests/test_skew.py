@@ -57,7 +57,9 @@ def test_checks_count_a_hot_key_before_the_shuffle(spark, traffic):
 
 def test_latest_report_moves_one_row_per_institution_and_task(spark, traffic):
     facts = spark.range(0, ROWS, 1, 4).select(
-        F.lit(1).alias("cert"), F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("repdte"), F.col("id").cast("double").alias("asset")
+        F.lit(1).alias("cert"),
+        F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("repdte"),
+        F.col("id").cast("double").alias("asset"),
     )
     row = latest_financials(facts).first()
     assert (row.latest_repdte, row.latest_asset) == (DAY + dt.timedelta(days=ROWS - 1), ROWS - 1.0)
