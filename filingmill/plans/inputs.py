@@ -1,4 +1,8 @@
-"""Filing records derived from the supplied tables, with the defects the jobs must handle."""
+"""Filing records derived from the supplied tables, with the defects the jobs must handle.
+
+Every row of the tables becomes a record. The conditions on remainders below plant defects: missing
+keys, negative values, unlisted customers, unmarked messages.
+"""
 
 from __future__ import annotations
 
@@ -76,7 +80,8 @@ class Inputs:
 
     @cached_property
     def raw_institutions(self) -> DataFrame:
-        """A snapshot per order, on its quarter end; some customers are never listed."""
+        """A snapshot per order, on its quarter end. Some customers are never listed, so that their
+        filings must fall to the unknown member."""
         none = F.lit(None).cast("string")
         return self._orders.filter(F.col("o_custkey") % 13 != 0).select(
             F.col("o_custkey").alias("CERT"),

@@ -10,6 +10,7 @@ from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.marts import bank_state_deposits, deposit_concentration, latest_financials
 from filingmill.operators.ranking import rank_descending
 from filingmill.plans.quality import orphan_keys, repeated_keys
+from filingmill.sources.landing import write_partitions
 
 ROWS = 20_000
 DAY = dt.date(2024, 6, 30)
@@ -94,29 +95,57 @@ def test_rank_where_most_rows_share_a_value(spark):
     assert above == ROWS
 
 
-def test_hot_rows_of_the_rank_join_are_split(spark):
-    """With the thresholds scaled down to this data, adaptive execution splits the hot value."""
+@pytest.fixture
+def scaled_down(spark):
+    """Adaptive thresholds small enough for this data to count as large."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.shuffle.partitions": "16",
     }
     before = {key: spark.conf.get(key, None) for key in conf}
-    try:
-        for key, value in conf.items():
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
             spark.conf.set(key, value)
-        rows = spark.range(0, ROWS * 5, 1, 4).select(
-            F.col("id"),
-            F.lit(DAY).alias("day"),
-            F.when(F.col("id") % 3 != 0, F.lit(0.0)).otherwise(F.rand(1)).alias("v"),
-        )
-        ranked = rank_descending(rows, ["day"], "v", "rank")
-        assert len(ranked.select("id", "rank").collect()) == ROWS * 5
-        df = rank_descending(rows, ["day"], "v", "rank")
-        df.collect()
-        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_rows_of_the_rank_join_are_split(scaled_down):
+    rows = scaled_down.range(0, ROWS * 5, 1, 4).select(
+        F.col("id"),
+        F.lit(DAY).alias("day"),
+        F.when(F.col("id") % 3 != 0, F.lit(0.0)).otherwise(F.rand(1)).alias("v"),
+    )
+    ranked = rank_descending(rows, ["day"], "v", "rank")
+    assert len(ranked.collect()) == ROWS * 5
+    assert "skew=true" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deposits_of_a_hot_state_are_split(scaled_down):
+    branches = scaled_down.range(0, ROWS * 2, 1, 4).select(
+        F.col("id").alias("cert"),
+        F.when(F.col("id") % 10 == 0, (F.col("id") % 40).cast("string")).otherwise("VA").alias("stalpbr"),
+        F.lit(DAY).alias("repdte"),
+        F.rand(2).alias("depsumbr"),
+    )
+    shares = deposit_concentration(branches)
+    assert len(shares.collect()) == ROWS * 2
+    assert "skew=true" in shares._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_partition_is_written_as_several_files(scaled_down, tmp_path):
+    rows = scaled_down.range(0, ROWS * 5, 1, 8).select(
+        F.col("id"),
+        F.when(F.col("id") % 10 != 0, "20240630").otherwise("20240331").alias("dt"),
+        F.rand(3).alias("v"),
+    )
+    write_partitions(rows, str(tmp_path / "d"), cluster_by=["id"])
+    assert len(list((tmp_path / "d" / "dt=20240630").glob("*.parquet"))) >= 4
+    assert scaled_down.read.parquet(str(tmp_path / "d")).count() == ROWS * 5
