@@ -1,0 +1,69 @@
+"""BPE against the tokenizers library, which shares no code with it."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from filingmill.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = "aab cde'sSTİΣσςé́ñ \t\x1c\x85​12³½ⅷ日本ไทย😀\n\r!?__-🇩🇪ﬁÅ﻿\x00"
+texts = st.text(st.one_of(st.sampled_from(ODD), st.characters(exclude_categories=["Cs", "Cn"])), max_size=60)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def own():
+    return bpe.load(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(texts, max_size=4), st.integers(0, 3))
+def test_equals_the_library(own, library, some, special):
+    some = [*some, "<|endoftext|>".join(some[:special]), "", " "]
+    for text, ids, (n, id_text, decoded) in zip(some, own.encode(some), own.both(some)):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids == expected
+        assert (n, id_text) == (len(expected), " ".join(map(str, expected)))
+        assert decoded == own.decode(ids) == library.decode(expected, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("size", [5, 21, 63, 64, 65, 5000])
+def test_long_words(own, library, size):
+    words = ["thenand" * size, "é" * size, "zq" * size]
+    for word, ids in zip(words, own.encode(words)):
+        assert ids == library.encode(word, add_special_tokens=False).ids
+
+
+def test_fragments_are_cut_only_where_no_token_reaches(own):
+    _, cuts, starts = own.fragments(["theé日本", "qzxjw"])
+    assert set(starts) < set(cuts)  # some are forced
+    for token in own.tokens.values():
+        body = token.removesuffix("</w>")
+        if body.isascii() and body.isalpha() and body != token:
+            _, cuts, _ = own.fragments([body])
+            assert list(cuts) == [0], token
+
+
+def test_queries_columns(spark, own, library):
+    rows = [(1, "The cat"), (2, None), (3, ""), (3, ""), (4, "x" * 300_000), (None, "a")]
+    docs = spark.createDataFrame([(i, t, 9, "z") for i, t in rows], "doc_id long, text string, n_tokens int, key string")
+    found = sorted(bpe.digests(docs, PATH).collect(), key=str)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (i, len(ids), sha(" ".join(map(str, ids))), sha(decoded)) in [tuple(r) for r in found]
+    assert len(found) == len(rows)
+    encoded = bpe.encode(docs, PATH)
+    back = {r.doc_id: r.text for r in bpe.decode(encoded, PATH).collect()}
+    assert back[1] == "the</w> cat</w>" and back[2] == back[3] == ""
+    assert bpe.digests(docs.limit(0), PATH).count() == 0
