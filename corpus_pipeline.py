@@ -5,17 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from filingmill.llm import bpe
+from filingmill.llm import bpe, langid, pii
 from filingmill.llm.common import stored, table
 from filingmill.llm.queries import WORD_VOCABULARY
 
 
+MIN_SHARE = 0.4  # of a text's letters in its main language; below, it is a jumble
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: texts without letters, and those without a main language, go; the others get the
+    language found where they had none."""
+    model = langid.train(docs.filter(~langid.held_out()))
+    return langid.keep_identified(docs, model, MIN_SHARE)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """PII: personal data is replaced by its kind."""
+    return pii.redacted(docs, pii.train(docs))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding: every document's number of tokens and the digests of both."""
     return bpe.digests(docs, public_tokenizers.path(WORD_VOCABULARY))
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [("language", language), ("personal_data", personal_data), ("tokens", tokens)]
 
 ORACLE_SQL = None
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from filingmill.session import new_folder
 
-LETTERS = r"\p{L}"
+_shipped: set[str] = set()
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -22,6 +25,20 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once per application, where they do not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="filingmill-code-")) / "filingmill_code.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def text_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key and the text, the text as a string that is never null. Whatever else the table
     holds, also columns named like the results, does not travel."""
@@ -38,6 +55,7 @@ def map_texts(
     `start` runs once per task, so that tables are built and caches kept per task. A batch is cut
     into parts of bounded text size first; one text is never cut.
     """
+    ship(rows.sparkSession)
     out = rows.sparkSession.createDataFrame([], schema).schema
     target = _arrow_schema(out)
 
@@ -53,6 +71,36 @@ def map_texts(
     return rows.mapInArrow(run, out)
 
 
+def rewrite(
+    docs: DataFrame, start: Callable[[], Callable[[list[str]], tuple[list[bool] | None, dict[str, list]]]], text: str = "text"
+) -> DataFrame:
+    """The rows with some columns replaced and some rows left out, in place: nothing is joined back, so
+    rows without a key and rows that share one are no special case.
+
+    A function of the texts (null: empty) returns which rows stay, None for all, and the values of the
+    columns it replaces; columns that the table lacks are ignored."""
+    ship(docs.sparkSession)
+    target = _arrow_schema(docs.schema)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            rows = range(batch.num_rows)
+            texts = [t or "" for t in batch.column(names.index(text)).to_pylist()]
+            for some, values in parts(list(rows), texts):
+                keep, replaced = work(values)
+                part = batch.slice(some[0], len(some))
+                columns = [
+                    pa.array(replaced[f.name], f.type) if f.name in replaced else part.column(i)
+                    for i, f in enumerate(target)
+                ]
+                part = pa.RecordBatch.from_arrays(columns, schema=target)
+                yield part if keep is None else part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _arrow_schema(schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
