@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from filingmill.llm import bpe, langid, pii
+from filingmill.llm import bpe, decontaminate, langid, pii
 from filingmill.llm.common import stored, table
 from filingmill.llm.queries import WORD_VOCABULARY
 
@@ -20,6 +20,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, model, MIN_SHARE)
 
 
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: passages of the benchmark are cut out of the texts."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII: personal data is replaced by its kind."""
     return pii.redacted(docs, pii.train(docs))
@@ -30,7 +35,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(WORD_VOCABULARY))
 
 
-STAGES = [("language", language), ("personal_data", personal_data), ("tokens", tokens)]
+STAGES = [("language", language), ("benchmark_free", benchmark_free), ("personal_data", personal_data), ("tokens", tokens)]
 
 ORACLE_SQL = None
 

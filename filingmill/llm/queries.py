@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, langid, pii
+from filingmill.llm import bpe, counts, decontaminate, langid, pii
 from filingmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,8 +50,21 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts)}
+    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
