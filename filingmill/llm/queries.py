@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, langid, pii
+from filingmill.llm import bpe, counts, decontaminate, langid, oracle, pii, urls
 from filingmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,9 +69,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label with its id."""
+    judged = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate)}
+    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
