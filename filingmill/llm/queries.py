@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, langid, oracle, pii, urls
+from filingmill.llm import bpe, counts, decontaminate, langid, oracle, pii, urls, warc
 from filingmill.llm.common import table
+from filingmill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(warc.records(table(spark, sf_dir, "pages")), folder)
+    found = warc.followed(warc.read(spark, folder, payload=False))
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label with its id."""
     judged = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
@@ -76,7 +84,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op10_url_filter)}
+    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
