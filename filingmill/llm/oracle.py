@@ -53,3 +53,15 @@ select s.page_id, s.host, s.path, f.rule,
   coalesce(f.verdict, case when p3.mean - 1.645 * sqrt(p3.mean * (1 - p3.mean) / (p3.size + 1)) > 0.25 then 'block' else 'allow' end) verdict
 from split s left join p3 using (host) left join fits f using (page_id)
 """
+
+SQL["op9_nearest"] = """
+with usable as (
+  select vec_id, embedding::double[] v from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (
+  select q.vec_id query_id, c.vec_id, list_dot_product(q.v, c.v) score
+  from usable q join usable c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+ranked as (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, langid, oracle, pii, urls, warc
+from filingmill.llm import bpe, counts, decontaminate, langid, nearest, oracle, pii, urls, warc
 from filingmill.llm.common import table
 from filingmill.session import new_folder
 
@@ -77,6 +77,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label with its id."""
     judged = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
@@ -84,7 +88,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op10_url_filter)}
+    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
