@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, langid, nearest, oracle, pii, urls, warc
+from filingmill.llm import bpe, counts, decontaminate, langid, nearest, oracle, pages, pii, urls, warc
 from filingmill.llm.common import table
 from filingmill.session import new_folder
 
@@ -32,6 +32,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.train(docs))
@@ -88,7 +93,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
+    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
