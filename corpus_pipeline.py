@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from filingmill.llm import bpe, decontaminate, langid, pii
+from filingmill.llm import bpe, decontaminate, jaccard, langid, pii
 from filingmill.llm.common import stored, table
 from filingmill.llm.queries import WORD_VOCABULARY
 
@@ -20,6 +20,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, model, MIN_SHARE)
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of documents linked by five-word shingles and a similarity of 0.8 or more,
+    directly or through others, the one with the smallest doc_id stays."""
+    return jaccard.first_of_groups(docs, words=5, percent=80)
+
+
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: passages of the benchmark are cut out of the texts."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -35,7 +41,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(WORD_VOCABULARY))
 
 
-STAGES = [("language", language), ("benchmark_free", benchmark_free), ("personal_data", personal_data), ("tokens", tokens)]
+STAGES = [
+    ("language", language),
+    ("deduplicated", deduplicated),
+    ("benchmark_free", benchmark_free),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
 
 ORACLE_SQL = None
 

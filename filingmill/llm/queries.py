@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, langid, nearest, oracle, pages, pii, urls, warc
+from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, urls, warc
 from filingmill.llm.common import table
 from filingmill.session import new_folder
 
@@ -62,6 +62,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_join(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -93,7 +97,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
+    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op6_jaccard_join, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
