@@ -22,9 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 
 from filingmill.llm.bpe import byte_chars
-from filingmill.llm.common import Memo, map_texts, text_rows
+from filingmill.llm.common import Memo, map_texts, parts, text_rows
 
-CACHED = 250_000
+CACHED = 100_000
+CACHED_PAIRS = 600_000
+SHIFT = 1 << 20  # more than there are tokens
+CACHED_CHUNKS = 600_000
+BATCH_CHARS = 4_000_000
 NEVER = 1 << 60
 LIMIT = 1024
 
@@ -45,25 +49,27 @@ class PrefixCounts:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        self.chars = byte_chars()
+        self.chars = dict(enumerate(byte_chars()))
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(content["model"]["merges"])}
         self.special = [t["content"] for t in content["added_tokens"]]
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self._learn_spines(content["model"]["merges"])
-        self.longest = max(map(len, self.tokens))
-        self.follows = Memo(self._follows, CACHED)
+        self.names = list(self.tokens)
+        longest = max(map(len, self.tokens))
+        self.sizes = (3, 2, 4, 5, 1, *range(6, longest + 1))  # common ones first
+        self.follows = Memo(self._follows, CACHED_PAIRS)
         self.counts = Memo(self._counts, CACHED)
-        self.chunk_counts = Memo(self._chunk_count, CACHED)
+        self.chunk_counts: dict[str, int] = {}  # of chunks after a space
 
     def _learn_spines(self, merges: list[list[str]]) -> None:
         """Of each token, the pieces that ever stand at its left and right end while it is merged, each
         with the rank of the merge that takes it up."""
-        self.left = {c: ((c, NEVER),) for c in self.chars}
+        self.left = {c: ((c, NEVER),) for c in self.chars.values()}
         self.right = dict(self.left)
-        self.tokens = set(self.chars)
+        self.tokens = {c: i for i, c in enumerate(self.chars.values())}
         for rank, (a, b) in enumerate(merges):
             if a in self.tokens and b in self.tokens and self._crossing(a, b) in (None, (a, b)):
-                self.tokens.add(a + b)  # else its own bytes are encoded to something else
+                self.tokens.setdefault(a + b, len(self.tokens))  # else its own bytes are encoded to something else
                 self.left[a + b] = ((a + b, NEVER), (a, rank), *self.left[a][1:])
                 self.right[a + b] = ((a + b, NEVER), (b, rank), *self.right[b][1:])
 
@@ -78,39 +84,77 @@ class PrefixCounts:
         ]
         return min(found)[1] if found else None
 
-    def _follows(self, pair: tuple[str, str]) -> bool:
-        return self._crossing(*pair) is None
-
-    def _counts(self, word: str) -> list[int]:
-        """The count of every prefix of the word in bytes, from the empty one to the whole."""
-        symbols = "".join([self.chars[b] for b in word.encode()])
-        last, counts = [""], [0]
-        for i in range(1, len(symbols) + 1):
-            for j in range(max(0, i - self.longest), i):  # longest first
-                token = symbols[j:i]
-                if token in self.tokens and (not j or self.follows[last[j], token]):
+    def _follows(self, pair: int) -> bool:
+        left, right = divmod(pair, SHIFT)
+        return self._crossing(self.names[left], self.names[right]) is None
+
+    def _symbols(self, word: str) -> str:
+        return word.encode().decode("latin-1").translate(self.chars)
+
+    def _extend(self, symbols: str, last: list[int], counts: list[int]) -> None:
+        """Goes on with the prefixes of the symbols that are longer than those stored."""
+        get, follows, sizes = self.tokens.get, self.follows, self.sizes
+        for i in range(len(counts), len(symbols) + 1):
+            for size in sizes:  # one token fits only, so any order finds it
+                j = i - size
+                if j < 0:
+                    continue
+                token = get(symbols[j:i])
+                if token is not None and (not j or follows[last[j] * SHIFT + token]):
                     last.append(token)
                     counts.append(counts[j] + 1)
                     break
-        return counts
 
-    def _word_count(self, word: str) -> int:
-        return self.counts[word][-1]
+    def _counts(self, word: str) -> list[int]:
+        """The count of every prefix of the word in bytes, from the empty one to the whole."""
+        last, counts = [0], [0]
+        self._extend(self._symbols(word), last, counts)
+        return counts
 
-    def _chunk_count(self, chunk: str) -> int:
-        return sum(map(self._word_count, self.WORDS.findall(chunk)))
+    def word_counts(self, words: set[str]) -> dict[str, int]:
+        """The count of each word. In order, neighbours share the prefixes they have in common."""
+        last, counts, before, out = [0], [0], "", {}
+        for symbols, word in sorted([(self._symbols(w), w) for w in words]):
+            shared = 0
+            for a, b in zip(symbols, before):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared + 1 :], counts[shared + 1 :]
+            self._extend(symbols, last, counts)
+            out[word], before = counts[-1], symbols
+        return out
 
-    def _plain(self, text: str) -> int:
+    def _parts(self, text: str) -> tuple[list[str], list[str]]:
+        """Words, and chunks before each of which stands a space, that together are the text."""
         if self.UNUSUAL_SPACE.search(text):
-            return sum(map(self._word_count, self.WORDS.findall(text)))
+            return self.WORDS.findall(text), []
         first, *rest = text.split(" ")
-        return sum(map(self.chunk_counts.__getitem__, [" " + c for c in rest])) + self.chunk_counts[first]
-
-    def count(self, text: str) -> int:
-        if not any(s in text for s in self.special):
-            return self._plain(text)
-        found = self.cut_special.split(text)
-        return len(found) // 2 + sum(map(self._plain, found[::2]))
+        return self.WORDS.findall(first), rest
+
+    def count(self, texts: list[str]) -> list[int]:
+        """The tokens of each text. Words that were not met lately are counted together."""
+        cut: list[tuple[int, list[str], list[str]]] = []
+        for text in texts:
+            pieces = self.cut_special.split(text) if any(s in text for s in self.special) else [text]
+            found = [self._parts(p) for p in pieces[::2]]
+            cut.append((len(pieces) // 2, [w for f in found for w in f[0]], [c for f in found for c in f[1]]))
+        words = {w for _, some, _ in cut for w in some}
+        chunks: set[str] = set()
+        for _, _, some in cut:
+            chunks.update(some)
+        new = chunks.difference(self.chunk_counts)
+        if len(self.chunk_counts) + len(new) > CACHED_CHUNKS:  # only speed depends on what is kept
+            self.chunk_counts, new = {}, chunks
+        split = {c: self.WORDS.findall(" " + c) for c in new}
+        known = self.word_counts(words.union(*split.values()))
+        for chunk, some in split.items():
+            self.chunk_counts[chunk] = sum(map(known.__getitem__, some))
+        get = self.chunk_counts.__getitem__
+        return [n + sum(map(known.__getitem__, some)) + sum(map(get, rest)) for n, some, rest in cut]
+
+    def _total(self, text: str) -> int:
+        return sum([self.counts[w][-1] for w in self.WORDS.findall(text)])
 
     def prefix_counts(self, text: str) -> list[int]:
         """The exact token count of text[:i] for every i from 0 to the text's length."""
@@ -129,7 +173,7 @@ class PrefixCounts:
         """The count of text[:end], cutting at the last special token before it."""
         found = self.cut_special.split(text[:end])
         tail = found[-1]
-        return known[end - len(tail)] + sum(map(self._word_count, self.WORDS.findall(tail)))
+        return known[end - len(tail)] + self._total(tail)
 
     def _plain_prefixes(self, text: str, out: list[int]) -> None:
         whole = out[-1]  # tokens of the words so far, as the text goes on
@@ -148,7 +192,7 @@ class PrefixCounts:
                     space_byte += len(char.encode())
                     out.append(space_base + space_counts[space_byte])  # at the end, it is one word
                 elif k <= unfinished:
-                    out.append(whole + self._chunk_count(word[:k]))  # 'l of 'll is two words
+                    out.append(whole + self._total(word[:k]))  # 'l of 'll is two words
                 else:
                     out.append(whole + counts[byte])
             whole += counts[-1]
@@ -176,7 +220,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc
         model = load(path)
 
         def work(keys, texts):
-            tokens = [model.count(t) for t in texts]
+            tokens = [n for _, some in parts(keys, texts, BATCH_CHARS) for n in model.count(some)]
             return {
                 "doc_id": keys,
                 "n_bytes": [len(t.encode()) for t in texts],

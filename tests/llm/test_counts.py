@@ -27,7 +27,7 @@ def size(library, text):
 def test_every_prefix(library, head, special, tail):
     model, text = counts.load(PATH), head + special + tail
     assert model.prefix_counts(text) == [size(library, text[:i]) for i in range(len(text) + 1)]
-    assert model.count(text) == size(library, text)
+    assert model.count([text, head, text]) == [size(library, t) for t in (text, head, text)]
 
 
 def test_budget(spark, library):
