@@ -42,13 +42,31 @@ def parse_day(text: Column, pattern: str) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_EXACT = "decimal(38,18)"  # holds every bigint and more decimals than a double tells apart
+
+
 def cast_can_fail(source: T.DataType, target: T.DataType) -> bool:
     """Whether a cast can lose a value. Text targets and widening number casts cannot."""
     if isinstance(target, T.StringType) or source == target:
         return False
-    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     if isinstance(target, T.LongType):
-        return not isinstance(source, whole)
+        return not isinstance(source, _WHOLE)
     if isinstance(target, T.DoubleType):
-        return not isinstance(source, (*whole, T.FloatType, T.DecimalType))
+        return not isinstance(source, (*_WHOLE, T.FloatType, T.DecimalType))
     return True
+
+
+def try_typed(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """The value in the target type, null if it has no such value.
+
+    A whole number may be written as 12.0, as text or as a number; 12.7 is none."""
+    if not isinstance(target, T.LongType) or isinstance(source, _WHOLE):
+        return value.try_cast(target)
+    if isinstance(source, (T.StringType, T.DecimalType)):
+        exact = value.try_cast(_EXACT)
+    elif isinstance(source, (T.DoubleType, T.FloatType)):
+        exact = value
+    else:
+        return value.try_cast(target)
+    return F.when(exact == F.floor(exact), exact.try_cast(target))

@@ -12,10 +12,17 @@ from collections.abc import Sequence
 from filingmill.plans.refresh import Lake, refresh
 from filingmill.schemas import TOPIC
 from filingmill.session import build_session
+from filingmill.sources.drift import read_partition
 from filingmill.sources.landing import dataset_path, ingest_pages
-from filingmill.sources.messages import replay_partition, send_to_kafka
+from filingmill.sources.messages import quarantine_keyless, replay_partition, send_to_kafka
 from filingmill.sources.warehouse import Warehouse
-from filingmill.streaming.landing import MAX_MESSAGES, kafka_messages, start_landing
+from filingmill.streaming.landing import (
+    FILE_MESSAGES,
+    FLUSH_MESSAGES,
+    WRITE_TASKS,
+    kafka_messages,
+    start_landing,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -41,7 +48,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
     land = commands.add_parser("land", help="land the topic in the raw layer")
     land.add_argument("--checkpoint", required=True)
-    land.add_argument("--max-messages", type=int, default=MAX_MESSAGES)
+    land.add_argument("--flush-messages", type=int, default=FLUSH_MESSAGES, help="new messages that start a batch")
+    land.add_argument("--most-messages", type=int, help="of one batch; all there are by default")
+    land.add_argument("--tasks", type=int, default=WRITE_TASKS, help="that write a batch")
+    land.add_argument("--file-messages", type=int, default=FILE_MESSAGES, help="of one file")
     land.add_argument("--forever", action="store_true", help="poll instead of draining and stopping")
 
     for command in (ingest, build, replay, land):
@@ -66,14 +76,26 @@ def main(argv: Sequence[str] | None = None) -> None:
         warehouse = Warehouse(spark, args.database, args.warehouse, args.buckets)
         logger.info("rows: %s", refresh(Lake(spark, args.root, warehouse)))
     elif args.command == "replay":
-        raw = spark.read.parquet(dataset_path(args.root, "financials"))
+        raw = read_partition(spark, dataset_path(args.root, "financials"), args.repdte)
+        if raw is None:
+            raise SystemExit(f"no raw filings of {args.repdte}")
         send_to_kafka(replay_partition(raw, args.repdte, args.limit), args.servers, args.topic)
+        logger.info("filings without a key: %s", quarantine_keyless(raw, args.repdte, args.root))
     else:
-        stream = kafka_messages(spark, args.servers, args.topic, args.max_messages)
+        stream = kafka_messages(spark, args.servers, args.topic, args.flush_messages, args.most_messages)
+        totals: dict[str, int] = {}
         query = start_landing(
-            stream, args.root, args.checkpoint, topic=args.topic, run_forever=args.forever
+            stream,
+            args.root,
+            args.checkpoint,
+            topic=args.topic,
+            run_forever=args.forever,
+            tasks=args.tasks,
+            file_messages=args.file_messages,
+            totals=totals,
         )
         query.awaitTermination()
+        logger.info("messages: %s", totals)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from filingmill.functions.columns import parse_day
 from filingmill.operators.dedupe import latest_per_key
-from filingmill.operators.projection import BAD_CAST, project_branches, project_financials
+from filingmill.operators.projection import BAD_CAST, BAD_VALUES, project_branches, project_financials
 from filingmill.schemas import BRANCH_KEY, FINANCIALS_KEY
 
 REASON = "_reject_reason"
@@ -43,10 +43,11 @@ def tag_rejects(
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.col(REASON).isNull()).drop(REASON, BAD_CAST)
+    return tagged.filter(F.col(REASON).isNull()).drop(REASON, BAD_CAST, BAD_VALUES)
 
 
 def rejected(tagged: DataFrame) -> DataFrame:
+    """Rejects with their reason, and with the values that did not cast as they came."""
     return tagged.filter(F.col(REASON).isNotNull()).drop(BAD_CAST)
 
 
@@ -68,13 +69,16 @@ def clean_tagged(
 ) -> DataFrame:
     """Deduplicate, then tag.
 
-    By default every row goes through the dedupe, so keyless rows that agree on the rest of the key
-    collapse to one. With `keep_all_rejects` rows without a whole key skip the dedupe: each is kept
-    and reported, and they are never shuffled into one group.
+    By default keyless rows that agree on the rest of the key collapse to one. A key whose raw value
+    did not cast is not missing: such rows skip the dedupe, so that different bad keys never collapse.
+    With `keep_all_rejects` all rows without a whole key do: each is kept and reported, and they are
+    never shuffled into one group.
     """
-    if not keep_all_rejects:
-        return tag_rejects(latest_per_key(projected, keys), keys, non_negative, text_days)
     keyless = _any([F.col(c).isNull() for c in keys])
+    if not keep_all_rejects:
+        if BAD_CAST not in projected.columns:
+            return tag_rejects(latest_per_key(projected, keys), keys, non_negative, text_days)
+        keyless = keyless & F.col(BAD_CAST).isNotNull()
     whole = latest_per_key(projected.filter(~keyless), keys)
     return tag_rejects(
         whole.unionByName(projected.filter(keyless)), keys, non_negative, text_days

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from filingmill.functions.columns import row_hash
 from filingmill.operators.dedupe import latest_per_key
+from filingmill.operators.projection import BAD_CAST, BAD_VALUES
+from filingmill.operators.quarantine import rejected, tag_rejects
 from filingmill.schemas import LOW_WATER_MARK, OPEN_END, PROVENANCE, TRACKED_FIELDS
 
+_DATED = "cert is not null and snapshot_date is not null"
+
 
 def build_history(snapshots: DataFrame, low_water_mark: str = LOW_WATER_MARK) -> DataFrame:
     """One row per run of unchanged tracked attributes, with `valid_from`/`valid_to` as ISO text.
@@ -19,12 +23,12 @@ def build_history(snapshots: DataFrame, low_water_mark: str = LOW_WATER_MARK) ->
 
     One snapshot per institution and day is kept first. That bounds an institution's rows by the
     number of snapshot days, however often one of them was delivered, before they meet in a window.
-    Snapshots without a key are left out here; `keyless_snapshots` returns them.
+    Snapshots without a key or a day are left out here; `rejected_snapshots` returns them.
     """
     attributes = list(TRACKED_FIELDS.values())
     order = [c for c in PROVENANCE if c in snapshots.columns]
     daily = latest_per_key(
-        snapshots.filter(F.col("cert").isNotNull()), ["cert", "snapshot_date"], order
+        snapshots.filter(_DATED).drop(BAD_CAST, BAD_VALUES), ["cert", "snapshot_date"], order
     ).withColumn("_hash", row_hash(attributes))
 
     by_day = Window.partitionBy("cert").orderBy("snapshot_date")
@@ -46,7 +50,8 @@ def build_history(snapshots: DataFrame, low_water_mark: str = LOW_WATER_MARK) ->
     )
 
 
-def keyless_snapshots(snapshots: DataFrame) -> DataFrame:
-    return snapshots.filter(F.col("cert").isNull()).withColumn(
-        "_reject_reason", F.lit("missing_key")
-    )
+def rejected_snapshots(snapshots: DataFrame) -> DataFrame:
+    """Snapshots that no version can be made of, with the reason: a key or a day that did not cast,
+    whose raw values are kept, or none at all."""
+    keys = ["cert", "snapshot_date"]
+    return rejected(tag_rejects(snapshots, keys))

@@ -10,20 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingmill.functions.columns import quarter_end
-from filingmill.operators import marts
+from filingmill.operators import marts, projection
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import (
     BAD_CAST,
+    BAD_VALUES,
     project_branches,
     project_financials,
 )
 from filingmill.operators.quarantine import clean_branches, clean_financials, quarantine_split
+from filingmill.operators.scd2 import rejected_snapshots
 from filingmill.plans import models, quality, serving
 from filingmill.plans.inputs import Inputs
 from filingmill.schemas import (
     BANK_CLASSES,
     BRANCH_DICTIONARY,
     BRANCH_KEY,
+    DT_MARKER,
+    FINANCIALS_FIELDS,
     FINANCIALS_KEY,
     METRICS,
     UNKNOWN_SK,
@@ -159,8 +163,8 @@ def drift_read(i: Inputs) -> DataFrame:
     spans = [("dt < '19970101'", "int"), ("dt between '19970101' and '19991231'", "bigint")]
     for span, kind in [*spans, ("dt > '19991231'", "string")]:
         typed = rows.filter(span).withColumn("CERT", F.col("CERT").cast(kind))
-        landing.write_partitions(typed, path)
-    return drift.read_projected(i.spark, path, project_financials).drop(BAD_CAST)
+        landing.write_recorded(typed, path)
+    return drift.read_projected(i.spark, path, project_financials, fields=FINANCIALS_FIELDS).drop(BAD_CAST, BAD_VALUES)
 
 
 @_query
@@ -204,17 +208,51 @@ def replay_messages(i: Inputs) -> DataFrame:
     return decoded.select("key", *(f"v.{f.name}" for f in fields.fields if f.name != "_corrupt"))
 
 
+def _mixed_keys(i: Inputs) -> str:
+    """A raw dataset whose key is a whole number before 1998 and text from then on."""
+    path = i.folder("raw")
+    rows = i.raw_financials.withColumn("dt", F.col("REPDTE"))
+    landing.write_recorded(rows.filter("dt < '19980101'"), path)
+    text = rows.filter("dt >= '19980101'").withColumn("CERT", F.col("CERT").cast("string"))
+    landing.write_recorded(text, path)
+    return path
+
+
+_REPLAYED = ("19971231", "19980331")  # one partition of either kind
+
+
+@_query
+def replay_partition(i: Inputs) -> DataFrame:
+    """Two partitions, replayed one by one and landed again: whole and text keys come out the same."""
+    path = _mixed_keys(i)
+    sent = [messages.replay_partition(drift.read_partition(i.spark, path, day), day) for day in _REPLAYED]
+    received = sent[0].unionByName(sent[1])
+    received = received.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("bigint")})
+    landed = stream.parse_messages(received).filter("_reject_reason is null")
+    return landed.select(F.col("_kafka_key").alias("key"), "CERT", "REPDTE", "ASSET", "ROA", "_batch_id", DT_MARKER)
+
+
+@_query
+def replay_quarantine(i: Inputs) -> DataFrame:
+    """The filings of two partitions that have no key to be sent by."""
+    path, root = _mixed_keys(i), i.folder("replay")
+    for day in _REPLAYED:
+        messages.quarantine_keyless(drift.read_partition(i.spark, path, day), day, root)
+    rows = i.spark.read.parquet(messages.keyless_path(root))
+    return rows.select("REPDTE", "_batch_id", "_reject_reason", F.col("dt").cast("string").alias("dt"))
+
+
 # ---- projection, dedupe, quarantine --------------------------------------------------------------
 
 
 @_query
 def project_financials_(i: Inputs) -> DataFrame:
-    return project_financials(i.raw_financials).drop(BAD_CAST)
+    return project_financials(i.raw_financials).drop(BAD_CAST, BAD_VALUES)
 
 
 @_query
 def project_branches_(i: Inputs) -> DataFrame:
-    return project_branches(i.raw_branches).drop(BAD_CAST)
+    return project_branches(i.raw_branches).drop(BAD_CAST, BAD_VALUES)
 
 
 @_query
@@ -239,27 +277,62 @@ def stg_history(i: Inputs) -> DataFrame:
 
 @_query
 def dedupe_financials(i: Inputs) -> DataFrame:
-    return latest_per_key(project_financials(i.raw_financials).drop(BAD_CAST), FINANCIALS_KEY)
+    return latest_per_key(project_financials(i.raw_financials).drop(BAD_CAST, BAD_VALUES), FINANCIALS_KEY)
 
 
 @_query
 def dedupe_branches(i: Inputs) -> DataFrame:
-    return latest_per_key(project_branches(i.raw_branches).drop(BAD_CAST), BRANCH_KEY)
+    return latest_per_key(project_branches(i.raw_branches).drop(BAD_CAST, BAD_VALUES), BRANCH_KEY)
 
 
 @_query
 def quarantine_financials(i: Inputs) -> DataFrame:
-    return clean_financials(i.raw_financials)[1]
+    return clean_financials(i.raw_financials)[1].drop(BAD_VALUES)
 
 
 @_query
 def quarantine_branches(i: Inputs) -> DataFrame:
-    return clean_branches(i.raw_branches)[1]
+    return clean_branches(i.raw_branches)[1].drop(BAD_VALUES)
 
 
 @_query
 def quarantine_all_rejects(i: Inputs) -> DataFrame:
-    return clean_financials(i.raw_financials, keep_all_rejects=True)[1]
+    return clean_financials(i.raw_financials, keep_all_rejects=True)[1].drop(BAD_VALUES)
+
+
+def _raw_with_bad_casts(i: Inputs) -> DataFrame:
+    """Keys as text: every 89th order has letters in it, every 83rd a fraction, whole ones a `.0`."""
+    key, order = F.col("CERT").cast("string"), F.col("_batch_id").cast("bigint")
+    text = F.when(order % 89 == 0, F.concat(F.lit("x"), key)).when(order % 83 == 0, F.concat(key, F.lit(".5")))
+    return i.raw_financials.withColumn("CERT", F.coalesce(text, F.concat(key, F.lit(".0"))))
+
+
+@_query
+def quarantine_bad_cast(i: Inputs) -> DataFrame:
+    """Every key that does not cast is a reject of its own, with the key as it came."""
+    rejects = clean_financials(_raw_with_bad_casts(i))[1].filter("_reject_reason = 'bad_cast'")
+    return rejects.select("repdte", "_batch_id", F.get_json_object(BAD_VALUES, "$.cert").alias("raw_cert"), "cert")
+
+
+@_query
+def clean_text_keys(i: Inputs) -> DataFrame:
+    return clean_financials(_raw_with_bad_casts(i))[0]
+
+
+@_query
+def quarantine_snapshots(i: Inputs) -> DataFrame:
+    """Snapshots with letters or a fraction in the key, without a key, and with a day that is none."""
+    order = F.col("_batch_id").cast("bigint")
+    key = F.col("CERT").cast("string")
+    raw = i.raw_institutions.withColumns(
+        {
+            "CERT": F.when(order % 89 == 0, F.concat(F.lit("x"), key)).when(order % 83 == 0, F.concat(key, F.lit(".5"))).when(order % 79 != 0, key),
+            "dt": F.when(order % 73 == 0, "20231399").when(order % 71 != 0, F.date_format("SNAPSHOT_DATE", "yyyyMMdd")),
+        }
+    )
+    found = rejected_snapshots(projection.project_snapshots(raw))
+    values = [F.get_json_object(BAD_VALUES, f"$.{c}").alias(f"raw_{c}") for c in ("cert", "snapshot_date")]
+    return found.select("_batch_id", "cert", "snapshot_date", "_reject_reason", *values)
 
 
 @_query
@@ -447,6 +520,35 @@ def stream_landed(i: Inputs) -> DataFrame:
     )
 
 
+@_query
+def stream_mixed_types(i: Inputs) -> DataFrame:
+    """Numbers as text, keys as 12.0, and every 41st key with letters in it."""
+    key, event = F.col("user_id"), F.col("event_id")
+    text = F.when(event % 41 == 0, F.concat(F.lit("x"), key)).when(event % 3 == 0, F.concat(key, F.lit(".0")))
+    day = F.date_format("ts", "yyyyMMdd")
+    payload = F.struct(
+        F.coalesce(text, key.cast("string")).alias("CERT"),
+        day.alias("REPDTE"),
+        F.col("value").cast("string").alias("ASSET"),
+        day.alias(DT_MARKER),
+    )
+    sent = i.table("events").select(
+        key.cast("string").alias("key"),
+        F.to_json(payload).alias("value"),
+        (key % 4).cast("int").alias("partition"),
+        event.alias("offset"),
+    )
+    root = i.folder("stream")
+    sent.write.json(f"{root}/topic")
+    source = stream.file_messages(i.spark, f"{root}/topic", files_per_trigger=1000)
+    stream.start_landing(source, root, f"{root}/checkpoint").awaitTermination()
+    landed = i.spark.read.parquet(f"{root}/raw/{stream.STREAM_DATASET}")
+    lost = i.spark.read.parquet(f"{root}/quarantine/{stream.STREAM_DATASET}")
+    columns = ["CERT", "REPDTE", "ASSET", "_kafka_offset"]
+    none = F.lit(None).cast("string").alias("_reject_reason")
+    return landed.select(*columns, none).unionByName(lost.select(*columns, "_reject_reason"))
+
+
 @_query
 def stream_quarantine(i: Inputs) -> DataFrame:
     rows = i.spark.read.parquet(f"{_landed(i)}/quarantine/{stream.STREAM_DATASET}")

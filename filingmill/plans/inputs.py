@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from filingmill.functions.columns import quarter_end
 from filingmill.operators.quarantine import clean_branches, clean_financials
-from filingmill.operators.projection import project_snapshots
+from filingmill.operators.projection import BAD_CAST, BAD_VALUES, project_snapshots
 from filingmill.operators.scd2 import build_history
 from filingmill.plans import models
 from filingmill.schemas import BRANCHES, DT_MARKER, FINANCIALS, HISTORY
@@ -149,7 +149,8 @@ class Inputs:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return project_snapshots(self.raw_institutions, F.col("SNAPSHOT_DATE"))
+        projected = project_snapshots(self.raw_institutions, F.col("SNAPSHOT_DATE"))
+        return projected.drop(BAD_CAST, BAD_VALUES)
 
     @cached_property
     def history_text(self) -> DataFrame:

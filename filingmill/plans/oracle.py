@@ -205,6 +205,8 @@ def _ranking(metric: str, where: str | None = None, limit: int = 51, offset: int
 
 _REASON = """case when cert is null or repdte is null then 'missing_key' else 'negative_value' end"""
 
+_REPLAYED = "'19971231', '19980331'"
+
 _SQL = {
     "pages_unwrap": """
         select o_orderkey as "ID", o_custkey as "CERT", o_totalprice as "ASSET",
@@ -244,6 +246,13 @@ _SQL = {
     "replay_messages": f"""
         select cast(cert as varchar) as key, {_RAW_CASED}, repdte as _repdte_partition
         from raw_fin where cert is not null""",
+    "replay_partition": f"""
+        select cast(cert as varchar) as key, cert as "CERT", repdte as "REPDTE", asset as "ASSET",
+               roa as "ROA", _batch_id, repdte as _repdte_partition
+        from raw_fin where cert is not null and repdte in ({_REPLAYED})""",
+    "replay_quarantine": f"""
+        select repdte as "REPDTE", _batch_id, 'missing_key' as _reject_reason, repdte as dt
+        from raw_fin where cert is null and repdte in ({_REPLAYED})""",
     "project_financials": f"select {_FIN} from raw_fin",
     "project_branches": "select * from raw_branch",
     "project_snapshots": "select * from snapshot",
@@ -258,6 +267,32 @@ _SQL = {
     "quarantine_financials": f"""
         select *, {_REASON} as _reject_reason from dedup_fin
         where cert is null or repdte is null or asset < 0""",
+    "quarantine_bad_cast": """
+        select repdte, _batch_id,
+               case when cast(_batch_id as bigint) % 89 = 0 then 'x' || cert else cert || '.5' end
+                   as raw_cert,
+               cast(null as bigint) as cert
+        from raw_fin
+        where cert is not null
+          and (cast(_batch_id as bigint) % 89 = 0 or cast(_batch_id as bigint) % 83 = 0)""",
+    "clean_text_keys": """
+        select * from raw_fin
+        where cert is not null and cast(_batch_id as bigint) % 89 <> 0
+          and cast(_batch_id as bigint) % 83 <> 0
+        qualify row_number() over (
+            partition by cert, repdte order by _ingested_at desc, _batch_id desc) = 1
+            and asset >= 0""",
+    "quarantine_snapshots": """
+        select _batch_id,
+               case when n % 89 <> 0 and n % 83 <> 0 and n % 79 <> 0 then key end as cert,
+               case when n % 73 <> 0 and n % 71 <> 0 then snapshot_date end as snapshot_date,
+               case when n % 89 = 0 or n % 83 = 0 or n % 73 = 0 then 'bad_cast' else 'missing_key' end
+                   as _reject_reason,
+               case when n % 89 = 0 then 'x' || key when n % 83 = 0 then key || '.5' end as raw_cert,
+               case when n % 73 = 0 then '20231399' end as raw_snapshot_date
+        from (select _batch_id, cast(_batch_id as bigint) as n, cert as key, snapshot_date
+              from snapshot )
+        where n % 89 = 0 or n % 83 = 0 or n % 79 = 0 or n % 73 = 0 or n % 71 = 0""",
     "quarantine_branches": """
         select *, case when cert is null or uninumbr is null or repdte is null then 'missing_key'
                        else 'negative_value' end as _reject_reason
@@ -335,6 +370,11 @@ _SQL = {
                'filing.received' as _kafka_topic, source_partition as _kafka_partition,
                first_offset as _kafka_offset
         from event where marked""",
+    "stream_mixed_types": """
+        select case when first_offset % 41 <> 0 then CERT end as "CERT", REPDTE as "REPDTE",
+               ASSET as "ASSET", first_offset as _kafka_offset,
+               case when first_offset % 41 = 0 then 'bad_cast' end as _reject_reason
+        from event""",
     "stream_quarantine": """
         select key as _kafka_key, source_partition as _kafka_partition, first_offset as _kafka_offset,
                'missing_partition' as _reject_reason

@@ -13,12 +13,13 @@ from filingmill.functions.columns import parse_day
 from filingmill.operators import marts
 from filingmill.operators.projection import (
     BAD_CAST,
+    BAD_VALUES,
     project_branches,
     project_financials,
     project_snapshots,
 )
 from filingmill.operators.quarantine import REASON, clean_tagged
-from filingmill.operators.scd2 import build_history, keyless_snapshots
+from filingmill.operators.scd2 import build_history, rejected_snapshots
 from filingmill.plans import models
 from filingmill.plans.quality import DECLARED_CHECKS, Check, NoOverlap, check_report
 from filingmill.schemas import (
@@ -72,7 +73,7 @@ class Lake:
     def read(self, dataset: str, outcome: str = GOOD) -> DataFrame:
         """Good rows or rejects of a conformed dataset. The outcome is a folder, so one is read."""
         rows = self.spark.read.parquet(self.conformed(dataset)).filter(F.col(OUTCOME) == outcome)
-        return rows.drop(OUTCOME, "dt", *([REASON, _BAD_COLUMNS] if outcome == GOOD else []))
+        return rows.drop(OUTCOME, "dt", *([REASON, _BAD_COLUMNS, BAD_VALUES] if outcome == GOOD else []))
 
 
 def _write_outcomes(tagged: DataFrame, path: str, cluster_by: Sequence[str]) -> dict[str, int]:
@@ -131,7 +132,7 @@ def clean_institutions(lake: Lake) -> dict[str, int]:
         raise RuntimeError("no raw institutions partitions to clean")
     outputs = {
         GOOD: (build_history(snapshots), lake.conformed("institution_history")),
-        BAD: (keyless_snapshots(snapshots), lake.conformed("institution_rejects")),
+        BAD: (rejected_snapshots(snapshots), lake.conformed("institution_rejects")),
     }
     counts = {}
     for outcome, (rows, path) in outputs.items():

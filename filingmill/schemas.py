@@ -54,7 +54,6 @@ UNKNOWN_SK = "unknown"
 UNKNOWN_NAME = "Unknown Institution"
 
 REQUIRED_RAW = ("institutions", "financials", "sod")
-BACKFILL_WINDOW = ("20230331", "20251231")
 
 # ---- fixed values: accepted codes ----------------------------------------------------------------
 

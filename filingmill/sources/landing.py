@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 from datetime import UTC, datetime
@@ -11,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filingmill.schemas import BACKFILL_WINDOW, PROVENANCE, REQUIRED_RAW
+from filingmill.schemas import PROVENANCE, REQUIRED_RAW
 
 PARTITION = "dt"
+MOST_SHORT = 1000  # incomplete sources that a report lists; all of them are left out
 
 
 def page_schema(record: T.StructType) -> T.StructType:
@@ -110,6 +112,48 @@ def write_partitions(
     )
 
 
+def _schema_folder(path: str) -> str:
+    """Hidden from readers of the dataset, as its name begins with an underscore."""
+    return f"{path}/_schemas"
+
+
+def recorded_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType]:
+    """The schema each partition was written with, where its writer recorded it. One job."""
+    folder = _schema_folder(path)
+    if not _exists(spark, folder):
+        return {}
+    rows = spark.read.schema(f"schema string, {PARTITION} string").parquet(folder)
+    found = rows.filter("schema <> ''").groupBy("schema").agg(F.collect_set(PARTITION).alias("values"))
+    schemas = ((T.StructType.fromJson(json.loads(r["schema"])), r["values"]) for r in found.collect())
+    return {value: schema for schema, values in schemas for value in values}
+
+
+def _record_schema(spark: SparkSession, path: str, values: list[str], schema: str) -> None:
+    rows = spark.createDataFrame([(schema, value) for value in values], f"schema string, {PARTITION} string")
+    (
+        rows.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION)
+        .parquet(_schema_folder(path))
+    )
+
+
+def write_recorded(df: DataFrame, path: str) -> None:
+    """`write_partitions`, with the schema recorded for each partition that is replaced.
+
+    While data is being replaced its record is empty, which says nothing: a write that fails half way
+    leaves partitions that are read by their footers. The driver gets the names of the partitions.
+    """
+    spark = df.sparkSession
+    values = [r[0] for r in df.select(PARTITION).distinct().collect() if r[0] is not None]
+    if values:
+        _record_schema(spark, path, values, "")
+    write_partitions(df, path)
+    if values:
+        _record_schema(spark, path, values, df.drop(PARTITION).schema.json())
+
+
 def land(
     records: DataFrame,
     root: str,
@@ -119,7 +163,7 @@ def land(
 ) -> None:
     """Stamp records and write them to their partitions of a raw dataset."""
     stamped = stamp_raw(records, **stamps).withColumn(PARTITION, partition.cast("string"))
-    write_partitions(stamped, dataset_path(root, dataset))
+    write_recorded(stamped, dataset_path(root, dataset))
 
 
 def ingest_pages(
@@ -131,28 +175,46 @@ def ingest_pages(
     *,
     record: T.StructType | None = None,
     page_per_file: bool = True,
+    require_complete: bool = True,
     **stamps,
 ) -> list[Row]:
     """Land every record of the pages in the partition its field `partition` names.
 
-    Returns the sources that announced another number of records than arrived, one row each. Pages
-    without a source folder count as one source.
+    Sources that announced another number of records than arrived are known before anything is
+    written: with `require_complete` their pages are not landed, so an incomplete delivery replaces no
+    partition. The first `MOST_SHORT` of them are returned, one row each, in order. Pages without a
+    source folder count as one source.
     """
     pages = read_pages(spark, pages_path, record, page_per_file)
     source = ["source"] if "source" in pages.columns else []
-    land(unwrap_pages(pages), root, dataset, F.col(partition), **stamps)
-    return incomplete_pages(pages, source).collect()
+    short = incomplete_pages(pages, source)
+    found = short.orderBy(*source).limit(MOST_SHORT).collect()
+    if found and require_complete and not source:
+        return found
+    whole = pages
+    if found and require_complete:
+        whole = pages.join(short.select(*source), source, "left_anti")
+    land(unwrap_pages(whole), root, dataset, F.col(partition), **stamps)
+    return found
 
 
 def dataset_path(root: str, dataset: str, layer: str = "raw") -> str:
     return f"{root}/{layer}/{dataset}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder, fs = _file_system(spark, path)
+    return fs.exists(folder)
+
+
 def partition_values(spark: SparkSession, path: str) -> list[str]:
     """Sorted `dt` values of a dataset, empty when there is none. Lists folders, reads no file."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, fs = _file_system(spark, path)
     if not fs.exists(folder):
         return []
     names = (status.getPath().getName() for status in fs.listStatus(folder))
@@ -173,17 +235,16 @@ def require_raw(spark: SparkSession, root: str, required: Iterable[str] = REQUIR
         raise RuntimeError(f"raw layer has no partitions for: {', '.join(missing)}")
 
 
-def quarter_ends(first: str, last: str, window: tuple[str, str] = BACKFILL_WINDOW) -> list[str]:
-    """Quarter ends of the backfill window from `first` to `last`, yyyyMMdd, bounds included."""
-    first, last = max(first, window[0]), min(last, window[1])
+def quarter_ends(first: str, last: str) -> list[str]:
+    """Quarter ends from `first` to `last`, yyyyMMdd, bounds included."""
     years = range(int(first[:4]), int(last[:4]) + 1)
     ends = (f"{year}{day}" for year in years for day in ("0331", "0630", "0930", "1231"))
     return [end for end in ends if first <= end <= last]
 
 
-def survey_years(first: str, last: str, window: tuple[str, str] = BACKFILL_WINDOW) -> list[int]:
-    years = (max(first, window[0])[:4], min(last, window[1])[:4])
-    return list(range(int(years[0]), int(years[1]) + 1))
+def survey_years(first: str, last: str) -> list[int]:
+    """Years from `first` to `last`, which begin with a year, bounds included."""
+    return list(range(int(first[:4]), int(last[:4]) + 1))
 
 
 def within_periods(raw: DataFrame, first: str, last: str) -> DataFrame:

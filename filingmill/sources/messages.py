@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from filingmill.schemas import DT_MARKER, TOPIC
-from filingmill.sources.landing import PARTITION
+from filingmill.sources.landing import PARTITION, dataset_path, write_partitions
 
 
 def filing_messages(filings: DataFrame, repdte: str | Column) -> DataFrame:
@@ -32,6 +32,20 @@ def replay_partition(raw: DataFrame, repdte: str, limit: int | None = None) -> D
     return filing_messages(filings, repdte)
 
 
+def quarantine_keyless(raw: DataFrame, repdte: str, root: str) -> int:
+    """Write the filings of a partition that cannot be replayed to `<root>/quarantine/replay`, in place
+    of those of an earlier replay of it. Returns how many there are."""
+    seen = Observation()
+    filings = raw.filter(F.col(PARTITION).cast("string") == repdte)
+    rows = keyless_filings(filings).observe(seen, F.count("*").alias("rows"))
+    write_partitions(rows.withColumn(PARTITION, F.lit(repdte)), keyless_path(root))
+    return int(seen.get["rows"])
+
+
+def keyless_path(root: str) -> str:
+    return dataset_path(root, "replay", "quarantine")
+
+
 def send_to_kafka(messages: DataFrame, bootstrap_servers: str, topic: str = TOPIC) -> None:
     """Needs Spark's Kafka connector on the class path."""
     (

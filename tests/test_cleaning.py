@@ -2,8 +2,10 @@
 
 import math
 
+import pytest
+
 from filingmill.operators.dedupe import latest_per_key
-from filingmill.operators.projection import BAD_CAST, project_branches, project_financials
+from filingmill.operators.projection import BAD_CAST, BAD_VALUES, project_branches, project_financials
 from filingmill.operators.quarantine import (
     REASON,
     clean_branches,
@@ -34,7 +36,7 @@ def test_fields_outside_the_allowlist_are_left_out(spark):
     raw = filings(spark, filing(1)).selectExpr("*", "'x' as SOME_NEW_FIELD")
     assert project_financials(raw).columns == [
         "cert", "repdte", "name", "stalp", "stname", "bkclass", "asset", "dep", "eq", "netinc",
-        "roa", "roe", "_ingested_at", "_batch_id", BAD_CAST,
+        "roa", "roe", "_ingested_at", "_batch_id", BAD_CAST, BAD_VALUES,
     ]
 
 
@@ -141,3 +143,26 @@ def test_split_of_any_frame(spark):
     df = spark.createDataFrame([(1, -1.0, 1.0), (2, 1.0, -1.0), (3, 1.0, 1.0)], "k int, a double, b double")
     good, bad = quarantine_split(df, ["k"], ["a", "b"])
     assert [r.k for r in good.collect()] == [3] and bad.count() == 2
+
+
+def test_rejects_keep_the_values_that_do_not_cast(spark):
+    rows = [("abc", "20230331", "1.5"), ("12.7", "20230331", "2"), ("13.0", "20230331", "x"), ("14.0", "20230331", "3")]
+    raw = spark.createDataFrame([(*r, "t", "b") for r in rows], "CERT string, REPDTE string, ASSET string, _ingested_at string, _batch_id string")
+    good, lost = clean_financials(raw)
+    assert [(r.cert, r.asset) for r in good.collect()] == [(14, 3.0)]
+    found = sorted((r._reject_reason, r[BAD_VALUES]) for r in lost.collect())
+    assert found == [("bad_cast", '{"asset":"x"}'), ("bad_cast", '{"cert":"12.7"}'), ("bad_cast", '{"cert":"abc"}')]
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(12,3)", "string"])
+def test_whole_numbers_of_any_type_are_keys_and_fractions_are_not(spark, kind):
+    raw = spark.createDataFrame([("12",), ("12.0",), ("12.5",), (None,)], "text string").selectExpr(f"cast(text as {kind}) CERT", "'t' _ingested_at", "'b' _batch_id")
+    found = [(r.cert, r[BAD_CAST]) for r in project_financials(raw).collect()]
+    assert found == [(12, None), (12, None), (None, "cert"), (None, None)]
+
+
+def test_large_keys_survive_exactly(spark):
+    raw = spark.sql("select '9223372036854775807' CERT, 't' _ingested_at, 'b' _batch_id")
+    assert project_financials(raw).first().cert == 9223372036854775807
+    beyond = spark.sql("select '9223372036854775808' CERT, 't' _ingested_at, 'b' _batch_id")
+    assert project_financials(beyond).first()[BAD_CAST] == "cert"

@@ -5,7 +5,7 @@ import hashlib
 
 from filingmill.operators.asof import join_as_of
 from filingmill.operators.projection import project_snapshots
-from filingmill.operators.scd2 import build_history, keyless_snapshots
+from filingmill.operators.scd2 import build_history, rejected_snapshots
 from filingmill.plans.models import dim_institution, fct_financials
 from filingmill.plans.quality import overlapping_windows
 from filingmill.schemas import FINANCIALS, HISTORY
@@ -55,7 +55,7 @@ def test_repeated_and_keyless_snapshots(spark):
     rows = [(1, "20250101", "A", "X"), (1, "20250101", "B", "X"), (None, "20250101", "C", "X")]
     assert len(windows(history(spark, *rows))) == 1
     full = [(*row[:3], row[3], "VA", "N", None, None) for row in rows]
-    lost = keyless_snapshots(project_snapshots(spark.createDataFrame(full, SNAPSHOT)))
+    lost = rejected_snapshots(project_snapshots(spark.createDataFrame(full, SNAPSHOT)))
     assert [(r.name, r._reject_reason) for r in lost.collect()] == [("C", "missing_key")]
 
 
@@ -103,3 +103,13 @@ def test_overlaps_are_found_against_any_earlier_window(spark):
     assert found == {(1, 2, 20), (1, 10, 20)}
     touching = overlapping_windows(df, touching=True).count()
     assert touching == 3
+
+
+def test_snapshots_with_a_bad_key_or_day_are_rejected_with_their_values(spark):
+    rows = [("1", "20230331"), ("x", "20230331"), ("1.5", "20230331"), ("2", "2023-13"), ("3", None), (None, "20230331")]
+    raw = spark.createDataFrame([(c, d, "n") for c, d in rows], "CERT string, dt string, NAME string")
+    snapshots = project_snapshots(raw.selectExpr("*", "'t' _ingested_at", "'b' _batch_id"))
+    assert [(r.cert, r.valid_from) for r in build_history(snapshots).collect()] == [(1, "1900-01-01")]
+    found = sorted((r._reject_reason, r._bad_values or "") for r in rejected_snapshots(snapshots).collect())
+    assert found == [("bad_cast", '{"cert":"1.5"}'), ("bad_cast", '{"cert":"x"}'), ("bad_cast", '{"snapshot_date":"2023-13"}'),
+                     ("missing_key", ""), ("missing_key", "")]

@@ -6,7 +6,7 @@ import json
 import pytest
 
 from filingmill.operators.projection import BAD_CAST, project_financials
-from filingmill.schemas import BRANCH_DICTIONARY, columns_of
+from filingmill.schemas import BRANCH_DICTIONARY, FINANCIALS_FIELDS, columns_of
 from filingmill.sources import landing, messages
 from filingmill.sources.drift import read_projected, schema_drift
 
@@ -38,10 +38,15 @@ def test_ingested_pages_keep_every_field_and_report_what_is_missing(spark, tmp_p
         folder.mkdir(parents=True)
         (folder / "1.json").write_text(json.dumps(page, indent=1))
     root = str(tmp_path / "lake")
-    short = landing.ingest_pages(
-        spark, str(tmp_path / "pages"), root, "financials", "REPDTE", source_url="u", batch_id="b"
-    )
-    assert sorted((r.source, r.announced, r.received) for r in short) == [("a", 2, 1), ("b", 2, 1)]
+    pages_path = str(tmp_path / "pages")
+    for require in (True, False):
+        short = landing.ingest_pages(
+            spark, pages_path, root, "financials", "REPDTE",
+            source_url="u", batch_id="b", require_complete=require,
+        )
+        assert sorted((r.source, r.announced, r.received) for r in short) == [("a", 2, 1), ("b", 2, 1)]
+        if require:
+            assert landing.partition_values(spark, landing.dataset_path(root, "financials")) == []
     rows = spark.read.parquet(landing.dataset_path(root, "financials")).orderBy("CERT").collect()
     assert [(r.CERT, r.NEW, r._batch_id, str(r.dt)) for r in rows] == [
         (1, None, "b", "20240331"), (2, "x", "b", "20240630"),
@@ -102,7 +107,8 @@ def test_partition_listing_and_the_raw_gate(spark, tmp_path):
 def test_period_selection(spark):
     assert landing.quarter_ends("20230630", "20240101") == ["20230630", "20230930", "20231231"]
     assert len(landing.quarter_ends("20230331", "20251231")) == 12
-    assert len(landing.quarter_ends("19000101", "29991231")) == 12
+    assert landing.quarter_ends("20260101", "20261231") == ["20260331", "20260630", "20260930", "20261231"]
+    assert len(landing.quarter_ends("19000101", "29991231")) == 4400
     assert landing.survey_years("20230630", "20240101") == [2023, 2024]
     assert landing.survey_years("20240331", "20241231") == [2024]
     df = spark.createDataFrame([("20230331",), ("20240331",), ("2023",), ("2025",)], "dt string")
@@ -165,3 +171,38 @@ def test_messages_are_keyed_and_carry_their_partition(spark):
     limited = messages.replay_partition(raw.filter("CERT is not null"), "20230331", limit=1)
     assert [r.key for r in limited.collect()] == ["7"]
     assert messages.keyless_filings(raw).count() == 1
+
+
+@pytest.mark.parametrize("partitions", [3, 30])
+def test_the_drift_read_needs_as_many_jobs_for_few_partitions_as_for_many(spark, tmp_path, partitions):
+    path = str(tmp_path / "financials")
+    for kind in ("int", "string"):
+        rows = spark.range(partitions).selectExpr(
+            f"cast(id as {kind}) CERT", f"cast(20200101 + 2 * id + {int(kind == 'int')} as string) dt",
+            "'t' _ingested_at", "'b' _batch_id", f"id as ONLY_{kind}",
+        )
+        landing.write_recorded(rows, path)
+    spark.sparkContext.setJobGroup(f"drift-{partitions}", "footers")
+    out = read_projected(spark, path, project_financials, fields=FINANCIALS_FIELDS)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"drift-{partitions}")) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert out.filter("cert is not null").count() == 2 * partitions
+
+
+def test_a_write_that_fails_half_way_leaves_partitions_to_their_footers(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "financials")
+    rows = spark.createDataFrame([(1, "20240331")], "CERT int, dt string")
+    landing.write_recorded(rows, path)
+    assert set(landing.recorded_schemas(spark, path)) == {"20240331"}
+
+    def fail(*args, **kwargs):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "write_partitions", fail)
+        with pytest.raises(OSError, match="no space"):
+            landing.write_recorded(rows, path)
+    assert landing.recorded_schemas(spark, path) == {}
+    stamped = rows.selectExpr("*", "'t' _ingested_at", "'b' _batch_id")
+    landing.write_partitions(stamped, path)
+    assert read_projected(spark, path, project_financials).first().cert == 1

@@ -1,5 +1,6 @@
 """Landing a message topic: provenance, rejects, replay after a crash, restart."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -7,7 +8,15 @@ import pytest
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import project_financials
 from filingmill.schemas import MESSAGE
-from filingmill.sources.messages import filing_messages
+from filingmill.operators.quarantine import clean_financials
+from filingmill.sources.drift import read_partition
+from filingmill.sources.landing import dataset_path, land
+from filingmill.sources.messages import (
+    filing_messages,
+    keyless_path,
+    quarantine_keyless,
+    replay_partition,
+)
 from filingmill.streaming import landing
 
 
@@ -141,3 +150,68 @@ def test_stream_copy_of_a_batch_row_collapses_onto_it(spark):
     both = project_financials(raw).unionByName(copy)
     assert both.distinct().count() == 1
     assert latest_per_key(both, ["cert", "repdte"]).count() == 1
+
+
+def test_numbers_may_come_as_text_and_keys_as_fractions_of_zero(spark, tmp_path):
+    values = [("10042", 1.0), (10042.0, "12.5"), ("10042.0", 1), ("x1", 1.0), (3.5, 1.0), (7, "many")]
+    rows = [message(n, cert, ASSET=asset) for n, (cert, asset) in enumerate(values)]
+    publish(tmp_path / "topic", "1.json", rows)
+    totals = {}
+    drain(spark, tmp_path, totals=totals)
+    assert sorted((r.CERT, r.ASSET) for r in landed(spark, tmp_path).collect()) == [(10042, 1.0), (10042, 1.0), (10042, 12.5)]
+    found = {r._kafka_offset: (r._reject_reason, r._bad_cast) for r in rejects(spark, tmp_path).collect()}
+    assert found == {3: ("bad_cast", "cert"), 4: ("bad_cast", "cert"), 5: ("bad_cast", "asset")}
+    assert totals == {"landed": 3, "quarantined": 3}
+
+
+def test_a_hot_date_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 500 as string) key",
+        "to_json(named_struct('CERT', id, 'REPDTE', '20230331', '_repdte_partition', '20230331')) value",
+        "cast(id % 2 as int) partition", "id offset",
+    )
+    counts = landing.land_batch(rows, str(tmp_path / "lake"), "b-1", tasks=16, file_messages=2500)
+    assert counts == {"landed": 20_000, "quarantined": 0}
+    assert len(landed(spark, tmp_path).inputFiles()) >= 8
+
+
+def test_waiting_batches_do_not_wait_for_a_clock(spark, tmp_path):
+    for n in range(3):
+        publish(tmp_path / "topic", f"{n}.json", [message(n, n)])
+    stream = landing.file_messages(spark, str(tmp_path / "topic"))
+    query = landing.start_landing(stream, str(tmp_path / "lake"), str(tmp_path / "checkpoint"), run_forever=True)
+    try:
+        query.processAllAvailable()
+        starts = sorted(dt.datetime.fromisoformat(p.timestamp) for p in query.recentProgress if p.numInputRows)
+        assert len(starts) == 3
+        assert (starts[2] - starts[0]).total_seconds() < 10 or max(
+            p.durationMs["triggerExecution"] for p in query.recentProgress
+        ) > 4000
+    finally:
+        query.stop()
+
+
+def test_replay_of_a_text_partition_equals_the_batch(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("1", "20230331", "1.5"), ("2.0", "20230331", "-3"), (None, "20230331", "4"), ("x", "20230331", "5")],
+        "CERT string, REPDTE string, ASSET string",
+    )
+    whole = spark.createDataFrame([(9, "20230630", 1.0)], "CERT int, REPDTE string, ASSET double")
+    root = str(tmp_path / "lake")
+    for frame in (raw, whole):
+        land(frame, root, "financials", frame.REPDTE, source_url="u", batch_id="b", ingested_at="t")
+    path = dataset_path(root, "financials")
+    part = read_partition(spark, path, "20230331")
+    assert part.count() == 4 and read_partition(spark, path, "20231231") is None
+    assert quarantine_keyless(part, "20230331", root) == 1
+    assert quarantine_keyless(part, "20230331", root) == 1
+    assert [r._reject_reason for r in spark.read.parquet(keyless_path(root)).collect()] == ["missing_key"]
+    sent = replay_partition(part, "20230331").selectExpr("*", "0 as partition", "0L as offset")
+    copies = landing.parse_messages(sent)
+    assert copies.filter("_reject_reason = 'bad_cast'").count() == 1
+    batch = clean_financials(part.filter("CERT is not null"))
+    again = clean_financials(copies.filter("_reject_reason is null"))
+    for ours, theirs in zip(batch, again):
+        ours = ours.filter("cert is not null")
+        assert ours.drop("_bad_values").exceptAll(theirs.drop("_bad_values")).count() == 0
+        assert theirs.drop("_bad_values").exceptAll(ours.drop("_bad_values")).count() == 0
