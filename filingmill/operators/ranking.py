@@ -8,18 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Values are binned on a logarithmic scale fine enough that a bin is a small part of its group.
-_BIN_ZERO = 1e6
-_BINS_PER_E = 1000
-_NULL_BIN = -2_000_000_000
-_NAN_BIN = _NULL_BIN + 1
+MOST_KEPT = 10_000  # rows that a task keeps for a page
+BINS = 64  # of a group, each with about as many distinct values
+_NULL_BIN, _NAN_BIN = -2, -1
 
 
-def value_bin(value: Column) -> Column:
+def _edges(value: Column) -> Column:
+    """Quantiles of a group's distinct numbers, ascending; the accuracy is that of ten times as many."""
+    number = F.when(~F.isnan(value), value)
+    return F.percentile_approx(number, [i / BINS for i in range(1, BINS)], 10 * BINS)
+
+
+def _bin(value: Column, edges: Column) -> Column:
     """A whole number that never decreases as `value` grows; null lowest, then NaN."""
-    magnitude = F.least(F.abs(value), F.lit(1e300)) * _BIN_ZERO
-    scaled = F.floor(F.log1p(magnitude) * _BINS_PER_E).cast("bigint")
-    numbers = F.when(F.isnan(value), _NAN_BIN).when(value < 0, -scaled).otherwise(scaled)
+    below = F.size(F.filter(F.coalesce(edges, F.array()), lambda edge: edge < value))
+    numbers = F.when(F.isnan(value), F.lit(_NAN_BIN)).otherwise(below)
     return F.coalesce(F.when(value.isNotNull(), numbers), F.lit(_NULL_BIN))
 
 
@@ -28,17 +31,15 @@ def rank_descending(df: DataFrame, groups: Sequence[str], value: str, output: st
 
     A window over `groups` would sort a whole group in one task. Instead the rank is counted: rows
     in higher bins, plus rows with a higher value in the same bin, plus one. Values are counted
-    before they are shuffled, so one that very many rows share is a single row by then; the counts
-    of a group's bins are bounded by the bin scale, not by the data. Ranks return to the rows by
-    an equality join, which adaptive execution splits where one value is hot.
+    before they are shuffled, so one that very many rows share is a single row by then. Bins are cut
+    at quantiles of the group's own distinct values, so however close together these are, a bin has
+    its share of them. Ranks return to the rows by an equality join, which adaptive execution splits
+    where one value is hot.
     """
     groups = list(groups)
-    counts = (
-        df.select(*groups, value)
-        .withColumn("_bin", value_bin(F.col(value)))
-        .groupBy(*groups, "_bin", value)
-        .agg(F.count("*").alias("_rows"))
-    )
+    counts = df.groupBy(*groups, value).agg(F.count("*").alias("_rows"))
+    edges = _prefixed(counts.groupBy(*groups).agg(_edges(F.col(value)).alias("edges")), "_e_")
+    counts = counts.join(edges, _same(groups, "_e_")).withColumn("_bin", _bin(F.col(value), F.col("_e_edges")))
     before = (Window.unboundedPreceding, -1)
     in_bin = Window.partitionBy(*groups, "_bin").orderBy(F.col(value).desc()).rowsBetween(*before)
     over_bins = Window.partitionBy(*groups).orderBy(F.col("_bin").desc()).rowsBetween(*before)
@@ -62,21 +63,40 @@ def _prefixed(df: DataFrame, prefix: str, keep: str | None = None) -> DataFrame:
 def _same(columns: Sequence[str], prefix: str) -> Column:
     """Equality with the prefixed columns in which null matches null."""
     pairs = (F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns)
-    return reduce(Column.__and__, pairs)
+    return reduce(Column.__and__, pairs, F.lit(True))
 
 
 def best_first(value: Column) -> list[Column]:
     """Sort order of a ranking: descending, NaN after numbers, nulls last."""
-    return [F.isnan(value).asc_nulls_last(), value.desc_nulls_last()]
+    return [value.isNull().asc(), F.isnan(value).asc(), value.desc_nulls_last()]
 
 
-def ranked_page(df: DataFrame, value: str, tie_break: str, limit: int, offset: int) -> DataFrame:
-    """Rows `offset`.. of the ranking by `value`, `limit` of them, with their rank in all of `df`.
+def ranked_page(
+    df: DataFrame, value: str, tie_break: str, limit: int, offset: int, most_kept: int = MOST_KEPT
+) -> DataFrame:
+    """Rows `offset`.. of the ranking by `value`, `limit` of them, with their rank in all of `df`; equal
+    values in the order of the whole number `tie_break`, which tells rows apart.
 
-    A rank depends only on rows that sort earlier, so ranking the first `offset + limit` rows gives
-    the ranks of the full set. Each task keeps that many rows; the page parameters bound the window.
+    A rank depends only on rows that sort earlier. So a page near the top is cut from the first
+    `offset + limit` rows, which each task keeps; beyond `most_kept` of them the ranks are counted.
     """
+    if offset + limit > most_kept:
+        return _deep_page(df, value, tie_break, limit, offset)
     order = best_first(F.col(value))
     top = df.orderBy(*order, tie_break).limit(offset + limit)
     ranked = top.withColumn("rank", F.rank().over(Window.orderBy(*order)).cast("bigint"))
     return ranked.orderBy("rank", tie_break).offset(offset).limit(limit)
+
+
+def _deep_page(df: DataFrame, value: str, tie_break: str, limit: int, offset: int) -> DataFrame:
+    """Nothing is gathered up to the page: rows whose value does not reach into it go, and of what is
+    left equal values are ranked by the tie-break in the same way. Only the page itself is sorted."""
+    ranked = rank_descending(df.withColumn("_all", F.lit(0)), ["_all"], value, "rank")
+    last = offset + limit
+    sizes = ranked.filter(F.col("rank") <= last).groupBy("rank").agg(F.count("*").alias("size"))
+    reached = _prefixed(sizes.filter(F.col("rank") + F.col("size") > offset + 1), "_p_")
+    near = ranked.join(reached, F.col("rank") == F.col("_p_rank"))
+    tied = rank_descending(near.withColumn("_tie", -F.col(tie_break)), ["rank"], "_tie", "_among")
+    position = F.col("rank") + F.col("_among") - 1
+    page = tied.filter((position > offset) & (position <= last))
+    return page.select(*df.columns, F.col("rank").cast("bigint").alias("rank")).orderBy("rank", tie_break)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingmill.functions.columns import quarter_end
-from filingmill.operators import marts, projection
+from filingmill.operators import marts, projection, ranking
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import (
     BAD_CAST,
@@ -40,6 +40,7 @@ from filingmill.streaming import landing as stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 PUBLISHED_AT = datetime(2026, 1, 1, tzinfo=UTC)
+DEEP_OFFSET = 900
 PAGE_SIZE = 10_000  # records per page, the interface's cap
 
 _QUERIES: dict[str, Query] = {}
@@ -473,7 +474,10 @@ _MARTS = {
 
 def _rankings(metric: str, **arguments) -> Callable[[Inputs], DataFrame]:
     def build(i: Inputs) -> DataFrame:
-        return serving.rankings(_MARTS[METRICS[metric][0]](i.fact), i.dim, metric, **arguments)
+        # The last report date is that of the cleaned filings; the mart need not be scanned for it.
+        latest = i.financials.select(F.max("repdte"))
+        mart = _MARTS[METRICS[metric][0]](i.fact)
+        return serving.rankings(mart, i.dim, metric, latest=latest, **arguments)
 
     return build
 
@@ -484,6 +488,13 @@ _add("rankings_state", _rankings("roe", state="NATION_3", period=date(1996, 3, 3
 _add("rankings_period", _rankings("asset_growth_qoq", period=date(1997, 6, 30), limit=30, offset=20))
 
 
+@_query
+def rankings_deep(i: Inputs) -> DataFrame:
+    """A page near the end of a ranking of all reports of all dates."""
+    reports = i.fact.select((F.col("cert") * 1_000_000 + F.datediff("repdte", F.lit("1990-01-01"))).alias("report"), "roa")
+    return ranking.ranked_page(reports, "roa", "report", 40, DEEP_OFFSET, most_kept=0)
+
+
 @_query
 def health(i: Inputs) -> DataFrame:
     return serving.health(freshness(i.fact, PUBLISHED_AT))

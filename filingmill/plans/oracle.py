@@ -356,6 +356,12 @@ _SQL = {
     **{f"rankings_{metric}": _ranking(metric) for metric in METRICS},
     "rankings_state": _ranking("roe", "state = 'NATION_3' and repdte = date '1996-03-31'"),
     "rankings_period": _ranking("asset_growth_qoq", "repdte = date '1997-06-30'", 31, 20),
+    "rankings_deep": """
+        select report, roa, rank
+        from (select cert * 1000000 + date_diff('day', date '1990-01-01', repdte) as report, roa,
+                     rank() over (order by roa desc nulls last) as rank
+              from fact )
+        order by rank, report limit 40 offset 900""",
     "health": """
         select 'ok' as status, timestamp '2026-01-01' as published_at, max(repdte) as max_repdte,
                count(*) as financials_row_count, cast(null as varchar) as detail

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,13 @@ from filingmill.schemas import (
 )
 from filingmill.sources.warehouse import FRESHNESS_TABLE, Warehouse
 
+logger = logging.getLogger(__name__)
+
+# Why a warehouse is degraded.
+NO_TABLE = "Nothing was ever published: there is no freshness table."
+NOT_PUBLISHED = "The freshness table is empty."
+UNREADABLE = "The freshness table cannot be read."
+
 # Fixed values of the paging contract.
 DEFAULT_LIMIT = 50
 MAX_LIMIT = 500
@@ -92,18 +101,6 @@ def _page(rows: DataFrame, order: list[str], limit: int, offset: int) -> DataFra
     return rows.orderBy(*order).offset(offset).limit(limit + 1)
 
 
-def _with_lookup(page: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The page as local rows, and the rows of `other` for its institutions.
-
-    A page has at most `MAX_LIMIT + 1` rows, so they are fetched first and their keys become a
-    filter that reaches the scan of `other`, in place of shuffling all of it to join a few rows.
-    """
-    rows = page.collect()
-    keys = [row.cert for row in rows]
-    local = page.sparkSession.createDataFrame(rows, page.schema)
-    return local, other.filter(F.col("cert").isin(keys))
-
-
 def list_institutions(
     institutions: DataFrame,
     latest: DataFrame,
@@ -118,16 +115,17 @@ def list_institutions(
     """One page of current, known institutions in key order, plus the look-ahead row.
 
     An absent bound filters nothing; an institution without figures is outside any asset bound.
-    Without a bound the page is cut first and figures are looked up for its rows only.
+    Without a bound the page is cut first, so that few rows meet the figures.
     """
+    _check_page(limit, offset)
     rows = institutions.filter(F.col("is_current") & (F.col("institution_sk") != UNKNOWN_SK))
     if state is not None:
         rows = rows.filter(F.col("state") == state)
     if bkclass is not None:
         rows = rows.filter(F.col("bkclass") == bkclass)
     if min_asset is None and max_asset is None:
-        page, figures = _with_lookup(_page(rows, ["cert"], limit, offset), latest)
-        return contract(page.join(figures, "cert", "left"), INSTITUTION).orderBy("cert")
+        page = _page(rows, ["cert"], limit, offset)
+        return contract(page.join(latest, "cert", "left"), INSTITUTION).orderBy("cert")
     figures = latest
     if min_asset is not None:
         figures = figures.filter(F.col("latest_asset") >= min_asset)
@@ -158,6 +156,7 @@ def institution_financials(
     offset: int = 0,
 ) -> DataFrame:
     """One page of an institution's reports, oldest first, plus the look-ahead row."""
+    _check_page(limit, offset)
     rows = fact.filter(F.col("cert") == cert)
     if date_from is not None:
         rows = rows.filter(F.col("repdte") >= F.lit(date_from))
@@ -174,22 +173,30 @@ def rankings(
     *,
     state: str | None = None,
     period: date | None = None,
+    latest: DataFrame | None = None,
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> DataFrame:
-    """One page of the ranking by a metric on one report date, the latest by default, plus the
-    look-ahead row. Names are looked up for the rows of the page only."""
+    """One page of the ranking by a metric on one report date, plus the look-ahead row.
+
+    Without a period it is the latest: the one value of `latest`, such as that of the published
+    freshness, or else the mart's last date, which costs a scan. Names are joined to the page only.
+    """
     _check_metric(metric)
+    _check_page(limit, offset)
     column = METRICS[metric][1]
-    day = mart.select(F.max("repdte")).scalar() if period is None else F.lit(period)
+    if period is not None:
+        day = F.lit(period)
+    else:
+        day = (mart.select(F.max("repdte")) if latest is None else latest).scalar()
     rows = mart.filter(F.col("repdte") == day)
     if state is not None:
         rows = rows.filter(F.col("state") == state)
     rows = rows.filter(F.col(column).isNotNull()).select(
         "cert", "state", "repdte", F.col(column).alias("value")
     )
-    page, versions = _with_lookup(ranked_page(rows, "value", "cert", limit + 1, offset), institutions)
-    named = join_as_of(page, versions, "cert", "repdte", {"name": "name"})
+    page = ranked_page(rows, "value", "cert", limit + 1, offset)
+    named = join_as_of(page, institutions, "cert", "repdte", {"name": "name"})
     entries = named.withColumn("metric", F.lit(metric))
     return contract(entries, RANKING_ENTRY).orderBy("rank", "cert")
 
@@ -204,7 +211,7 @@ def health(freshness: DataFrame) -> DataFrame:
     return row.select(
         F.when(found, "ok").otherwise("degraded").alias("status"),
         *fields,
-        F.when(~found, "No freshness metric published yet.").alias("detail"),
+        F.when(~found, NOT_PUBLISHED).alias("detail"),
     ).to(HEALTH)
 
 
@@ -291,6 +298,7 @@ class Reads:
             metric,
             state=_check_state(state),
             period=period,
+            latest=self._table(FRESHNESS_TABLE).select(F.max("max_repdte")),
             limit=limit,
             offset=offset,
         )
@@ -300,8 +308,9 @@ class Reads:
         """Never raises for the state of the warehouse; the row says what is wrong."""
         spark = self.warehouse.spark
         try:
+            if not self.warehouse.exists(FRESHNESS_TABLE):
+                return degraded(spark, NO_TABLE)
             return health(self._table(FRESHNESS_TABLE)).first()
-        except AnalysisException:
-            return degraded(spark, "Freshness table does not exist yet.")
-        except PySparkException:
-            return degraded(spark, "Warehouse is unreachable.")
+        except (PySparkException, Py4JJavaError) as error:
+            logger.warning("health: %s", error)
+            return degraded(spark, UNREADABLE)

@@ -7,9 +7,10 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from filingmill.operators import marts
-from filingmill.operators.ranking import rank_descending, ranked_page
+from filingmill.operators.ranking import BINS, _bin, _edges, rank_descending, ranked_page
 
 FACT = (
     "institution_sk string, cert long, repdte date, stalp string, bkclass string, "
@@ -111,3 +112,26 @@ def test_pages_of_a_ranking_join_up_to_the_whole(spark):
     assert pages == whole
     ordered = sorted(rows, key=lambda r: (-r[1], r[0]))
     assert whole == [(1 + sum(w > v for _, w in rows), c) for c, v in ordered]
+
+
+@pytest.mark.parametrize("ties", [5, 400])
+def test_deep_pages_are_the_same_without_gathering_what_comes_before(spark, ties):
+    rng = random.Random(11)
+    rows = [(n, rng.choice([None, float("nan"), *map(float, range(4))]) if n < ties else rng.random()) for n in range(500)]
+    df = spark.createDataFrame(rows, "cert long, value double")
+    for limit, offset in [(40, 0), (37, 210), (50, 470), (10, 600)]:
+        near, deep = (
+            [(r["rank"], r.cert) for r in ranked_page(df, "value", "cert", limit, offset, most_kept=most).collect()]
+            for most in (10_000, 0)
+        )
+        assert near == deep
+
+
+def test_bins_follow_the_data(spark):
+    """100,000 values inside a thousandth: a bin holds its share of them, not all."""
+    df = spark.range(100_000).selectExpr("1 g", "1 + id / 1e8 value")
+    edges = df.agg(_edges(F.col("value")).alias("e"))
+    sizes = df.join(edges).groupBy(_bin(F.col("value"), F.col("e"))).count()
+    assert sizes.agg(F.max("count")).first()[0] < 3 * 100_000 / BINS
+    last = rank_descending(df, ["g"], "value", "rank").agg(F.max("rank"), F.count_distinct("rank")).first()
+    assert tuple(last) == (100_000, 100_000)

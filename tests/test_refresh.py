@@ -8,7 +8,7 @@ from pyspark.sql.functions import col
 from filingmill.jobs import main
 from filingmill.plans.quality import changed_rows
 from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh
-from filingmill.plans.serving import NotFoundError, Reads
+from filingmill.plans.serving import NO_TABLE, NOT_PUBLISHED, NotFoundError, Reads
 from filingmill.schemas import FRESHNESS
 from filingmill.sources.landing import dataset_path, land, write_partitions
 from filingmill.sources.warehouse import FRESHNESS_TABLE, Warehouse, load_table
@@ -62,7 +62,7 @@ def make_lake(spark, folder, name):
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     lake = make_lake(spark, tmp_path_factory.mktemp("refresh"), "refreshed")
-    assert Reads(lake.warehouse).health().detail == "Freshness table does not exist yet."
+    assert Reads(lake.warehouse).health().detail == NO_TABLE
     with pytest.raises(RuntimeError, match="institutions, financials, sod"):
         refresh(lake)
     fill(spark, lake.root)
@@ -139,7 +139,7 @@ def test_ensured_tables_are_created_once(lake):
     from filingmill.plans.serving import health
 
     row = health(lake.warehouse.table("empty_freshness")).first()
-    assert (row.status, row.detail) == ("degraded", "No freshness metric published yet.")
+    assert (row.status, row.detail) == ("degraded", NOT_PUBLISHED)
 
 
 # ---- reads ---------------------------------------------------------------------------------------
