@@ -9,7 +9,7 @@ import argparse
 import logging
 from collections.abc import Sequence
 
-from filingmill.plans.refresh import Lake, refresh
+from filingmill.plans.refresh import Lake, refresh, refresh_dates
 from filingmill.schemas import TOPIC
 from filingmill.session import build_session
 from filingmill.sources.drift import read_partition
@@ -40,7 +40,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     build = commands.add_parser("refresh", help="raw layer to published tables")
     build.add_argument("--warehouse", required=True, help="folder of the curated tables")
     build.add_argument("--database", default="curated")
-    build.add_argument("--buckets", type=int, default=200)
+    build.add_argument("--buckets", type=int, help="of the fact table; by its rows by default")
+    build.add_argument("--first", help="first report date, yyyyMMdd, to clean again; all by default")
+    build.add_argument("--last", help="last report date to clean again")
 
     replay = commands.add_parser("replay", help="send one raw partition to the topic")
     replay.add_argument("--repdte", required=True)
@@ -74,7 +76,12 @@ def main(argv: Sequence[str] | None = None) -> None:
             logger.warning("incomplete: %s", row.asDict())
     elif args.command == "refresh":
         warehouse = Warehouse(spark, args.database, args.warehouse, args.buckets)
-        logger.info("rows: %s", refresh(Lake(spark, args.root, warehouse)))
+        lake = Lake(spark, args.root, warehouse)
+        if args.first or args.last:
+            counts = refresh_dates(lake, args.first or "0", args.last or "9" * 8)
+        else:
+            counts = refresh(lake)
+        logger.info("rows: %s", counts)
     elif args.command == "replay":
         raw = read_partition(spark, dataset_path(args.root, "financials"), args.repdte)
         if raw is None:

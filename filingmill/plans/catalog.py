@@ -8,6 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingmill.functions.columns import quarter_end
 from filingmill.operators import marts, projection, ranking
@@ -22,19 +23,30 @@ from filingmill.operators.quarantine import clean_branches, clean_financials, qu
 from filingmill.operators.scd2 import rejected_snapshots
 from filingmill.plans import models, quality, serving
 from filingmill.plans.inputs import Inputs
+from filingmill.plans.refresh import FINANCIALS_CLEANING, Lake, clean_dates
+from filingmill.plans.refresh import clean as clean_all
 from filingmill.schemas import (
     BANK_CLASSES,
+    BRANCHES,
     BRANCH_DICTIONARY,
     BRANCH_KEY,
     DT_MARKER,
+    FINANCIALS,
     FINANCIALS_FIELDS,
     FINANCIALS_KEY,
+    HISTORY,
     METRICS,
     UNKNOWN_SK,
     columns_of,
 )
 from filingmill.sources import drift, landing, messages
-from filingmill.sources.warehouse import freshness
+from filingmill.sources.warehouse import (
+    FRESHNESS_TABLE,
+    Warehouse,
+    freshness,
+    load_table,
+    publish_freshness,
+)
 from filingmill.streaming import landing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +189,19 @@ def schema_drift(i: Inputs) -> DataFrame:
     return drift.schema_drift(drifted, BRANCH_DICTIONARY)
 
 
+@_query
+def refresh_dates(i: Inputs) -> DataFrame:
+    """Cleaned filings after a delivery of some dates: cleaning these again equals cleaning all."""
+    folder = i.folder("lake")
+    lake = Lake(i.spark, folder, Warehouse(i.spark, "unused", folder))
+    _land_financials(i, folder, i.raw_financials)
+    clean_all(lake, FINANCIALS_CLEANING)
+    restated = i.raw_financials.filter("REPDTE between '19960331' and '19971231'")
+    _land_financials(i, folder, restated.withColumn("ASSET", F.col("ASSET") + 1000))
+    clean_dates(lake, FINANCIALS_CLEANING, "19960331", "19971231")
+    return lake.read("financials")
+
+
 @_query
 def period_range(i: Inputs) -> DataFrame:
     path = _land_financials(i, i.folder("raw"), i.raw_financials)
@@ -184,19 +209,29 @@ def period_range(i: Inputs) -> DataFrame:
     return rows.select("CERT", "REPDTE", "_batch_id")
 
 
+def _loaded(i: Inputs, cleaned: DataFrame, schema: T.StructType, **options) -> DataFrame:
+    """Loaded twice into a table and read back: the second load changes nothing."""
+    folder = i.folder("warehouse")
+    warehouse = Warehouse(i.spark, "loads_" + folder.rpartition("-")[2], folder)
+    for _ in range(2):
+        load_table(warehouse, "loaded", cleaned, schema, **options)
+    return warehouse.table("loaded")
+
+
 @_query
 def load_financials(i: Inputs) -> DataFrame:
-    return i.financials
+    cleaned = clean_financials(i.raw_financials)[0]
+    return _loaded(i, cleaned, FINANCIALS, bucket_by="cert", sort_by=["repdte"])
 
 
 @_query
 def load_branches(i: Inputs) -> DataFrame:
-    return i.branches
+    return _loaded(i, clean_branches(i.raw_branches)[0], BRANCHES)
 
 
 @_query
 def load_history(i: Inputs) -> DataFrame:
-    return i.history
+    return _loaded(i, i.history_text, HISTORY, day_format="yyyy-MM-dd")
 
 
 @_query
@@ -500,6 +535,17 @@ def health(i: Inputs) -> DataFrame:
     return serving.health(freshness(i.fact, PUBLISHED_AT))
 
 
+@_query
+def health_published(i: Inputs) -> DataFrame:
+    """Of the freshness table as it was published."""
+    folder = i.folder("warehouse")
+    warehouse = Warehouse(i.spark, "published_" + folder.rpartition("-")[2], folder)
+    staged = warehouse.begin()
+    publish_freshness(staged, i.fact, PUBLISHED_AT)
+    warehouse.publish(staged)
+    return serving.health(warehouse.table(FRESHNESS_TABLE))
+
+
 @_query
 def freshness_(i: Inputs) -> DataFrame:
     return freshness(i.fact, PUBLISHED_AT)
@@ -592,6 +638,16 @@ def stream_manifest(i: Inputs) -> DataFrame:
     )
 
 
+@_query
+def stream_labels(i: Inputs) -> DataFrame:
+    """Range labels of all messages landed as one batch."""
+    root = i.folder("stream")
+    stream.land_batch(i.messages, root, "batch-1")
+    rows = i.spark.read.parquet(f"{root}/raw/{stream.STREAM_DATASET}")
+    found = stream.flush_manifest(rows.withColumn("dt", F.col("dt").cast("string")))
+    return found.select("dt", "source_partition", "batch", "label", "rows")
+
+
 # ---- data quality: the checks on data that violates them -----------------------------------------
 
 
@@ -616,6 +672,20 @@ def dq_fct_unique(i: Inputs) -> DataFrame:
     return quality.repeated_keys(i.fact, ["cert", "repdte"])
 
 
+@_query
+def dq_fct_unique_planted(i: Inputs) -> DataFrame:
+    """Facts of which every seventh institution's are delivered twice."""
+    again = i.fact.filter(F.col("cert") % 7 == 0)
+    return quality.repeated_keys(i.fact.unionByName(again), ["cert", "repdte"])
+
+
+@_query
+def dq_overlap_planted(i: Inputs) -> DataFrame:
+    """A history whose closed versions end ten days late."""
+    late = F.when(F.col("is_current"), F.col("valid_to")).otherwise(F.date_add("valid_to", 10))
+    return quality.overlapping_windows(i.dim.withColumn("valid_to", late), touching=True)
+
+
 @_query
 def dq_accepted(i: Inputs) -> DataFrame:
     return quality.unaccepted_values(i.dim, "bkclass", (*BANK_CLASSES, "BUILDING", "MACHINERY"))

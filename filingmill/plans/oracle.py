@@ -237,6 +237,13 @@ _SQL = {
         select dataset from (values ('institutions'), ('financials'), ('sod')) required(dataset)
         where dataset <> 'financials' or not exists (select 1 from raw_fin )""",
     "drift_read": f"select {_FIN} from raw_fin",
+    "refresh_dates": """
+        select * replace (
+            case when repdte between '19960331' and '19971231' then asset + 1000 else asset end
+                as asset)
+        from dedup_fin
+        where cert is not null and repdte is not null
+          and asset + case when repdte between '19960331' and '19971231' then 1000 else 0 end >= 0""",
     "period_range": """
         select cert as "CERT", repdte as "REPDTE", _batch_id from raw_fin
         where repdte between '19960331' and '19971231'""",
@@ -366,6 +373,10 @@ _SQL = {
         select 'ok' as status, timestamp '2026-01-01' as published_at, max(repdte) as max_repdte,
                count(*) as financials_row_count, cast(null as varchar) as detail
         from fact""",
+    "health_published": """
+        select 'ok' as status, timestamp '2026-01-01' as published_at, max(repdte) as max_repdte,
+               count(*) as financials_row_count, cast(null as varchar) as detail
+        from fact""",
     "freshness": """
         select timestamp '2026-01-01' as published_at, max(repdte) as max_repdte,
                count(*) as financials_row_count
@@ -396,6 +407,11 @@ _SQL = {
         select REPDTE as dt, source_partition, min(first_offset) as first_offset,
                max(first_offset) as last_offset, count(*) as rows
         from event where marked group by all""",
+    "stream_labels": """
+        select REPDTE as dt, source_partition, 'batch-1' as batch, count(*) as rows,
+               printf('stream-p%d-%012d-%012d', source_partition, min(first_offset),
+                      max(first_offset)) as label
+        from event where marked group by REPDTE, source_partition""",
     "dq_not_null": "select cert, repdte, _batch_id from raw_fin where cert is null or repdte is null",
     "dq_unique": """
         select cert, repdte, count(*) as row_count from raw_fin
@@ -406,6 +422,12 @@ _SQL = {
         group by all having count(*) > 1""",
     "dq_fct_unique": """
         select cert, repdte, count(*) as row_count from fact group by all having count(*) > 1""",
+    "dq_fct_unique_planted": """
+        select cert, repdte, cast(2 as bigint) as row_count from fact where cert % 7 = 0""",
+    "dq_overlap_planted": """
+        select b.cert, b.valid_from, b.valid_to, max(a.valid_to) as prior_valid_to
+        from ends_late a join ends_late b on a.cert = b.cert and a.valid_from < b.valid_from
+        where b.valid_from <= a.valid_to group by all""",
     "dq_accepted": f"""
         select bkclass, count(*) as row_count from dim
         where bkclass not in ({_codes((*BANK_CLASSES, "BUILDING", "MACHINERY"))}) group by bkclass""",
@@ -434,6 +456,11 @@ _SQL = {
         where repdte = '19970630' and cert is not null and asset < 0 and asset + 1 >= 0""",
 }
 
+_VIEWS["ends_late"] = """
+        select cert, valid_from,
+               case when is_current then valid_to else cast(valid_to + interval 10 day as date) end
+                   as valid_to
+        from dim where cert is not null"""
 _VIEWS["history_sk"] = "select institution_sk from dim where institution_sk <> 'unknown'"
 
 

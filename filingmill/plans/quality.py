@@ -152,23 +152,36 @@ def _row_checks(checks: Iterable[Check]) -> list[tuple[str, str, Column]]:
     return found
 
 
-def _count_row_checks(
-    model: str, df: DataFrame, checks: list[tuple[str, str, Column]]
-) -> DataFrame:
-    """All row-wise checks of a table in one pass over it."""
-    counted = df.agg(*(F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)))
-    results = F.array(
-        *(
-            F.struct(
-                F.lit(check).alias("check"),
-                F.lit(model).alias("model"),
-                F.lit(column).alias("subject"),
-                F.col(f"_{i}").alias("failures"),
-            )
-            for i, (check, column, _) in enumerate(checks)
+Counted = tuple[str, str, Column]  # check, subject, number of failures
+
+
+def _as_rows(counted: DataFrame, model: str, found: Sequence[Counted]) -> DataFrame:
+    results = (
+        F.struct(
+            F.lit(check).alias("check"),
+            F.lit(model).alias("model"),
+            F.lit(subject).alias("subject"),
+            F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
         )
+        for check, subject, failures in found
+    )
+    return counted.select(F.inline(F.array(*results)))
+
+
+def _one_pass(model: str, df: DataFrame, checks: list[tuple[str, str, Column]], key: Sequence[str] | None) -> DataFrame:
+    """All row-wise checks of a table and whether a key is unique, in one pass over it: failures are
+    counted per key, which is one exchange, and the counts summed."""
+    bad = [F.count_if(condition).alias(f"_{i}") for i, (_, _, condition) in enumerate(checks)]
+    found = [(check, column, F.col(f"_{i}")) for i, (check, column, _) in enumerate(checks)]
+    if key is None:
+        return _as_rows(df.agg(*bad), model, found)
+    whole = reduce(Column.__and__, (F.col(c).isNotNull() for c in key))
+    by_key = df.groupBy(*key).agg(F.count("*").alias("_rows"), *bad)
+    summed = by_key.agg(
+        F.count_if(whole & (F.col("_rows") > 1)).alias("_repeated"),
+        *(F.sum(f"_{i}").alias(f"_{i}") for i in range(len(checks))),
     )
-    return counted.select(F.inline(results))
+    return _as_rows(summed, model, [*found, ("unique", ",".join(key), F.col("_repeated"))])
 
 
 def _counted(failing: DataFrame, check: str, model: str, subject: str) -> DataFrame:
@@ -186,14 +199,12 @@ def check_report(
     for model in dict.fromkeys(check.model for check in checks):
         df, own = tables[model], [check for check in checks if check.model == model]
         row_checks = _row_checks(own)
-        if row_checks:
-            reports.append(_count_row_checks(model, df, row_checks))
+        keys = [check.key for check in own if isinstance(check, Unique)]
+        if row_checks or keys:
+            reports.append(_one_pass(model, df, row_checks, keys[0] if keys else None))
+        reports += [_one_pass(model, df, [], key) for key in keys[1:]]
         for check in own:
-            if isinstance(check, Unique):
-                reports.append(
-                    _counted(repeated_keys(df, check.key), "unique", model, ",".join(check.key))
-                )
-            elif isinstance(check, Reference):
+            if isinstance(check, Reference):
                 lost = orphan_keys(df, check.column, tables[check.parent], check.parent_column)
                 reports.append(_counted(lost, "relationships", model, check.column))
             elif isinstance(check, NoOverlap):

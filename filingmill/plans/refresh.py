@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +24,18 @@ from filingmill.operators.scd2 import build_history, rejected_snapshots
 from filingmill.plans import models
 from filingmill.plans.quality import DECLARED_CHECKS, Check, NoOverlap, check_report
 from filingmill.schemas import (
+    BRANCH_FIELDS,
     BRANCH_KEY,
     BRANCHES,
     FINANCIALS,
+    FINANCIALS_FIELDS,
     FINANCIALS_KEY,
     HISTORY,
 )
 from filingmill.session import prepare
 from filingmill.sources.drift import read_projected
-from filingmill.sources.landing import dataset_path, require_raw, write_partitions
+from filingmill.sources.landing import dataset_path, partition_values, require_raw, write_partitions
+from filingmill.sources.versions import Versions
 from filingmill.sources.warehouse import Warehouse, load_table, publish_freshness
 from filingmill.streaming.landing import STREAM_DATASET
 
@@ -67,8 +71,16 @@ class Lake:
     def raw(self, dataset: str) -> str:
         return dataset_path(self.root, dataset)
 
+    def versions(self, dataset: str) -> Versions:
+        return Versions(self.spark, dataset_path(self.root, dataset, "conformed"))
+
     def conformed(self, dataset: str) -> str:
-        return dataset_path(self.root, dataset, "conformed")
+        """The folder of the version that is read."""
+        versions = self.versions(dataset)
+        version = versions.current()
+        if version is None:
+            raise RuntimeError(f"nothing cleaned of {dataset}; run the cleaning first")
+        return versions.path(version)
 
     def read(self, dataset: str, outcome: str = GOOD) -> DataFrame:
         """Good rows or rejects of a conformed dataset. The outcome is a folder, so one is read."""
@@ -76,7 +88,9 @@ class Lake:
         return rows.drop(OUTCOME, "dt", *([REASON, _BAD_COLUMNS, BAD_VALUES] if outcome == GOOD else []))
 
 
-def _write_outcomes(tagged: DataFrame, path: str, cluster_by: Sequence[str]) -> dict[str, int]:
+def _write_outcomes(
+    tagged: DataFrame, path: str, cluster_by: Sequence[str], replace_all: bool = True
+) -> dict[str, int]:
     """Write good rows and rejects in one job and count both in it.
 
     Text that is no date goes to the default partition, so bad dates cannot multiply folders.
@@ -92,58 +106,110 @@ def _write_outcomes(tagged: DataFrame, path: str, cluster_by: Sequence[str]) ->
         .withColumn(OUTCOME, F.when(F.col(REASON).isNull(), GOOD).otherwise(BAD))
         .withColumn("dt", F.when(is_day, F.col("repdte")))
     )
-    write_partitions(rows, path, [OUTCOME, "dt"], cluster_by=cluster_by, replace_all=True)
+    write_partitions(rows, path, [OUTCOME, "dt"], cluster_by=cluster_by, replace_all=replace_all)
     return counts.get
 
 
-def _clean(
-    lake: Lake,
-    datasets: Sequence[str],
-    output: str,
-    project: Callable[[DataFrame], DataFrame],
-    keys: Sequence[str],
-    measure: str,
-) -> dict[str, int]:
-    """Union all deliveries of a dataset before the dedupe, which absorbs repeated ones."""
-    parts = [read_projected(lake.spark, lake.raw(name), project) for name in datasets]
-    if parts[0] is None:
-        raise RuntimeError(f"no raw {datasets[0]} partitions to clean")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows if part is None else rows.unionByName(part)
-    tagged = clean_tagged(rows, keys, [measure], keep_all_rejects=True, text_days=["repdte"])
-    named = tagged.withColumnRenamed(BAD_CAST, _BAD_COLUMNS)  # which raw values a reject is for
-    return _write_outcomes(named, lake.conformed(output), ["cert"])
+@dataclass(frozen=True)
+class Cleaning:
+    """How one conformed dataset comes from raw ones."""
+
+    datasets: tuple[str, ...]
+    output: str
+    project: Callable[[DataFrame], DataFrame]
+    fields: Mapping[str, str]
+    keys: Sequence[str]
+    measure: str
+
+    def tagged(self, lake: Lake, partitions: Mapping[str, Sequence[str]] | None = None) -> DataFrame | None:
+        """Good rows and rejects of all raw partitions, or of those named per dataset. All deliveries are
+        united before the dedupe, which absorbs repeated ones."""
+        parts = [
+            read_projected(
+                lake.spark,
+                lake.raw(name),
+                self.project,
+                None if partitions is None else partitions[name],
+                self.fields,
+            )
+            for name in self.datasets
+        ]
+        found = [part for part in parts if part is not None]
+        if not found:
+            return None
+        rows = reduce(DataFrame.unionByName, found)
+        tagged = clean_tagged(rows, self.keys, [self.measure], keep_all_rejects=True, text_days=["repdte"])
+        return tagged.withColumnRenamed(BAD_CAST, _BAD_COLUMNS)  # which raw values a reject is for
+
+
+FINANCIALS_CLEANING = Cleaning(
+    ("financials", STREAM_DATASET), "financials", project_financials, FINANCIALS_FIELDS, FINANCIALS_KEY, "asset"
+)
+BRANCHES_CLEANING = Cleaning(
+    ("sod",), "branch_deposits", project_branches, BRANCH_FIELDS, BRANCH_KEY, "depsumbr"
+)
+
+
+def clean(lake: Lake, cleaning: Cleaning) -> dict[str, int]:
+    """Clean all of a dataset into a new version, which is read once it is whole."""
+    tagged = cleaning.tagged(lake)
+    if tagged is None:
+        raise RuntimeError(f"no raw {cleaning.datasets[0]} partitions to clean")
+    versions = lake.versions(cleaning.output)
+    version = versions.new()
+    counts = _write_outcomes(tagged, versions.path(version), ["cert"])
+    versions.publish(version)
+    versions.prune()
+    return counts
+
+
+def clean_dates(lake: Lake, cleaning: Cleaning, first: str, last: str) -> dict[str, int]:
+    """Clean the report dates from `first` to `last`, yyyyMMdd, again and leave the others as they are.
+
+    The key contains the report date, so a date's rows depend on the raw partitions of that date
+    alone, which are its own by how they are landed. Spark replaces the touched partitions when all
+    of them are written. Rows without a report date are not of any range.
+    """
+    wanted = {
+        name: [v for v in partition_values(lake.spark, lake.raw(name)) if first[: len(v)] <= v <= last[: len(v)]]
+        for name in cleaning.datasets
+    }
+    tagged = cleaning.tagged(lake, wanted)
+    if tagged is None:
+        return {GOOD: 0, BAD: 0}
+    rows = tagged.filter(F.col("repdte").between(first, last))
+    return _write_outcomes(rows, lake.conformed(cleaning.output), ["cert"], replace_all=False)
 
 
 def clean_financials(lake: Lake) -> dict[str, int]:
-    return _clean(
-        lake, ["financials", STREAM_DATASET], "financials", project_financials, FINANCIALS_KEY, "asset"
-    )
+    return clean(lake, FINANCIALS_CLEANING)
 
 
 def clean_branches(lake: Lake) -> dict[str, int]:
-    return _clean(lake, ["sod"], "branch_deposits", project_branches, BRANCH_KEY, "depsumbr")
+    return clean(lake, BRANCHES_CLEANING)
 
 
 def clean_institutions(lake: Lake) -> dict[str, int]:
     snapshots = read_projected(lake.spark, lake.raw("institutions"), project_snapshots)
     if snapshots is None:
         raise RuntimeError("no raw institutions partitions to clean")
-    outputs = {
-        GOOD: (build_history(snapshots), lake.conformed("institution_history")),
-        BAD: (rejected_snapshots(snapshots), lake.conformed("institution_rejects")),
-    }
+    outputs = {GOOD: ("institution_history", build_history), BAD: ("institution_rejects", rejected_snapshots)}
     counts = {}
-    for outcome, (rows, path) in outputs.items():
-        rows.write.mode("overwrite").parquet(path)
-        counts[outcome] = lake.spark.read.parquet(path).count()  # from the file footers
+    written = []
+    for outcome, (dataset, make) in outputs.items():
+        versions = lake.versions(dataset)
+        version = versions.new()
+        make(snapshots).write.parquet(versions.path(version))
+        counts[outcome] = lake.spark.read.parquet(versions.path(version)).count()  # from the footers
+        written.append((versions, version))
+    for versions, version in written:
+        versions.publish(version)
+        versions.prune()
     return counts
 
 
-def load(lake: Lake) -> None:
+def load(lake: Lake, warehouse: Warehouse) -> None:
     """Cleaned datasets as typed tables."""
-    warehouse = lake.warehouse
     history = lake.spark.read.parquet(lake.conformed("institution_history"))
     load_table(warehouse, HISTORY_TABLE, history, HISTORY, day_format="yyyy-MM-dd")
     load_table(warehouse, FINANCIALS_TABLE, lake.read("financials"), FINANCIALS)
@@ -174,6 +240,7 @@ def build_models(warehouse: Warehouse) -> None:
         models.fct_financials(filings, warehouse.table("dim_institution")),
         bucket_by="cert",
         sort_by=["repdte"],
+        rows=filings.count(),  # the join keeps them, and their number is in the file footers
     )
     fact = warehouse.table(FACT_TABLE)
     warehouse.replace("mart_latest_financials", marts.latest_financials(fact), sort_by=["cert"])
@@ -201,11 +268,24 @@ def gate(warehouse: Warehouse, checks: Sequence[Check] = GATE_CHECKS) -> None:
         raise ChecksFailedError(failures)
 
 
+def publish(lake: Lake, checks: Sequence[Check] = GATE_CHECKS, published_at: datetime | None = None) -> None:
+    """Build the next version of all curated tables, check it, and only then let it be read.
+
+    If a check fails, what was published before stays as it is and is still served."""
+    staged = lake.warehouse.begin()
+    load(lake, staged)
+    build_models(staged)
+    gate(staged, checks)
+    publish_freshness(staged, staged.table(FACT_TABLE), published_at)
+    lake.warehouse.publish(staged)
+    stage(lake.warehouse)
+
+
 def refresh(
     lake: Lake, checks: Sequence[Check] = GATE_CHECKS, published_at: datetime | None = None
 ) -> dict[str, dict[str, int]]:
-    """Run every stage in order. A stage that fails stops the run; rerunning it is safe, because
-    each stage replaces what it writes."""
+    """Run every stage in order. A stage that fails stops the run and leaves what it would have
+    replaced; rerunning it is safe."""
     prepare(lake.spark)
     require_raw(lake.spark, lake.root)
     counts = {
@@ -213,10 +293,24 @@ def refresh(
         "financials": clean_financials(lake),
         "branch_deposits": clean_branches(lake),
     }
-    load(lake)
-    build_models(lake.warehouse)
-    gate(lake.warehouse, checks)
-    publish_freshness(
-        lake.warehouse, lake.warehouse.table(FACT_TABLE), published_at
-    )
+    publish(lake, checks, published_at)
+    return counts
+
+
+def refresh_dates(
+    lake: Lake,
+    first: str,
+    last: str,
+    checks: Sequence[Check] = GATE_CHECKS,
+    published_at: datetime | None = None,
+) -> dict[str, dict[str, int]]:
+    """A refresh after deliveries of the report dates from `first` to `last` only: these are cleaned
+    again, snapshots and tables wholly, as a late one changes what follows it."""
+    prepare(lake.spark)
+    counts = {
+        "institutions": clean_institutions(lake),
+        "financials": clean_dates(lake, FINANCIALS_CLEANING, first, last),
+        "branch_deposits": clean_dates(lake, BRANCHES_CLEANING, first, last),
+    }
+    publish(lake, checks, published_at)
     return counts

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingmill.schemas import FRESHNESS
+from filingmill.sources.landing import _exists
+from filingmill.sources.versions import Versions
 
+BUCKET_ROWS = 5_000_000  # of the widest table, a few hundred megabytes
 FRESHNESS_TABLE = "pipeline_freshness"
 
 
@@ -19,20 +22,61 @@ FRESHNESS_TABLE = "pipeline_freshness"
 class Warehouse:
     """A catalog database whose tables live under `location`.
 
-    `buckets` is the number of hash buckets of a table clustered by one key. Reads that group or
-    window by that key need no shuffle; choose it so that a bucket fits an executor.
+    A set of tables that belong together is built aside with `begin` and takes the place of the one
+    before with `publish`, so readers never meet a half-built or unchecked set. A session whose
+    catalog does not know the tables reads the published files.
+
+    A table clustered by one key has as many hash buckets as it has multiples of `bucket_rows`, or
+    `buckets` if that is given. Reads that group or window by that key need no shuffle.
     """
 
     spark: SparkSession
     database: str
     location: str
-    buckets: int = 8
+    buckets: int | None = None
+    bucket_rows: int = BUCKET_ROWS
+    version: str | None = None
+
+    @property
+    def versions(self) -> Versions:
+        return Versions(self.spark, self.location)
 
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
     def path(self, table: str) -> str:
-        return f"{self.location}/{table}"
+        return "/".join([self.location, *([self.version] if self.version else []), table])
+
+    def begin(self) -> Warehouse:
+        """A warehouse for the next version, with a database of its own."""
+        version = self.versions.new()
+        return replace(self, database=f"{self.database}_{version.replace('-', '_')}", version=version)
+
+    def publish(self, staged: Warehouse) -> None:
+        """Make the tables of a version the ones that are read.
+
+        Its marker is the switch for other sessions. In this one, a name is a view of the table of the
+        version, replaced in one step each."""
+        self.ensure_database()
+        before = self.versions.current()
+        self.versions.publish(staged.version)
+        for table in self.spark.catalog.listTables(staged.database):
+            if table.isTemporary:
+                continue
+            if self._is_table(table.name):
+                self.spark.sql(f"DROP TABLE {self.name(table.name)}")
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.name(table.name)} AS SELECT * FROM {staged.name(table.name)}"
+            )
+        for version in self.versions.prune():
+            if version != before:
+                old = f"{self.database}_{version.replace('-', '_')}"
+                self.spark.sql(f"DROP DATABASE IF EXISTS `{old}` CASCADE")
+
+    def _is_table(self, table: str) -> bool:
+        if not self.spark.catalog.tableExists(f"{self.database}.{table}"):
+            return False
+        return self.spark.catalog.getTable(f"{self.database}.{table}").tableType != "VIEW"
 
     def ensure_database(self) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
@@ -43,10 +87,21 @@ class Warehouse:
         if not self.exists(table):
             self.replace(table, self.spark.createDataFrame([], schema))
 
-    def exists(self, table: str) -> bool:
+    def _published_path(self, table: str) -> str | None:
+        """Where the files of a published table lie that this session's catalog does not know."""
+        version = self.version or self.versions.current()
+        path = None if version is None else f"{self.versions.path(version)}/{table}"
+        return path if path is not None and _exists(self.spark, path) else None
+
+    def _in_catalog(self, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
+    def exists(self, table: str) -> bool:
+        return self._in_catalog(table) or self._published_path(table) is not None
+
     def table(self, table: str) -> DataFrame:
+        if not self._in_catalog(table) and (path := self._published_path(table)):
+            return self.spark.read.parquet(path)
         return self.spark.table(self.name(table))
 
     def replace(
@@ -55,19 +110,23 @@ class Warehouse:
         df: DataFrame,
         bucket_by: str | None = None,
         sort_by: Sequence[str] = (),
+        rows: int | None = None,
     ) -> None:
         """Truncate and load, each file sorted by `sort_by` so reads can skip by its bounds.
 
-        A bucketed table is shuffled by the key first, so there is one file per bucket.
+        A bucketed table is shuffled by the key first, so there is one file per bucket; `rows`, if
+        known, saves counting them for the number of buckets.
         """
         self.ensure_database()
+        buckets = 0
         if bucket_by:
-            arranged = df.repartition(self.buckets, bucket_by)
+            buckets = self.buckets or -(-(df.count() if rows is None else rows) // self.bucket_rows) or 1
+            arranged = df.repartition(buckets, bucket_by)
         else:
             arranged = df.sortWithinPartitions(*sort_by) if sort_by else df
         writer = arranged.write.format("parquet").mode("overwrite").option("path", self.path(table))
         if bucket_by:
-            writer = writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by, *sort_by)
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by)
         writer.saveAsTable(self.name(table))
 
 

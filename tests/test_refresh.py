@@ -7,7 +7,7 @@ from pyspark.sql.functions import col
 
 from filingmill.jobs import main
 from filingmill.plans.quality import changed_rows
-from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh
+from filingmill.plans.refresh import BAD, ChecksFailedError, Lake, refresh, refresh_dates
 from filingmill.plans.serving import NO_TABLE, NOT_PUBLISHED, NotFoundError, Reads
 from filingmill.schemas import FRESHNESS
 from filingmill.sources.landing import dataset_path, land, write_partitions
@@ -231,3 +231,72 @@ def test_the_refresh_command(spark, tmp_path):
 def test_commands_refuse_missing_arguments():
     with pytest.raises(SystemExit):
         main(["replay", "--root", "r"])
+
+
+def test_a_failing_check_leaves_the_previous_tables_served(spark, tmp_path):
+    lake = make_lake(spark, tmp_path, "kept")
+    fill(spark, lake.root)
+    refresh(lake, published_at=PUBLISHED)
+    before = Reads(lake.warehouse).institutions().items
+    strangers = spark.createDataFrame([(7, "Bank 7", "City", "ZZ", "N", "OCC", None, "20250101")], INSTITUTION)
+    write_partitions(strangers, dataset_path(lake.root, "institutions"))
+    with pytest.raises(ChecksFailedError):
+        refresh(lake, published_at=dt.datetime(2027, 1, 1, tzinfo=dt.UTC))
+    assert Reads(lake.warehouse).institutions().items == before
+    assert Reads(lake.warehouse).health().published_at == dt.datetime(2026, 1, 1)
+
+
+def test_a_session_that_does_not_know_the_tables_reads_what_is_published(lake, spark):
+    elsewhere = Warehouse(spark, "another_catalog", lake.warehouse.location)
+    assert Reads(elsewhere).health().status == "ok"
+    assert Reads(elsewhere).institutions().items == Reads(lake.warehouse).institutions().items
+    assert Reads(Warehouse(spark, "another_catalog", lake.root + "/nothing")).health().detail == NO_TABLE
+
+
+def test_cleaned_data_survives_a_job_that_fails(lake, spark, monkeypatch):
+    from filingmill.plans import refresh as plan
+
+    rows = lake.read("financials").count()
+
+    def fail(*args, **kwargs):
+        raise OSError("no space")
+
+    monkeypatch.setattr(plan, "write_partitions", fail)
+    with pytest.raises(OSError, match="no space"):
+        plan.clean_financials(lake)
+    assert lake.read("financials").count() == rows
+
+
+def test_only_the_last_versions_are_kept(lake):
+    for _ in range(3):
+        refresh(lake, published_at=PUBLISHED)
+    assert len(lake.versions("financials")._names()) == 2
+    assert len(lake.warehouse.versions._names()) == 2
+    assert Reads(lake.warehouse).health().status == "ok"
+
+
+def test_cleaning_some_dates_again_equals_cleaning_all(spark, tmp_path):
+    lake = make_lake(spark, tmp_path, "dates")
+    fill(spark, lake.root)
+    refresh(lake, published_at=PUBLISHED)
+    rows = [filing(c, QUARTERS[1], 7.0 * c) for c in (1, 2, 3)] + [filing(None, QUARTERS[1], 3.0)]
+    late = spark.createDataFrame(rows, FILING)
+    land(late, lake.root, "financials", late.REPDTE, source_url="u", batch_id="b2", ingested_at="2025-02-01")
+    counts = refresh_dates(lake, QUARTERS[1], QUARTERS[1], published_at=PUBLISHED)
+    assert counts["financials"] == {"cleaned": 3, "quarantine": 1}
+    found = {}
+    for outcome in ("cleaned", BAD):
+        lake.read("financials", outcome).write.parquet(f"{lake.root}/partly/{outcome}")
+        found[outcome] = spark.read.parquet(f"{lake.root}/partly/{outcome}")
+    mart = sorted(map(str, lake.warehouse.table("mart_asset_growth").collect()))
+    refresh(lake, published_at=PUBLISHED)
+    for outcome, rows in found.items():
+        assert changed_rows(rows, lake.read("financials", outcome)).count() == 0
+    assert sorted(map(str, lake.warehouse.table("mart_asset_growth").collect())) == mart
+
+
+def test_buckets_follow_the_rows(spark, tmp_path):
+    warehouse = Warehouse(spark, "bucketed", str(tmp_path), bucket_rows=10)
+    warehouse.replace("t", spark.range(35).selectExpr("id cert"), bucket_by="cert")
+    detail = {r.col_name: r.data_type for r in spark.sql("describe formatted bucketed.t").collect()}
+    assert detail["Num Buckets"] == "4"
