@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from filingmill.functions.columns import surrogate_key, year_quarter
 from filingmill.operators.asof import join_as_of
-from filingmill.schemas import LOW_WATER_MARK, OPEN_END, UNKNOWN_NAME, UNKNOWN_SK
+from filingmill.schemas import (
+    BRANCHES,
+    FINANCIALS,
+    LOW_WATER_MARK,
+    OPEN_END,
+    PROVENANCE,
+    UNKNOWN_NAME,
+    UNKNOWN_SK,
+)
 
 
 def _staged(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -20,19 +28,11 @@ def _staged(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def stage_financials(loaded: DataFrame) -> DataFrame:
-    return _staged(
-        loaded,
-        ["cert", "repdte", "name", "stalp", "stname", "bkclass"]
-        + ["asset", "dep", "eq", "netinc", "roa", "roe"],
-    )
+    return _staged(loaded, [c for c in FINANCIALS.names if c not in PROVENANCE])
 
 
 def stage_branches(loaded: DataFrame) -> DataFrame:
-    return _staged(
-        loaded,
-        ["cert", "uninumbr", "namefull", "citybr", "stalpbr", "stnamebr"]
-        + ["depsumbr", "asset", "year", "repdte"],
-    )
+    return _staged(loaded, [c for c in BRANCHES.names if c not in PROVENANCE])
 
 
 def stage_history(loaded: DataFrame) -> DataFrame:

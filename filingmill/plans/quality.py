@@ -117,6 +117,7 @@ Check = NotNull | Unique | Accepted | Reference | NoOverlap
 
 _FACT = "fct_bank_quarterly_financials"
 
+# What is declared of each model.
 DECLARED_CHECKS: tuple[Check, ...] = (
     NotNull("dim_institution", ("institution_sk",)),
     NotNull("dim_date", ("date_day",)),

@@ -48,6 +48,8 @@ PROVENANCE = ("_ingested_at", "_batch_id")
 FINANCIALS_KEY = ("cert", "repdte")
 BRANCH_KEY = ("uninumbr", "cert", "repdte")  # the most selective first: sorts compare it first
 
+# ---- fixed values: ends of a history, the member for what is unknown, what a refresh needs ------
+
 LOW_WATER_MARK = "1900-01-01"
 OPEN_END = "9999-12-31"
 UNKNOWN_SK = "unknown"
@@ -59,29 +61,100 @@ REQUIRED_RAW = ("institutions", "financials", "sod")
 
 BANK_CLASSES = ("NM", "SM", "N", "SI", "SB", "NC", "SL", "OI")
 
-STATE_CODES = tuple(
-    "AK AL AR AZ CA CO CT DC DE FL FM GA GU HI IA ID IL IN KS KY LA MA MD ME MI MN MO MS MT "
-    "NC ND NE NH NJ NM NV NY OH OK OR PA PR RI SC SD TN TX UT VA VI VT WA WI WV WY".split()
-)
+STATE_CODES = (
+    "AK", "AL", "AR", "AZ", "CA", "CO", "CT", "DC", "DE", "FL", "FM", "GA",
+    "GU", "HI", "IA", "ID", "IL", "IN", "KS", "KY", "LA", "MA", "MD", "ME",
+    "MI", "MN", "MO", "MS", "MT", "NC", "ND", "NE", "NH", "NJ", "NM", "NV",
+    "NY", "OH", "OK", "OR", "PA", "PR", "RI", "SC", "SD", "TN", "TX", "UT",
+    "VA", "VI", "VT", "WA", "WI", "WV", "WY",
+)
 
 # ---- fixed values: fields the branch survey is known to carry, by kind ---------------------------
 
-BRANCH_TEXT_FIELDS = tuple(
-    "ADDRESBR ADDRESS BKCLASS BRCENM CALL CBSA_DIV_NAMB CHARTER CHRTAGNN CHRTAGNT CITY CITY2BR "
-    "CITYBR CITYHCR CNTRYNA CNTRYNAB CNTYNAMB CSANAMBR FDICNAME FEDNAME HCTMULT INSAGNT1 INSURED "
-    "MSANAMB NAMEBR NAMEFULL NAMEHCR NECNAMB NECTABR OCCNAME REGAGNT SIMS_ACQUIRED_DATE "
-    "SIMS_DESCRIPTION SIMS_ESTABLISHED_DATE SIMS_PROJECTION SPECDESC STALP STALPBR STALPHCR "
-    "STNAME STNAMEBR ZIP ZIPBR ZIPBR_RAW ZIP_RAW".split()
-)
-BRANCH_NUMBER_FIELDS = tuple(
-    "ASSET BKMO BRNUM BRSERTYP CB CERT CLCODE CNTYNUMB CONSOLD CSABR DENOVO DEPDOM DEPSUM "
-    "DEPSUMBR DIVISIONB DOCKET ESCROW FDICDBS FED INSBRDD INSBRTS METROBR MICROBR MSABR OCCDIST "
-    "PLACENUM RSSDHCR RSSDID SIMS_LATITUDE SIMS_LONGITUDE SPECGRP STCNTY STCNTYBR STNUMBR "
-    "UNINUMBR UNIT USA YEAR".split()
-)
-BRANCH_DICTIONARY = dict.fromkeys(BRANCH_TEXT_FIELDS, "string") | dict.fromkeys(
-    BRANCH_NUMBER_FIELDS, "number"
-)
+BRANCH_DICTIONARY = {
+    "ADDRESBR": "string",
+    "ADDRESS": "string",
+    "ASSET": "number",
+    "BKCLASS": "string",
+    "BKMO": "number",
+    "BRCENM": "string",
+    "BRNUM": "number",
+    "BRSERTYP": "number",
+    "CALL": "string",
+    "CB": "number",
+    "CBSA_DIV_NAMB": "string",
+    "CERT": "number",
+    "CHARTER": "string",
+    "CHRTAGNN": "string",
+    "CHRTAGNT": "string",
+    "CITY": "string",
+    "CITY2BR": "string",
+    "CITYBR": "string",
+    "CITYHCR": "string",
+    "CLCODE": "number",
+    "CNTRYNA": "string",
+    "CNTRYNAB": "string",
+    "CNTYNAMB": "string",
+    "CNTYNUMB": "number",
+    "CONSOLD": "number",
+    "CSABR": "number",
+    "CSANAMBR": "string",
+    "DENOVO": "number",
+    "DEPDOM": "number",
+    "DEPSUM": "number",
+    "DEPSUMBR": "number",
+    "DIVISIONB": "number",
+    "DOCKET": "number",
+    "ESCROW": "number",
+    "FDICDBS": "number",
+    "FDICNAME": "string",
+    "FED": "number",
+    "FEDNAME": "string",
+    "HCTMULT": "string",
+    "INSAGNT1": "string",
+    "INSBRDD": "number",
+    "INSBRTS": "number",
+    "INSURED": "string",
+    "METROBR": "number",
+    "MICROBR": "number",
+    "MSABR": "number",
+    "MSANAMB": "string",
+    "NAMEBR": "string",
+    "NAMEFULL": "string",
+    "NAMEHCR": "string",
+    "NECNAMB": "string",
+    "NECTABR": "string",
+    "OCCDIST": "number",
+    "OCCNAME": "string",
+    "PLACENUM": "number",
+    "REGAGNT": "string",
+    "RSSDHCR": "number",
+    "RSSDID": "number",
+    "SIMS_ACQUIRED_DATE": "string",
+    "SIMS_DESCRIPTION": "string",
+    "SIMS_ESTABLISHED_DATE": "string",
+    "SIMS_LATITUDE": "number",
+    "SIMS_LONGITUDE": "number",
+    "SIMS_PROJECTION": "string",
+    "SPECDESC": "string",
+    "SPECGRP": "number",
+    "STALP": "string",
+    "STALPBR": "string",
+    "STALPHCR": "string",
+    "STCNTY": "number",
+    "STCNTYBR": "number",
+    "STNAME": "string",
+    "STNAMEBR": "string",
+    "STNUMBR": "number",
+    "UNINUMBR": "number",
+    "UNIT": "number",
+    "USA": "number",
+    "YEAR": "number",
+    "ZIP": "string",
+    "ZIPBR": "string",
+    "ZIPBR_RAW": "string",
+    "ZIP_RAW": "string",
+}
 
 # ---- fixed values: rankable metric -> (mart, column) ---------------------------------------------
 
@@ -151,6 +224,7 @@ HEALTH = columns_of(
 
 # ---- the message topic: columns as the Kafka source names them -----------------------------------
 
+# Fixed values, too.
 TOPIC = "filing.received"
 DT_MARKER = "_repdte_partition"
 MESSAGE = columns_of("key string, value string, partition int, offset bigint")
