@@ -18,7 +18,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingmill.llm.common import map_texts
+from filingmill.llm.common import map_texts, stored
 from filingmill.llm.urls import host_and_path
 
 SHARE = 0.8  # of the running text of a host that its main element holds
@@ -209,7 +209,8 @@ def classes(found: DataFrame) -> DataFrame:
         F.sum("links").alias("links"),
         F.max("weight").alias("weight"),
     )
-    summed = summed.withColumn("chars", running).drop("links", "weight")
+    # Read more than once below; pages are not parsed again for it.
+    summed = stored(summed.withColumn("chars", running).drop("links", "weight"), "ways")
     sizes = summed.groupBy("host", "pages", "vector").agg(F.count("*").alias("size"))
     hosts = summed.filter(F.col("way") == BODY).select("host", F.col("pages").alias("all_pages"))
     joined = summed.join(sizes, ["host", "pages", "vector"]).join(hosts, "host")
@@ -260,7 +261,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         F.col(key).cast("long").alias("page"), F.col(url).cast("string").alias("url"), host_and_path(url)[0].alias("host"),
         F.col(page).cast("string").alias("html"),
     )
-    main = templates(classes(tokens(rows)))
+    main = templates(stored(classes(tokens(rows)), "classes"))
     # One row per host on the right: Spark splits a host with many pages, or sends the templates
     # along if they prove small.
     joined = rows.join(main, "host", "left").select(
