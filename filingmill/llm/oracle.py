@@ -65,3 +65,77 @@ pairs as (
 ranked as (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int rank from pairs)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
+
+# Words between ASCII white space in lower case as to A-Z; runs of three, or all if fewer; components
+# by following links to their ends.
+SQL["op6_jaccard_join"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws
+  from documents),
+grams as (
+  select distinct doc_id, unnest(case when len(ws) between 1 and 2 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end) gram
+  from words),
+sizes as (select doc_id, count(*) n from grams group by doc_id),
+met as (
+  select a.doc_id a, b.doc_id b, count(*) o
+  from grams a join grams b on a.gram = b.gram and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from met join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * o >= 90 * (x.n + y.n - o)),
+edges as (select a, b from links union all select b, a from links),
+reached as (
+  select doc_id, doc_id as other from documents
+  union
+  select r.doc_id, e.b from reached r join edges e on r.other = e.a)
+select r.doc_id, coalesce(any_value(s.n), 0) n_shingles, min(r.other) component_id
+from reached r left join sizes s on s.doc_id = r.doc_id group by r.doc_id
+"""
+
+# Windows of ten words, or whole items if shorter, looked up among the runs of so many words of a text.
+SQL["op7_decontaminate"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from documents),
+items as (
+  select item_id::varchar item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws
+  from benchmark),
+phrases as (
+  select distinct item_id, least(len(ws), 10) size,
+    unnest(list_transform(range(1, greatest(len(ws) - 10, 0) + 2),
+      lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) phrase
+  from items where len(ws) > 0),
+runs as (
+  select doc_id, size, start, array_to_string(ws[start:start + size - 1], ' ') phrase
+  from (select doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) start
+        from words, (select distinct size from phrases))),
+found as (select doc_id, item_id, start, r.size from runs r join phrases p on p.phrase = r.phrase and p.size = r.size),
+hits as (
+  select doc_id, count(distinct place) n_hit
+  from (select doc_id, unnest(range(start, start + size)) place from found) group by doc_id),
+held as (
+  select doc_id, count(distinct item_id) n_items, string_agg(distinct item_id, ',' order by item_id) ids
+  from found group by doc_id)
+select doc_id, len(ws) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from words left join hits using (doc_id) left join held using (doc_id)
+"""
+
+# Base32 writes five hexadecimal digits as four characters.
+SQL["op8_warc"] = """
+with payloads as (
+  select page_id, coalesce(html, '') payload, sha1(coalesce(html, '')) hex from pages),
+first as (select payload, min(page_id) original from payloads group by payload)
+select page_id, octet_length(encode(payload)) payload_bytes,
+  array_to_string(list_transform(range(0, 32),
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (((('0x' || substr(hex, 5 * (k // 4) + 1, 5))::integer >> (15 - 5 * (k % 4))::integer) & 31) + 1), 1)), '') payload_digest,
+  case when page_id = original then 'response' else 'revisit' end record_type,
+  case when page_id <> original then original end refers_to
+from payloads join first using (payload)
+"""
