@@ -25,6 +25,7 @@ SHARE = 0.8  # of the running text of a host that its main element holds
 FREQUENT = 0.05  # of a host's pages on which a class of the template stands
 ARTICLE_WEIGHT = 20  # of text in elements that say they are the article
 MOST_LINKS = 0.5  # of a slot's characters in links, over the host, beyond which it is a menu
+HOT_SHARE = 0.01  # of all pages, from which on a host's pages are not shuffled
 DEPTH = 48  # levels that are told apart
 BODY = "body"
 
@@ -261,12 +262,17 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         F.col(key).cast("long").alias("page"), F.col(url).cast("string").alias("url"), host_and_path(url)[0].alias("host"),
         F.col(page).cast("string").alias("html"),
     )
-    main = templates(stored(classes(tokens(rows)), "classes"))
-    # One row per host on the right: Spark splits a host with many pages, or sends the templates
-    # along if they prove small.
-    joined = rows.join(main, "host", "left").select(
-        F.struct("page", "url", "main").alias("key"), F.coalesce("html", F.lit("")).alias("text")
-    )
+    found = stored(classes(tokens(rows)), "classes")
+    sizes = found.filter(F.col("way") == BODY).select("host", "pages")
+    total = sizes.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
+    main = stored(templates(found).join(sizes, "host"), "templates")
+    # Hosts with a hundredth of all pages are a hundred at most: their templates go to the pages, which
+    # stay where they are. The pages of the others are shuffled to theirs.
+    hot = main.filter(F.col("pages") >= HOT_SHARE * total).select("host", F.col("main").alias("hot_main"))
+    known = rows.join(F.broadcast(hot), "host", "left")
+    other = known.filter("hot_main is null").join(main.select("host", "main"), "host", "left")
+    united = other.drop("hot_main").unionByName(known.filter("hot_main is not null").withColumnRenamed("hot_main", "main"))
+    joined = united.select(F.struct("page", "url", "main").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
 
     def work(keys, texts):
         return {
