@@ -22,9 +22,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     costs a reread of files and never a recomputation of what led to them."""
     folder = new_folder(frame.sparkSession, label)
     frame.write.parquet(folder)
+    release_shuffles(frame.sparkSession)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Has the driver's garbage collected. Spark deletes the shuffle files of a job once nothing on the
+    driver refers to it, which otherwise may be long after its rows are stored and disks are full."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the executors this package, once per application, where they do not have it installed."""
     context = spark.sparkContext

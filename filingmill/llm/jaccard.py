@@ -69,23 +69,48 @@ def class_bounds(most: int = 1 << 40) -> np.ndarray:
 _BOUNDS = class_bounds()
 
 
+def spare(fragments: int) -> int:
+    """Empty segments that a set may have among so many without its empty ones being needed."""
+    return fragments // 6 + 2
+
+
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """How many of its keys a set of n n-grams shares with any that is similar but not equal."""
+    size_class = int(np.searchsorted(_BOUNDS, n, side="right"))
+    return 1 + (int(difference(2 * int(_BOUNDS[size_class] - 1), percent)) + 1) // 6
+
+
 def segment_keys(grams: np.ndarray, percent: int = PERCENT) -> list[int]:
-    """A hash of each segment, for the class of the set's size and for that of the largest set similar
-    to it. Sets that are similar share one, unless they must be equal."""
+    """A hash of each segment that is needed, for the class of the set's size and for the classes of
+    larger sets similar to it. Sets that are similar share `least_shared` of them, unless they must be
+    equal.
+
+    If a set and its like differ in d n-grams at most, then of any d + e + s segments, e of them empty,
+    s are equal and not empty; so no more are made. More than one is asked for, as texts that have no
+    more in common than a passage often share one. Only sets with more empty ones than is usual also
+    give those, as only pairs of such sets need them.
+    """
     n = len(grams)
     own, above = np.searchsorted(_BOUNDS, [n, n * 100 // percent], side="right")
+    differ = int(difference(n + n * 100 // percent, percent))
+    if not differ:
+        return []
     keys: list[int] = []
-    for size_class in {int(own), int(above)}:
-        # The largest size of the class decides how many n-grams a pair of it may differ in.
-        fragments = int(difference(2 * int(_BOUNDS[size_class] - 1), percent)) + 1
-        if fragments == 1:
-            continue
+    for size_class in range(int(own), int(above) + 1):
+        # Fragments are those of the class; how many of them are needed, the set's size says.
+        most = int(difference(2 * int(_BOUNDS[size_class] - 1), percent)) + 1
+        fragments = most + spare(most) + most // 6
+        needed = min(differ + 1 + spare(most) + most // 6, fragments)
         place = ((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-        sums = np.zeros(fragments, np.uint64)
         starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        sums = np.zeros(fragments, np.uint64)
         sums[place[starts]] = np.add.reduceat(_mixed(grams), starts)
         names = np.arange(fragments, dtype=np.uint64) * _MULTIPLIERS[40] + _MULTIPLIERS[41:42] * np.uint64(size_class)
-        keys += _mixed(sums + names).view(np.int64).tolist()
+        full = np.zeros(fragments, bool)
+        full[place[starts]] = True
+        hashes = _mixed(sums + names)[:needed].view(np.int64)
+        given = full[:needed] if needed - full[:needed].sum() <= spare(most) else slice(None)
+        keys += hashes[given].tolist()
     return keys
 
 
@@ -95,7 +120,8 @@ def _signature(grams: np.ndarray) -> int | None:
 
 
 def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n, node (a number of the set; null if empty), keys of its segments."""
+    """doc_id, n, node (a number of the set; null if empty), keys of its segments, and how many of them
+    it shares at least with a similar set."""
 
     def start():
         def work(keys, texts):
@@ -105,21 +131,26 @@ def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str =
                 "n": [len(g) for g in grams],
                 "node": [_signature(g) for g in grams],
                 "keys": [segment_keys(g, percent) if len(g) else [] for g in grams],
+                "least": [least_shared(len(g), percent) for g in grams],
             }
 
         return work
 
-    return map_texts(text_rows(docs, key, text), "doc_id long, n long, node long, keys array<long>", start)
+    return map_texts(text_rows(docs, key, text), "doc_id long, n long, node long, keys array<long>, least long", start)
 
 
 def shared_keys(found: DataFrame) -> DataFrame:
-    """key, node of the segments that more than one node has.
+    """key, node of the segments that more than one node has, of nodes with enough of them.
 
     The first and last node of each key are found by an aggregation that combines copies before the
     shuffle; the join with the keys that have two is split where one is hot."""
-    rows = found.select("node", F.explode("keys").alias("key"))
+    rows = found.select("node", "least", F.explode("keys").alias("key"))
     ends = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    return rows.join(ends.filter("first <> last").select("key"), "key").select("key", "node").distinct()
+    # Stored by itself, so that the disk never holds this shuffle and that of the join.
+    keys = stored(ends.filter("first <> last").select("key"), "keys")
+    shared = stored(rows.join(keys, "key").select("key", "node", "least").distinct(), "shared")
+    enough = shared.groupBy("node", "least").agg(F.count("*").alias("n")).filter("n >= least")
+    return shared.join(enough.select("node"), "node", "left_semi").select("key", "node")
 
 
 def small_or_not(frame: DataFrame) -> DataFrame:
@@ -128,7 +159,7 @@ def small_or_not(frame: DataFrame) -> DataFrame:
 
 
 def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """node, fragment, grams of each of the nodes, from one document each."""
+    """node, segments (its n-grams in each of FRAGMENTS fragments), from one document each."""
     chosen = stored(
         found.join(nodes, "node").filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id")), "chosen"
     )
@@ -137,29 +168,29 @@ def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, ke
 
     def start():
         def work(keys, texts):
-            out = {"id": [], "node": [], "fragment": [], "grams": []}
+            out = {"id": [], "node": [], "segments": []}
             for k, t in zip(keys, texts):
                 grams = shingles(t, words)
                 node = _signature(grams)
-                cuts = np.searchsorted(grams >> np.uint64(61), np.arange(FRAGMENTS + 1))
-                for i in range(FRAGMENTS):
-                    out["id"].append(k)
-                    out["node"].append(node)
-                    out["fragment"].append(i)
-                    out["grams"].append(grams[cuts[i] : cuts[i + 1]].view(np.int64))
+                cuts = np.searchsorted(grams >> np.uint64(61), np.arange(FRAGMENTS + 1)).tolist()
+                out["id"].append(k)
+                out["node"].append(node)
+                out["segments"].append([grams[i:j].view(np.int64) for i, j in zip(cuts, cuts[1:])])
             return out
 
         return work
 
-    schema = "id long, node long, fragment int, grams array<long>"
-    segments = map_texts(text_rows(rows, "id", "text"), schema, start)
-    # A document may stand in the table twice, and an id with another text.
-    return segments.join(chosen, ["id", "node"], "left_semi").dropDuplicates(["node", "fragment"]).drop("id")
+    schema = "id long, node long, segments array<array<long>>"
+    found = map_texts(text_rows(rows, "id", "text"), schema, start)
+    # An id may stand in the table twice, with the same or another text.
+    if not texts.groupBy("id").count().filter("count > 1").isEmpty():
+        found = found.join(chosen, ["id", "node"], "left_semi").dropDuplicates(["node"])
+    return found.drop("id")
 
 
 def own_grams(segments: DataFrame) -> DataFrame:
     """node, own: how many n-grams of the node no other one has."""
-    rows = segments.select("node", F.explode("grams").alias("gram"))
+    rows = segments.select("node", F.explode(F.flatten("segments")).alias("gram"))
     single = rows.groupBy("gram").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
     return single.groupBy("node").agg(F.count("*").alias("own"))
 
@@ -172,18 +203,19 @@ def possible(n: str, own: str, m: str, other: str, percent: int) -> Column:
     return least * (100 + percent) <= (n_ + m_) * (100 - percent)
 
 
-def similar(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Of pairs a, b those that are similar: overlaps are counted by fragment and summed by pair."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    part = F.size(F.array_intersect("grams_a", "grams_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", part.alias("part"))
-    overlaps = partial.groupBy("a", "b").agg(F.sum("part").alias("overlap"))
-    size_a = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    size_b = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-    both = overlaps.join(size_a, "a").join(size_b, "b")
-    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-    return both.filter(100 * F.col("overlap") >= percent * union).select("a", "b")
+def similar(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """Of pairs a, b those that are similar: overlaps are counted in each fragment and summed by pair."""
+    ends = [pairs.select(F.col(c).alias("node")).distinct() for c in ("a", "b")]
+    nodes = stored(ends[0].unionByName(ends[1]).distinct(), "nodes")
+    used = segments.join(small_or_not(nodes), "node", "left_semi")
+    left = used.select(F.col("node").alias("a"), F.col("segments").alias("of_a"))
+    right = used.select(F.col("node").alias("b"), F.col("segments").alias("of_b"))
+    parts = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    size_a, size_b = (F.size(F.flatten(c)) for c in ("of_a", "of_b"))
+    both = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.aggregate(parts, F.lit(0), lambda total, part: total + part).alias("overlap"), (size_a + size_b).alias("sizes")
+    )
+    return both.filter(100 * F.col("overlap") >= percent * (F.col("sizes") - F.col("overlap"))).select("a", "b")
 
 
 def links(
@@ -193,7 +225,7 @@ def links(
     shared = stored(shared_keys(found.filter("node is not null and doc_id is not null")), "shared")
     nodes = shared.select("node").distinct()
     segments = stored(grams_of(docs, found, nodes, words, key, text), "segments")
-    sizes = segments.groupBy("node").agg(F.sum(F.size("grams")).alias("n"))
+    sizes = segments.select("node", F.size(F.flatten("segments")).cast("long").alias("n"))
     sizes = sizes.join(own_grams(segments), "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     sizes = stored(sizes, "sizes")
     # Even the smallest set allowed next to it may lack only so much of what is a node's own.
@@ -207,12 +239,12 @@ def links(
     lead = lead.select("key", F.col("lead.node").alias("b"), F.col("lead.own").alias("own_b"), F.col("lead.n").alias("n_b"))
     pairs = members.join(lead, "key").filter(F.col("node") != F.col("b"))
     pairs = stored(pairs.filter(possible("n", "own", "n_b", "own_b", percent)).select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    linked = stored(similar(pairs, segments, sizes, percent), "links")
+    linked = stored(similar(pairs, segments, percent), "links")
 
     rest = stored(remaining(members, components(linked), percent), "pairs")
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = rest.join(done, ["a", "b"], "left_anti")
-    return linked.unionByName(similar(rest, segments, sizes, percent))
+    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
+    return linked.unionByName(similar(rest, segments, percent))
 
 
 def remaining(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -224,17 +256,23 @@ def remaining(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     parts = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
     split = largest.filter("parts > 1").select("key", F.col("top.component").alias("largest"))
-    rows = rows.join(split, "key")
+    # Each with all its keys, so that a pair is met in the first of those it shares, and once.
+    rows = stored(rows.join(split, "key"), "rows")
+    every = rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    rows = rows.join(every, "node")
     outside = rows.filter("component <> largest").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("component").alias("component_a")
-    )
+        F.col("key").alias("key_a"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"),
+        F.col("component").alias("component_a"), F.col("keys").alias("keys_a"),
+    )
     met = outside.join(
         rows,
-        (outside["key"] == rows["key"])
+        (F.col("key_a") == F.col("key"))
         & (F.col("component_a") != F.col("component"))
         & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
-        & possible("n_a", "own_a", "n", "own", percent),
+        & possible("n_a", "own_a", "n", "own", percent)
+        & (F.array_min(F.array_intersect("keys_a", "keys")) == F.col("key")),
     )
+    # Which of two components is the largest may differ from key to key.
     return met.select("a", F.col("node").alias("b")).distinct()
 
 

@@ -94,14 +94,15 @@ def test_odd_rows(spark):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.integers(1, 300), st.integers(0, 40), st.integers(0, 40), st.integers(0, 2**32))
-def test_similar_sets_share_a_segment(n, more_a, more_b, seed):
+@given(st.integers(1, 300), st.integers(0, 40), st.integers(0, 40), st.integers(0, 2**32), st.sampled_from([90, 80]))
+def test_similar_sets_share_a_segment(n, more_a, more_b, seed, percent):
     rng = np.random.default_rng(seed)
     pool = np.unique(rng.integers(0, 2**64, n + more_a + more_b, np.uint64))
     rng.shuffle(pool)
     a, b = np.sort(pool[: n + more_a]), np.sort(np.append(pool[:n], pool[n + more_a :]))
-    if 100 * n >= 90 * len(pool) and len(a) + len(b) > 2 * n:
-        assert set(jaccard.segment_keys(a)) & set(jaccard.segment_keys(b))
+    if 100 * n >= percent * len(pool) and len(a) + len(b) > 2 * n:
+        shared = set(jaccard.segment_keys(a, percent)) & set(jaccard.segment_keys(b, percent))
+        assert len(shared) >= max(jaccard.least_shared(len(x), percent) for x in (a, b))
 
 
 def test_components(spark):
