@@ -55,6 +55,12 @@ APART_WORDS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended comment comments discussion "
     "respond replies reply disqus form search pagination pager toc skip legal copyright".split()
 )
+# Of these words, those that parts of an article are called as well: they mark a box of links only.
+WEAK_WORDS = frozenset(
+    "promo notice notices alert share sharing social related recommended discussion respond replies reply search toc legal".split()
+)
+# What stands after one of these in a class says how the page is, not what the element is.
+STATES = frozenset("no not has with without hide category tag type format status".split())
 HEAD_WORDS = frozenset(["header", "masthead", "topbar"])  # of a page, but an article has a header too
 ARTICLE = frozenset(["article", "main"])
 
@@ -77,30 +83,111 @@ def _step(tag: str, rest: str) -> str:
 
 
 @lru_cache(maxsize=20_000)
-def _kind(step: str) -> tuple[bool, bool, bool]:
-    """Whether a step is apart from any article, apart unless within one, and an article."""
+def _kind(step: str) -> tuple[bool, bool, bool, bool]:
+    """Whether a step is apart from any article, apart if it is mostly links, apart unless within an
+    article, and an article."""
     tag, *marks = step.split(".")
-    words = {w for m in marks for w in re.split(r"[^a-z]+", m)}
+    words: set[str] = set()
+    for m in marks:
+        parts = re.split(r"[^a-z]+", m)
+        words.update(parts[: next((i for i, w in enumerate(parts) if w in STATES), len(parts))])
     return (
-        tag in APART_TAGS or bool(words & APART_WORDS),
+        tag in APART_TAGS or bool(words & (APART_WORDS - WEAK_WORDS)),
+        bool(words & WEAK_WORDS),
         tag == "header" or bool(words & HEAD_WORDS),
         tag in ARTICLE or bool(words & ARTICLE),
     )
 
 
-@lru_cache(maxsize=50_000)
-def apart(way: str) -> bool:
+@lru_cache(maxsize=20_000)
+def above(way: str) -> tuple[str, ...]:
+    """The ways to the elements on the way down, its own last."""
+    steps = way.split(">")
+    return tuple(">".join(steps[: i + 1]) for i in range(len(steps)))
+
+
+def apart(way: str, cleared: frozenset[str] = frozenset(), boxes: frozenset[str] = frozenset()) -> bool:
+    """Whether a mark on the way down says so. Marks on cleared elements say nothing; the weak ones
+    count on boxes of links."""
     inside = False
-    for step in way.split(">"):
-        never, outside, article = _kind(step)
-        if never or (outside and not inside):
+    for at, step in zip(above(way), way.split(">")):
+        never, weak, outside, article = _kind(step)
+        if (never or (outside and not inside) or (weak and at in boxes)) and at not in cleared:
             return True
         inside |= article
     return False
 
 
+class Marks:
+    """What the marks of a page's elements say, next to how its text is spread over them.
+
+    `known` has the marked elements that are frequent on the host, and whether they hold most running
+    text of the pages they stand on; the others are judged by the page itself."""
+
+    def __init__(self, blocks: list[tuple[str, str, int]], known: dict[str, bool]):
+        chars: Counter[str] = Counter()
+        links: Counter[str] = Counter()
+        self.held: Counter[str] = Counter()
+        for way, text, linked in blocks:
+            for at in above(way):
+                chars[at] += len(text)
+                links[at] += linked
+                if running(text, linked):
+                    self.held[at] += len(text)
+        self.boxes = frozenset(at for at, n in chars.items() if links[at] > MOST_LINKS * n)
+        self.cleared: frozenset[str] = frozenset()
+        self._apart: dict[str, bool] = {}
+        self.declared = self._declares(blocks)
+        self.plain = self.declared  # also without marks cleared
+        if not self.declared:
+            marked = [at for at in self.held if is_marked(at)]
+            whole = {at for at in marked if known.get(at, 2 * self.held[at] > self.held[BODY])}
+            # An element around the article is no box beside it, whatever it is called.
+            around = {at for way in chars for at in _around_article(way)}
+            self.cleared = frozenset(whole | around)
+            self._apart = {}
+            self.declared = self._declares(blocks)
+
+    def apart(self, way: str) -> bool:
+        if way not in self._apart:
+            self._apart[way] = apart(way, self.cleared, self.boxes)
+        return self._apart[way]
+
+    def _declares(self, blocks: list[tuple[str, str, int]]) -> bool:
+        """Elements that say they are the article hold most of the running text that is not apart."""
+        inside = total = 0
+        for way, text, linked in blocks:
+            if running(text, linked) and not self.apart(way):
+                total += len(text)
+                inside += len(text) * in_article(way)
+        return 2 * inside > total
+
+
+def running(text: str, linked: int) -> bool:
+    return linked <= MOST_LINKS * len(text)
+
+
+@lru_cache(maxsize=20_000)
+def is_marked(way: str) -> bool:
+    return any(_kind(way.rpartition(">")[2])[:3])
+
+
+@lru_cache(maxsize=20_000)
+def _around_article(way: str) -> tuple[str, ...]:
+    """The ways down to the outermost article element that has no mark itself, unless it stands in a
+    menu, an aside or a footer."""
+    for i, at in enumerate(above(way)):
+        step = at.rpartition(">")[2]
+        if step.split(".")[0] in ("nav", "aside", "footer"):
+            return ()
+        if _kind(step)[3] and not any(_kind(step)[:2]):
+            return above(way)[:i]
+    return ()
+
+
+@lru_cache(maxsize=50_000)
 def in_article(way: str) -> bool:
-    return any(_kind(step)[2] for step in way.split(">"))
+    return any(_kind(step)[3] for step in way.split(">"))
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter[str]]:
@@ -168,9 +255,10 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter[str]]:
 
 
 def _tokens(keys: list[int], texts: list[str]) -> dict[str, list]:
-    out: dict[str, list] = {"key": [], "way": [], "n": [], "chars": [], "links": [], "weight": []}
+    out: dict[str, list] = {k: [] for k in ("key", "way", "n", "chars", "links", "weight", "held", "total", "marked")}
     for key, page in zip(keys, texts):
         blocks, ways = blocks_of(page)
+        marks = Marks(blocks, {})
         chars: Counter[str] = Counter()
         links: Counter[str] = Counter()
         for way, text, linked in blocks:
@@ -182,7 +270,11 @@ def _tokens(keys: list[int], texts: list[str]) -> dict[str, list]:
             out["n"].append(n)
             out["chars"].append(chars[way])
             out["links"].append(links[way])
-            out["weight"].append(0 if apart(way) else ARTICLE_WEIGHT if in_article(way) else 1)
+            out["weight"].append(0 if marks.apart(way) else ARTICLE_WEIGHT if in_article(way) else 1)
+            # Where the page says plainly which part is its article, what holds more is not the article.
+            out["held"].append(0 if marks.plain else marks.held[way])
+            out["total"].append(marks.held[BODY])
+            out["marked"].append(is_marked(way))
     return out
 
 
@@ -190,9 +282,9 @@ def tokens(pages: DataFrame) -> DataFrame:
     """host, page, way, n, chars, links, weight of every token of pages with host, page and html."""
     rows = pages.select(F.struct("page", "host").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
     found = map_texts(
-        rows, "key struct<page: long, host: string>, way string, n long, chars long, links long, weight long", lambda: _tokens
+        rows, "key struct<page: long, host: string>, way string, n long, chars long, links long, weight long, held long, total long, marked boolean", lambda: _tokens
     )
-    return found.select("key.host", "key.page", "way", "n", "chars", "links", "weight")
+    return found.select("key.host", "key.page", "way", "n", "chars", "links", "weight", "held", "total", "marked")
 
 
 def classes(found: DataFrame) -> DataFrame:
@@ -209,6 +301,9 @@ def classes(found: DataFrame) -> DataFrame:
         F.sum("chars").alias("chars"),
         F.sum("links").alias("links"),
         F.max("weight").alias("weight"),
+        F.sum("held").alias("held"),
+        F.sum("total").alias("total"),
+        F.max("marked").alias("marked"),
     )
     # Read more than once below; pages are not parsed again for it.
     summed = stored(summed.withColumn("chars", running).drop("links", "weight"), "ways")
@@ -216,7 +311,7 @@ def classes(found: DataFrame) -> DataFrame:
     hosts = summed.filter(F.col("way") == BODY).select("host", F.col("pages").alias("all_pages"))
     joined = summed.join(sizes, ["host", "pages", "vector"]).join(hosts, "host")
     valid = (F.col("pages") == F.col("all_pages")) | ((F.col("size") > 1) & (F.col("pages") >= FREQUENT * F.col("all_pages")))
-    return joined.select("host", "way", (valid & (F.col("most") == 1)).alias("once"), "chars", "pages")
+    return joined.select("host", "way", (valid & (F.col("most") == 1)).alias("once"), "chars", "pages", "all_pages", "held", "total", "marked")
 
 
 def templates(found: DataFrame) -> DataFrame:
@@ -232,18 +327,27 @@ def templates(found: DataFrame) -> DataFrame:
     return fit.groupBy("host").agg(F.max_by("way", F.size(F.split("way", ">"))).alias("main"))
 
 
+def marked(found: DataFrame) -> DataFrame:
+    """host, known: the marked elements frequent on the host, and whether they hold most of its running
+    text, which no menu, comment or advert does. Not longer than twenty pages have elements."""
+    frequent = found.filter("marked").filter(F.col("pages") >= FREQUENT * F.col("all_pages"))
+    return frequent.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("way", 2 * F.col("held") > F.col("total")))).alias("known"))
+
+
 def article_of(main: str) -> str:
     """The way down to the innermost element on it that says it is the article, else the way itself:
     the element with nearly all text may leave out the article's headline."""
     steps = main.split(">")
-    last = max((i for i, step in enumerate(steps) if _kind(step)[2]), default=len(steps) - 1)
+    last = max((i for i, step in enumerate(steps) if _kind(step)[3]), default=len(steps) - 1)
     return ">".join(steps[: last + 1])
 
 
-def text_of(page: str, main: str | None) -> str:
+def text_of(page: str, main: str | None, known: dict[str, bool] | None = None) -> str:
     """The text of the blocks in the main element, and of main headlines outside; where a page has no
-    block there, of those in an article, else of all that are not apart."""
-    kept = [(way, text) for way, text, _ in blocks_of(page)[0] if not apart(way)]
+    block there, of those in an article, else of all that are not apart. If all are apart, none is."""
+    blocks = blocks_of(page)[0]
+    marks = Marks(blocks, known or {})
+    kept = [(way, text) for way, text, _ in blocks if not marks.apart(way)] or [(way, text) for way, text, _ in blocks]
     if main:
         main = article_of(main)
         inside = [way == main or way.startswith(main + ">") for way, _ in kept]
@@ -265,20 +369,21 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     found = stored(classes(tokens(rows)), "classes")
     sizes = found.filter(F.col("way") == BODY).select("host", "pages")
     total = sizes.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    main = stored(templates(found).join(sizes, "host"), "templates")
+    main = stored(sizes.join(templates(found), "host", "left").join(marked(found), "host", "left"), "templates")
     # Hosts with a hundredth of all pages are a hundred at most: their templates go to the pages, which
     # stay where they are. The pages of the others are shuffled to theirs.
-    hot = main.filter(F.col("pages") >= HOT_SHARE * total).select("host", F.col("main").alias("hot_main"))
+    template = main.select("host", F.struct("main", "known").alias("template"), (F.col("pages") >= HOT_SHARE * total).alias("hot"))
+    hot = template.filter("hot").select("host", F.col("template").alias("hot_template"))
     known = rows.join(F.broadcast(hot), "host", "left")
-    other = known.filter("hot_main is null").join(main.select("host", "main"), "host", "left")
-    united = other.drop("hot_main").unionByName(known.filter("hot_main is not null").withColumnRenamed("hot_main", "main"))
-    joined = united.select(F.struct("page", "url", "main").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
+    other = known.filter("hot_template is null").join(template.drop("hot"), "host", "left")
+    united = other.drop("hot_template").unionByName(known.filter("hot_template is not null").withColumnRenamed("hot_template", "template"))
+    joined = united.select(F.struct("page", "url", "template").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
 
     def work(keys, texts):
         return {
             "page_id": [k["page"] for k in keys],
             "url": [k["url"] for k in keys],
-            "text": [text_of(t, k["main"]) for k, t in zip(keys, texts)],
+            "text": [text_of(t, k["template"]["main"], dict(k["template"]["known"] or [])) for k, t in zip(keys, texts)],
         }
 
     return map_texts(joined, "page_id long, url string, text string", lambda: work)

@@ -79,3 +79,24 @@ def test_classes_of_a_host(spark):
 def test_broken_markup_takes_linear_time():
     for page in ('<a "' * 100_000, "<" * 300_000, "<p" * 100_000, "<!--" * 100_000, "<script>" * 50_000, "</p>" * 100_000, "<li>" * 20_000, "<x a=" * 50_000):
         pages.blocks_of(page)
+
+
+def test_marks_around_the_article(spark):
+    """A mark on what holds the article does not cost it; one on a box beside it still does."""
+    around = {
+        "form": "<form id=aspnetForm>%s<div class=comments><p>First!</p></div></form>",
+        "layout": "<div class='layout no-sidebar'>%s</div><div class=sidebar><p>Popular</p></div>",
+        "sidebar": "<div class=sidebar-layout>%s</div><div class=comments><p>First!</p></div>",
+        "post": "<article class='post has-comments'>%s</article><div class=comments><p>First!</p></div>",
+        "legal": "<article class='category-legal'>%s</article><aside>Read this</aside>",
+        "promo": "<div class=promo><main>%s</main></div><footer>c 2020</footer>",
+        "only": "<div class=alert>%s</div>",
+    }
+    rows, texts = [], {}
+    for name, wrap in around.items():
+        for i in range(4):
+            key = len(rows)
+            rows.append((key, f"http://{name}.example/{i}", wrap % f"<h1>Title {i}</h1><p>The text of page {i} has many words in it.</p><section class=related-work><p>Work {i} by others.</p></section>"))
+            texts[key] = f"Title {i}\nThe text of page {i} has many words in it.\nWork {i} by others."
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == texts
