@@ -1,15 +1,16 @@
 """Main text of web pages by template deduction over the pages of a host.
 
-A token is the way down to an element: tags with their class or id. Tokens that occur equally often on
-every page of a host share an occurrence vector and make an equivalence class; classes that are large
-and frequent belong to the host's template, and the way down nests one in another. Of the template's
-elements that stand once on a page, the deepest that holds nearly all running text of the host is
-the main one, and the slots left in it are the article. What its marks call a menu, an advert, a
-comment and the like is template all the same, also within.
+A token is the way down to an element, tags with their class or id, or the text at such a way. Tokens
+that occur equally often on every page of a host share an occurrence vector and make an equivalence
+class; classes that are large and frequent belong to the host's template, and the way down nests one
+in another. Text in the class of its way is the template's, what varies is in a slot. Marks, that is
+tags, classes and ids that name a menu, an advert, a comment and the like, make the rest template
+too, and where a page declares its article, that is the main element.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -22,6 +23,9 @@ from filingmill.llm.common import map_texts, stored
 from filingmill.llm.urls import host_and_path
 
 SHARE = 0.8  # of the running text of a host that its main element holds
+MANY = 3  # different articles at least, from which text that is the same on all pages is the template's
+VARIED = 0.5  # of the pages with a way, that have different articles
+LEADS = 3  # longest blocks by which articles are told apart, so that near copies are not
 FREQUENT = 0.05  # of a host's pages on which a class of the template stands
 ARTICLE_WEIGHT = 20  # of text in elements that say they are the article
 MOST_LINKS = 0.5  # of a slot's characters in links, over the host, beyond which it is a menu
@@ -254,16 +258,26 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter[str]]:
     return blocks, ways
 
 
+def _digest(texts: list[str]) -> int:
+    """64 bits; lone surrogates, which references can give, are digested too."""
+    joined = "\n".join(texts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
+
+
 def _tokens(keys: list[int], texts: list[str]) -> dict[str, list]:
-    out: dict[str, list] = {k: [] for k in ("key", "way", "n", "chars", "links", "weight", "held", "total", "marked")}
+    out: dict[str, list] = {k: [] for k in ("key", "way", "n", "chars", "links", "weight", "held", "total", "marked", "words", "seen", "lead")}
     for key, page in zip(keys, texts):
         blocks, ways = blocks_of(page)
         marks = Marks(blocks, {})
+        seen = _digest([page])
+        lead = _digest(sorted({text for _, text, linked in blocks if running(text, linked)}, key=lambda t: (-len(t), t))[:LEADS])
+        words: dict[str, list[str]] = {}
         chars: Counter[str] = Counter()
         links: Counter[str] = Counter()
         for way, text, linked in blocks:
             chars[way] += len(text)
             links[way] += linked
+            words.setdefault(way, []).append(text)
         for way, n in ways.items():
             out["key"].append(key)
             out["way"].append(way)
@@ -275,6 +289,9 @@ def _tokens(keys: list[int], texts: list[str]) -> dict[str, list]:
             out["held"].append(0 if marks.plain else marks.held[way])
             out["total"].append(marks.held[BODY])
             out["marked"].append(is_marked(way))
+            out["words"].append(_digest(words[way]) if way in words else 0)
+            out["seen"].append(seen)
+            out["lead"].append(lead)
     return out
 
 
@@ -282,21 +299,28 @@ def tokens(pages: DataFrame) -> DataFrame:
     """host, page, way, n, chars, links, weight of every token of pages with host, page and html."""
     rows = pages.select(F.struct("page", "host").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
     found = map_texts(
-        rows, "key struct<page: long, host: string>, way string, n long, chars long, links long, weight long, held long, total long, marked boolean", lambda: _tokens
+        rows, "key struct<page: long, host: string>, way string, n long, chars long, links long, weight long, held long, total long, marked boolean, words long, seen long, lead long", lambda: _tokens
     )
-    return found.select("key.host", "key.page", "way", "n", "chars", "links", "weight", "held", "total", "marked")
+    return found.select("key.host", "key.page", "way", "n", "chars", "links", "weight", "held", "total", "marked", "words", "seen", "lead")
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """host, way, once, chars (weighted, of running text), pages, of the tokens in the template.
+    """host, way, once, fixed, chars (weighted, of running text), pages and what marked() needs, of all tokens.
+
+    The vector of a token, its number on every page of the host, is kept as sums of hashes of page and
+    number: equal vectors are equal, whatever the number of pages. A page is its key and content, so
+    rows that repeat a key do not cancel. A class is valid if it is large, that is, not one token alone,
+    and frequent; the only page of a host is a template by itself.
 
-    The vector of a token, its number on every page of the host, is kept as an xor of hashes of page
-    and number: equal vectors are equal, whatever the number of pages. A class is valid if it is large,
-    that is, not one token alone, and frequent; the only page of a host is a template by itself."""
+    The text at a way is a token too. Its vector is that of the way if all pages with the way have the
+    same text there: then no slot is left, and the text is fixed, if the class is frequent and its pages
+    have many different articles. Copies of an article are no template, nor is its headline."""
     running = F.when(F.col("links") > MOST_LINKS * F.col("chars"), 0).otherwise(F.col("chars") * F.col("weight"))
-    summed = found.groupBy("host", "way").agg(
+    summed = found.withColumn("token", F.xxhash64("page", "seen", "n")).groupBy("host", "way").agg(
         F.count("*").alias("pages"),
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+        F.struct(F.sum(F.shiftrightunsigned("token", 32)), F.sum(F.col("token").bitwiseAND(0xFFFFFFFF))).alias("vector"),
+        ((F.min("words") == F.max("words")) & (F.sum("chars") > 0)).alias("same"),
+        F.approx_count_distinct("lead").alias("articles"),
         F.max("n").alias("most"),
         F.sum("chars").alias("chars"),
         F.sum("links").alias("links"),
@@ -311,7 +335,11 @@ def classes(found: DataFrame) -> DataFrame:
     hosts = summed.filter(F.col("way") == BODY).select("host", F.col("pages").alias("all_pages"))
     joined = summed.join(sizes, ["host", "pages", "vector"]).join(hosts, "host")
     valid = (F.col("pages") == F.col("all_pages")) | ((F.col("size") > 1) & (F.col("pages") >= FREQUENT * F.col("all_pages")))
-    return joined.select("host", "way", (valid & (F.col("most") == 1)).alias("once"), "chars", "pages", "all_pages", "held", "total", "marked")
+    several = F.col("articles") >= F.greatest(F.lit(MANY), VARIED * F.col("pages"))
+    headline = F.col("way").rlike(r">h1(\.[^>]*)?$")
+    fixed = F.col("same") & several & ~headline & (F.col("pages") >= FREQUENT * F.col("all_pages"))
+    joined = joined.withColumn("fixed", fixed)
+    return joined.select("host", "way", "fixed", (valid & (F.col("most") == 1)).alias("once"), "chars", "pages", "all_pages", "held", "total", "marked")
 
 
 def templates(found: DataFrame) -> DataFrame:
@@ -327,6 +355,12 @@ def templates(found: DataFrame) -> DataFrame:
     return fit.groupBy("host").agg(F.max_by("way", F.size(F.split("way", ">"))).alias("main"))
 
 
+def fixed(found: DataFrame) -> DataFrame:
+    """host, fixed: the ways at which the host's pages have the template's text. Frequent ones only, so
+    not more than twenty pages have."""
+    return found.filter("fixed").groupBy("host").agg(F.collect_list("way").alias("fixed"))
+
+
 def marked(found: DataFrame) -> DataFrame:
     """host, known: the marked elements frequent on the host, and whether they hold most of its running
     text, which no menu, comment or advert does. Not longer than twenty pages have elements."""
@@ -342,12 +376,13 @@ def article_of(main: str) -> str:
     return ">".join(steps[: last + 1])
 
 
-def text_of(page: str, main: str | None, known: dict[str, bool] | None = None) -> str:
-    """The text of the blocks in the main element, and of main headlines outside; where a page has no
+def text_of(page: str, main: str | None, known: dict[str, bool] | None = None, fixed: frozenset[str] = frozenset()) -> str:
+    """The text of the slots between the template's text: of the blocks in the main element, and of main headlines outside; where a page has no
     block there, of those in an article, else of all that are not apart. If all are apart, none is."""
     blocks = blocks_of(page)[0]
     marks = Marks(blocks, known or {})
-    kept = [(way, text) for way, text, _ in blocks if not marks.apart(way)] or [(way, text) for way, text, _ in blocks]
+    kept = [(way, text) for way, text, _ in blocks if not marks.apart(way) and way not in fixed]
+    kept = kept or [(way, text) for way, text, _ in blocks if not marks.apart(way)] or [(way, text) for way, text, _ in blocks]
     if main:
         main = article_of(main)
         inside = [way == main or way.startswith(main + ">") for way, _ in kept]
@@ -369,10 +404,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     found = stored(classes(tokens(rows)), "classes")
     sizes = found.filter(F.col("way") == BODY).select("host", "pages")
     total = sizes.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    main = stored(sizes.join(templates(found), "host", "left").join(marked(found), "host", "left"), "templates")
+    main = stored(sizes.join(templates(found), "host", "left").join(marked(found), "host", "left").join(fixed(found), "host", "left"), "templates")
     # Hosts with a hundredth of all pages are a hundred at most: their templates go to the pages, which
     # stay where they are. The pages of the others are shuffled to theirs.
-    template = main.select("host", F.struct("main", "known").alias("template"), (F.col("pages") >= HOT_SHARE * total).alias("hot"))
+    template = main.select("host", F.struct("main", "known", "fixed").alias("template"), (F.col("pages") >= HOT_SHARE * total).alias("hot"))
     hot = template.filter("hot").select("host", F.col("template").alias("hot_template"))
     known = rows.join(F.broadcast(hot), "host", "left")
     other = known.filter("hot_template is null").join(template.drop("hot"), "host", "left")
@@ -383,7 +418,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         return {
             "page_id": [k["page"] for k in keys],
             "url": [k["url"] for k in keys],
-            "text": [text_of(t, k["template"]["main"], dict(k["template"]["known"] or [])) for k, t in zip(keys, texts)],
+            "text": [
+                text_of(t, k["template"]["main"], dict(k["template"]["known"] or []), frozenset(k["template"]["fixed"] or []))
+                for k, t in zip(keys, texts)
+            ],
         }
 
     return map_texts(joined, "page_id long, url string, text string", lambda: work)

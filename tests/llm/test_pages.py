@@ -100,3 +100,26 @@ def test_marks_around_the_article(spark):
             texts[key] = f"Title {i}\nThe text of page {i} has many words in it.\nWork {i} by others."
     found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in found} == texts
+
+
+def test_text_of_the_template_within_the_article(spark):
+    """The same text on all pages is the template's; copies of one article and their headlines are not."""
+    rows, texts = [], {}
+    for i in range(12):
+        body = f"<div class=x1><h1>Title {i}</h1><p>Text {i} is long enough to be read.</p><div class=x2><p>Tell your friends</p></div></div>"
+        rows.append((i, f"http://a.example/{i}", body))
+        texts[i] = f"Title {i}\nText {i} is long enough to be read."
+    for i in range(12, 24):
+        rows.append((i, f"http://b.example/{i}", f"<div class=x1><h1>Title</h1><p>One text.</p><div class=x2>A quotation.</div></div><i>{i}</i>"))
+        texts[i] = f"Title\nOne text.\nA quotation.\n{i}"
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found if r.page_id < 12} == {i: t for i, t in texts.items() if i < 12}
+    assert all(r.text.startswith("Title\nOne text.\nA quotation.") for r in found if r.page_id >= 12)
+
+
+def test_rows_that_repeat_a_key(spark):
+    """Pages under one key are pages of their own, and an even number of them has a vector too."""
+    frame = spark.createDataFrame([(1, "h", page) for page in ("<p>a<p>b", "<p>a<p>b", "<p>a</p><div>c</div>", "<ul><li>d</ul>")], "page long, host string, html string")
+    found = pages.classes(pages.tokens(frame)).collect()
+    once = {r.way for r in found if r.once}
+    assert once == {"body", "body>div", "body>ul", "body>ul>li"} - {"body>div"}
