@@ -14,6 +14,7 @@ import hashlib
 import html
 import re
 from collections import Counter
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -22,13 +23,11 @@ from pyspark.sql import functions as F
 from filingmill.llm.common import map_texts, stored
 from filingmill.llm.urls import host_and_path
 
-SHARE = 0.8  # of the running text of a host that its main element holds
 MANY = 3  # different articles at least, from which text that is the same on all pages is the template's
 VARIED = 0.5  # of the pages with a way, that have different articles
 LEADS = 3  # longest blocks by which articles are told apart, so that near copies are not
 FREQUENT = 0.05  # of a host's pages on which a class of the template stands
-ARTICLE_WEIGHT = 20  # of text in elements that say they are the article
-MOST_LINKS = 0.5  # of a slot's characters in links, over the host, beyond which it is a menu
+MOST_LINKS = 0.5  # of a block's or element's characters in links, beyond which it is a menu
 HOT_SHARE = 0.01  # of all pages, from which on a host's pages are not shuffled
 DEPTH = 48  # levels that are told apart
 BODY = "body"
@@ -264,48 +263,58 @@ def _digest(texts: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
 
 
+def is_headline(way: str) -> bool:
+    return way.rpartition(">")[2].split(".")[0] == "h1"
+
+
+TOKEN = (
+    "way string, n long, held long, total long, marked boolean, own long, inner long, outer long, words long, seen long, lead long"
+)
+
+
 def _tokens(keys: list[int], texts: list[str]) -> dict[str, list]:
-    out: dict[str, list] = {k: [] for k in ("key", "way", "n", "chars", "links", "weight", "held", "total", "marked", "words", "seen", "lead")}
+    out: dict[str, list] = {k: [] for k in ("key", *(c.split()[0] for c in TOKEN.split(", ")))}
     for key, page in zip(keys, texts):
         blocks, ways = blocks_of(page)
         marks = Marks(blocks, {})
         seen = _digest([page])
         lead = _digest(sorted({text for _, text, linked in blocks if running(text, linked)}, key=lambda t: (-len(t), t))[:LEADS])
         words: dict[str, list[str]] = {}
-        chars: Counter[str] = Counter()
-        links: Counter[str] = Counter()
+        own: Counter[str] = Counter()
+        inner: Counter[str] = Counter()
         for way, text, linked in blocks:
-            chars[way] += len(text)
-            links[way] += linked
             words.setdefault(way, []).append(text)
+            # Running text that a main element must not leave out; a headline stays wherever it is.
+            if running(text, linked) and not marks.apart(way) and not is_headline(way) and (in_article(way) or not marks.declared):
+                own[way] += len(text)
+                for at in above(way):
+                    inner[at] += len(text)
         for way, n in ways.items():
             out["key"].append(key)
             out["way"].append(way)
             out["n"].append(n)
-            out["chars"].append(chars[way])
-            out["links"].append(links[way])
-            out["weight"].append(0 if marks.apart(way) else ARTICLE_WEIGHT if in_article(way) else 1)
             # Where the page says plainly which part is its article, what holds more is not the article.
             out["held"].append(0 if marks.plain else marks.held[way])
             out["total"].append(marks.held[BODY])
             out["marked"].append(is_marked(way))
-            out["words"].append(_digest(words[way]) if way in words else 0)
+            out["own"].append(own[way])
+            out["inner"].append(inner[way])
+            out["outer"].append(inner[BODY])
+            out["words"].append(_digest(words[way]) if way in words else None)
             out["seen"].append(seen)
             out["lead"].append(lead)
     return out
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """host, page, way, n, chars, links, weight of every token of pages with host, page and html."""
+    """host, page and the columns of TOKEN of every token of pages with host, page and html."""
     rows = pages.select(F.struct("page", "host").alias("key"), F.coalesce("html", F.lit("")).alias("text"))
-    found = map_texts(
-        rows, "key struct<page: long, host: string>, way string, n long, chars long, links long, weight long, held long, total long, marked boolean, words long, seen long, lead long", lambda: _tokens
-    )
-    return found.select("key.host", "key.page", "way", "n", "chars", "links", "weight", "held", "total", "marked", "words", "seen", "lead")
+    found = map_texts(rows, f"key struct<page: long, host: string>, {TOKEN}", lambda: _tokens)
+    return found.select("key.host", "key.page", *(c.split()[0] for c in TOKEN.split(", ")))
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """host, way, once, fixed, chars (weighted, of running text), pages and what marked() needs, of all tokens.
+    """host, way, pages, vector, once, fixed and what templates() and marked() need, of all tokens.
 
     The vector of a token, its number on every page of the host, is kept as sums of hashes of page and
     number: equal vectors are equal, whatever the number of pages. A page is its key and content, so
@@ -315,50 +324,65 @@ def classes(found: DataFrame) -> DataFrame:
     The text at a way is a token too. Its vector is that of the way if all pages with the way have the
     same text there: then no slot is left, and the text is fixed, if the class is frequent and its pages
     have many different articles. Copies of an article are no template, nor is its headline."""
-    running = F.when(F.col("links") > MOST_LINKS * F.col("chars"), 0).otherwise(F.col("chars") * F.col("weight"))
+    halves = F.struct(
+        F.sum(F.shiftrightunsigned("token", 32)).alias("high"), F.sum(F.col("token").bitwiseAND(0xFFFFFFFF)).alias("low")
+    )
     summed = found.withColumn("token", F.xxhash64("page", "seen", "n")).groupBy("host", "way").agg(
         F.count("*").alias("pages"),
-        F.struct(F.sum(F.shiftrightunsigned("token", 32)), F.sum(F.col("token").bitwiseAND(0xFFFFFFFF))).alias("vector"),
-        ((F.min("words") == F.max("words")) & (F.sum("chars") > 0)).alias("same"),
-        F.approx_count_distinct("lead").alias("articles"),
+        halves.alias("vector"),
         F.max("n").alias("most"),
-        F.sum("chars").alias("chars"),
-        F.sum("links").alias("links"),
-        F.max("weight").alias("weight"),
-        F.sum("held").alias("held"),
-        F.sum("total").alias("total"),
+        ((F.min("words") == F.max("words")) & (F.count("words") == F.count("*"))).alias("same"),
+        F.approx_count_distinct("lead").alias("articles"),
+        F.when(F.min("own") == F.max("own"), F.max("own")).otherwise(0).alias("own"),
+        *(F.sum(c).alias(c) for c in ("held", "total", "inner", "outer")),
         F.max("marked").alias("marked"),
     )
     # Read more than once below; pages are not parsed again for it.
-    summed = stored(summed.withColumn("chars", running).drop("links", "weight"), "ways")
+    summed = stored(summed, "ways")
     sizes = summed.groupBy("host", "pages", "vector").agg(F.count("*").alias("size"))
     hosts = summed.filter(F.col("way") == BODY).select("host", F.col("pages").alias("all_pages"))
     joined = summed.join(sizes, ["host", "pages", "vector"]).join(hosts, "host")
-    valid = (F.col("pages") == F.col("all_pages")) | ((F.col("size") > 1) & (F.col("pages") >= FREQUENT * F.col("all_pages")))
+    frequent = F.col("pages") >= FREQUENT * F.col("all_pages")
+    valid = (F.col("pages") == F.col("all_pages")) | ((F.col("size") > 1) & frequent)
     several = F.col("articles") >= F.greatest(F.lit(MANY), VARIED * F.col("pages"))
-    headline = F.col("way").rlike(r">h1(\.[^>]*)?$")
-    fixed = F.col("same") & several & ~headline & (F.col("pages") >= FREQUENT * F.col("all_pages"))
-    joined = joined.withColumn("fixed", fixed)
-    return joined.select("host", "way", "fixed", (valid & (F.col("most") == 1)).alias("once"), "chars", "pages", "all_pages", "held", "total", "marked")
+    headline = F.col("way").rlike(r"(^|>)h1(\.[^>]*)?$")
+    return joined.select(
+        "host", "way", "pages", "all_pages", "vector", (valid & (F.col("most") == 1)).alias("once"),
+        (F.coalesce("same", F.lit(False)) & several & ~headline & frequent).alias("fixed"), "own", "held", "total", "inner", "outer", "marked",
+    )
 
 
 def templates(found: DataFrame) -> DataFrame:
-    """host, main: the way to the element that holds the host's articles."""
-    above = F.transform(
-        F.sequence(F.lit(1), F.size(F.split("way", ">"))), lambda n: F.array_join(F.slice(F.split("way", ">"), F.lit(1), n), ">")
-    )
-    held = found.select("host", F.explode(above).alias("way"), "chars").groupBy("host", "way").agg(F.sum("chars").alias("held"))
-    total = held.filter(F.col("way") == BODY).select("host", F.col("held").alias("total"))
-    once = found.filter("once").select("host", "way")
-    fit = held.join(once, ["host", "way"]).join(total, "host").filter(F.col("held") >= SHARE * F.col("total"))
-    # More than a half each, so there is one at most on a level.
-    return fit.groupBy("host").agg(F.max_by("way", F.size(F.split("way", ">"))).alias("main"))
-
-
-def fixed(found: DataFrame) -> DataFrame:
-    """host, fixed: the ways at which the host's pages have the template's text. Frequent ones only, so
-    not more than twenty pages have."""
-    return found.filter("fixed").groupBy("host").agg(F.collect_list("way").alias("fixed"))
+    """host, main: the ways to elements that hold the host's articles, one for each layout at least.
+
+    Such an element stands once on its pages, and all running text these have outside it is fixed text
+    of its own class or of the class of all pages. Where a deeper one stands on as many pages, it is that."""
+    every = F.col("pages") == F.col("all_pages")
+    text = found.filter("fixed").select("host", "way", "vector", "own", every.alias("every"))
+    on_all = text.filter("every").groupBy("host").agg(F.sum("own").alias("on_all"))
+    in_class = text.filter("not every").groupBy("host", "vector").agg(F.sum("own").alias("in_class"))
+    steps = F.split("way", ">")
+
+    def upward(last):
+        return F.explode(F.transform(F.sequence(F.lit(1), last), lambda n: F.array_join(F.slice(steps, F.lit(1), n), ">")))
+
+    once = found.filter("once").select("host", "way", "vector", "pages", "inner", "outer")
+    below = text.select("host", F.col("vector").alias("of"), "own", "every", upward(F.size(steps)).alias("way"))
+    within = once.select("host", "way", "vector").join(below, ["host", "way"]).filter(F.col("every") | (F.col("of") == F.col("vector")))
+    within = within.groupBy("host", "way").agg(F.sum("own").alias("within"))
+    joined = once.join(on_all, "host", "left").join(in_class, ["host", "vector"], "left").join(within, ["host", "way"], "left")
+    joined = joined.na.fill(0, ["on_all", "in_class", "within"])
+    outside = F.col("pages") * (F.col("on_all") + F.col("in_class") - F.col("within"))
+    full = (F.col("outer") - F.col("inner") == outside) & (F.col("inner") > F.col("pages") * F.col("within"))
+    whole = joined.filter(full).select("host", "way", "pages")
+    over = whole.filter(F.size(steps) > 1).select("host", upward(F.size(steps) - 1).alias("way"), "pages")
+    return whole.join(over, ["host", "way", "pages"], "left_anti").select("host", F.col("way").alias("main"))
+
+
+def listed(found: DataFrame, flag: str) -> DataFrame:
+    """host and its ways with this flag. Both flags are for frequent ways only, so these are not more
+    than twenty pages have."""
+    return found.filter(flag).groupBy("host").agg(F.collect_list("way").alias(flag))
 
 
 def marked(found: DataFrame) -> DataFrame:
@@ -368,28 +392,45 @@ def marked(found: DataFrame) -> DataFrame:
     return frequent.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("way", 2 * F.col("held") > F.col("total")))).alias("known"))
 
 
-def article_of(main: str) -> str:
-    """The way down to the innermost element on it that says it is the article, else the way itself:
-    the element with nearly all text may leave out the article's headline."""
-    steps = main.split(">")
-    last = max((i for i, step in enumerate(steps) if _kind(step)[3]), default=len(steps) - 1)
-    return ">".join(steps[: last + 1])
+@dataclass(frozen=True)
+class Template:
+    """What is known of a host's pages: main elements, once-only ones, marked ones, fixed text."""
+
+    mains: frozenset[str] = frozenset()
+    once: frozenset[str] = frozenset()
+    known: dict[str, bool] = field(default_factory=dict)
+    fixed: frozenset[str] = frozenset()
+
+    @classmethod
+    def of(cls, row: dict) -> Template:
+        return cls(frozenset(row["mains"] or []), frozenset(row["once"] or []), dict(row["known"] or []), frozenset(row["fixed"] or []))
+
+    def main(self, kept: list[tuple[str, str, int]]) -> str:
+        """The deepest main element on the page; where other pages with it have text outside it, so that
+        it is none of the host's, the deepest once-only element that holds all running text of the page."""
+        found = {at for way, _, _ in kept for at in above(way)} & self.mains - {BODY}
+        if not found:
+            held = [set(above(way)) for way, text, linked in kept if running(text, linked) and not is_headline(way)]
+            found = set.intersection(*held) & self.once if held else set()
+        return max(found, key=lambda at: (at.count(">"), at), default=BODY)
+
 
+def text_of(page: str, template: Template) -> str:
+    """The text of the slots between the template's text.
 
-def text_of(page: str, main: str | None, known: dict[str, bool] | None = None, fixed: frozenset[str] = frozenset()) -> str:
-    """The text of the slots between the template's text: of the blocks in the main element, and of main headlines outside; where a page has no
-    block there, of those in an article, else of all that are not apart. If all are apart, none is."""
+    Where marks declare the article, it is that and main headlines outside. Elsewhere nothing goes that
+    is not the template's: outside the main element menus, anywhere what is apart or fixed. If that is
+    all there is, it stays."""
     blocks = blocks_of(page)[0]
-    marks = Marks(blocks, known or {})
-    kept = [(way, text) for way, text, _ in blocks if not marks.apart(way) and way not in fixed]
-    kept = kept or [(way, text) for way, text, _ in blocks if not marks.apart(way)] or [(way, text) for way, text, _ in blocks]
-    if main:
-        main = article_of(main)
-        inside = [way == main or way.startswith(main + ">") for way, _ in kept]
-        if any(inside):
-            headline = [way.rpartition(">")[2].split(".")[0] == "h1" for way, _ in kept]
-            return "\n".join([text for (_, text), a, b in zip(kept, inside, headline) if a or b])
-    return "\n".join([text for way, text in kept if in_article(way)] or [text for _, text in kept])
+    marks = Marks(blocks, template.known)
+    kept = [block for block in blocks if not marks.apart(block[0])]
+    kept = [block for block in kept if block[0] not in template.fixed] or kept or blocks
+    if marks.declared:
+        slots = [block for block in kept if in_article(block[0]) or is_headline(block[0])]
+    else:
+        main = template.main(kept)
+        slots = [block for block in kept if main in above(block[0]) or running(*block[1:]) or is_headline(block[0])]
+    return "\n".join(text for _, text, _ in slots or kept)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -404,10 +445,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     found = stored(classes(tokens(rows)), "classes")
     sizes = found.filter(F.col("way") == BODY).select("host", "pages")
     total = sizes.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    main = stored(sizes.join(templates(found), "host", "left").join(marked(found), "host", "left").join(fixed(found), "host", "left"), "templates")
+    mains = templates(found).groupBy("host").agg(F.collect_list("main").alias("mains"))
+    known = marked(found).join(listed(found, "fixed"), "host", "full").join(listed(found, "once"), "host", "full")
+    main = stored(sizes.join(mains, "host", "left").join(known, "host", "left"), "templates")
     # Hosts with a hundredth of all pages are a hundred at most: their templates go to the pages, which
     # stay where they are. The pages of the others are shuffled to theirs.
-    template = main.select("host", F.struct("main", "known", "fixed").alias("template"), (F.col("pages") >= HOT_SHARE * total).alias("hot"))
+    template = main.select("host", F.struct("mains", "once", "known", "fixed").alias("template"), (F.col("pages") >= HOT_SHARE * total).alias("hot"))
     hot = template.filter("hot").select("host", F.col("template").alias("hot_template"))
     known = rows.join(F.broadcast(hot), "host", "left")
     other = known.filter("hot_template is null").join(template.drop("hot"), "host", "left")
@@ -418,10 +461,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         return {
             "page_id": [k["page"] for k in keys],
             "url": [k["url"] for k in keys],
-            "text": [
-                text_of(t, k["template"]["main"], dict(k["template"]["known"] or []), frozenset(k["template"]["fixed"] or []))
-                for k, t in zip(keys, texts)
-            ],
+            "text": [text_of(t, Template.of(k["template"])) for k, t in zip(keys, texts)],
         }
 
     return map_texts(joined, "page_id long, url string, text string", lambda: work)

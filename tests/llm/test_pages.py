@@ -123,3 +123,23 @@ def test_rows_that_repeat_a_key(spark):
     found = pages.classes(pages.tokens(frame)).collect()
     once = {r.way for r in found if r.once}
     assert once == {"body", "body>div", "body>ul", "body>ul>li"} - {"body>div"}
+
+
+def test_parts_beside_the_long_text_and_two_layouts(spark):
+    """A lead, a subtitle, a closing section and the pages of a rare layout are whole; menus still go."""
+    rows, texts = [], {}
+    for i in range(40):
+        links = f"<ul><li><a href=/{i}>Read page {i}</a><li><a href=/x>Read page {i + 1}</a></ul>"
+        menu = f"<div class=m1>{links}</div>"
+        long = f"Text {i} goes on for a while. " * 10
+        if i % 8:
+            story = f"<div class=lead>Lead of {i}.</div><h2>Subtitle {i}</h2><div class=text><p>{long}</p>{links}</div><div class=end>End of {i}.</div>"
+            page = f"<body>{menu}<div class=story>{story}</div></body>"
+            texts[i] = f"Lead of {i}.\nSubtitle {i}\n{long.strip()}\nRead page {i}\nRead page {i + 1}\nEnd of {i}."
+        else:
+            page = f"<body>{menu}<div class=story>Brief {i}</div><div class=other><p>Report {i} is here.</p>{links}</div></body>"
+            texts[i] = f"Brief {i}\nReport {i} is here."
+        rows.append((i, f"http://two.example/{i}", page))
+    found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, text in texts.items():
+        assert found[i] == text if i % 8 else text in found[i]
