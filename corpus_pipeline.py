@@ -10,12 +10,12 @@ from filingmill.llm.common import stored, table
 from filingmill.llm.queries import WORD_VOCABULARY
 
 
-MIN_SHARE = 0.4  # of a text's letters in its main language; below, it is a jumble
+MIN_SHARE = 0.4  # of a text's letters in its main language or in long spans; below, it is a jumble
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: texts without letters, and those without a main language, go; the others get the
-    language found where they had none."""
+    """Language ID: texts without letters, and jumbles of short spans without a main language, go; the
+    others get the language found where they had none. Without any label to learn from, none is found."""
     model = langid.train(docs.filter(~langid.held_out()))
     return langid.keep_identified(docs, model, MIN_SHARE)
 

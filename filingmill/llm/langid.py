@@ -28,6 +28,7 @@ WORD_LIMIT = 6.0  # nats by which one word can favour a language over another
 SCRIPT_SHARE = 0.01  # of a language's letters, from which on it counts as written in a script
 CACHED_WORDS = 200_000
 MAX_WORD = 32
+LONG_SPAN = 40  # letters, from which on a span is prose of its language and no part of a jumble
 FOUND = "language found by the model"
 
 # First code point and name of the ranges in which scripts lie. What is not listed
@@ -315,15 +316,19 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of a table whose text has a language with at least this share of its letters. Rows
-    without a value in `lang` get the language found."""
+    """The rows of a table whose text has at least this share of its letters in its main language and in
+    long spans of any. Rows without a value in `lang` get the main language. If nothing was learned,
+    every text with letters stays, and its language as it is."""
 
     def start():
         labeller = Labeller(model)
 
         def work(texts):
-            best = [_best(s) for s in labeller.spans(texts)]
-            return [b[0] != UNDETERMINED and b[1] >= least for b in best], {FOUND: [b[0] for b in best]}
+            if not model.languages:
+                return [bool(words_of(t)) for t in texts], {FOUND: [None] * len(texts)}
+            spans = labeller.spans(texts)
+            best = [_best(s)[0] for s in spans]
+            return [b != UNDETERMINED and _whole(s, b) >= least for s, b in zip(spans, best)], {FOUND: best}
 
         return work
 
@@ -331,6 +336,11 @@ def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "te
     return found.withColumn(lang, F.coalesce(lang, FOUND)).drop(FOUND)
 
 
+def _whole(spans: list[tuple[int, int, str, int]], main: str) -> float:
+    """The share of letters in the main language or in long spans."""
+    return sum(n for _, _, lang, n in spans if lang == main or n >= LONG_SPAN) / sum(n for _, _, _, n in spans)
+
+
 def _best(spans: list[tuple[int, int, str, int]]) -> tuple[str, float]:
     letters: dict[str, int] = Counter()
     for _, _, lang, n in spans:

@@ -73,3 +73,15 @@ def test_odd_rows(spark):
     assert langid.identify(docs.limit(0), model).count() == 0
     nothing = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_clean_texts_are_kept(spark):
+    """Texts in three languages, and all that have letters if there are no labels."""
+    docs = spark.read.parquet(DOCS)
+    model = langid.train(docs.filter(~langid.held_out()))
+    texts = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max_by("text", "n_chars").alias("text")).collect()}
+    third = "\n".join(texts[lang][:600] for lang in sorted(texts)[:3])
+    assert langid.identify(spark.createDataFrame([(1, third)], "doc_id long, text string"), model).first().score < 0.4
+    rows = spark.createDataFrame([(1, third, None), (2, "12 !?", None), (3, None, None)], "doc_id long, text string, lang string")
+    for known in (model, langid.train(rows)):
+        assert [r.doc_id for r in langid.keep_identified(rows, known, 0.4).collect()] == [1]
