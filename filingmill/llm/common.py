@@ -79,13 +79,15 @@ def map_texts(
 
 
 def rewrite(
-    docs: DataFrame, start: Callable[[], Callable[[list[str]], tuple[list[bool] | None, dict[str, list]]]], text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, start: Callable[[], Callable[..., tuple[list[bool] | None, dict[str, list]]]], text: str = "text",
+    beside: str | None = None,
+) -> DataFrame:
     """The rows with some columns replaced and some rows left out, in place: nothing is joined back, so
     rows without a key and rows that share one are no special case.
 
     A function of the texts (null: empty) returns which rows stay, None for all, and the values of the
-    columns it replaces; columns that the table lacks are ignored."""
+    columns it replaces; columns that the table lacks are ignored. The values of a column `beside` the
+    text are a second argument."""
     ship(docs.sparkSession)
     target = _arrow_schema(docs.schema)
     names = docs.columns
@@ -95,8 +97,9 @@ def rewrite(
         for batch in batches:
             rows = range(batch.num_rows)
             texts = [t or "" for t in batch.column(names.index(text)).to_pylist()]
+            others = batch.column(names.index(beside)).to_pylist() if beside else []
             for some, values in parts(list(rows), texts):
-                keep, replaced = work(values)
+                keep, replaced = work(values, [others[i] for i in some]) if beside else work(values)
                 part = batch.slice(some[0], len(some))
                 columns = [
                     pa.array(replaced[f.name], f.type) if f.name in replaced else part.column(i)

@@ -13,14 +13,16 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingmill.llm.common import map_texts, rewrite, text_rows
+from filingmill.llm.common import map_texts, rewrite, stored, text_rows
 
 WINDOW = 10
 SAMPLED = 8  # every such position of the text is kept
@@ -219,14 +221,20 @@ class Phrases:
         return out
 
 
-def blocks(benchmark: DataFrame, window: int = WINDOW, key: str = "item_id", text: str = "text") -> list[Phrases]:
-    """The benchmark's phrases in blocks of about BLOCK_CHARS characters, so what each task holds of
-    them is bounded however long the benchmark is."""
+def blocks(
+    benchmark: DataFrame, window: int = WINDOW, key: str = "item_id", text: str = "text"
+) -> list[Callable[[], Phrases]]:
+    """The benchmark's phrases in blocks of about BLOCK_CHARS characters, each collected when it is
+    called for, so that the driver and a task hold one of them however long the benchmark is."""
     items = benchmark.select(F.col(key).cast("string").alias("item"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = int(chars // BLOCK_CHARS) + 1
     in_block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [Phrases.of([(r.item, r.text) for r in items.filter(in_block == i).collect()], window) for i in range(n)]
+
+    def block(i: int) -> Phrases:
+        return Phrases.of([(r.item, r.text) for r in items.filter(in_block == i).collect()], window)
+
+    return [partial(block, i) for i in range(n)]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -239,14 +247,43 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _hits(found: list[Phrases], texts: list[str]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
-    if len(found) == 1:
-        return found[0].hits(texts)
-    by_block = [p.hits(texts) for p in found]
-    return [
-        (some[0][0], merged([s for x in some for s in x[1]]), sorted({i for x in some for i in x[2]}))
-        for some in zip(*by_block)
-    ]
+SPANS = "array<struct<start: long, end: long>>"
+HITS = "hits of all blocks"
+ROW = "number of the row"
+
+
+def by_block(rows: DataFrame, found: list[Callable[[], Phrases]], text: str) -> DataFrame:
+    """The rows, that have a ROW each, with HITS: spans and items of all blocks. One pass for each block
+    stores what it hits; only rows with a hit have any."""
+    stores = []
+    for make in found:
+        phrases = make()
+
+        def start(phrases=phrases):
+            def work(keys, texts):
+                hits = [(k, *h[1:]) for k, h in zip(keys, phrases.hits(texts)) if h[1]]
+                return {
+                    "row": [k for k, _, _ in hits],
+                    "spans": [[{"start": a, "end": b} for a, b in spans] for _, spans, _ in hits],
+                    "items": [items for _, _, items in hits],
+                }
+
+            return work
+
+        stores.append(stored(map_texts(text_rows(rows, ROW, text), f"row long, spans {SPANS}, items array<string>", start), "hits"))
+        del phrases, start
+    hits = reduce(DataFrame.unionByName, stores).groupBy(F.col("row").alias(ROW)).agg(
+        F.struct(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).alias(HITS)
+    )
+    return rows.join(hits, ROW, "left")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    return stored(rows.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def _spans(hits) -> list[tuple[int, int]]:
+    return merged([(s["start"], s["end"]) for s in hits["spans"]]) if hits else []
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,21 +293,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     words. Items that occur more than once count once; rows of documents stay rows. Other columns are
     ignored; an empty benchmark finds nothing."""
     found = blocks(benchmark, window)
+    rows = text_rows(docs, key, text)
+    schema = f"doc_id long, n_words long, spans {SPANS}, items array<string>"
+
+    def result(keys, hits):
+        return {
+            "doc_id": keys,
+            "n_words": [h[0] for h in hits],
+            "spans": [[{"start": a, "end": b} for a, b in h[1]] for h in hits],
+            "items": [h[2] for h in hits],
+        }
 
-    def start():
-        def work(keys, texts):
-            hits = _hits(found, texts)
-            return {
-                "doc_id": keys,
-                "n_words": [h[0] for h in hits],
-                "spans": [[{"start": a, "end": b} for a, b in h[1]] for h in hits],
-                "items": [h[2] for h in hits],
-            }
+    if len(found) > 1:
+        joined = by_block(numbered(rows), found, "text").select(F.struct("key", F.col(HITS).alias("hits")).alias("key"), "text")
 
-        return work
+        def merge(keys, texts):
+            hits = [k["hits"] for k in keys]
+            return result(
+                [k["key"] for k in keys],
+                [(len(words_of(t)), _spans(h), sorted(h["items"]) if h else []) for t, h in zip(texts, hits)],
+            )
 
-    schema = "doc_id long, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
-    return map_texts(text_rows(docs, key, text), schema, start)
+        return map_texts(joined, schema, lambda: merge)
+    phrases = found[0]()
+    return map_texts(rows, schema, lambda: lambda keys, texts: result(keys, phrases.hits(texts)))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -291,11 +337,13 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     has them, brought up to date. A null text becomes the empty text."""
     found = blocks(benchmark, window)
 
-    def start():
-        def work(texts):
-            kept = [cut(t, h[1]) for t, h in zip(texts, _hits(found, texts))]
-            return None, {text: kept, length: [len(t) for t in kept]}
-
-        return work
+    def result(texts, spans):
+        kept = [cut(t, s) for t, s in zip(texts, spans)]
+        return None, {text: kept, length: [len(t) for t in kept]}
 
-    return rewrite(docs, start, text)
+    if len(found) > 1:
+        rows = by_block(numbered(docs), found, text)
+        out = rewrite(rows, lambda: lambda texts, hits: result(texts, map(_spans, hits)), text, HITS)
+        return out.select(*docs.columns)
+    phrases = found[0]()
+    return rewrite(docs, lambda: lambda texts: result(texts, [h[1] for h in phrases.hits(texts)]), text)

@@ -1,6 +1,8 @@
 """Decontamination against searches word by word; the index against sorting and counting."""
 
+import gc
 import re
+import weakref
 
 import numpy as np
 from hypothesis import given, settings
@@ -70,3 +72,25 @@ def test_rows_and_blocks(spark, monkeypatch):
         assert texts[1] == "Start. , end" and texts[5] == " here" and texts[2] == "" and texts[4] == "one two three"
     assert d.contamination(docs, bench.limit(0)).filter("size(items) > 0").count() == 0
     assert d.contamination(docs.limit(0), bench).count() == 0
+
+
+def test_one_block_at_a_time(spark, monkeypatch):
+    """The driver never holds the phrases of two blocks, and results are those of one block."""
+    items = [(i, " ".join(f"w{(i * j) % 97}" for j in range(1, 30))) for i in range(1, 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i % 3, f"x {t} y {t[:40]}", 1) for i, t in items] * 2 + [(None, None, 1)], "doc_id long, text string, other int")
+    whole = [sorted(map(str, f(docs, bench).collect())) for f in (d.contamination, d.decontaminated)]
+    made_so_far, most = [], []
+    of = d.Phrases.of.__func__
+
+    def watched(cls, *args):
+        made = of(cls, *args)
+        made_so_far.append(weakref.ref(made))
+        gc.collect()
+        most.append(sum(r() is not None for r in made_so_far))
+        return made
+
+    monkeypatch.setattr(d.Phrases, "of", classmethod(watched))
+    monkeypatch.setattr(d, "BLOCK_CHARS", 300)
+    parted = [sorted(map(str, f(docs, bench).collect())) for f in (d.contamination, d.decontaminated)]
+    assert parted == whole and len(most) > 4 and max(most) == 1
