@@ -159,7 +159,7 @@ def small_or_not(frame: DataFrame) -> DataFrame:
 
 
 def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """node, segments (its n-grams in each of FRAGMENTS fragments), from one document each."""
+    """node, fragment, grams: the segments, of FRAGMENTS, that are not empty, from one document each."""
     chosen = stored(
         found.join(nodes, "node").filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id")), "chosen"
     )
@@ -168,29 +168,32 @@ def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, ke
 
     def start():
         def work(keys, texts):
-            out = {"id": [], "node": [], "segments": []}
+            out = {"id": [], "node": [], "fragment": [], "grams": []}
             for k, t in zip(keys, texts):
                 grams = shingles(t, words)
                 node = _signature(grams)
                 cuts = np.searchsorted(grams >> np.uint64(61), np.arange(FRAGMENTS + 1)).tolist()
-                out["id"].append(k)
-                out["node"].append(node)
-                out["segments"].append([grams[i:j].view(np.int64) for i, j in zip(cuts, cuts[1:])])
+                for fragment, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                    if i < j:
+                        out["id"].append(k)
+                        out["node"].append(node)
+                        out["fragment"].append(fragment)
+                        out["grams"].append(grams[i:j].view(np.int64))
             return out
 
         return work
 
-    schema = "id long, node long, segments array<array<long>>"
+    schema = "id long, node long, fragment int, grams array<long>"
     found = map_texts(text_rows(rows, "id", "text"), schema, start)
     # An id may stand in the table twice, with the same or another text.
     if not texts.groupBy("id").count().filter("count > 1").isEmpty():
-        found = found.join(chosen, ["id", "node"], "left_semi").dropDuplicates(["node"])
+        found = found.join(chosen, ["id", "node"], "left_semi").dropDuplicates(["node", "fragment"])
     return found.drop("id")
 
 
 def own_grams(segments: DataFrame) -> DataFrame:
     """node, own: how many n-grams of the node no other one has."""
-    rows = segments.select("node", F.explode(F.flatten("segments")).alias("gram"))
+    rows = segments.select("node", F.explode("grams").alias("gram"))
     single = rows.groupBy("gram").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
     return single.groupBy("node").agg(F.count("*").alias("own"))
 
@@ -203,19 +206,25 @@ def possible(n: str, own: str, m: str, other: str, percent: int) -> Column:
     return least * (100 + percent) <= (n_ + m_) * (100 - percent)
 
 
-def similar(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """a, b, overlap of the pairs that share an n-gram: a row for each fragment, with no more of either
+    set than its segment there, has a part of the overlap, and the parts are summed by pair."""
+    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("of_a"))
+    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
+    part = F.size(F.array_intersect("of_a", "of_b"))
+    parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", part.alias("part"))
+    return parts.filter("part > 0").groupBy("a", "b").agg(F.sum("part").alias("overlap"))
+
+
+def similar(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Of pairs a, b those that are similar: overlaps are counted in each fragment and summed by pair."""
     ends = [pairs.select(F.col(c).alias("node")).distinct() for c in ("a", "b")]
     nodes = stored(ends[0].unionByName(ends[1]).distinct(), "nodes")
     used = segments.join(small_or_not(nodes), "node", "left_semi")
-    left = used.select(F.col("node").alias("a"), F.col("segments").alias("of_a"))
-    right = used.select(F.col("node").alias("b"), F.col("segments").alias("of_b"))
-    parts = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
-    size_a, size_b = (F.size(F.flatten(c)) for c in ("of_a", "of_b"))
-    both = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.aggregate(parts, F.lit(0), lambda total, part: total + part).alias("overlap"), (size_a + size_b).alias("sizes")
-    )
-    return both.filter(100 * F.col("overlap") >= percent * (F.col("sizes") - F.col("overlap"))).select("a", "b")
+    size_a = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
+    size_b = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
+    both = overlaps(pairs, used).join(size_a, "a").join(size_b, "b")
+    return both.filter(100 * F.col("overlap") >= percent * (F.col("n_a") + F.col("n_b") - F.col("overlap"))).select("a", "b")
 
 
 def links(
@@ -225,7 +234,7 @@ def links(
     shared = stored(shared_keys(found.filter("node is not null and doc_id is not null")), "shared")
     nodes = shared.select("node").distinct()
     segments = stored(grams_of(docs, found, nodes, words, key, text), "segments")
-    sizes = segments.select("node", F.size(F.flatten("segments")).cast("long").alias("n"))
+    sizes = segments.groupBy("node").agg(F.sum(F.size("grams")).alias("n"))
     sizes = sizes.join(own_grams(segments), "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     sizes = stored(sizes, "sizes")
     # Even the smallest set allowed next to it may lack only so much of what is a node's own.
@@ -239,12 +248,12 @@ def links(
     lead = lead.select("key", F.col("lead.node").alias("b"), F.col("lead.own").alias("own_b"), F.col("lead.n").alias("n_b"))
     pairs = members.join(lead, "key").filter(F.col("node") != F.col("b"))
     pairs = stored(pairs.filter(possible("n", "own", "n_b", "own_b", percent)).select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    linked = stored(similar(pairs, segments, percent), "links")
+    linked = stored(similar(pairs, segments, sizes, percent), "links")
 
     rest = stored(remaining(members, components(linked), percent), "pairs")
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
-    return linked.unionByName(similar(rest, segments, percent))
+    return linked.unionByName(similar(rest, segments, sizes, percent))
 
 
 def remaining(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:

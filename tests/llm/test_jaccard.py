@@ -129,3 +129,15 @@ def test_first_of_groups(spark):
     first = {c for i, _, c in brute_force(rows) if i is not None}
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*first, None, None], key=str)
+
+
+def test_overlaps_are_counted_by_fragment(spark):
+    """No row holds more than a segment, and the parts of a pair add up."""
+    rows = [(i, " ".join(f"w{j}" for j in range(10 * i, 10 * i + 200))) for i in range(1, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.sets(docs, 3, 90, "doc_id", "text")
+    node = {r.doc_id: r.node for r in found.collect()}
+    segments = jaccard.grams_of(docs, found, found.select("node"), 3, "doc_id", "text").cache()
+    assert segments.groupBy("node").count().filter(f"count <= {jaccard.FRAGMENTS // 2}").isEmpty()
+    pairs = spark.createDataFrame([(node[1], node[2]), (node[1], node[3])], "a long, b long")
+    assert {(r.a, r.b): r.overlap for r in jaccard.overlaps(pairs, segments).collect()} == {(node[1], node[2]): 188, (node[1], node[3]): 178}
