@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, urls, warc
+from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, tokenfile, urls, warc
 from filingmill.llm.common import table
 from filingmill.session import new_folder
 
@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+END = 2  # stands after each document in files of ids
 URL_RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),
@@ -96,8 +97,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    tokenfile.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(BYTE_VOCABULARY), END)
+    return tokenfile.digests(spark, folder).withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op6_jaccard_join, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter)}
+    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op6_jaccard_join, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter, op13_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,12 +18,15 @@ COLUMNS = {
     8: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     9: ["query_id", "rank", "vec_id", "score"],
     10: ["page_id", "host", "path", "rule", "verdict"],
+    11: ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    12: ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    13: ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
 
 
