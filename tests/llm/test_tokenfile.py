@@ -52,7 +52,7 @@ def test_files_hold_what_the_library_gives(spark, tmp_path, monkeypatch):
     rows = [(3 * i - 20, t) for i, t in enumerate(ODD)] + [(None, "of no key"), (1 << 40, "last")]
     frame = spark.createDataFrame([(t, k, 1, 2) for k, t in reversed(rows)], "text string, doc_id long, start int, key int")
     folder = str(tmp_path / "ids")
-    tokenfile.write(frame, folder, PATH, END, segment=200)
+    tokenfile.write(frame, folder, PATH, END, segment=20)
     want = expected(rows)
     assert [tuple(r) for r in tokenfile.documents(spark, folder).orderBy("start").collect()] == want
     found = tokenfile.digests(spark, folder).orderBy("start").collect()
