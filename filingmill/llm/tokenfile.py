@@ -17,13 +17,14 @@ order of key: the codes as bytes, uncompressed, and a directory of the documents
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,9 @@ MAGIC = b"DAC1"
 SEGMENT = 500_000  # ids after which a segment ends with the document
 CHUNK = 8
 WORDS = 8  # of 64 bits in a block of the directory
-CACHED = 400_000  # chunks of text whose ids are kept per Python process
-BATCH_CHARS = 4_000_000
+CACHED = 1_000_000  # pieces of text whose ids are kept per Python process
+TOGETHER = 5_000  # pieces encoded at a time
+BATCH_CHARS = 8_000_000
 LIST = 50_000  # positions looked up in a segment at a time
 SEGMENT_SCHEMA = "part int, number int, before long, n_tokens long, keys array<long>, starts array<long>, codes binary"
 
@@ -126,14 +128,16 @@ class Codes:
 
 
 class Encoder:
-    """Ids as the library gives them, each chunk of a text once while it is remembered.
+    """Ids as the library gives them, each piece of a text once while it is remembered.
 
     A word of the byte-level pattern never goes on from a character that is no white space to one that
     is, and looks no further than to the character after white space. So a text may be cut before white
-    space that follows another character."""
+    space that follows another character, and pieces with one space in front may be encoded in one go
+    with line ends between them, which are words of their own there."""
 
-    UNUSUAL = regex.compile(r"\s\s")
-    PIECES = regex.compile(r"\s*\S+|\s+")
+    UNUSUAL = re.compile(r"\s\s")
+    PIECES = re.compile(r"\s*\S+|\s+")
+    SPACE = frozenset(c for c in map(chr, range(0x3001)) if c.isspace())
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
@@ -142,26 +146,61 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[str]:
-        if self.UNUSUAL.search(text):
-            return self.PIECES.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        self.after_space: dict[str, bytes] = {}  # of pieces with a space in front, by what follows it
+
+    def _found(self, pieces: list[str], known: dict[str, bytes], front: str) -> list[bytes]:
+        """The ids of pieces, each with `front` before it."""
+        new = list({p for p in pieces if p not in known})
+        if len(known) + len(new) > CACHED:  # only speed depends on what is kept
+            known.clear()
+            new = list(set(pieces))
+        simple = self.SPACE.isdisjoint if front else (lambda piece: False)
+        together = [p for p in new if p and simple(p)]
+        for at in range(0, len(together), TOGETHER):
+            block = together[at : at + TOGETHER]
+            (found,) = self.library.encode_batch_fast([" " + "\n ".join(block)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            data, ends = ids.tobytes(), np.append(np.flatnonzero(ids == self.line_end), len(ids)).tolist()
+            start = 0
+            for piece, end in zip(block, ends, strict=True):
+                known[piece] = data[4 * start : 4 * end]
+                start = end + 1
+        alone = [p for p in new if not p or not simple(p)]
+        for at in range(0, len(alone), TOGETHER):
+            block = alone[at : at + TOGETHER]
+            for piece, found in zip(block, self.library.encode_batch_fast([front + p for p in block], add_special_tokens=False)):
+                known[piece] = np.array(found.ids, "<u4").tobytes()
+        return list(map(known.__getitem__, pieces))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._pieces(t) for t in texts]
-        needed = set().union(*cut)
-        new = needed.difference(self.known)
-        if len(self.known) + len(new) > CACHED:  # only speed depends on what is kept
-            self.known, new = {}, needed
-        some = list(new)
-        for at in range(0, len(some), 20_000):
-            block = some[at : at + 20_000]
-            for piece, found in zip(block, self.library.encode_batch_fast(block, add_special_tokens=False)):
-                self.known[piece] = np.array(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, c)), "<u4") for c in cut]
+        unusual = [self.UNUSUAL.search(t) is not None for t in texts]
+        usual = iter(self._usual([t for t, odd in zip(texts, unusual) if not odd]))
+        return [self._unusual(t) if odd else next(usual) for t, odd in zip(texts, unusual)]
+
+    def _unusual(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(self._found(self.PIECES.findall(text), self.known, "")), "<u4")
+
+    def _usual(self, texts: list[str]) -> list[np.ndarray]:
+        """Of texts that may be cut at every space: their pieces are numbered by Arrow, and each text's ids
+        are gathered from those of the different pieces."""
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        bounds = lists.offsets.to_numpy()
+        numbered = lists.flatten().dictionary_encode()
+        words, numbers = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().copy()
+        first = [words[i] for i in numbers[bounds[:-1]]]  # has no space in front
+        numbers[bounds[:-1]] = np.arange(len(words), len(words) + len(first))
+        found = self._found(words, self.after_space, " ") + self._found(first, self.known, "")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        sizes, starts = sizes[numbers], starts[numbers]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]))]
+        cuts = np.append(0, ends)[bounds]
+        return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -236,9 +275,10 @@ def map_documents(spark: SparkSession, folder: str, schema: str, work: Callable[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                codes, starts = Codes(row["codes"]), row["starts"]
+                starts = row["starts"]
+                ids = Codes(row["codes"]).slice(0, starts[-1])
                 found = [
-                    (key, row["before"] + a, b - a, *work(codes.slice(a, b)))
+                    (key, row["before"] + a, b - a, *work(ids[a:b]))
                     for key, a, b in zip(row["keys"], starts, starts[1:])
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), target)], schema=target)
