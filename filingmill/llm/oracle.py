@@ -139,3 +139,46 @@ select page_id, octet_length(encode(payload)) payload_bytes,
   case when page_id <> original then original end refers_to
 from payloads join first using (payload)
 """
+
+# Prefixes are told apart by a digest of the digests of their turns; a node's subtree is all that some
+# member of it goes through from its depth on.
+SQL["op11_prefix_trie"] = """
+with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos
+  from conversations where conv_id is not null),
+sizes as (select conv_id, count(*) n from own group by conv_id),
+convs as (
+  select s.conv_id, s.conv_id - s.conv_id % 5 base, h, least(h, coalesce(b.n, 0)) taken,
+    least(h, coalesce(b.n, 0)) + greatest(s.n - h, 0) size
+  from (select *, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), ch -> ord(ch)::bigint)),
+      (c, b) -> list_reduce(list_prepend(xor(c, b), range(8)), (x, i) -> xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 h
+    from sizes) s left join sizes b on b.conv_id = s.conv_id - s.conv_id % 5),
+rebuilt as (
+  select c.conv_id, o.pos depth, c.size, o.role, o.text from convs c join own o on o.conv_id = c.base and o.pos <= c.taken
+  union all
+  select c.conv_id, c.taken + o.pos - c.h, c.size, o.role, o.text from convs c join own o on o.conv_id = c.conv_id and o.pos > c.h),
+ways as (
+  select conv_id, depth, size, octet_length(encode(text)) bytes,
+    md5(string_agg(md5(octet_length(encode(role)) || ':' || role || text), '' order by depth) over (partition by conv_id order by depth)) prefix
+  from rebuilt
+  union all
+  select conv_id, 0, size, 0, '' from convs),
+nodes as (
+  select prefix, depth, min(conv_id) conv_id, count(*) n_convs, max(bytes) bytes,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = size), '')) ends_sha256
+  from ways group by prefix, depth),
+edges as (
+  select n.prefix, n.depth, p.prefix parent, p.conv_id parent_conv_id
+  from nodes n left join ways w on w.conv_id = n.conv_id and w.depth = n.depth - 1
+    left join nodes p on p.prefix = w.prefix and p.depth = w.depth),
+grown as (
+  select n.*, e.parent_conv_id, (select count(*) from edges c where c.parent = n.prefix and c.depth = n.depth + 1) n_children
+  from nodes n join edges e using (prefix, depth)),
+below as (
+  select t.prefix, t.depth, count(*) filter (u.n_children = 0) n_leaves, sum((u.n_convs - 1) * u.bytes) saved_tokens
+  from grown u join ways t on t.conv_id = u.conv_id and t.depth <= u.depth group by t.prefix, t.depth)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::bigint saved_tokens, ends_sha256
+from grown join below using (prefix, depth)
+"""

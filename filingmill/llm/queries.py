@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, tokenfile, urls, warc, whitening
+from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, tokenfile, trie, urls, warc, whitening
 from filingmill.llm.common import table
 from filingmill.session import new_folder
 
@@ -97,6 +97,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return whitening.whiten(vectors, whitening.fit(vectors))
@@ -109,7 +113,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op6_jaccard_join, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter, op12_whitening, op13_token_files)}
+    return {q.__name__: q for q in (op1_langid, op2_page_text, op3_pii, op4_bpe, op5_token_counts, op6_jaccard_join, op7_decontaminate, op8_warc, op9_nearest, op10_url_filter, op11_prefix_trie, op12_whitening, op13_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
