@@ -152,8 +152,8 @@ convs as (
   select s.conv_id, s.conv_id - s.conv_id % 5 base, h, least(h, coalesce(b.n, 0)) taken,
     least(h, coalesce(b.n, 0)) + greatest(s.n - h, 0) size
   from (select *, xor(list_reduce(
-      list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), ch -> ord(ch)::bigint)),
-      (c, b) -> list_reduce(list_prepend(xor(c, b), range(8)), (x, i) -> xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 h
+      list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda ch: ord(ch)::bigint)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 h
     from sizes) s left join sizes b on b.conv_id = s.conv_id - s.conv_id % 5),
 rebuilt as (
   select c.conv_id, o.pos depth, c.size, o.role, o.text from convs c join own o on o.conv_id = c.base and o.pos <= c.taken

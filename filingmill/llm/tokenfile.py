@@ -30,15 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from filingmill.llm.bpe import byte_chars
 from filingmill.llm.common import parts, ship
 
 MAGIC = b"DAC1"
 SEGMENT = 500_000  # ids after which a segment ends with the document
 CHUNK = 8
 WORDS = 8  # of 64 bits in a block of the directory
-CACHED = 1_000_000  # pieces of text whose ids are kept per Python process
+CACHED = 800_000  # pieces of text whose ids are kept per Python process
 TOGETHER = 5_000  # pieces encoded at a time
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 12_000_000
 LIST = 50_000  # positions looked up in a segment at a time
 SEGMENT_SCHEMA = "part int, number int, before long, n_tokens long, keys array<long>, starts array<long>, codes binary"
 
@@ -137,41 +138,68 @@ class Encoder:
 
     UNUSUAL = re.compile(r"\s\s")
     PIECES = re.compile(r"\s*\S+|\s+")
-    SPACE = frozenset(c for c in map(chr, range(0x3001)) if c.isspace())
+    SPACE = re.compile(r"\s")
+    SPACE_BYTE, LINE_END = byte_chars()[0x20], byte_chars()[0x0A]
+    TAIL = ".,;:!?"  # begins a new word after a letter
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
+        self.letters = Tokenizer(self.library.model)  # for words of ASCII letters, which are their own bytes
+        self.letters.pre_tokenizer = pre_tokenizers.Split(self.LINE_END, "isolated")
         self.known: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}  # of pieces with a space in front, by what follows it
 
-    def _found(self, pieces: list[str], known: dict[str, bytes], front: str) -> list[bytes]:
-        """The ids of pieces, each with `front` before it."""
-        new = list({p for p in pieces if p not in known})
-        if len(known) + len(new) > CACHED:  # only speed depends on what is kept
-            known.clear()
-            new = list(set(pieces))
-        simple = self.SPACE.isdisjoint if front else (lambda piece: False)
-        together = [p for p in new if p and simple(p)]
-        for at in range(0, len(together), TOGETHER):
-            block = together[at : at + TOGETHER]
-            (found,) = self.library.encode_batch_fast([" " + "\n ".join(block)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            data, ends = ids.tobytes(), np.append(np.flatnonzero(ids == self.line_end), len(ids)).tolist()
-            start = 0
-            for piece, end in zip(block, ends, strict=True):
-                known[piece] = data[4 * start : 4 * end]
-                start = end + 1
-        alone = [p for p in new if not p or not simple(p)]
-        for at in range(0, len(alone), TOGETHER):
-            block = alone[at : at + TOGETHER]
-            for piece, found in zip(block, self.library.encode_batch_fast([front + p for p in block], add_special_tokens=False)):
-                known[piece] = np.array(found.ids, "<u4").tobytes()
+    def _alone(self, pieces: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(pieces), TOGETHER):
+            for found in self.library.encode_batch_fast(pieces[at : at + TOGETHER], add_special_tokens=False):
+                yield np.array(found.ids, "<u4").tobytes()
+
+    def _plain(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces."""
+        new = list(set(pieces).difference(self.known))
+        if len(self.known) + len(new) > CACHED:  # only speed depends on what is kept
+            self.known = {p: self.known[p] for p in set(pieces) if p in self.known}
+        self.known.update(zip(new, self._alone(new)))
+        return list(map(self.known.__getitem__, pieces))
+
+    def _after_space(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces, each with a space before it if it does not begin with a line end."""
+        known = self.after_space
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > CACHED:
+            known = self.after_space = {p: known[p] for p in pieces if p in known}
+        letters, together, tailed, alone = [], [], [], []
+        for piece in new:
+            if piece.isascii() and (word := piece.rstrip(self.TAIL)).isalpha():
+                if word == piece:
+                    letters.append(piece)
+                else:
+                    tailed.append((piece, word))
+            elif piece and not self.SPACE.search(piece):
+                together.append(piece)
+            else:
+                alone.append(piece)
+        letters += {w for _, w in tailed}.difference(known, letters)
+        for some, library, between in ((letters, self.letters, self.LINE_END + self.SPACE_BYTE), (together, self.library, "\n ")):
+            for at in range(0, len(some), TOGETHER):
+                block = some[at : at + TOGETHER]
+                (found,) = library.encode_batch_fast([between[1] + between.join(block)], add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                data, ends = ids.tobytes(), (4 * np.append(np.flatnonzero(ids == self.line_end), len(ids))).tolist()
+                start = 0
+                for piece, end in zip(block, ends, strict=True):
+                    known[piece] = data[start:end]
+                    start = end + 4
+        known.update(zip(alone, self._alone([p if p[:1] == "\n" else " " + p for p in alone])))
+        tails = self._plain([p[len(w) :] for p, w in tailed])
+        for (piece, word), tail in zip(tailed, tails):
+            known[piece] = known[word] + tail
         return list(map(known.__getitem__, pieces))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -180,20 +208,20 @@ class Encoder:
         return [self._unusual(t) if odd else next(usual) for t, odd in zip(texts, unusual)]
 
     def _unusual(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(self._found(self.PIECES.findall(text), self.known, "")), "<u4")
+        return np.frombuffer(b"".join(self._plain(self.PIECES.findall(text))), "<u4")
 
     def _usual(self, texts: list[str]) -> list[np.ndarray]:
-        """Of texts that may be cut at every space: their pieces are numbered by Arrow, and each text's ids
-        are gathered from those of the different pieces."""
+        """Of texts that may be cut before every space and line end: their pieces are numbered by Arrow, and
+        each text's ids are gathered from those of the different pieces."""
         if not texts:
             return []
-        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        lists = pc.split_pattern(pa.array([t.replace("\n", " \n") for t in texts], pa.string()), " ")
         bounds = lists.offsets.to_numpy()
         numbered = lists.flatten().dictionary_encode()
         words, numbers = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().copy()
         first = [words[i] for i in numbers[bounds[:-1]]]  # has no space in front
         numbers[bounds[:-1]] = np.arange(len(words), len(words) + len(first))
-        found = self._found(words, self.after_space, " ") + self._found(first, self.known, "")
+        found = self._after_space(words) + self._plain(first)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, starts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         sizes, starts = sizes[numbers], starts[numbers]
