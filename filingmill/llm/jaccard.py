@@ -8,8 +8,9 @@ Of these, the n-grams that no other text has bound how close a text can be to an
 pairs that are left, overlaps are counted in each fragment separately and summed per pair.
 
 Equal sets are one node from the start. Within a group that shares a segment, texts are compared with
-its most central one first; only those that this leaves in different components are compared with
-each other. So a group of thousands of copies costs its number of members, and no link is lost.
+its most central one first; those that this leaves in different components are compared with each
+other only if enough of what they differ in from it is the same (`remaining`). So a group of thousands
+of near copies costs its members and what some of them have changed alike, and no link is lost.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from xxhash import xxh3_64_intdigest
 
 from filingmill.llm.common import map_texts, stored, text_rows
@@ -144,13 +146,14 @@ def shared_keys(found: DataFrame) -> DataFrame:
 
     The first and last node of each key are found by an aggregation that combines copies before the
     shuffle; the join with the keys that have two is split where one is hot."""
-    rows = found.select("node", "least", F.explode("keys").alias("key"))
+    rows = found.select("node", F.explode("keys").alias("key"))
     ends = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     # Stored by itself, so that the disk never holds this shuffle and that of the join.
     keys = stored(ends.filter("first <> last").select("key"), "keys")
-    shared = stored(rows.join(keys, "key").select("key", "node", "least").distinct(), "shared")
-    enough = shared.groupBy("node", "least").agg(F.count("*").alias("n")).filter("n >= least")
-    return shared.join(enough.select("node"), "node", "left_semi").select("key", "node")
+    shared = stored(rows.join(keys, "key").select("key", "node").distinct(), "shared")
+    least = found.groupBy("node").agg(F.min("least").alias("least"))
+    enough = shared.groupBy("node").agg(F.count("*").alias("n")).join(least, "node").filter("n >= least")
+    return shared.join(enough.select("node"), "node", "left_semi")
 
 
 def small_or_not(frame: DataFrame) -> DataFrame:
@@ -159,7 +162,7 @@ def small_or_not(frame: DataFrame) -> DataFrame:
 
 
 def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """node, fragment, grams: the segments, of FRAGMENTS, that are not empty, from one document each."""
+    """node, fragment, grams: all FRAGMENTS segments of each node, empty ones too, from one document each."""
     chosen = stored(
         found.join(nodes, "node").filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id")), "chosen"
     )
@@ -174,11 +177,10 @@ def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, ke
                 node = _signature(grams)
                 cuts = np.searchsorted(grams >> np.uint64(61), np.arange(FRAGMENTS + 1)).tolist()
                 for fragment, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                    if i < j:
-                        out["id"].append(k)
-                        out["node"].append(node)
-                        out["fragment"].append(fragment)
-                        out["grams"].append(grams[i:j].view(np.int64))
+                    out["id"].append(k)
+                    out["node"].append(node)
+                    out["fragment"].append(fragment)
+                    out["grams"].append(grams[i:j].view(np.int64))
             return out
 
         return work
@@ -245,44 +247,67 @@ def links(
 
     # The most central member has least for itself.
     lead = members.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("lead"))
-    lead = lead.select("key", F.col("lead.node").alias("b"), F.col("lead.own").alias("own_b"), F.col("lead.n").alias("n_b"))
+    lead = stored(lead.select("key", F.col("lead.node").alias("b"), F.col("lead.own").alias("own_b"), F.col("lead.n").alias("n_b")), "lead")
     pairs = members.join(lead, "key").filter(F.col("node") != F.col("b"))
     pairs = stored(pairs.filter(possible("n", "own", "n_b", "own_b", percent)).select(F.col("node").alias("a"), "b").distinct(), "pairs")
     linked = stored(similar(pairs, segments, sizes, percent), "links")
 
-    rest = stored(remaining(members, components(linked), percent), "pairs")
+    rest = stored(remaining(members, lead, components(linked), segments, percent), "pairs")
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
     return linked.unionByName(similar(rest, segments, sizes, percent))
 
 
-def remaining(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs with a common key that may be similar and are not yet in one component.
 
-    In each key, the members outside its largest component meet the others; those inside it, which
-    may be as many as there are copies, never meet each other."""
+    In a group of near copies nearly all n-grams are common, so what tells its members apart is what they
+    differ in from the group's lead, D. The n-grams that a and b do not share are those of one of D(a) and
+    D(b), so a and b are similar only if D(a) and D(b) have at least
+
+        (|D(a)| + |D(b)| - difference(n_a + n_b)) / 2
+
+    n-grams in common. With each D in order of rarity in the group, the first of these stands so early in
+    both that as many can follow. `a` is outside the lead's component, so |D(a)| is above what similar sets
+    differ in, and b must share about half of its own D: only the rarer half of D(b) is looked up. What
+    the lead alone has or lacks is in every D and stands last. Members meet only at what few others have."""
     rows = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
-    split = largest.filter("parts > 1").select("key", F.col("top.component").alias("largest"))
-    # Each with all its keys, so that a pair is met in the first of those it shares, and once.
-    rows = stored(rows.join(split, "key"), "rows")
-    every = rows.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    rows = rows.join(every, "node")
-    outside = rows.filter("component <> largest").select(
-        F.col("key").alias("key_a"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"),
-        F.col("component").alias("component_a"), F.col("keys").alias("keys_a"),
-    )
-    met = outside.join(
-        rows,
-        (F.col("key_a") == F.col("key"))
-        & (F.col("component_a") != F.col("component"))
-        & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
-        & possible("n_a", "own_a", "n", "own", percent)
-        & (F.array_min(F.array_intersect("keys_a", "keys")) == F.col("key")),
+    parts = rows.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    split = parts.filter("first <> last").join(lead.select("key", "b"), "key").select("key", "b")
+    met = rows.join(split, "key").filter("node <> b").select("node", "n", "own", "component", "b").distinct()
+    of_lead = known.select(F.col("node").alias("b"), F.col("component").alias("lead_component"))
+    met = met.join(of_lead, "b", "left").withColumn("outside", F.col("component") != F.coalesce("lead_component", "b"))
+    # A group of which all others are in the lead's component has nothing to compare.
+    met = stored(met.drop("lead_component"), "met")
+    open_ = met.filter("outside").select("b").distinct()
+    met = met.join(open_, "b", "left_semi")
+
+    left = segments.select("node", "fragment", F.col("grams").alias("of_node"))
+    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
+    apart = F.array_union(F.array_except("of_node", "of_b"), F.array_except("of_b", "of_node"))
+    differ = met.select("node", "b").join(left, "node").join(right, ["b", "fragment"]).select("node", "b", F.explode(apart).alias("gram"))
+    differ = stored(differ, "differ")
+    often = differ.groupBy("b", "gram").agg(F.count("*").alias("often")).filter("often > 1")
+    sizes = differ.groupBy("node", "b").agg(F.count("*").alias("d"))
+    # N-grams that nobody else in the group differs in come first, and cannot be met.
+    common = differ.join(often, ["b", "gram"]).join(sizes, ["node", "b"])
+    from_last = Window.partitionBy("node", "b").orderBy(F.desc("often"), "gram")
+    common = common.withColumn("after", F.row_number().over(from_last) - 1)  # n-grams of D that follow
+    common = stored(common.join(met, ["node", "b"]).drop("often"), "common")
+
+    share = (100 - percent) / (100 + percent)
+    names = ["node", "n", "own", "component", "d", "after"]
+    a = common.filter("outside").select("b", "gram", *(F.col(c).alias(f"{c}_a") for c in names))
+    late = F.col("after") + 1 >= F.ceil(F.col("d") * (1 - share) / 2 - 1e-6)
+    b = common.filter(late).select("b", "gram", "outside", *(F.col(c).alias(f"{c}_b") for c in names))
+    needed = (F.col("d_a") + F.col("d_b") - difference(F.col("n_a") + F.col("n_b"), percent)) / 2
+    pairs = a.join(b, ["b", "gram"]).filter(
+        (F.col("component_a") != F.col("component_b"))
+        & (~F.col("outside") | (F.col("node_a") < F.col("node_b")))
+        & (F.least("after_a", "after_b") + 1 >= needed - 1e-6)
+        & possible("n_a", "own_a", "n_b", "own_b", percent)
     )
-    # Which of two components is the largest may differ from key to key.
-    return met.select("a", F.col("node").alias("b")).distinct()
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
