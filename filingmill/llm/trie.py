@@ -190,6 +190,7 @@ def rollup(nodes: DataFrame, ways: DataFrame, piece: int = PIECE) -> DataFrame:
     of the components that are too large for a task, and is written to the shared folder."""
     none = F.lit(0).cast("long")  # no other component's top has depth 0
     state = nodes.withColumns({"top": none, "top_depth": none, "more_leaves": none, "more_saved": none})
+    state = stored(state, "state")  # else the planner sees that all tops are equal, and makes no join by them
     large, done = _sorted_out(state, piece)
     if large is not None:
         ways = stored(ways, "ways")
