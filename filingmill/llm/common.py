@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import tempfile
 import zipfile
@@ -74,10 +76,21 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in target], schema=target
                 )
+        del work
+        give_back()
 
     return rows.mapInArrow(run, out)
 
 
+def give_back() -> None:
+    """Returns to the system what a task has freed: the worker lives on for tasks of other kinds, beside
+    which it would keep the memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def rewrite(
     docs: DataFrame, start: Callable[[], Callable[..., tuple[list[bool] | None, dict[str, list]]]], text: str = "text",
     beside: str | None = None,
@@ -107,6 +120,8 @@ def rewrite(
                 ]
                 part = pa.RecordBatch.from_arrays(columns, schema=target)
                 yield part if keep is None else part.filter(pa.array(keep, pa.bool_()))
+        del work
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -17,16 +17,17 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingmill.llm.common import map_texts, rewrite, text_rows
+from filingmill.llm.common import map_texts, rewrite, stored, text_rows
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANGUAGE = 4_000  # labelled texts, in expectation
-LANGUAGES = 256
+SAMPLE = 1_000_000  # of all languages
 GRAMS = 60_000  # the most frequent ones make the model
 SWITCH_PENALTY = 12.0  # nats
 WORD_LIMIT = 6.0  # nats by which one word can favour a language over another
 SCRIPT_SHARE = 0.01  # of a language's letters, from which on it counts as written in a script
 CACHED_WORDS = 200_000
+LEARNED = 200_000  # words times languages scored at a time
 MAX_WORD = 32
 LONG_SPAN = 40  # letters, from which on a span is prose of its language and no part of a jumble
 FOUND = "language found by the model"
@@ -93,9 +94,12 @@ def script(word: str) -> str:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters; very long runs, as in scripts without spaces, in parts."""
+    """Runs of letters; very long runs, as in scripts without spaces, in parts. Signs such as raised
+    digits, fractions and Roman numerals are no letters and end a run."""
     found = WORDS.findall(text.lower())
-    return found if text.isascii() else [w for w in found if w.isalpha()]
+    if text.isascii():
+        return found
+    return [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def grams_of(word: str) -> list[str]:
@@ -107,6 +111,14 @@ def grams_of(word: str) -> list[str]:
     return found
 
 
+def _number(gram: str) -> int:
+    """One number for up to three characters, each of 21 bits."""
+    out = 0
+    for char in gram:
+        out = out << 21 | ord(char)
+    return out
+
+
 def held_out(key: str | Column = "doc_id") -> Column:
     """Rows that are never learned from."""
     return F.coalesce(F.crc32(F.col(key).cast("string") if isinstance(key, str) else key) % 4 == 2, F.lit(False))
@@ -123,24 +135,25 @@ class Model:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """A model from the labelled rows. Rows without a text or a language are left out.
 
-    Of each of the (at most LANGUAGES) most frequent languages, about SAMPLE_PER_LANGUAGE rows are
-    read, chosen by a hash of the key: a bound that does not depend on the table's size. Their
-    n-grams are counted on the executors; the driver gets the counts of GRAMS n-grams.
+    Of each language, about SAMPLE_PER_LANGUAGE rows are read, of all together about SAMPLE, chosen by a
+    hash of the key: bounds that do not depend on the table's size. Their n-grams are counted on the
+    executors; the driver gets the counts of GRAMS n-grams, a number for each and language.
     """
     rows = labelled.select(
         F.col(text).cast("string").alias("text"),
         F.col(lang).cast("string").alias("lang"),
         (F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 40)) / (1 << 40)).alias("draw"),
     ).filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()
     if not sizes:
         return Model([], {}, np.zeros((1, 0)), {})
     languages = sorted(r["lang"] for r in sizes)
-    share = F.create_map([F.lit(x) for r in sizes for x in (r["lang"], SAMPLE_PER_LANGUAGE / r["count"])])
+    wanted = min(SAMPLE_PER_LANGUAGE, SAMPLE / len(languages))
+    share = F.create_map([F.lit(x) for r in sizes for x in (r["lang"], wanted / r["count"])])
     number = F.create_map([F.lit(x) for i, name in enumerate(languages) for x in (name, i)])
     sample = rows.filter(F.col("draw") < share[F.col("lang")]).select(number[F.col("lang")].alias("key"), "text")
     found = map_texts(text_rows(sample, "key", "text"), "kind string, gram string, lang long, n long", lambda: _count)
-    found = found.groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
+    found = stored(found.groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n")), "grams")
     scripts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(languages)))
     for row in found.filter("kind = 'script'").collect():  # scripts x languages
         scripts[row.gram][row.lang] += row.n
@@ -190,6 +203,11 @@ class Labeller:
         self.any = np.ones(len(model.languages), bool)
         self.number: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
+        # Grams of up to three characters as numbers, in order, and the rows of their scores.
+        short = sorted((_number(g), i) for g, i in model.grams.items() if len(g) <= 3)
+        self.codes = np.array([c for c, _ in short], np.uint64)
+        self.rows = np.array([i for _, i in short] + [len(model.scores) - 1], np.int64)
+        self.whole = {g: i for g, i in model.grams.items() if len(g) > 3}
 
     def _learn(self, words: list[set[str]]) -> None:
         """Scores of the words not seen yet. Past a size it starts anew with the words at hand."""
@@ -199,10 +217,8 @@ class Labeller:
             self.number, self.table, new = {}, self.table[:0], list(every)
         if not new:
             return
-        get, unknown = self.model.grams.get, len(self.model.scores) - 1
-        grams = [[get(g, unknown) for g in grams_of(w)] for w in new]
-        starts = np.cumsum([0, *map(len, grams)])[:-1]
-        scores = np.add.reduceat(self.model.scores[np.concatenate(grams)], starts, axis=0)
+        step = max(1000, LEARNED // max(len(self.any), 1))
+        scores = np.concatenate([self._scores(new[at : at + step]) for at in range(0, len(new), step)])
         scores = np.maximum(scores - scores.max(axis=1, keepdims=True), -WORD_LIMIT)
         nobody = np.zeros(len(self.any), bool)
         allowed = np.array([self.model.scripts.get(script(w), nobody) for w in new])
@@ -211,6 +227,32 @@ class Labeller:
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         self.table = np.concatenate([self.table, scores])
 
+    def _scores(self, words: list[str]) -> np.ndarray:
+        """By word and language, the scores of all grams of each word added up."""
+        marked = "".join([f"^{w}$" for w in words])
+        chars = np.frombuffer(marked.encode("utf-32-le"), "<u4").astype(np.uint64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes + 2) - sizes - 2
+        place = np.arange(len(chars)) - np.repeat(starts, sizes + 2)
+        left = np.repeat(sizes + 2, sizes + 2) - place  # characters from here to the word's end
+        two = chars[:-1] << np.uint64(21) | chars[1:]
+        three = two[:-1] << np.uint64(21) | chars[2:]
+        out = np.zeros((len(words), len(self.any)))
+        for codes, here, number in (
+            (chars, (place > 0) & (left > 1), sizes),
+            (two, left[:-1] > 1, sizes + 1),
+            (three, left[:-2] > 2, sizes),
+        ):
+            wanted = codes[here]
+            at = np.searchsorted(self.codes, wanted)
+            if len(self.codes):
+                at[self.codes[np.minimum(at, len(self.codes) - 1)] != wanted] = len(self.codes)
+            out += np.add.reduceat(self.model.scores[self.rows[at]], np.cumsum(number) - number, axis=0)
+        short = np.flatnonzero((sizes >= 2) & (sizes <= 5)).tolist()
+        unknown = len(self.model.scores) - 1
+        out[short] += self.model.scores[[self.whole.get(f"^{words[i]}$", unknown) for i in short]]
+        return out
+
     def labels(self, texts: list[list[str]]) -> list[np.ndarray]:
         """For each list of words, the number of the language of each word.
 

@@ -85,3 +85,28 @@ def test_clean_texts_are_kept(spark):
     rows = spark.createDataFrame([(1, third, None), (2, "12 !?", None), (3, None, None)], "doc_id long, text string, lang string")
     for known in (model, langid.train(rows)):
         assert [r.doc_id for r in langid.keep_identified(rows, known, 0.4).collect()] == [1]
+
+
+def test_words_end_at_signs_that_are_no_letters():
+    assert langid.words_of("m² xⅧ ½a H₂O a1b c_d É²é ١٢") == ["m", "x", "a", "h", "o", "a", "b", "c", "d", "é", "é"]
+    assert langid.words_of("² ½ Ⅷ 12") == []
+    labeller = langid.Labeller(model_of(np.random.default_rng(1)))
+    assert [[s[3] for s in found] for found in labeller.spans(["m²", "½ ²", "H₂O"])] == [[1], [], [2]]
+
+
+def test_bulk_scores_equal_sums_over_grams():
+    words = ["a", "ab", "abcde", "abcdefgh", "é", "日本語", "z" * 32, "𐐷x"]
+    grams = sorted({g for w in words[:-1] for g in langid.grams_of(w)})[::2]
+    rng = np.random.default_rng(0)
+    scores = rng.uniform(-3, 0, (len(grams) + 1, 2))
+    model = langid.Model(["x", "y"], {g: i for i, g in enumerate(grams)}, scores, {})
+    expected = [sum(scores[model.grams.get(g, len(grams))] for g in langid.grams_of(w)) for w in words]
+    assert np.allclose(langid.Labeller(model)._scores(words), expected)
+    empty = langid.Model(["x"], {}, np.array([[-1.0]]), {})
+    assert langid.Labeller(empty)._scores(["ab"]).tolist() == [[-1.0 * len(langid.grams_of("ab"))]]
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, chr(0x4E00 + i % 300) * 3, f"l{i % 300}") for i in range(600)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 300
