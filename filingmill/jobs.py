@@ -12,9 +12,13 @@ from collections.abc import Sequence
 from filingmill.plans.refresh import Lake, refresh, refresh_dates
 from filingmill.schemas import TOPIC
 from filingmill.session import build_session
-from filingmill.sources.drift import read_partition
 from filingmill.sources.landing import dataset_path, ingest_pages
-from filingmill.sources.messages import quarantine_keyless, replay_partition, send_to_kafka
+from filingmill.sources.messages import (
+    partitions_between,
+    quarantine_keyless_partitions,
+    replay_partitions,
+    send_to_kafka,
+)
 from filingmill.sources.warehouse import Warehouse
 from filingmill.streaming.landing import (
     FILE_MESSAGES,
@@ -44,9 +48,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     build.add_argument("--first", help="first report date, yyyyMMdd, to clean again; all by default")
     build.add_argument("--last", help="last report date to clean again")
 
-    replay = commands.add_parser("replay", help="send one raw partition to the topic")
-    replay.add_argument("--repdte", required=True)
-    replay.add_argument("--limit", type=int)
+    replay = commands.add_parser("replay", help="send raw partitions to the topic")
+    replay.add_argument("--first", default="", help="first report date, yyyyMMdd; all by default")
+    replay.add_argument("--last", default="9" * 8, help="last report date")
+    replay.add_argument("--limit", type=int, help="filings of each date, the first by key and batch")
 
     land = commands.add_parser("land", help="land the topic in the raw layer")
     land.add_argument("--checkpoint", required=True)
@@ -83,11 +88,13 @@ def main(argv: Sequence[str] | None = None) -> None:
             counts = refresh(lake)
         logger.info("rows: %s", counts)
     elif args.command == "replay":
-        raw = read_partition(spark, dataset_path(args.root, "financials"), args.repdte)
-        if raw is None:
-            raise SystemExit(f"no raw filings of {args.repdte}")
-        send_to_kafka(replay_partition(raw, args.repdte, args.limit), args.servers, args.topic)
-        logger.info("filings without a key: %s", quarantine_keyless(raw, args.repdte, args.root))
+        path = dataset_path(args.root, "financials")
+        if not partitions_between(spark, path, args.first, args.last):
+            raise SystemExit(f"no raw filings from {args.first} to {args.last}")
+        sent = replay_partitions(spark, path, args.first, args.last, args.limit)
+        send_to_kafka(sent, args.servers, args.topic)
+        count = quarantine_keyless_partitions(spark, path, args.root, args.first, args.last)
+        logger.info("filings without a key: %s", count)
     else:
         stream = kafka_messages(spark, args.servers, args.topic, args.flush_messages, args.most_messages)
         totals: dict[str, int] = {}

@@ -23,7 +23,7 @@ from filingmill.operators.quarantine import clean_branches, clean_financials, qu
 from filingmill.operators.scd2 import rejected_snapshots
 from filingmill.plans import models, quality, serving
 from filingmill.plans.inputs import Inputs
-from filingmill.plans.refresh import FINANCIALS_CLEANING, Lake, clean_dates
+from filingmill.plans.refresh import BAD, FINANCIALS_CLEANING, Lake, clean_dates
 from filingmill.plans.refresh import clean as clean_all
 from filingmill.schemas import (
     BANK_CLASSES,
@@ -191,15 +191,24 @@ def schema_drift(i: Inputs) -> DataFrame:
 
 @_query
 def refresh_dates(i: Inputs) -> DataFrame:
-    """Cleaned filings after a delivery of some dates: cleaning these again equals cleaning all."""
+    """Cleaned filings and rejects after a delivery of some dates: cleaning these again equals cleaning all.
+
+    The delivery turns a fifth of these dates' good filings into rejects and the other way round, and
+    leaves one date without any good filing."""
     folder = i.folder("lake")
     lake = Lake(i.spark, folder, Warehouse(i.spark, "unused", folder))
     _land_financials(i, folder, i.raw_financials)
     clean_all(lake, FINANCIALS_CLEANING)
-    restated = i.raw_financials.filter("REPDTE between '19960331' and '19971231'")
-    _land_financials(i, folder, restated.withColumn("ASSET", F.col("ASSET") + 1000))
+    asset = F.col("ASSET")
+    turned = F.when(F.col("_batch_id").cast("bigint") % 5 == 0, -asset).otherwise(asset + 1000)
+    restated = i.raw_financials.filter("REPDTE between '19960331' and '19971231'").withColumn(
+        "ASSET", F.when(F.col("REPDTE") == "19970630", -1 - F.abs(asset)).otherwise(turned)
+    )
+    _land_financials(i, folder, restated)
     clean_dates(lake, FINANCIALS_CLEANING, "19960331", "19971231")
-    return lake.read("financials")
+    none = F.lit(None).cast("string").alias("_reject_reason")
+    good, bad = lake.read("financials"), lake.read("financials", BAD)
+    return good.select("*", none).unionByName(bad.select(*good.columns, "_reject_reason"))
 
 
 @_query
@@ -254,26 +263,21 @@ def _mixed_keys(i: Inputs) -> str:
     return path
 
 
-_REPLAYED = ("19971231", "19980331")  # one partition of either kind
-
-
 @_query
 def replay_partition(i: Inputs) -> DataFrame:
-    """Two partitions, replayed one by one and landed again: whole and text keys come out the same."""
+    """Every partition replayed and landed again: whole and text keys come out the same."""
     path = _mixed_keys(i)
-    sent = [messages.replay_partition(drift.read_partition(i.spark, path, day), day) for day in _REPLAYED]
-    received = sent[0].unionByName(sent[1])
-    received = received.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("bigint")})
+    sent = messages.replay_partitions(i.spark, path)
+    received = sent.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("bigint")})
     landed = stream.parse_messages(received).filter("_reject_reason is null")
     return landed.select(F.col("_kafka_key").alias("key"), "CERT", "REPDTE", "ASSET", "ROA", "_batch_id", DT_MARKER)
 
 
 @_query
 def replay_quarantine(i: Inputs) -> DataFrame:
-    """The filings of two partitions that have no key to be sent by."""
+    """The filings of all partitions that have no key to be sent by."""
     path, root = _mixed_keys(i), i.folder("replay")
-    for day in _REPLAYED:
-        messages.quarantine_keyless(drift.read_partition(i.spark, path, day), day, root)
+    messages.quarantine_keyless_partitions(i.spark, path, root)
     rows = i.spark.read.parquet(messages.keyless_path(root))
     return rows.select("REPDTE", "_batch_id", "_reject_reason", F.col("dt").cast("string").alias("dt"))
 

@@ -33,6 +33,18 @@ _VIEWS = {
     "good_fin": """
         select * from dedup_fin
         where cert is not null and repdte is not null and (asset >= 0 or asset is null)""",
+    "redelivered": """
+        select * replace (
+            case when repdte not between '19960331' and '19971231' then asset
+                 when repdte = '19970630' then -1 - abs(asset)
+                 when cast(_batch_id as bigint) % 5 = 0 then -asset
+                 else asset + 1000 end as asset)
+        from raw_fin""",
+    "redelivered_dedup": """
+        select * from redelivered where cert is not null
+        qualify row_number() over (
+            partition by cert, repdte
+            order by _ingested_at desc nulls last, _batch_id desc nulls last) = 1""",
     "fin": """
         select * replace (cast(strptime(repdte, '%Y%m%d') as date) as repdte) from good_fin""",
     "raw_branch": """
@@ -205,8 +217,6 @@ def _ranking(metric: str, where: str | None = None, limit: int = 51, offset: int
 
 _REASON = """case when cert is null or repdte is null then 'missing_key' else 'negative_value' end"""
 
-_REPLAYED = "'19971231', '19980331'"
-
 _SQL = {
     "pages_unwrap": """
         select o_orderkey as "ID", o_custkey as "CERT", o_totalprice as "ASSET",
@@ -238,12 +248,12 @@ _SQL = {
         where dataset <> 'financials' or not exists (select 1 from raw_fin )""",
     "drift_read": f"select {_FIN} from raw_fin",
     "refresh_dates": """
-        select * replace (
-            case when repdte between '19960331' and '19971231' then asset + 1000 else asset end
-                as asset)
-        from dedup_fin
-        where cert is not null and repdte is not null
-          and asset + case when repdte between '19960331' and '19971231' then 1000 else 0 end >= 0""",
+        select *, cast(null as varchar) as _reject_reason from redelivered_dedup
+        where cert is not null and asset >= 0
+        union all
+        select *, 'negative_value' from redelivered_dedup where cert is not null and asset < 0
+        union all
+        select *, 'missing_key' from redelivered where cert is null""",
     "period_range": """
         select cert as "CERT", repdte as "REPDTE", _batch_id from raw_fin
         where repdte between '19960331' and '19971231'""",
@@ -253,13 +263,13 @@ _SQL = {
     "replay_messages": f"""
         select cast(cert as varchar) as key, {_RAW_CASED}, repdte as _repdte_partition
         from raw_fin where cert is not null""",
-    "replay_partition": f"""
+    "replay_partition": """
         select cast(cert as varchar) as key, cert as "CERT", repdte as "REPDTE", asset as "ASSET",
                roa as "ROA", _batch_id, repdte as _repdte_partition
-        from raw_fin where cert is not null and repdte in ({_REPLAYED})""",
-    "replay_quarantine": f"""
+        from raw_fin where cert is not null""",
+    "replay_quarantine": """
         select repdte as "REPDTE", _batch_id, 'missing_key' as _reject_reason, repdte as dt
-        from raw_fin where cert is null and repdte in ({_REPLAYED})""",
+        from raw_fin where cert is null""",
     "project_financials": f"select {_FIN} from raw_fin",
     "project_branches": "select * from raw_branch",
     "project_snapshots": "select * from snapshot",

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from filingmill.functions.columns import parse_day
@@ -35,6 +35,7 @@ from filingmill.schemas import (
 from filingmill.session import prepare
 from filingmill.sources.drift import read_projected
 from filingmill.sources.landing import dataset_path, partition_values, require_raw, write_partitions
+from filingmill.sources.manifest import Commit, Manifest, Staged
 from filingmill.sources.versions import Versions
 from filingmill.sources.warehouse import Warehouse, load_table, publish_freshness
 from filingmill.streaming.landing import STREAM_DATASET
@@ -43,6 +44,7 @@ OUTCOME = "outcome"
 GOOD, BAD = "cleaned", "quarantine"
 _BAD_COLUMNS = "_bad_columns"
 
+HISTORY_DATASET, REJECTS_DATASET = "institution_history", "institution_rejects"
 HISTORY_TABLE = "cleaned_institution_history"
 FINANCIALS_TABLE = "cleaned_financials"
 BRANCHES_TABLE = "cleaned_branch_deposits"
@@ -74,40 +76,45 @@ class Lake:
     def versions(self, dataset: str) -> Versions:
         return Versions(self.spark, dataset_path(self.root, dataset, "conformed"))
 
-    def conformed(self, dataset: str) -> str:
-        """The folder of the version that is read."""
-        versions = self.versions(dataset)
+    def manifest(self, dataset: str) -> Manifest:
+        return Manifest(self.spark, dataset_path(self.root, dataset, "conformed"), (OUTCOME, "dt"))
+
+    def history(self) -> DataFrame:
+        """The history that is read."""
+        versions = self.versions(HISTORY_DATASET)
         version = versions.current()
         if version is None:
+            raise RuntimeError("no history was built; run the cleaning first")
+        return self.spark.read.parquet(versions.path(version))
+
+    def read(self, dataset: str, outcome: str = GOOD, commit: Commit | None = None) -> DataFrame:
+        """Good rows or rejects of a conformed dataset, by the last commit or the one given. The outcome is
+        a folder, so one is read. What was read stays as it is, whatever is committed later."""
+        manifest = self.manifest(dataset)
+        commit = commit or manifest.current()
+        if commit is None:
             raise RuntimeError(f"nothing cleaned of {dataset}; run the cleaning first")
-        return versions.path(version)
-
-    def read(self, dataset: str, outcome: str = GOOD) -> DataFrame:
-        """Good rows or rejects of a conformed dataset. The outcome is a folder, so one is read."""
-        rows = self.spark.read.parquet(self.conformed(dataset)).filter(F.col(OUTCOME) == outcome)
-        return rows.drop(OUTCOME, "dt", *([REASON, _BAD_COLUMNS, BAD_VALUES] if outcome == GOOD else []))
+        rows = manifest.read(commit, f"{OUTCOME}={outcome}")
+        return rows.drop(*([REASON, _BAD_COLUMNS, BAD_VALUES] if outcome == GOOD else []))
 
 
-def _write_outcomes(
-    tagged: DataFrame, path: str, cluster_by: Sequence[str], replace_all: bool = True
-) -> dict[str, int]:
-    """Write good rows and rejects in one job and count both in it.
+def _stage_outcomes(
+    manifest: Manifest, tagged: DataFrame, cluster_by: Sequence[str], replaced: tuple[str, str] | None
+) -> tuple[Staged, dict[str, int]]:
+    """Write good rows and rejects in one job, and count both by the footers of what was written.
 
     Text that is no date goes to the default partition, so bad dates cannot multiply folders.
     """
-    counts = Observation()
     is_day = parse_day(F.col("repdte"), "yyyyMMdd").isNotNull()
-    rows = (
-        tagged.observe(
-            counts,
-            F.count_if(F.col(REASON).isNull()).alias(GOOD),
-            F.count_if(F.col(REASON).isNotNull()).alias(BAD),
-        )
-        .withColumn(OUTCOME, F.when(F.col(REASON).isNull(), GOOD).otherwise(BAD))
-        .withColumn("dt", F.when(is_day, F.col("repdte")))
+    rows = tagged.withColumn(OUTCOME, F.when(F.col(REASON).isNull(), GOOD).otherwise(BAD)).withColumn(
+        "dt", F.when(is_day, F.col("repdte"))
     )
-    write_partitions(rows, path, [OUTCOME, "dt"], cluster_by=cluster_by, replace_all=replace_all)
-    return counts.get
+
+    def write(path: str) -> None:
+        write_partitions(rows, path, [OUTCOME, "dt"], cluster_by=cluster_by, replace_all=True)
+
+    staged = manifest.stage(write, rows.schema, replaced)
+    return staged, {o: manifest.read(staged.on(None), f"{OUTCOME}={o}").count() for o in (GOOD, BAD)}
 
 
 @dataclass(frozen=True)
@@ -148,37 +155,56 @@ FINANCIALS_CLEANING = Cleaning(
 BRANCHES_CLEANING = Cleaning(
     ("sod",), "branch_deposits", project_branches, BRANCH_FIELDS, BRANCH_KEY, "depsumbr"
 )
+CLEANINGS = (FINANCIALS_CLEANING, BRANCHES_CLEANING)
 
 
-def clean(lake: Lake, cleaning: Cleaning) -> dict[str, int]:
-    """Clean all of a dataset into a new version, which is read once it is whole."""
-    tagged = cleaning.tagged(lake)
-    if tagged is None:
-        raise RuntimeError(f"no raw {cleaning.datasets[0]} partitions to clean")
-    versions = lake.versions(cleaning.output)
-    version = versions.new()
-    counts = _write_outcomes(tagged, versions.path(version), ["cert"])
-    versions.publish(version)
-    versions.prune()
-    return counts
-
-
-def clean_dates(lake: Lake, cleaning: Cleaning, first: str, last: str) -> dict[str, int]:
-    """Clean the report dates from `first` to `last`, yyyyMMdd, again and leave the others as they are.
+def stage_cleaned(
+    lake: Lake, cleaning: Cleaning, dates: tuple[str, str] | None = None
+) -> tuple[Staged, dict[str, int]]:
+    """Clean all of a dataset, or the report dates from the first to the last of `dates`, yyyyMMdd, aside.
 
     The key contains the report date, so a date's rows depend on the raw partitions of that date
-    alone, which are its own by how they are landed. Spark replaces the touched partitions when all
-    of them are written. Rows without a report date are not of any range.
+    alone, which are its own by how they are landed. Once committed, every date of the range is replaced as
+    good rows and as rejects, also where none are left, and the others stay as they are. Rows without a
+    report date are of no range.
     """
+    manifest = lake.manifest(cleaning.output)
+    if dates is None:
+        tagged = cleaning.tagged(lake)
+        if tagged is None:
+            raise RuntimeError(f"no raw {cleaning.datasets[0]} partitions to clean")
+        return _stage_outcomes(manifest, tagged, ["cert"], None)
+    if manifest.current() is None:
+        raise RuntimeError(f"nothing cleaned of {cleaning.output} yet; clean all dates first")
+    first, last = dates
     wanted = {
         name: [v for v in partition_values(lake.spark, lake.raw(name)) if first[: len(v)] <= v <= last[: len(v)]]
         for name in cleaning.datasets
     }
     tagged = cleaning.tagged(lake, wanted)
     if tagged is None:
-        return {GOOD: 0, BAD: 0}
-    rows = tagged.filter(F.col("repdte").between(first, last))
-    return _write_outcomes(rows, lake.conformed(cleaning.output), ["cert"], replace_all=False)
+        return manifest.stage(None, None, dates), {GOOD: 0, BAD: 0}
+    return _stage_outcomes(manifest, tagged.filter(F.col("repdte").between(first, last)), ["cert"], dates)
+
+
+def _commit(lake: Lake, cleaning: Cleaning, staged: Staged) -> None:
+    manifest = lake.manifest(cleaning.output)
+    manifest.commit(staged)
+    manifest.prune()
+
+
+def clean(lake: Lake, cleaning: Cleaning) -> dict[str, int]:
+    """Clean all of a dataset; it is read once it is whole."""
+    staged, counts = stage_cleaned(lake, cleaning)
+    _commit(lake, cleaning, staged)
+    return counts
+
+
+def clean_dates(lake: Lake, cleaning: Cleaning, first: str, last: str) -> dict[str, int]:
+    """Clean the report dates from `first` to `last` again, as `stage_cleaned` has it."""
+    staged, counts = stage_cleaned(lake, cleaning, (first, last))
+    _commit(lake, cleaning, staged)
+    return counts
 
 
 def clean_financials(lake: Lake) -> dict[str, int]:
@@ -189,31 +215,38 @@ def clean_branches(lake: Lake) -> dict[str, int]:
     return clean(lake, BRANCHES_CLEANING)
 
 
-def clean_institutions(lake: Lake) -> dict[str, int]:
+def stage_institutions(lake: Lake) -> tuple[dict[str, str], dict[str, int]]:
+    """The history and what no history can be made of, written aside: the version of each, and counts."""
     snapshots = read_projected(lake.spark, lake.raw("institutions"), project_snapshots)
     if snapshots is None:
         raise RuntimeError("no raw institutions partitions to clean")
-    outputs = {GOOD: ("institution_history", build_history), BAD: ("institution_rejects", rejected_snapshots)}
-    counts = {}
-    written = []
+    outputs = {GOOD: (HISTORY_DATASET, build_history), BAD: (REJECTS_DATASET, rejected_snapshots)}
+    versions, counts = {}, {}
     for outcome, (dataset, make) in outputs.items():
-        versions = lake.versions(dataset)
-        version = versions.new()
-        make(snapshots).write.parquet(versions.path(version))
-        counts[outcome] = lake.spark.read.parquet(versions.path(version)).count()  # from the footers
-        written.append((versions, version))
-    for versions, version in written:
-        versions.publish(version)
-        versions.prune()
+        found = lake.versions(dataset)
+        versions[dataset] = found.new()
+        make(snapshots).write.parquet(found.path(versions[dataset]))
+        counts[outcome] = lake.spark.read.parquet(found.path(versions[dataset])).count()  # from the footers
+    return versions, counts
+
+
+def _publish_versions(lake: Lake, versions: Mapping[str, str]) -> None:
+    for dataset, version in versions.items():
+        lake.versions(dataset).publish(version)
+        lake.versions(dataset).prune()
+
+
+def clean_institutions(lake: Lake) -> dict[str, int]:
+    versions, counts = stage_institutions(lake)
+    _publish_versions(lake, versions)
     return counts
 
 
-def load(lake: Lake, warehouse: Warehouse) -> None:
+def load(lake: Lake, warehouse: Warehouse, history: DataFrame, filings: DataFrame, branches: DataFrame) -> None:
     """Cleaned datasets as typed tables."""
-    history = lake.spark.read.parquet(lake.conformed("institution_history"))
     load_table(warehouse, HISTORY_TABLE, history, HISTORY, day_format="yyyy-MM-dd")
-    load_table(warehouse, FINANCIALS_TABLE, lake.read("financials"), FINANCIALS)
-    load_table(warehouse, BRANCHES_TABLE, lake.read("branch_deposits"), BRANCHES)
+    load_table(warehouse, FINANCIALS_TABLE, filings, FINANCIALS)
+    load_table(warehouse, BRANCHES_TABLE, branches, BRANCHES)
 
 
 def stage(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -268,19 +301,50 @@ def gate(warehouse: Warehouse, checks: Sequence[Check] = GATE_CHECKS) -> None:
         raise ChecksFailedError(failures)
 
 
-def publish(lake: Lake, checks: Sequence[Check] = GATE_CHECKS, published_at: datetime | None = None) -> None:
-    """Build the next version of all curated tables, check it, and only then let it be read.
-
-    If a check fails, what was published before stays as it is and is still served."""
-    staged = lake.warehouse.begin()
-    load(lake, staged)
-    build_models(staged)
-    gate(staged, checks)
-    publish_freshness(staged, staged.table(FACT_TABLE), published_at)
-    lake.warehouse.publish(staged)
+def publish(
+    lake: Lake,
+    checks: Sequence[Check] = GATE_CHECKS,
+    published_at: datetime | None = None,
+    cleaned: Mapping[str, Staged] | None = None,
+    versions: Mapping[str, str] | None = None,
+) -> None:
+    """Build the next version of all curated tables of what was staged, and of what is read where nothing
+    was; check it, and only then let cleaned data and tables be read.
+
+    If a check fails, or another writer replaced the same dates, what was published before stays as it
+    is and is still served, cleaned data too."""
+    cleaned, versions = cleaned or {}, versions or {}
+    history = lake.history() if HISTORY_DATASET not in versions else lake.spark.read.parquet(
+        lake.versions(HISTORY_DATASET).path(versions[HISTORY_DATASET])
+    )
+    good = {}
+    for cleaning in CLEANINGS:
+        manifest, staged = lake.manifest(cleaning.output), cleaned.get(cleaning.output)
+        good[cleaning.output] = lake.read(cleaning.output, commit=staged and staged.on(manifest.current()))
+    tables = lake.warehouse.begin()
+    load(lake, tables, history, good[FINANCIALS_CLEANING.output], good[BRANCHES_CLEANING.output])
+    build_models(tables)
+    gate(tables, checks)
+    publish_freshness(tables, tables.table(FACT_TABLE), published_at)
+    for cleaning in CLEANINGS:
+        if cleaning.output in cleaned:
+            _commit(lake, cleaning, cleaned[cleaning.output])
+    _publish_versions(lake, versions)
+    lake.warehouse.publish(tables)
     stage(lake.warehouse)
 
 
+def _refresh(
+    lake: Lake, dates: tuple[str, str] | None, checks: Sequence[Check], published_at: datetime | None
+) -> dict[str, dict[str, int]]:
+    versions, counts = stage_institutions(lake)
+    found, cleaned = {"institutions": counts}, {}
+    for cleaning in CLEANINGS:
+        cleaned[cleaning.output], found[cleaning.output] = stage_cleaned(lake, cleaning, dates)
+    publish(lake, checks, published_at, cleaned, versions)
+    return found
+
+
 def refresh(
     lake: Lake, checks: Sequence[Check] = GATE_CHECKS, published_at: datetime | None = None
 ) -> dict[str, dict[str, int]]:
@@ -288,13 +352,7 @@ def refresh(
     replaced; rerunning it is safe."""
     prepare(lake.spark)
     require_raw(lake.spark, lake.root)
-    counts = {
-        "institutions": clean_institutions(lake),
-        "financials": clean_financials(lake),
-        "branch_deposits": clean_branches(lake),
-    }
-    publish(lake, checks, published_at)
-    return counts
+    return _refresh(lake, None, checks, published_at)
 
 
 def refresh_dates(
@@ -307,10 +365,4 @@ def refresh_dates(
     """A refresh after deliveries of the report dates from `first` to `last` only: these are cleaned
     again, snapshots and tables wholly, as a late one changes what follows it."""
     prepare(lake.spark)
-    counts = {
-        "institutions": clean_institutions(lake),
-        "financials": clean_dates(lake, FINANCIALS_CLEANING, first, last),
-        "branch_deposits": clean_dates(lake, BRANCHES_CLEANING, first, last),
-    }
-    publish(lake, checks, published_at)
-    return counts
+    return _refresh(lake, (first, last), checks, published_at)

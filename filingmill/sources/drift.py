@@ -113,14 +113,23 @@ def read_projected(
     return reduce(DataFrame.unionByName, map(project, frames))
 
 
+def partition_frames(spark: SparkSession, path: str, values: Iterable[str]) -> list[DataFrame]:
+    """All fields of some partitions, one frame per schema, whatever their number; none if none exists."""
+    wanted = sorted(set(values) & set(partition_values(spark, path)))
+    return _frames(spark, path, partition_schemas(spark, path, wanted), None) if wanted else []
+
+
 def read_partition(spark: SparkSession, path: str, value: str) -> DataFrame | None:
-    """All fields of one partition, whatever the types in the others; None if there is none.
+    """All fields of one partition, whatever the types in the others; None if there is none."""
+    return read_partitions(spark, path, [value])
 
-    A field that its own files hold in different types is text.
-    """
-    if value not in partition_values(spark, path):
+
+def read_partitions(spark: SparkSession, path: str, values: Iterable[str]) -> DataFrame | None:
+    """All fields of some partitions; None if there is none. A field that they hold in different types
+    is text."""
+    frames = partition_frames(spark, path, values)
+    if not frames:
         return None
-    frames = _frames(spark, path, partition_schemas(spark, path, [value]), None)
     types: dict[str, set[str]] = defaultdict(set)
     for frame in frames:
         for name, kind in frame.dtypes:
