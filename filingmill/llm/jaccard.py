@@ -1,11 +1,12 @@
 """N-gram Jaccard join by vertical partitioning.
 
-N-grams have one global order, that of their hashes, and it is cut into fragments; the n-grams of a
-text that fall into a fragment are a segment. Two sets of similarity t differ in at most
-(m + n) (1 - t) / (1 + t) n-grams, so with one fragment more than that, they have an equal segment in
-one of them at least: segments are shuffled as one hash each, and only texts that share one go on.
-Of these, the n-grams that no other text has bound how close a text can be to any other. For the
-pairs that are left, overlaps are counted in each fragment separately and summed per pair.
+N-grams have one global order, that of their hashes. Texts go on only if they share enough of the front of
+their order with any others, and if few enough of their n-grams stand in no other text. The order is
+cut into fragments; the n-grams of a text that fall into a fragment are a segment. Two sets of
+similarity t differ in at most (m + n) (1 - t) / (1 + t) n-grams, so with one fragment more than that,
+they have an equal segment in one of them at least: segments are shuffled as one hash each, and texts
+that share some are a group. For the pairs that a group leaves to be compared, overlaps are counted in
+each fragment separately and summed per pair.
 
 Equal sets are one node from the start. Within a group that shares a segment, texts are compared with
 its most central one first; those that this leaves in different components are compared with each
@@ -27,6 +28,7 @@ from filingmill.llm.components import components
 WORDS = 3
 PERCENT = 90  # of the union, that the intersection has at least
 CLASS_RATIO = 1.5  # of the set sizes that share a number of fragments
+SURPLUS = 5  # percent of a set's n-grams that similar texts share at the front of the order
 FRAGMENTS = 8  # in which the overlaps of a pair are counted
 SMALL = 1_000_000  # keys, of 8 bytes each, up to which they are sent to every executor
 
@@ -116,14 +118,32 @@ def segment_keys(grams: np.ndarray, percent: int = PERCENT) -> list[int]:
     return keys
 
 
+def prefix(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The first n-grams of the global order, of which sets that are similar but not equal share
+    `least_of_prefix` at least.
+
+    Of a set of n, similar ones have n * percent / 100 n-grams at least. What is left out of the order's
+    front beyond the others, and SURPLUS of n more, therefore shares that surplus. Only texts that have as
+    many in common with any others go on."""
+    n = len(grams)
+    if not int(difference(n + n * 100 // percent, percent)):
+        return grams[:0]
+    return grams[: n - -(-n * percent // 100) + -(-n * SURPLUS // 100)]
+
+
+def least_of_prefix(n: int, percent: int = PERCENT) -> int:
+    """The smallest set that is similar has percent of n, and its surplus is the smaller one."""
+    return -(-(-(-n * percent // 100)) * SURPLUS // 100)
+
+
 def _signature(grams: np.ndarray) -> int | None:
     """One number for the set: sums of hashes do not depend on how the set was come by."""
     return int(np.array([_mixed(grams + _MULTIPLIERS[50]).sum() + np.uint64(len(grams))]).view(np.int64)[0]) if len(grams) else None
 
 
 def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n, node (a number of the set; null if empty), keys of its segments, and how many of them
-    it shares at least with a similar set."""
+    """doc_id, n, node (a number of the set; null if empty), its n-grams at the front of the order as keys,
+    and how many of them it shares at least with a similar set."""
 
     def start():
         def work(keys, texts):
@@ -132,8 +152,8 @@ def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str =
                 "doc_id": keys,
                 "n": [len(g) for g in grams],
                 "node": [_signature(g) for g in grams],
-                "keys": [segment_keys(g, percent) if len(g) else [] for g in grams],
-                "least": [least_shared(len(g), percent) for g in grams],
+                "keys": [prefix(g, percent).view(np.int64) for g in grams],
+                "least": [least_of_prefix(len(g), percent) for g in grams],
             }
 
         return work
@@ -142,7 +162,7 @@ def sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str =
 
 
 def shared_keys(found: DataFrame) -> DataFrame:
-    """key, node of the segments that more than one node has, of nodes with enough of them.
+    """key, node of the keys that more than one node has, of nodes with enough of them.
 
     The first and last node of each key are found by an aggregation that combines copies before the
     shuffle; the join with the keys that have two is split where one is hot."""
@@ -161,8 +181,12 @@ def small_or_not(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= SMALL else frame
 
 
-def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, key: str, text: str) -> DataFrame:
-    """node, fragment, grams: all FRAGMENTS segments of each node, empty ones too, from one document each."""
+def grams_of(
+    docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, key: str, text: str, percent: int = PERCENT
+) -> DataFrame:
+    """node, fragment, grams: all FRAGMENTS segments of each node, empty ones too, from one document each.
+    Beside the first of them stand the keys of the node's segments by size class, and how many of them it
+    shares at least with a similar one."""
     chosen = stored(
         found.join(nodes, "node").filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id")), "chosen"
     )
@@ -171,7 +195,7 @@ def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, ke
 
     def start():
         def work(keys, texts):
-            out = {"id": [], "node": [], "fragment": [], "grams": []}
+            out = {"id": [], "node": [], "fragment": [], "grams": [], "keys": [], "least": []}
             for k, t in zip(keys, texts):
                 grams = shingles(t, words)
                 node = _signature(grams)
@@ -181,11 +205,13 @@ def grams_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, words: int, ke
                     out["node"].append(node)
                     out["fragment"].append(fragment)
                     out["grams"].append(grams[i:j].view(np.int64))
+                    out["keys"].append(None if fragment else segment_keys(grams, percent))
+                    out["least"].append(None if fragment else least_shared(len(grams), percent))
             return out
 
         return work
 
-    schema = "id long, node long, fragment int, grams array<long>"
+    schema = "id long, node long, fragment int, grams array<long>, keys array<long>, least long"
     found = map_texts(text_rows(rows, "id", "text"), schema, start)
     # An id may stand in the table twice, with the same or another text.
     if not texts.groupBy("id").count().filter("count > 1").isEmpty():
@@ -233,17 +259,18 @@ def links(
     docs: DataFrame, found: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """a, b: links between nodes, enough of them that components are those of all links."""
-    shared = stored(shared_keys(found.filter("node is not null and doc_id is not null")), "shared")
-    nodes = shared.select("node").distinct()
-    segments = stored(grams_of(docs, found, nodes, words, key, text), "segments")
+    nodes = shared_keys(found.filter("node is not null and doc_id is not null")).select("node").distinct()
+    segments = stored(grams_of(docs, found, stored(nodes, "nodes"), words, key, text, percent), "segments")
     sizes = segments.groupBy("node").agg(F.sum(F.size("grams")).alias("n"))
     sizes = sizes.join(own_grams(segments), "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     sizes = stored(sizes, "sizes")
     # Even the smallest set allowed next to it may lack only so much of what is a node's own.
     smallest = F.ceil(F.col("n") * percent / 100)
     near = 2 * F.col("own") - F.col("n") + smallest
-    able = sizes.filter(F.greatest("own", near) * (100 + percent) <= 2 * F.col("n") * (100 - percent))
-    members = stored(shared.join(able, "node"), "members")
+    able = stored(sizes.filter(F.greatest("own", near) * (100 + percent) <= 2 * F.col("n") * (100 - percent)), "able")
+    keyed = segments.filter("fragment = 0").join(able.select("node"), "node", "left_semi")
+    members = stored(shared_keys(keyed.select("node", "keys", "least")).join(able, "node"), "members")
+    segments = segments.select("node", "fragment", "grams")
 
     # The most central member has least for itself.
     lead = members.groupBy("key").agg(F.min(F.struct("own", "node", "n")).alias("lead"))

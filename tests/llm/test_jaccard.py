@@ -105,6 +105,18 @@ def test_similar_sets_share_a_segment(n, more_a, more_b, seed, percent):
         assert len(shared) >= max(jaccard.least_shared(len(x), percent) for x in (a, b))
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32), st.sampled_from([90, 80]))
+def test_similar_sets_share_the_front_of_the_order(n, more_a, more_b, seed, percent):
+    rng = np.random.default_rng(seed)
+    pool = np.unique(rng.integers(0, 2**64, n + more_a + more_b, np.uint64))
+    rng.shuffle(pool)
+    a, b = np.sort(pool[: n + more_a]), np.sort(np.append(pool[:n], pool[n + more_a :]))
+    if 100 * n >= percent * len(pool) and len(a) + len(b) > 2 * n:
+        shared = set(jaccard.prefix(a, percent).tolist()) & set(jaccard.prefix(b, percent).tolist())
+        assert len(shared) >= max(jaccard.least_of_prefix(len(x), percent) for x in (a, b)) >= 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(130)]
