@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingmill.functions.columns import quarter_end
-from filingmill.operators import marts, projection, ranking
+from filingmill.operators import marts, projection, ranking, splice
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import (
     BAD_CAST,
@@ -20,7 +20,7 @@ from filingmill.operators.projection import (
     project_financials,
 )
 from filingmill.operators.quarantine import clean_branches, clean_financials, quarantine_split
-from filingmill.operators.scd2 import rejected_snapshots
+from filingmill.operators.scd2 import build_history, rejected_snapshots
 from filingmill.plans import models, quality, serving
 from filingmill.plans.inputs import Inputs
 from filingmill.plans.refresh import BAD, FINANCIALS_CLEANING, Lake, clean_dates
@@ -413,6 +413,23 @@ def scd2_history(i: Inputs) -> DataFrame:
     return i.history_text
 
 
+@_query
+def history_spliced(i: Inputs) -> DataFrame:
+    """A history of snapshots of which the first, a middle and the last day were late, wrong or too many,
+    spliced by a delivery of these days: it equals the one built anew."""
+    days = [date(1992, 3, 31), date(1995, 6, 30), date(1995, 9, 30), date(1998, 9, 30)]
+    day, cert = F.col("snapshot_date"), F.col("cert")
+    wrong = i.snapshots.withColumn("name", F.when(day.isin(days) & (cert % 3 == 0), "wrong").otherwise(F.col("name")))
+    before = wrong.filter(~(day.isin(days) & (cert % 5 == 0)))
+    extra = wrong.filter((cert % 7 == 0) & (F.quarter(day) == 1)).withColumn("snapshot_date", F.lit(days[1]))
+    store = partial(_store, i, i.folder("splice"))
+    points = store("points", splice.daily_points(before.unionByName(extra)))
+    windows = store("history", build_history(before.unionByName(extra)))
+    delivered = store("delivered", splice.daily_points(i.snapshots.filter(day.isin(days))))
+    wanted = i.spark.createDataFrame([(d,) for d in days], "snapshot_date date")
+    return splice.splice_history(windows, points, delivered, wanted)
+
+
 @_query
 def dim_institution(i: Inputs) -> DataFrame:
     return i.dim

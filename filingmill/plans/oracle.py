@@ -336,6 +336,10 @@ _SQL = {
         select * replace (cast(valid_from as varchar) as valid_from,
                           cast(valid_to as varchar) as valid_to)
         from history""",
+    "history_spliced": """
+        select * replace (cast(valid_from as varchar) as valid_from,
+                          cast(valid_to as varchar) as valid_to)
+        from history""",
     "dim_institution": "select * from dim",
     "dim_date": """
         select repdte as date_day, cast(year(repdte) as bigint) as year,
