@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingmill.functions.columns import quarter_end
-from filingmill.operators import marts, projection, ranking, splice
+from filingmill.operators import marts, projection, propagate, ranking, splice
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import (
     BAD_CAST,
@@ -460,6 +460,44 @@ def mart_asset_growth(i: Inputs) -> DataFrame:
     return marts.asset_growth(i.fact)
 
 
+_DELIVERED = [date(1995, 6, 30), date(1997, 3, 31)]
+
+
+def _undelivered(i: Inputs, fact: DataFrame, amount: str) -> DataFrame:
+    """The facts before a delivery of two dates: of these, a third of the amounts are others, a fifth of the
+    institutions are missing, and some have a report they should not have."""
+    cert, on_days = F.col("cert"), F.col("repdte").isin(*_DELIVERED)
+    changed = fact.withColumn(amount, F.when(on_days & (cert % 3 == 0), F.col(amount) + 1000).otherwise(F.col(amount)))
+    before = changed.filter(~(on_days & (cert % 5 == 0)))
+    reports = before.filter(on_days).select("cert", "repdte").distinct()
+    extra = before.filter((cert % 7 == 1) & (F.col("repdte") == date(1996, 3, 31))).withColumn("repdte", F.lit(_DELIVERED[1]))
+    return before.unionByName(extra.join(reports, ["cert", "repdte"], "left_anti"))
+
+
+def _updated(i: Inputs, name: str) -> DataFrame:
+    """A mart of facts before a delivery, brought up to date."""
+    store = partial(_store, i, i.folder("updated"))
+    after = store("after", i.fact)
+    before = store("before", _undelivered(i, after, "asset"))
+    mart = store("mart", getattr(marts, name)(before))
+    return getattr(propagate, name)(mart, before, after, _DELIVERED)
+
+
+@_query
+def mart_latest_updated(i: Inputs) -> DataFrame:
+    return _updated(i, "latest_financials")
+
+
+@_query
+def mart_trends_updated(i: Inputs) -> DataFrame:
+    return _updated(i, "profitability_trends")
+
+
+@_query
+def mart_growth_updated(i: Inputs) -> DataFrame:
+    return _updated(i, "asset_growth")
+
+
 # Sums of doubles depend on their order in the last digits, so those queries round.
 
 
@@ -488,6 +526,24 @@ def mart_deposit_concentration(i: Inputs) -> DataFrame:
     )
 
 
+@_query
+def mart_concentration_updated(i: Inputs) -> DataFrame:
+    """Shares and indexes after a delivery of one survey year, brought up to date by state."""
+    store = partial(_store, i, i.folder("updated"))
+    year, on_year = date(1995, 6, 30), F.col("repdte") == date(1995, 6, 30)
+    after = store("after", i.branches)
+    wrong = F.when(on_year & (F.col("stalpbr") == "CHINA"), F.col("depsumbr") + 5000).otherwise(F.col("depsumbr"))
+    before = store("before", after.withColumn("depsumbr", wrong).filter(~on_year | (F.col("cert") % 4 != 0)))
+    mart = store("mart", marts.deposit_concentration(before))
+    return propagate.deposit_concentration(mart, before, after, [year]).withColumns(
+        {
+            "total_deposits": F.round("total_deposits", 2),
+            "deposit_share": F.round("deposit_share", 8),
+            "state_hhi": F.round("state_hhi", 4),
+        }
+    )
+
+
 # ---- serving -------------------------------------------------------------------------------------
 
 

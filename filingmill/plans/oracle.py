@@ -560,6 +560,12 @@ def _drift() -> str:
     return "\nunion all\n".join(rows)
 
 
+_SQL |= {  # brought up to date, they are what they are when built anew
+    "mart_latest_updated": _SQL["mart_latest_financials"],
+    "mart_trends_updated": _SQL["mart_profitability_trends"],
+    "mart_growth_updated": _SQL["mart_asset_growth"],
+    "mart_concentration_updated": _SQL["mart_deposit_concentration"],
+}
 _SQL["dq_report"] = _report()
 _SQL["schema_drift"] = _drift()
 
