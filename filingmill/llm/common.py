@@ -25,7 +25,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     folder = new_folder(frame.sparkSession, label)
     frame.write.parquet(folder)
     release_shuffles(frame.sparkSession)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    found = frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    found.stored_in = folder
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of stored rows that nothing reads any more: what was made of them is stored too."""
+    for frame in frames:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.stored_in)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

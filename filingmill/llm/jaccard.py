@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh3_64_intdigest
 
-from filingmill.llm.common import map_texts, stored, text_rows
+from filingmill.llm.common import discard, map_texts, stored, text_rows
 from filingmill.llm.components import components
 
 WORDS = 3
@@ -30,6 +30,7 @@ PERCENT = 90  # of the union, that the intersection has at least
 CLASS_RATIO = 1.5  # of the set sizes that share a number of fragments
 SURPLUS = 5  # percent of a set's n-grams that similar texts share at the front of the order
 FRAGMENTS = 8  # in which the overlaps of a pair are counted
+CUTS = 2  # rounds that drop nodes with too few keys; only the number of candidates depends on it
 SMALL = 1_000_000  # keys, of 8 bytes each, up to which they are sent to every executor
 
 _MULTIPLIERS = (2 * np.arange(1, 65, dtype=np.uint64) + 1) * np.uint64(0x9E3779B97F4A7C15)
@@ -173,7 +174,9 @@ def shared_keys(found: DataFrame) -> DataFrame:
     shared = stored(rows.join(keys, "key").select("key", "node").distinct(), "shared")
     least = found.groupBy("node").agg(F.min("least").alias("least"))
     enough = shared.groupBy("node").agg(F.count("*").alias("n")).join(least, "node").filter("n >= least")
-    return shared.join(enough.select("node"), "node", "left_semi")
+    found = stored(shared.join(enough.select("node"), "node", "left_semi"), "shared")
+    discard(keys, shared)
+    return found
 
 
 def small_or_not(frame: DataFrame) -> DataFrame:
@@ -258,9 +261,13 @@ def similar(pairs: DataFrame, segments: DataFrame, sizes: DataFrame, percent: in
 def links(
     docs: DataFrame, found: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """a, b: links between nodes, enough of them that components are those of all links."""
-    nodes = shared_keys(found.filter("node is not null and doc_id is not null")).select("node").distinct()
-    segments = stored(grams_of(docs, found, stored(nodes, "nodes"), words, key, text, percent), "segments")
+    """a, b: links between nodes, enough of them that components are those of all links. The stored sets
+    are not needed afterwards and are deleted, as their keys are the largest part of all that is stored."""
+    shared = shared_keys(found.filter("node is not null and doc_id is not null"))
+    nodes = stored(shared.select("node").distinct(), "nodes")
+    ids = stored(found.select("doc_id", "node"), "ids")
+    discard(shared, found)
+    segments = stored(grams_of(docs, ids, nodes, words, key, text, percent), "segments")
     sizes = segments.groupBy("node").agg(F.sum(F.size("grams")).alias("n"))
     sizes = sizes.join(own_grams(segments), "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     sizes = stored(sizes, "sizes")
@@ -269,6 +276,7 @@ def links(
     near = 2 * F.col("own") - F.col("n") + smallest
     able = stored(sizes.filter(F.greatest("own", near) * (100 + percent) <= 2 * F.col("n") * (100 - percent)), "able")
     keyed = segments.filter("fragment = 0").join(able.select("node"), "node", "left_semi")
+    able = able.join(keyed.select("node", "least"), "node")
     members = stored(shared_keys(keyed.select("node", "keys", "least")).join(able, "node"), "members")
     segments = segments.select("node", "fragment", "grams")
 
@@ -279,9 +287,10 @@ def links(
     pairs = stored(pairs.filter(possible("n", "own", "n_b", "own_b", percent)).select(F.col("node").alias("a"), "b").distinct(), "pairs")
     linked = stored(similar(pairs, segments, sizes, percent), "links")
 
-    rest = stored(remaining(members, lead, components(linked), segments, percent), "pairs")
+    rest = remaining(members, lead, components(linked), segments, percent)
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
+    discard(members)
     return linked.unionByName(similar(rest, segments, sizes, percent))
 
 
@@ -299,20 +308,29 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
     differ in, and b must share about half of its own D: only the rarer half of D(b) is looked up. What
     the lead alone has or lacks is in every D and stands last. Members meet only at what few others have."""
     rows = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = rows.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-    split = parts.filter("first <> last").join(lead.select("key", "b"), "key").select("key", "b")
-    met = rows.join(split, "key").filter("node <> b").select("node", "n", "own", "component", "b").distinct()
+    for _ in range(CUTS):
+        # Only keys with two components can be shared with another one, and of these a similar node shares
+        # `least`; nodes that have fewer, such as those with a common passage, leave their keys to the others.
+        parts = rows.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+        rows = rows.join(parts.filter("first <> last").select("key"), "key", "left_semi")
+        enough = rows.groupBy("node", "least").agg(F.count("*").alias("keys")).filter("keys >= least")
+        before, rows = rows, stored(rows.join(enough.select("node"), "node", "left_semi"), "rows")
+        if hasattr(before, "stored_in"):
+            discard(before)
+    # A similar pair has `least` keys in common, so one of a node's leads has an even share of them.
+    met = rows.join(lead.select("key", "b"), "key").groupBy("node", "n", "own", "component", "least", "b").agg(F.count("*").alias("keys"))
+    leads = met.groupBy("node").agg(F.count("*").alias("leads"))
+    met = met.join(leads, "node").filter("keys * leads >= least and node <> b").drop("keys", "leads", "least")
     of_lead = known.select(F.col("node").alias("b"), F.col("component").alias("lead_component"))
     met = met.join(of_lead, "b", "left").withColumn("outside", F.col("component") != F.coalesce("lead_component", "b"))
-    # A group of which all others are in the lead's component has nothing to compare.
     met = stored(met.drop("lead_component"), "met")
-    open_ = met.filter("outside").select("b").distinct()
-    met = met.join(open_, "b", "left_semi")
+    # A group of which all others are in the lead's component has nothing to compare.
+    compared = met.join(met.filter("outside").select("b").distinct(), "b", "left_semi")
 
     left = segments.select("node", "fragment", F.col("grams").alias("of_node"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
     apart = F.array_union(F.array_except("of_node", "of_b"), F.array_except("of_b", "of_node"))
-    differ = met.select("node", "b").join(left, "node").join(right, ["b", "fragment"]).select("node", "b", F.explode(apart).alias("gram"))
+    differ = compared.select("node", "b").join(left, "node").join(right, ["b", "fragment"]).select("node", "b", F.explode(apart).alias("gram"))
     differ = stored(differ, "differ")
     often = differ.groupBy("b", "gram").agg(F.count("*").alias("often")).filter("often > 1")
     sizes = differ.groupBy("node", "b").agg(F.count("*").alias("d"))
@@ -320,7 +338,7 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
     common = differ.join(often, ["b", "gram"]).join(sizes, ["node", "b"])
     from_last = Window.partitionBy("node", "b").orderBy(F.desc("often"), "gram")
     common = common.withColumn("after", F.row_number().over(from_last) - 1)  # n-grams of D that follow
-    common = stored(common.join(met, ["node", "b"]).drop("often"), "common")
+    common = stored(common.join(compared, ["node", "b"]).drop("often"), "common")
 
     share = (100 - percent) / (100 + percent)
     names = ["node", "n", "own", "component", "d", "after"]
@@ -334,7 +352,9 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
         & (F.least("after_a", "after_b") + 1 >= needed - 1e-6)
         & possible("n_a", "own_a", "n_b", "own_b", percent)
     )
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    found = stored(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
+    discard(rows, met, differ, common)
+    return found
 
 
 def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -346,8 +366,9 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     component. Equal rows stay rows; rows that share a doc_id share its links. Sets are compared by 64-bit
     hashes: two n-grams that differ are taken for one with a chance of 1 in 2^64. An empty table gives no
     rows; other columns are ignored."""
-    found = stored(sets(docs, words, percent, key, text), "sets")
-    joined = components(links(docs, found, words, percent, key, text))
+    with_keys = stored(sets(docs, words, percent, key, text), "sets")
+    found = stored(with_keys.select("doc_id", "n", "node"), "found")
+    joined = components(links(docs, with_keys, words, percent, key, text))
     ids = found.filter("doc_id is not null").select("doc_id", "node").distinct()
     # A document is linked with all of its node, and nodes of a component with each other.
     groups = ids.filter("node is not null").join(joined, "node", "left").withColumn(
