@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from filingmill.functions.columns import quarter_end
 from filingmill.operators import marts, projection, propagate, ranking, splice
+from filingmill.operators.asof import sweep_as_of
 from filingmill.operators.dedupe import latest_per_key
 from filingmill.operators.projection import (
     BAD_CAST,
@@ -445,6 +446,11 @@ def fct_financials(i: Inputs) -> DataFrame:
     return i.fact
 
 
+@_query
+def fct_financials_swept(i: Inputs) -> DataFrame:
+    return models.fct_financials(models.stage_financials(i.financials), i.dim, sweep_as_of)
+
+
 @_query
 def mart_latest_financials(i: Inputs) -> DataFrame:
     return marts.latest_financials(i.fact)
@@ -566,6 +572,17 @@ def page_institutions(i: Inputs) -> DataFrame:
     return _list(i, limit=20, offset=40)
 
 
+@_query
+def page_institutions_after(i: Inputs) -> DataFrame:
+    """The page behind an institution, asked for by its key."""
+    return _list(i, limit=20, after=75)
+
+
+@_query
+def page_financials_after(i: Inputs) -> DataFrame:
+    return serving.institution_financials(i.fact, 7, date_to=date(1999, 12, 31), limit=5, after=date(1994, 6, 30))
+
+
 @_query
 def get_institution(i: Inputs) -> DataFrame:
     return serving.get_institution(i.dim, i.fact, 7)
@@ -618,7 +635,8 @@ def health_published(i: Inputs) -> DataFrame:
     folder = i.folder("warehouse")
     warehouse = Warehouse(i.spark, "published_" + folder.rpartition("-")[2], folder)
     staged = warehouse.begin()
-    publish_freshness(staged, i.fact, PUBLISHED_AT)
+    staged.replace("fact", i.fact)
+    publish_freshness(staged, "fact", PUBLISHED_AT)
     warehouse.publish(staged)
     return serving.health(warehouse.table(FRESHNESS_TABLE))
 
@@ -803,6 +821,17 @@ def dq_rerun(i: Inputs) -> DataFrame:
     return changed.select("change", "cert", "repdte", "asset", "_batch_id", "copies")
 
 
+@_query
+def dq_rerun_by_day(i: Inputs) -> DataFrame:
+    """The same reruns, of which only the quarters with unequal fingerprints are compared."""
+    store = partial(_store, i, i.folder("rerun"))
+    before = store("before", clean_financials(i.raw_financials)[0])
+    amended = F.when(F.col("REPDTE") == "19970630", F.col("ASSET") + 1).otherwise(F.col("ASSET"))
+    after = store("after", clean_financials(i.raw_financials.withColumn("ASSET", amended))[0])
+    changed = quality.changed_rows_by_day(before, after, "repdte")
+    return changed.select("change", "cert", "repdte", "asset", "_batch_id", "copies")
+
+
 def _store(i: Inputs, folder: str, name: str, df: DataFrame) -> DataFrame:
     """Write a table that is read more than once, as the refresh does, and read it back."""
     df.write.parquet(f"{folder}/{name}")

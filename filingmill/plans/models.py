@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from filingmill.schemas import (
     UNKNOWN_SK,
 )
 
+AsOf = Callable[[DataFrame, DataFrame, str, str, dict[str, str]], DataFrame]
+
 
 def _staged(df: DataFrame, columns: list[str]) -> DataFrame:
     """A message may bring any text as its provenance; text that is no time is null here."""
@@ -78,10 +82,11 @@ def dim_date(financials: DataFrame) -> DataFrame:
     )
 
 
-def fct_financials(financials: DataFrame, institutions: DataFrame) -> DataFrame:
-    """Each filing with the key of the institution version valid on its report date."""
+def fct_financials(financials: DataFrame, institutions: DataFrame, as_of: AsOf = join_as_of) -> DataFrame:
+    """Each filing with the key of the institution version valid on its report date. `sweep_as_of` is for
+    institutions with very many versions."""
     filed = financials.drop("name")
-    joined = join_as_of(filed, institutions, "cert", "repdte", {"institution_sk": "_sk"})
+    joined = as_of(filed, institutions, "cert", "repdte", {"institution_sk": "_sk"})
     return joined.select(
         F.coalesce("_sk", F.lit(UNKNOWN_SK)).alias("institution_sk"), *filed.columns
     )

@@ -347,6 +347,7 @@ _SQL = {
                cast(year(repdte) as varchar) || '-Q' || cast(quarter(repdte) as varchar) as year_quarter
         from fin group by repdte""",
     "fct_financials": "select * from fact",
+    "fct_financials_swept": "select * from fact",
     "mart_latest_financials": "select * from latest",
     "mart_profitability_trends": "select * from trends",
     "mart_asset_growth": """
@@ -369,6 +370,11 @@ _SQL = {
         where state = 'NATION_3' and bkclass = 'BUILDING' and latest_asset between 50000 and 400000
         order by cert limit 51""",
     "page_institutions": "select * from institution order by cert limit 21 offset 40",
+    "page_institutions_after": "select * from institution where cert > 75 order by cert limit 21",
+    "page_financials_after": """
+        select cert, repdte, stalp as state, bkclass, asset, dep, eq, netinc, roa, roe
+        from fact where cert = 7 and repdte > date '1994-06-30' and repdte <= date '1999-12-31'
+        order by repdte limit 6""",
     "get_institution": "select * from institution where cert = 7",
     "institution_financials": """
         select cert, repdte, stalp as state, bkclass, asset, dep, eq, netinc, roa, roe
@@ -560,6 +566,7 @@ def _drift() -> str:
     return "\nunion all\n".join(rows)
 
 
+_SQL["dq_rerun_by_day"] = _SQL["dq_rerun"]
 _SQL |= {  # brought up to date, they are what they are when built anew
     "mart_latest_updated": _SQL["mart_latest_financials"],
     "mart_trends_updated": _SQL["mart_profitability_trends"],

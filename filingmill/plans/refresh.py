@@ -265,7 +265,7 @@ def build_models(warehouse: Warehouse) -> None:
     """Every curated model, each from the stored tables below it."""
     views = stage(warehouse)
     history, filings = views["stg_institution_history"], views["stg_financials"]
-    warehouse.replace("dim_institution", models.dim_institution(history), sort_by=["cert"])
+    warehouse.replace("dim_institution", models.dim_institution(history), sort_by=["cert"], range_by="cert")
     warehouse.replace("dim_date", models.dim_date(filings))
     # Three marts group the facts by institution; in buckets they do so without a shuffle each.
     warehouse.replace(
@@ -276,7 +276,7 @@ def build_models(warehouse: Warehouse) -> None:
         rows=filings.count(),  # the join keeps them, and their number is in the file footers
     )
     fact = warehouse.table(FACT_TABLE)
-    warehouse.replace("mart_latest_financials", marts.latest_financials(fact), sort_by=["cert"])
+    warehouse.replace("mart_latest_financials", marts.latest_financials(fact), sort_by=["cert"], range_by="cert")
     warehouse.replace(
         "mart_profitability_trends", marts.profitability_trends(fact), sort_by=["cert", "repdte"]
     )
@@ -325,7 +325,7 @@ def publish(
     load(lake, tables, history, good[FINANCIALS_CLEANING.output], good[BRANCHES_CLEANING.output])
     build_models(tables)
     gate(tables, checks)
-    publish_freshness(tables, tables.table(FACT_TABLE), published_at)
+    publish_freshness(tables, FACT_TABLE, published_at)
     for cleaning in CLEANINGS:
         if cleaning.output in cleaned:
             _commit(lake, cleaning, cleaned[cleaning.output])

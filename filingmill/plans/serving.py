@@ -39,21 +39,25 @@ MAX_LIMIT = 500
 
 @dataclass(frozen=True)
 class Page:
-    """Rows of one page and whether another follows, known from one extra row instead of a count."""
+    """Rows of one page and whether another follows, known from one extra row instead of a count.
+
+    `after` is the key of the last row if another page follows, to ask for it by."""
 
     items: list[Row]
     limit: int
     offset: int
     has_more: bool
+    after: int | date | None = None
 
 
 class NotFoundError(LookupError):
     """No current institution has the requested key."""
 
 
-def fetch_page(lookahead: DataFrame, limit: int, offset: int) -> Page:
+def fetch_page(lookahead: DataFrame, limit: int, offset: int, key: str | None = None) -> Page:
     rows = lookahead.collect()  # at most limit + 1 rows
-    return Page(rows[:limit], limit, offset, len(rows) > limit)
+    more = len(rows) > limit
+    return Page(rows[:limit], limit, offset, more, rows[limit - 1][key] if more and key else None)
 
 
 def contract(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -101,6 +105,12 @@ def _page(rows: DataFrame, order: list[str], limit: int, offset: int) -> DataFra
     return rows.orderBy(*order).offset(offset).limit(limit + 1)
 
 
+def _after(rows: DataFrame, key: str, after: int | date | None) -> DataFrame:
+    """Rows behind the last one of the page before. The bound reaches the scan, whose files are in
+    ranges of the key, so a page deep in the list reads and keeps no row of those before it."""
+    return rows if after is None else rows.filter(F.col(key) > F.lit(after))
+
+
 def list_institutions(
     institutions: DataFrame,
     latest: DataFrame,
@@ -111,14 +121,17 @@ def list_institutions(
     max_asset: float | None = None,
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
+    after: int | None = None,
 ) -> DataFrame:
     """One page of current, known institutions in key order, plus the look-ahead row.
 
-    An absent bound filters nothing; an institution without figures is outside any asset bound.
+    Pages are asked for by the last key of the page before, `after`, or by `offset`, which keeps all
+    rows before it and is for the first pages. An absent bound filters nothing; an institution without figures is outside any asset bound.
     Without a bound the page is cut first, so that few rows meet the figures.
     """
     _check_page(limit, offset)
     rows = institutions.filter(F.col("is_current") & (F.col("institution_sk") != UNKNOWN_SK))
+    rows, latest = _after(rows, "cert", after), _after(latest, "cert", after)
     if state is not None:
         rows = rows.filter(F.col("state") == state)
     if bkclass is not None:
@@ -154,10 +167,12 @@ def institution_financials(
     date_to: date | None = None,
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
+    after: date | None = None,
 ) -> DataFrame:
-    """One page of an institution's reports, oldest first, plus the look-ahead row."""
+    """One page of an institution's reports, oldest first, plus the look-ahead row; `after` is the date of
+    the last report of the page before."""
     _check_page(limit, offset)
-    rows = fact.filter(F.col("cert") == cert)
+    rows = _after(fact.filter(F.col("cert") == cert), "repdte", after)
     if date_from is not None:
         rows = rows.filter(F.col("repdte") >= F.lit(date_from))
     if date_to is not None:
@@ -237,6 +252,7 @@ class Reads:
         max_asset: float | None = None,
         limit: int = DEFAULT_LIMIT,
         offset: int = 0,
+        after: int | None = None,
     ) -> Page:
         _check_page(limit, offset)
         if any(bound is not None and bound < 0 for bound in (min_asset, max_asset)):
@@ -250,8 +266,9 @@ class Reads:
             max_asset=max_asset,
             limit=limit,
             offset=offset,
+            after=after,
         )
-        return fetch_page(rows, limit, offset)
+        return fetch_page(rows, limit, offset, "cert")
 
     def institution(self, cert: int) -> Row:
         _check_cert(cert)
@@ -270,6 +287,7 @@ class Reads:
         date_to: date | None = None,
         limit: int = DEFAULT_LIMIT,
         offset: int = 0,
+        after: date | None = None,
     ) -> Page:
         _check_cert(cert)
         _check_page(limit, offset)
@@ -277,9 +295,9 @@ class Reads:
             raise ValueError("date_from must not be later than date_to")
         fact = self._table("fct_bank_quarterly_financials")
         rows = institution_financials(
-            fact, cert, date_from=date_from, date_to=date_to, limit=limit, offset=offset
+            fact, cert, date_from=date_from, date_to=date_to, limit=limit, offset=offset, after=after
         )
-        return fetch_page(rows, limit, offset)
+        return fetch_page(rows, limit, offset, "repdte")
 
     def rankings(
         self,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,8 +111,10 @@ class Warehouse:
         bucket_by: str | None = None,
         sort_by: Sequence[str] = (),
         rows: int | None = None,
+        range_by: str | None = None,
     ) -> None:
-        """Truncate and load, each file sorted by `sort_by` so reads can skip by its bounds.
+        """Truncate and load, each file sorted by `sort_by` so reads can skip by its bounds. With
+        `range_by`, files hold ranges of a key, so a read from some key on skips whole files.
 
         A bucketed table is shuffled by the key first, so there is one file per bucket; `rows`, if
         known, saves counting them for the number of buckets.
@@ -123,7 +125,8 @@ class Warehouse:
             buckets = self.buckets or -(-(df.count() if rows is None else rows) // self.bucket_rows) or 1
             arranged = df.repartition(buckets, bucket_by)
         else:
-            arranged = df.sortWithinPartitions(*sort_by) if sort_by else df
+            arranged = df.repartitionByRange(range_by) if range_by else df
+            arranged = arranged.sortWithinPartitions(*sort_by) if sort_by else arranged
         writer = arranged.write.format("parquet").mode("overwrite").option("path", self.path(table))
         if bucket_by:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by)
@@ -167,7 +170,31 @@ def freshness(fact: DataFrame, published_at: datetime | None = None) -> DataFram
     return row.select(F.lit(when).cast("timestamp").alias("published_at"), *row.columns).to(FRESHNESS)
 
 
+# Settings by which Spark answers a maximum and a count from footers.
+_FROM_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def in_footers(spark: SparkSession, path: str) -> Row:
+    """`max_repdte` and `financials_row_count` of a table's files. The aggregates are pushed into the scan,
+    which takes them from the files' footers and reads no column, however many rows there are."""
+    before = {key: spark.conf.get(key, None) for key in _FROM_FOOTERS}
+    try:
+        for key, value in _FROM_FOOTERS.items():
+            spark.conf.set(key, value)
+        return _in_footers(spark, path).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _in_footers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).agg(F.max("repdte").alias("max_repdte"), F.count("*").alias("financials_row_count"))
+
+
 def publish_freshness(
-    warehouse: Warehouse, fact: DataFrame, published_at: datetime | None = None
+    warehouse: Warehouse, table: str, published_at: datetime | None = None
 ) -> None:
-    warehouse.replace(FRESHNESS_TABLE, freshness(fact, published_at))
+    """The freshness of a stored table, by the footers of its files."""
+    found = in_footers(warehouse.spark, warehouse.path(table))
+    row = (published_at or datetime.now(UTC), found.max_repdte, found.financials_row_count)
+    warehouse.replace(FRESHNESS_TABLE, warehouse.spark.createDataFrame([row], FRESHNESS))
