@@ -10,6 +10,7 @@ one window per query. Nothing is approximate about the result.
 from __future__ import annotations
 
 import heapq
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,9 @@ def search(
 
     Every usable row is a candidate for every query with another key and as many dimensions. Rows
     without a key and vectors that are not usable take no part. Queries that share a key are one, the
-    smallest vector by components. Candidates that share a key are all candidates."""
+    smallest vector by components. Candidates that share a key are all candidates. Components may be of any
+    size; products beyond the largest double are infinite and tie. An empty table gives no rows; other
+    columns, also of the results' names, are not read."""
     ship(vectors.sparkSession)
     rows = vectors.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), is_query.alias("is_query"))
     rows = rows.filter(usable("vector")).withColumn("vector", F.col("vector").cast("array<double>")).withColumn("size", F.size("vector"))
@@ -98,13 +101,28 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def inner(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Inner products of the rows i of a and j of b, summed from the first component to the last, so
-    equal vectors have equal products wherever they stand."""
+    equal vectors have equal products wherever they stand. Where that overflows on the way, the exact
+    sum is rounded; it is infinite only if it is beyond the largest double."""
     out = np.zeros(len(i))
-    for k in range(a.shape[1]):
-        out += a[i, k] * b[j, k]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for k in range(a.shape[1]):
+            out += a[i, k] * b[j, k]
+    for at in np.flatnonzero(~np.isfinite(out)).tolist():
+        exact = sum(Fraction(x) * Fraction(y) for x, y in zip(a[i[at]].tolist(), b[j[at]].tolist()))
+        try:
+            out[at] = float(exact)
+        except OverflowError:
+            out[at] = np.inf if exact > 0 else -np.inf
     return out
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose largest component is from 0.5 to 1, and the powers of two they were divided by: norms
+    and products of these neither overflow nor vanish."""
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -power[:, None]), power
+
+
 def first_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
     """Rows that can be among any query's best: of equal vectors the k + 1 with the smallest ids, as
     ties go to the smaller id and one may be the query itself."""
@@ -123,22 +141,27 @@ def best_of_tile(
         return out
     kept = first_copies(ids, vectors, k)
     ids, vectors = ids[kept], np.asfortranarray(vectors[kept])
-    small, scale, stands, lost = quantised(vectors)
-    whole = np.linalg.norm(vectors, axis=1)
+    unit, power = scaled(vectors)
+    small, scale, stands, lost = quantised(unit)
+    whole = np.linalg.norm(unit, axis=1)
     for at in range(0, len(query_ids), STRIP):
         some = queries[at : at + STRIP]
-        q_small, q_scale, q_stands, q_lost = quantised(some)
+        q_unit, q_power = scaled(some)
+        q_small, q_scale, q_stands, q_lost = quantised(q_unit)
         # |x.y - x'.y'| = |x'.(y - y') + (x - x').y|; the margin covers rounding of the bound itself.
         error = np.outer(q_stands, lost) + np.outer(q_lost, whole)
-        error += 1e-9 * np.outer(np.linalg.norm(some, axis=1), whole)
+        error += 1e-9 * np.outer(np.linalg.norm(q_unit, axis=1), whole)
         middle = product(q_small, small) * np.outer(q_scale, scale)
         own = query_ids[at : at + STRIP, None] == ids
-        low = np.where(own, -np.inf, middle - error)
+        powers = q_power[:, None] + power
+        with np.errstate(over="ignore"):  # bounds beyond the largest double are infinite, as are the products
+            low, high = np.ldexp(middle - error, powers), np.ldexp(middle + error, powers)
+        low = np.where(own, -np.inf, low)
         if low.shape[1] > k:
             limit = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k, None]
         else:
             limit = np.full((len(some), 1), -np.inf)
-        i, j = np.nonzero((middle + error >= limit) & ~own)
+        i, j = np.nonzero((high >= limit) & ~own)
         scores = np.concatenate([inner(some, vectors, i[s : s + PAIRS], j[s : s + PAIRS]) for s in range(0, max(len(i), 1), PAIRS)])
         bounds = np.searchsorted(i, np.arange(len(some) + 1))
         for row, (a, b) in enumerate(zip(bounds, bounds[1:])):

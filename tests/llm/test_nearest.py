@@ -1,5 +1,6 @@
 """Nearest neighbours against all products; bounds; odd vectors."""
 
+from fractions import Fraction
 from functools import reduce
 from operator import add, mul
 
@@ -63,3 +64,26 @@ def test_copies_beyond_the_nearest_are_left_out():
     ids = np.array([5, 3, 9, 1, 7])
     vectors = np.array([[1.0], [1.0], [1.0], [2.0], [1.0]])
     assert nearest.first_copies(ids, vectors, 1).tolist() == [0, 1, 3]
+
+
+def test_huge_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1.0, 2.0]), (3, [3.0, 4.0]), (4, [1e-200, 1e-200]), (5, [-1e200, -1e200]),
+            (6, [1e300, -1e300]), (20, [1e-200, 0.0]), (40, [1e-320, 1e-310]), (60, [1.0, -1.0]), (80, [1e308, 1e308])]
+    rows += [(100 + i, [float(i), 1e200 * (i % 3 - 1)]) for i in range(1, 60)]
+
+    def exact(x, y):
+        value = sum(Fraction(a) * Fraction(b) for a, b in zip(x, y))
+        try:
+            return float(value)
+        except OverflowError:
+            return float("inf") if value > 0 else -float("inf")
+
+    found = nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    by_query = {}
+    for r in sorted(found, key=lambda r: r.rank):
+        by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, x in rows:
+        if q % 20 == 0:
+            best = sorted((-exact(x, y), i) for i, y in rows if i != q)[:20]
+            assert [i for i, _ in by_query[q]] == [i for _, i in best]
+            assert [s for _, s in by_query[q]] == pytest.approx([-s for s, _ in best], rel=1e-12)
