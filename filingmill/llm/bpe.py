@@ -22,6 +22,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from filingmill.llm.common import map_texts, parts, sha256_hex, text_rows
 
@@ -43,16 +44,18 @@ def byte_chars() -> list[str]:
 class WordBpe:
     """The tokenizer of a vocabulary file whose words end in `</w>`: lower case, white space dropped."""
 
-    # Fixed: the words of this kind of vocabulary, as its file states them. The second is the same
-    # for ASCII.
-    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+    # Fixed: the words of this kind of vocabulary, as its file states them, for ASCII. What is a letter, a
+    # number or lower case elsewhere depends on the version of Unicode, so the library says so.
     ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
     # White space to str.split, and to nothing else.
     SEPARATORS = re.compile("[\x1c-\x1f]")
+    CHUNKS = regex.compile(r"\P{White_Space}+")
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
+        library = Tokenizer.from_file(path)
+        self.normalized, self.cut_words = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         vocab: dict[str, int] = content["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.tokens = {i: t for t, i in (vocab | self.special).items()}
@@ -196,7 +199,7 @@ class WordBpe:
             # Lower case character by character: the last sigma of a word is no special case.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if self.SEPARATORS.search(text):
-            return self.WORDS.findall(text)
+            return self.CHUNKS.findall(text)
         return text.split()
 
     def chunks(self, text: str) -> list[str]:
@@ -209,7 +212,10 @@ class WordBpe:
         return out
 
     def _words(self, chunk: str) -> list[str]:
-        return (self.ASCII_WORDS if chunk.isascii() else self.WORDS).findall(chunk)
+        if chunk.isascii():
+            return self.ASCII_WORDS.findall(chunk)
+        chunk = self.normalized(chunk)
+        return [chunk[i:j] for _, (i, j) in self.cut_words(chunk)]
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         words = [[] if c in self.special else self._words(c) for c in chunks]
@@ -284,7 +290,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded in one pass.
 
-    Null and empty texts have no token and the digests of the empty text."""
+    Null and empty texts have no token and the digests of the empty text. Equal rows give equal rows, an
+    empty table gives none; other columns are not read. A text is encoded whole, however long."""
 
     def start():
         bpe = load(path)

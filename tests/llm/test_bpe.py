@@ -67,3 +67,12 @@ def test_queries_columns(spark, own, library):
     back = {r.doc_id: r.text for r in bpe.decode(encoded, PATH).collect()}
     assert back[1] == "the</w> cat</w>" and back[2] == back[3] == ""
     assert bpe.digests(docs.limit(0), PATH).count() == 0
+
+
+def test_every_code_point_inside_a_word_as_the_library_has_it():
+    library, own = Tokenizer.from_file(PATH), bpe.load(PATH)
+    points = [c for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"ab{chr(c)}cd {chr(c)}x1{chr(c)}" for c in points[at : at + 64]) for at in range(0, len(points), 64)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    wrong = [hex(points[64 * i]) for i, (a, b) in enumerate(zip(own.encode(texts), expected)) if a != b]
+    assert wrong == []
