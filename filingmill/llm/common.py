@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from filingmill.session import new_folder
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 2500  # of a batch that Spark and a worker hold several times over
+
 _shipped: set[str] = set()
 
 
@@ -44,7 +47,10 @@ def release_shuffles(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, once per application, where they do not have it installed."""
+    """Gives the executors this package, once per application, where they do not have it installed, and
+    sees that a batch of texts is not as many rows as one of numbers may be."""
+    if int(spark.conf.get(BATCH_ROWS)) > MOST_ROWS:
+        spark.conf.set(BATCH_ROWS, MOST_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
