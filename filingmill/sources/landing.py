@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable, Mapping
 from datetime import UTC, datetime
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from filingmill.schemas import PROVENANCE, REQUIRED_RAW
 
 PARTITION = "dt"
+_JOB = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 MOST_SHORT = 1000  # incomplete sources that a report lists; all of them are left out
 
 
@@ -117,41 +119,79 @@ def _schema_folder(path: str) -> str:
     return f"{path}/_schemas"
 
 
-def recorded_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType]:
-    """The schema each partition was written with, where its writer recorded it. One job."""
-    folder = _schema_folder(path)
-    if not _exists(spark, folder):
+def _jobs(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """By partition, the write jobs its files are from: Spark puts a job's number into their names."""
+    folder, fs = _file_system(spark, path)
+    found: dict[str, set[str]] = {}
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith(f"{PARTITION}="):
+                files = (f.getPath().getName() for f in fs.listStatus(status.getPath()))
+                jobs = {m.group() if (m := _JOB.search(f)) else f for f in files if not f.startswith(("_", "."))}
+                found[name.removeprefix(f"{PARTITION}=")] = jobs
+    return found
+
+
+def _records(spark: SparkSession, path: str) -> dict[str, str]:
+    """By write job, where the schema it wrote is recorded."""
+    folder, fs = _file_system(spark, _schema_folder(path))
+    if not fs.exists(folder):
         return {}
-    rows = spark.read.schema(f"schema string, {PARTITION} string").parquet(folder)
-    found = rows.filter("schema <> ''").groupBy("schema").agg(F.collect_set(PARTITION).alias("values"))
-    schemas = ((T.StructType.fromJson(json.loads(r["schema"])), r["values"]) for r in found.collect())
-    return {value: schema for schema, values in schemas for value in values}
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    return {name.removesuffix(".json"): f"{_schema_folder(path)}/{name}" for name in names if name.endswith(".json")}
 
 
-def _record_schema(spark: SparkSession, path: str, values: list[str], schema: str) -> None:
-    rows = spark.createDataFrame([(schema, value) for value in values], f"schema string, {PARTITION} string")
-    (
-        rows.coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(_schema_folder(path))
-    )
+def recorded_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType]:
+    """The schema each partition was written with, where all its files are of one write job that recorded
+    it. Files are listed, none is read but the records, one for each job."""
+    records = _records(spark, path)
+    schemas: dict[str, T.StructType] = {}
+    found = {}
+    for value, jobs in _jobs(spark, path).items() if records else ():
+        if len(jobs) == 1 and (job := next(iter(jobs))) in records:
+            if job not in schemas:
+                schemas[job] = T.StructType.fromJson(json.loads(read_text(spark, records[job])))
+            found[value] = schemas[job]
+    return found
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text, read by the driver from wherever Spark's paths reach."""
+    file, fs = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    file, fs = _file_system(spark, path)
+    stream = fs.create(file, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
 
 
 def write_recorded(df: DataFrame, path: str) -> None:
-    """`write_partitions`, with the schema recorded for each partition that is replaced.
+    """`write_partitions`, with the schema recorded for the files of this write. The rows are evaluated once.
 
-    While data is being replaced its record is empty, which says nothing: a write that fails half way
-    leaves partitions that are read by their footers. The driver gets the names of the partitions.
+    A record is of a write job and holds for the files that bear its number, so a write that fails half
+    way, or one by other means, leaves partitions that are read by their footers. Records of jobs of which
+    no file is left are deleted. If another job wrote meanwhile, it is not known whose files are whose, and
+    none is recorded.
     """
     spark = df.sparkSession
-    values = [r[0] for r in df.select(PARTITION).distinct().collect() if r[0] is not None]
-    if values:
-        _record_schema(spark, path, values, "")
+    before = set().union(*_jobs(spark, path).values())
     write_partitions(df, path)
-    if values:
-        _record_schema(spark, path, values, df.drop(PARTITION).schema.json())
+    after = set().union(*_jobs(spark, path).values())
+    written = after - before
+    if len(written) == 1:
+        write_text(spark, f"{_schema_folder(path)}/{written.pop()}.json", df.drop(PARTITION).schema.json())
+    for job, record in _records(spark, path).items():
+        if job not in after:
+            file, fs = _file_system(spark, record)
+            fs.delete(file, False)
 
 
 def land(

@@ -22,7 +22,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from filingmill.sources.landing import PARTITION, _exists, _file_system
+from filingmill.sources.landing import PARTITION, _exists, _file_system, read_text, write_text
 
 COMMITS = "_commits"  # hidden from Spark's readers by its underscore
 KEPT = 2
@@ -89,13 +89,7 @@ class Manifest:
         return sorted(int(n.removesuffix(".json")) for n in self._names(f"{self.base}/{COMMITS}") if n.endswith(".json"))
 
     def commit_of(self, number: int) -> Commit:
-        path, fs = _file_system(self.spark, self._commit_path(number))
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        values = json.loads(text)
+        values = json.loads(read_text(self.spark, self._commit_path(number)))
         replaced = values.pop("replaced")
         return Commit(**values, replaced=replaced and tuple(replaced))
 
@@ -133,9 +127,7 @@ class Manifest:
     def _take(self, commit: Commit) -> bool:
         final, fs = _file_system(self.spark, self._commit_path(commit.number))
         draft, _ = _file_system(self.spark, f"{self.base}/{COMMITS}/draft-{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
-        stream.write(bytearray(json.dumps(asdict(commit)).encode()))
-        stream.close()
+        write_text(self.spark, draft.toString(), json.dumps(asdict(commit)))
         if not fs.exists(final) and fs.rename(draft, final):
             return True
         fs.delete(draft, False)

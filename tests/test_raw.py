@@ -191,18 +191,42 @@ def test_the_drift_read_needs_as_many_jobs_for_few_partitions_as_for_many(spark,
 
 def test_a_write_that_fails_half_way_leaves_partitions_to_their_footers(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "financials")
-    rows = spark.createDataFrame([(1, "20240331")], "CERT int, dt string")
+    days = ["20240331", "20240630", "20240930"]
+    rows = spark.createDataFrame([(1, d) for d in days], "CERT int, dt string")
     landing.write_recorded(rows, path)
-    assert set(landing.recorded_schemas(spark, path)) == {"20240331"}
+    assert set(landing.recorded_schemas(spark, path)) == set(days)
+    real = landing.write_partitions
 
-    def fail(*args, **kwargs):
+    def fail(df, path):
+        """Replaces one partition of two and stops."""
+        real(df.filter(df.dt == days[0]), path)
         raise OSError("no space")
 
+    text = spark.createDataFrame([("1", d) for d in days[:2]], "CERT string, dt string")
     with monkeypatch.context() as patch:
         patch.setattr(landing, "write_partitions", fail)
         with pytest.raises(OSError, match="no space"):
-            landing.write_recorded(rows, path)
-    assert landing.recorded_schemas(spark, path) == {}
-    stamped = rows.selectExpr("*", "'t' _ingested_at", "'b' _batch_id")
-    landing.write_partitions(stamped, path)
-    assert read_projected(spark, path, project_financials).first().cert == 1
+            landing.write_recorded(text, path)
+    recorded = landing.recorded_schemas(spark, path)
+    assert set(recorded) == set(days[1:]) and {s["CERT"].dataType.simpleString() for s in recorded.values()} == {"int"}
+    stamped = [df.selectExpr("*", "'t' _ingested_at", "'b' _batch_id") for df in (rows, text)]
+    landing.write_partitions(stamped[1], path)  # by other means
+    landing.write_recorded(stamped[0].filter("dt = '20240930'"), path)
+    assert set(landing.recorded_schemas(spark, path)) == {days[2]}
+    assert {r.cert for r in read_projected(spark, path, project_financials).collect()} == {1}
+
+
+def test_a_landing_evaluates_its_rows_once(spark, tmp_path):
+    path, seen = str(tmp_path / "financials"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(i, f"2024{i % 4 + 1:02}31") for i in range(40)], "CERT long, dt string").mapInPandas(count, "CERT long, dt string")
+    landing.write_recorded(rows, path)
+    assert seen.value == 40 and len(landing.recorded_schemas(spark, path)) == 4
+    landing.write_recorded(rows.limit(0), path)
+    landing.write_recorded(rows, path)
+    assert len(landing._records(spark, path)) == 1  # that of files that are gone is deleted
