@@ -20,9 +20,11 @@ from filingmill.sources.messages import (
     send_to_kafka,
 )
 from filingmill.sources.warehouse import Warehouse
+from filingmill.streaming.counts import LandingListener
 from filingmill.streaming.landing import (
     FILE_MESSAGES,
     FLUSH_MESSAGES,
+    STREAM_DATASET,
     WRITE_TASKS,
     kafka_messages,
     start_landing,
@@ -98,6 +100,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         stream = kafka_messages(spark, args.servers, args.topic, args.flush_messages, args.most_messages)
         totals: dict[str, int] = {}
+        spark.streams.addListener(LandingListener(spark, args.root, STREAM_DATASET))
         query = start_landing(
             stream,
             args.root,

@@ -48,6 +48,7 @@ from filingmill.sources.warehouse import (
     load_table,
     publish_freshness,
 )
+from filingmill.streaming import counts
 from filingmill.streaming import landing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -701,6 +702,13 @@ def stream_mixed_types(i: Inputs) -> DataFrame:
     return landed.select(*columns, none).unionByName(lost.select(*columns, "_reject_reason"))
 
 
+@_query
+def stream_counts(i: Inputs) -> DataFrame:
+    """The counts that the batches of a landing left behind, added up."""
+    found = counts.batch_counts(i.spark, _landed(i), stream.STREAM_DATASET)
+    return found.agg(F.sum("landed").alias("landed"), F.sum("quarantined").alias("quarantined"))
+
+
 @_query
 def stream_quarantine(i: Inputs) -> DataFrame:
     rows = i.spark.read.parquet(f"{_landed(i)}/quarantine/{stream.STREAM_DATASET}")

@@ -412,6 +412,9 @@ _SQL = {
                ASSET as "ASSET", first_offset as _kafka_offset,
                case when first_offset % 41 = 0 then 'bad_cast' end as _reject_reason
         from event""",
+    "stream_counts": """
+        select count(*) filter (where marked) as landed, count(*) filter (where not marked) as quarantined
+        from event""",
     "stream_quarantine": """
         select key as _kafka_key, source_partition as _kafka_partition, first_offset as _kafka_offset,
                'missing_partition' as _reject_reason

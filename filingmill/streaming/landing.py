@@ -15,6 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from filingmill.operators.projection import BAD_CAST, typed_fields
 from filingmill.schemas import DT_MARKER, FINANCIALS_FIELDS, MESSAGE, PROVENANCE, TOPIC, TYPES
 from filingmill.sources.landing import stamp_raw
+from filingmill.streaming.counts import batch_name, record_counts
 
 logger = logging.getLogger(__name__)
 
@@ -190,8 +191,8 @@ def start_landing(
     """Land a stream of messages; drain it and stop, or poll until stopped.
 
     A batch begins as soon as the one before has ended and the source has what its flush rule asks
-    for: no clock holds back messages that are there. `totals`, if given, is kept up to date with the
-    numbers landed and quarantined.
+    for: no clock holds back messages that are there. The numbers landed and quarantined are kept as a row
+    for each batch (`batch_counts`); `totals`, if given, adds up those of this process.
 
     Offsets are committed in the checkpoint after the write, so delivery is at least once and the
     batch folder makes the replay overwrite itself. The folder carries the id of the checkpoint, so
@@ -203,10 +204,12 @@ def start_landing(
         return messages.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        name = f"{run_id()}-{batch_id:012d}"
+        name = batch_name(run_id(), batch_id)
         counts = writer(
             batch, root, name, topic=topic, fields=fields, tasks=tasks, file_messages=file_messages
         )
+        now = datetime.now(UTC).isoformat()
+        record_counts(messages.sparkSession, root, STREAM_DATASET, name, counts, now)
         if totals is not None:
             for outcome, n in counts.items():
                 totals[outcome] = totals.get(outcome, 0) + n
