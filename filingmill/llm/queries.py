@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingmill.llm import bpe, counts, decontaminate, jaccard, langid, nearest, oracle, pages, pii, tokenfile, trie, urls, warc, whitening
-from filingmill.llm.common import table
+from filingmill.llm.common import stored, table
 from filingmill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +83,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write(warc.records(table(spark, sf_dir, "pages")), folder)
-    found = warc.followed(warc.read(spark, folder, payload=False))
+    found = warc.followed(stored(warc.read(spark, folder, payload=False), "records"))
     return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 

@@ -197,20 +197,24 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def followed(archive: DataFrame) -> DataFrame:
     """key, url, payload_bytes, payload_digest, type, refers_to (the original's key) and payload of every
-    record: revisits have what their original response holds."""
-    responses = archive.filter(F.col("type") == RESPONSE).groupBy("record_id").agg(
-        F.first(F.struct(F.col("key").alias("original"), "found_size", "found_digest", "payload")).alias("response")
-    )
-    own = F.when(F.col("type") == RESPONSE, F.struct(F.lit(None).cast("long").alias("original"), "found_size", "found_digest", "payload"))
-    # Only revisits look for another record; a response that many refer to is split by adaptive execution.
-    joined = archive.withColumn("own", own).join(responses.withColumnRenamed("record_id", "refers_to"), "refers_to", "left")
-    held = F.coalesce("own", "response")
-    return joined.select(
+    record: revisits have what their original response holds; one whose original is missing has the
+    length and digest that its header states, and no payload. An empty archive gives no rows.
+
+    Responses stand for themselves and join nothing. Revisits look for their original; one that a third of
+    them refer to is split by adaptive execution. The records are read twice: store them if that is dear."""
+    held = F.struct("found_size", "found_digest", "payload")
+    responses = archive.filter(F.col("type") == RESPONSE)
+    originals = responses.groupBy("record_id").agg(F.first(F.struct(F.col("key").alias("original"), held.alias("held"))).alias("found"))
+    originals = originals.select(F.col("record_id").alias("refers_to"), "found.*")
+    revisits = archive.filter(F.col("type") != RESPONSE).join(originals, "refers_to", "left")
+    alone = responses.withColumns({"held": held, "original": F.lit(None).cast("long")})
+    columns = ["key", "url", "type", "date", "record_id", "size", "digest", "held", "original"]
+    return alone.select(columns).unionByName(revisits.select(columns)).select(
         "key", "url", "type", "date", "record_id",
-        F.coalesce(held["found_size"], "size").alias("payload_bytes"),
-        F.coalesce(held["found_digest"], "digest").alias("payload_digest"),
-        F.when(F.col("type") == REVISIT, held["original"]).alias("refers_to"),
-        held["payload"].alias("payload"),
+        F.coalesce("held.found_size", "size").alias("payload_bytes"),
+        F.coalesce("held.found_digest", "digest").alias("payload_digest"),
+        F.col("original").alias("refers_to"),
+        F.col("held.payload").alias("payload"),
     )
 
 
