@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from filingmill.plans.refresh import Lake, refresh, refresh_dates
 from filingmill.schemas import TOPIC
 from filingmill.session import build_session
-from filingmill.sources.landing import dataset_path, ingest_pages
+from filingmill.sources.landing import dataset_path, ingest_pages, missing_periods
 from filingmill.sources.messages import (
     partitions_between,
     quarantine_keyless_partitions,
@@ -84,6 +84,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.command == "refresh":
         warehouse = Warehouse(spark, args.database, args.warehouse, args.buckets)
         lake = Lake(spark, args.root, warehouse)
+        if args.first and args.last:
+            for dataset, value in missing_periods(spark, args.root, args.first, args.last):
+                logger.warning("not landed: %s of %s", dataset, value)
         if args.first or args.last:
             counts = refresh_dates(lake, args.first or "0", args.last or "9" * 8)
         else:

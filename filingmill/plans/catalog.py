@@ -162,6 +162,15 @@ def partitions(i: Inputs) -> DataFrame:
     return i.spark.createDataFrame(found, "dt string")
 
 
+@_query
+def missing_periods(i: Inputs) -> DataFrame:
+    """Quarters and survey years from 1990 on of which nothing was landed; all first quarters are withheld."""
+    root = i.folder("raw")
+    _land_financials(i, root, i.raw_financials.filter("REPDTE not like '%0331'"))
+    found = landing.missing_periods(i.spark, root, "19900101", "19991231")
+    return i.spark.createDataFrame(found, "dataset string, period string")
+
+
 @_query
 def missing_datasets(i: Inputs) -> DataFrame:
     root = i.folder("raw")

@@ -243,6 +243,13 @@ _SQL = {
                _ingested_at, _batch_id
         from raw_fin""",
     "partitions": """select distinct repdte as dt from raw_fin""",
+    "missing_periods": """
+        select 'financials' as dataset, period
+        from (select strftime(last_day(date '1990-03-01' + to_months(cast(3 * n as int))), '%Y%m%d') as period
+              from range(40) quarters(n))
+        where period like '%0331' or period not in (select repdte from raw_fin )
+        union all
+        select 'sod', cast(n as varchar) from range(1990, 2000) years(n)""",
     "missing_datasets": """
         select dataset from (values ('institutions'), ('financials'), ('sod')) required(dataset)
         where dataset <> 'financials' or not exists (select 1 from raw_fin )""",

@@ -287,6 +287,14 @@ def survey_years(first: str, last: str) -> list[int]:
     return list(range(int(first[:4]), int(last[:4]) + 1))
 
 
+def missing_periods(spark: SparkSession, root: str, first: str, last: str) -> list[tuple[str, str]]:
+    """`(dataset, partition)` of the quarters and survey years from `first` to `last`, yyyyMMdd, that were
+    not landed. Lists folders, reads no file."""
+    wanted = {"financials": quarter_ends(first, last), "sod": [str(y) for y in survey_years(first, last)]}
+    landed = {name: set(partition_values(spark, dataset_path(root, name))) for name in wanted}
+    return [(name, value) for name, values in wanted.items() for value in values if value not in landed[name]]
+
+
 def within_periods(raw: DataFrame, first: str, last: str) -> DataFrame:
     """Rows of the partitions from `first` to `last`; the filter prunes the others.
 

@@ -230,3 +230,11 @@ def test_a_landing_evaluates_its_rows_once(spark, tmp_path):
     landing.write_recorded(rows.limit(0), path)
     landing.write_recorded(rows, path)
     assert len(landing._records(spark, path)) == 1  # that of files that are gone is deleted
+
+
+def test_periods_that_were_not_landed(spark, tmp_path):
+    rows = spark.createDataFrame([("20240331",), ("20240930",)], "dt string")
+    landing.write_partitions(rows.selectExpr("1 x", "dt"), f"{tmp_path}/raw/financials")
+    landing.write_partitions(rows.selectExpr("1 x", "'2025' dt"), f"{tmp_path}/raw/sod")
+    found = landing.missing_periods(spark, str(tmp_path), "20240301", "20250331")
+    assert found == [("financials", "20240630"), ("financials", "20241231"), ("financials", "20250331"), ("sod", "2024")]
