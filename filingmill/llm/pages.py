@@ -29,7 +29,7 @@ LEADS = 3  # longest blocks by which articles are told apart, so that near copie
 FREQUENT = 0.05  # of a host's pages on which a class of the template stands
 MOST_LINKS = 0.5  # of a block's or element's characters in links, beyond which it is a menu
 HOT_SHARE = 0.01  # of all pages, from which on a host's pages are not shuffled
-DEPTH = 48  # levels that are told apart
+DEPTH = 48  # levels below which only elements with a mark are told apart
 BODY = "body"
 
 # Fixed values of HTML: elements without an end, elements whose content is not markup, elements that
@@ -82,7 +82,7 @@ def _step(tag: str, rest: str) -> str:
     """How an element is written in a way: its tag, then role, id and classes, numbers as 0."""
     names = {k.lower(): v.strip("\"'").lower() for k, v in _NAMED.findall(rest)}
     marks = [names.get("role", ""), names.get("id", ""), *names.get("class", "").split()]
-    return ".".join([tag, *(_DIGITS.sub("0", m.replace(">", "").replace(".", "-"))[:40] for m in marks if m)])
+    return ".".join([tag, *(_DIGITS.sub("0", m.replace(">", "").replace(".", "-")) for m in marks if m)])
 
 
 @lru_cache(maxsize=20_000)
@@ -248,7 +248,10 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter[str]]:
         if tag in VOID or m["rest"].endswith("/") and tag not in ("p", "div", "article", "main", "section"):
             continue
         above = stack[-1][1] if stack else BODY
-        way = f"{above}>{_step(tag, m['rest'])}" if len(stack) < DEPTH else above
+        step = _step(tag, m["rest"])
+        way = above
+        if len(stack) < DEPTH or (any(_kind(step)) and above.rpartition(">")[2] != step):
+            way = f"{above}>{step}"
         ways[way] += 1
         stack.append((tag, way))
     if at < len(page):

@@ -143,3 +143,14 @@ def test_parts_beside_the_long_text_and_two_layouts(spark):
     found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i, text in texts.items():
         assert found[i] == text if i % 8 else text in found[i]
+
+
+def test_marks_count_however_deep_and_however_long_their_names_are():
+    article = "<p>" + "Some running text of the article, which is long enough to be one. " * 5 + "</p>"
+    for mark in ("<nav>Home and away and more of a menu that is long</nav>", '<div class="' + "a" * 45 + '-comments"><p>' + "A reader says so. " * 3 + "</p></div>"):
+        for depth in (1, 47, 60, 300):
+            page = "<body>" + "<div>" * depth + article + mark + "</div>" * depth + "</body>"
+            found = pages.text_of(page, pages.Template())
+            assert found.startswith("Some running text") and "menu" not in found and "reader" not in found, (mark, depth)
+    nested = "<body>" + "<nav>" * 3000 + "menu" + "</nav>" * 3000 + article + "</body>"
+    assert "menu" not in pages.text_of(nested, pages.Template())
