@@ -25,7 +25,6 @@ from filingmill.streaming.landing import (
     FILE_MESSAGES,
     FLUSH_MESSAGES,
     STREAM_DATASET,
-    WRITE_TASKS,
     kafka_messages,
     start_landing,
 )
@@ -59,7 +58,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     land.add_argument("--checkpoint", required=True)
     land.add_argument("--flush-messages", type=int, default=FLUSH_MESSAGES, help="new messages that start a batch")
     land.add_argument("--most-messages", type=int, help="of one batch; all there are by default")
-    land.add_argument("--tasks", type=int, default=WRITE_TASKS, help="that write a batch")
+    land.add_argument("--tasks", type=int, help="that write a batch; the session's shuffle partitions by default")
     land.add_argument("--file-messages", type=int, default=FILE_MESSAGES, help="of one file")
     land.add_argument("--forever", action="store_true", help="poll instead of draining and stopping")
 

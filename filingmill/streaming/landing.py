@@ -26,8 +26,6 @@ FLUSH_MESSAGES = 1000
 MAX_WAIT = "10 seconds"
 # Consecutive offsets of one source partition and report date that a file holds at most.
 FILE_MESSAGES = 250_000
-# Tasks that write a batch.
-WRITE_TASKS = 16
 
 LANDED, QUARANTINED = "landed", "quarantined"
 _CORRUPT = "_corrupt"
@@ -122,15 +120,15 @@ def land_batch(
     topic: str = TOPIC,
     consumed_at: datetime | None = None,
     fields: dict[str, str] | None = None,
-    tasks: int = WRITE_TASKS,
+    tasks: int | None = None,
     file_messages: int = FILE_MESSAGES,
 ) -> dict[str, int]:
     """Write one micro-batch: landed rows by report date, rejects by reason. Returns how many there
     were of each, counted by the write itself; only a batch with rejects is read a second time.
 
     A file holds consecutive offsets of one report date and source partition, `file_messages` at most,
-    so a date that all messages belong to is written by many tasks; the ranges a file covers can be
-    read from it (`flush_manifest`).
+    so a date that all messages belong to is written by many tasks: as many as the session has shuffle
+    partitions, or `tasks`. The ranges a file covers can be read from it (`flush_manifest`).
 
     `batch` names a folder of its own, replaced when the batch runs again, so a batch that was
     written but not committed before a crash is not landed twice.
@@ -163,10 +161,10 @@ def land_batch(
     return counts
 
 
-def _write(df: DataFrame, path: str, parts: list[str], tasks: int, file_messages: int) -> None:
-    file_range = F.floor(F.col("_kafka_offset") / file_messages)
+def _write(df: DataFrame, path: str, parts: list[str], tasks: int | None, file_messages: int) -> None:
+    ranges = [*parts, "_kafka_partition", F.floor(F.col("_kafka_offset") / file_messages)]
     (
-        df.repartition(tasks, *parts, "_kafka_partition", file_range)
+        (df.repartition(*ranges) if tasks is None else df.repartition(tasks, *ranges))
         .sortWithinPartitions(*parts, "_kafka_partition", "_kafka_offset")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -183,7 +181,7 @@ def start_landing(
     topic: str = TOPIC,
     run_forever: bool = False,
     fields: dict[str, str] | None = None,
-    tasks: int = WRITE_TASKS,
+    tasks: int | None = None,
     file_messages: int = FILE_MESSAGES,
     totals: dict[str, int] | None = None,
     writer: Callable[..., dict[str, int]] = land_batch,

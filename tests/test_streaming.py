@@ -215,3 +215,20 @@ def test_replay_of_a_text_partition_equals_the_batch(spark, tmp_path):
         ours = ours.filter("cert is not null")
         assert ours.drop("_bad_values").exceptAll(theirs.drop("_bad_values")).count() == 0
         assert theirs.drop("_bad_values").exceptAll(ours.drop("_bad_values")).count() == 0
+
+
+def test_a_large_batch_is_written_by_as_many_tasks_as_the_session_has(spark, tmp_path):
+    rows = spark.range(100_000).selectExpr(
+        "cast(id % 500 as string) key",
+        "to_json(named_struct('CERT', id, 'REPDTE', '20230331', '_repdte_partition', '20230331')) value",
+        "cast(id % 2 as int) partition", "id offset",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        landing.land_batch(rows, str(tmp_path / "lake"), "b-1", file_messages=1000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spark.read.parquet(f"{tmp_path}/lake/raw/{landing.STREAM_DATASET}").inputFiles()) > 16
