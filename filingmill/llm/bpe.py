@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from filingmill.llm.common import map_texts, parts, sha256_hex, text_rows
 
 WORD_END = "</w>"
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 200_000
 BATCH_CHARS = 4_000_000
 NEVER = np.iinfo(np.int32).max  # the rank of a pair that is never joined
 LONG = 64  # symbols; longer fragments are merged one at a time, by a heap

@@ -72,7 +72,7 @@ def text_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def map_texts(
-    rows: DataFrame, schema: str, start: Callable[[], Callable[[list[int], list[str]], dict[str, list]]]
+    rows: DataFrame, schema: str, start: Callable[[], Callable[[list[int], list[str]], dict[str, list]]], chars: int = 8_000_000
 ) -> DataFrame:
     """Applies a function of (keys, texts) to every Arrow batch and returns its columns.
 
@@ -86,7 +86,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for keys, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for keys, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), chars):
                 columns = work(keys, texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in target], schema=target
@@ -108,7 +108,7 @@ def give_back() -> None:
 
 def rewrite(
     docs: DataFrame, start: Callable[[], Callable[..., tuple[list[bool] | None, dict[str, list]]]], text: str = "text",
-    beside: str | None = None,
+    beside: str | None = None, chars: int = 8_000_000,
 ) -> DataFrame:
     """The rows with some columns replaced and some rows left out, in place: nothing is joined back, so
     rows without a key and rows that share one are no special case.
@@ -126,7 +126,7 @@ def rewrite(
             rows = range(batch.num_rows)
             texts = [t or "" for t in batch.column(names.index(text)).to_pylist()]
             others = batch.column(names.index(beside)).to_pylist() if beside else []
-            for some, values in parts(list(rows), texts):
+            for some, values in parts(list(rows), texts, chars):
                 keep, replaced = work(values, [others[i] for i in some]) if beside else work(values)
                 part = batch.slice(some[0], len(some))
                 columns = [

@@ -26,7 +26,8 @@ GRAMS = 60_000  # the most frequent ones make the model
 SWITCH_PENALTY = 12.0  # nats
 WORD_LIMIT = 6.0  # nats by which one word can favour a language over another
 SCRIPT_SHARE = 0.01  # of a language's letters, from which on it counts as written in a script
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
+BATCH_CHARS = 3_000_000  # of the texts whose paths are found together
 LEARNED = 200_000  # words times languages scored at a time
 MAX_WORD = 32
 LONG_SPAN = 40  # letters, from which on a span is prose of its language and no part of a jumble
@@ -354,7 +355,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
         return work
 
-    return map_texts(text_rows(docs, key, text), schema, start)
+    return map_texts(text_rows(docs, key, text), schema, start, BATCH_CHARS)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -374,7 +375,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "te
 
         return work
 
-    found = rewrite(docs.withColumn(FOUND, F.lit(None).cast("string")), start, text)
+    found = rewrite(docs.withColumn(FOUND, F.lit(None).cast("string")), start, text, chars=BATCH_CHARS)
     return found.withColumn(lang, F.coalesce(lang, FOUND)).drop(FOUND)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filingmill.llm.bpe import byte_chars
-from filingmill.llm.common import parts, ship
+from filingmill.llm.common import give_back, parts, ship
 
 MAGIC = b"DAC1"
 SEGMENT = 500_000  # ids after which a segment ends with the document
@@ -254,17 +254,17 @@ def write(docs: DataFrame, folder: str, path: str, end: int, key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, number, before = load(path), TaskContext.get().partitionId(), 0, 0
         keys, found, size = [], [], 0
-        for batch in batches:
-            for some, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), BATCH_CHARS):
-                for k, ids in zip(some, encoder.ids(texts)):
-                    keys.append(k)
-                    found.append(np.append(ids, np.uint32(end)))
-                    size += len(ids) + 1
-                    if size >= segment:
-                        yield _segment(part, number, before, keys, found)
-                        number, before, keys, found, size = number + 1, before + size, [], [], 0
+        for some, texts in gathered(batches):
+            for k, ids in zip(some, encoder.ids(texts)):
+                keys.append(k)
+                found.append(np.append(ids, np.uint32(end)))
+                size += len(ids) + 1
+                if size >= segment:
+                    yield _segment(part, number, before, keys, found)
+                    number, before, keys, found, size = number + 1, before + size, [], [], 0
         if keys:
             yield _segment(part, number, before, keys, found)
+        give_back()
 
     segments = ordered.select("key", "text").mapInArrow(run, SEGMENT_SCHEMA)
     segments.write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(f"{folder}/segments")
@@ -274,6 +274,21 @@ def write(docs: DataFrame, folder: str, path: str, end: int, key: str = "doc_id"
     sizes.select("part", F.coalesce(before, F.lit(0)).alias("offset")).write.parquet(f"{folder}/offsets")
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts of about BATCH_CHARS characters, from batches of any size."""
+    keys, texts, chars = [], [], 0
+    for batch in batches:
+        for some, found in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), BATCH_CHARS):
+            keys += some
+            texts += found
+            chars += sum(map(len, found))
+            if chars >= BATCH_CHARS:
+                yield keys, texts
+                keys, texts, chars = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def _segment(part: int, number: int, before: int, keys: list, found: list[np.ndarray]) -> pa.RecordBatch:
     starts = np.concatenate([[0], np.cumsum([len(x) for x in found])])
     values = [part, number, before, int(starts[-1]), keys, starts, encode(np.concatenate(found))]
