@@ -12,6 +12,7 @@ left as they are.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -64,6 +65,7 @@ class WordBpe:
         self.first_ids = np.array([vocab[c] for c in chars] + [vocab[c + WORD_END] for c in chars], np.int32)
         self._learn_neighbours(vocab, {c: b for b, c in enumerate(chars)})
         self._learn_merges(vocab, content["model"]["merges"])
+        self.names = {i: str(i) for i in self.tokens}
         self.ids_of: dict[str, str] = {}
         self.tokens_of: dict[str, str] = {}
 
@@ -218,11 +220,12 @@ class WordBpe:
         return [chunk[i:j] for _, (i, j) in self.cut_words(chunk)]
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        words = [[] if c in self.special else self._words(c) for c in chunks]
+        cut = self.ASCII_WORDS.findall
+        words = [[] if c in self.special else cut(c) if c.isascii() else self._words(c) for c in chunks]
         every = list({w for ws in words for w in ws})
         known = dict(zip(every, self.encode_words(every)))
         return [
-            [self.special[c]] if c in self.special else [i for w in ws for i in known[w]]
+            known[ws[0]] if len(ws) == 1 else [self.special[c]] if c in self.special else [i for w in ws for i in known[w]]
             for c, ws in zip(chunks, words)
         ]
 
@@ -237,19 +240,31 @@ class WordBpe:
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
     def both(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Of each text the number of tokens, the ids joined by a space, and what these ids decode to."""
+        """Of each text the number of tokens, the ids joined by a space, and what these ids decode to.
+
+        The collector of cycles waits meanwhile: there are none in so many short lists."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._both(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _both(self, texts: list[str]) -> list[tuple[int, str, str]]:
         chunked = [self.chunks(t) for t in texts]
         every: set[str] = set()
         for chunks in chunked:
             every.update(chunks)
         new = list(every.difference(self.ids_of))
-        if len(self.ids_of) + len(new) > CACHED_CHUNKS:  # only speed depends on what is kept
-            self.ids_of.clear()
-            self.tokens_of.clear()
-            new = list(every)
+        if len(self.ids_of) + len(new) > CACHED_CHUNKS:
+            # Only speed depends on what is kept: what these texts have again, as most that is common.
+            again = every.intersection(self.ids_of)
+            self.ids_of = {c: self.ids_of[c] for c in again}
+            self.tokens_of = {c: self.tokens_of[c] for c in again}
         for chunk, ids in zip(new, self.encode_chunks(new)):
-            self.ids_of[chunk] = " ".join(map(str, ids))
-            self.tokens_of[chunk] = self.decode(ids)
+            self.ids_of[chunk] = " ".join([self.names[i] for i in ids])
+            self.tokens_of[chunk] = " ".join([self.tokens[i] for i in ids])
         out = []
         for chunks in chunked:
             ids = " ".join(map(self.ids_of.__getitem__, chunks))

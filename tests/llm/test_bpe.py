@@ -76,3 +76,20 @@ def test_every_code_point_inside_a_word_as_the_library_has_it():
     expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     wrong = [hex(points[64 * i]) for i, (a, b) in enumerate(zip(own.encode(texts), expected)) if a != b]
     assert wrong == []
+
+
+def test_chunks_that_come_again_are_encoded_once(monkeypatch):
+    """The cache overflows with every batch; what these have in common stays in it."""
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 150)
+    library, own, encoded = Tokenizer.from_file(PATH), bpe.WordBpe(PATH), []
+    inner = own.encode_chunks
+    monkeypatch.setattr(own, "encode_chunks", lambda chunks: encoded.extend(chunks) or inner(chunks))
+    common = " ".join(f"common{i}é" for i in range(100))
+    for batch in range(4):
+        text = common + " " + " ".join(f"rare{batch}x{i}" for i in range(40))
+        ((n, ids, decoded),) = own.both([text])
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids == " ".join(map(str, expected)) and n == len(expected)
+        assert decoded == library.decode(expected, skip_special_tokens=False)
+        assert len(own.ids_of) <= 150
+    assert len(encoded) == 100 + 4 * 40
