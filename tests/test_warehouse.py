@@ -4,6 +4,9 @@ import datetime as dt
 
 import pytest
 
+from filingmill.operators.dedupe import latest_per_key
+from filingmill.plans import catalog
+from filingmill.plans.inputs import Inputs
 from filingmill import session
 from filingmill.plans.models import dim_date, dim_institution, stage_financials, unknown_member
 from filingmill.schemas import BRANCHES, FINANCIALS, FRESHNESS, HISTORY, columns_of
@@ -97,3 +100,20 @@ def test_prepare_sets_what_results_depend_on(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     session.prepare(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_load_does_not_clean_again(spark, monkeypatch):
+    """What the two loads of a query get is stored: no plan of theirs deduplicates."""
+    rows = [(1, "a"), (1, "b"), (2, None)]
+    cleaned = latest_per_key(spark.createDataFrame(rows, "cert bigint, name string"), ["cert"], [])
+    plans = []
+    load = catalog.load_table
+
+    def spied(warehouse, table, frame, schema, **options):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        load(warehouse, table, frame, schema, **options)
+
+    monkeypatch.setattr(catalog, "load_table", spied)
+    found = catalog._loaded(Inputs(spark, "unused"), cleaned, cleaned.schema)
+    assert sorted(map(tuple, found.collect())) == [(1, "b"), (2, None)]
+    assert len(plans) == 2 and not any("Window" in p for p in plans)
