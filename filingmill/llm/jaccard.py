@@ -303,8 +303,8 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
 
         (|D(a)| + |D(b)| - difference(n_a + n_b)) / 2
 
-    n-grams in common. With each D in order of rarity in the group, the first of these stands so early in
-    both that as many can follow. `a` is outside the lead's component, so |D(a)| is above what similar sets
+    n-grams in common. With what each D may share in order of rarity in the group, the first of these stands
+    so early in both that as many can follow. `a` is outside the lead's component, so |D(a)| is above what similar sets
     differ in, and b must share about half of its own D: only the rarer half of D(b) is looked up. What
     the lead alone has or lacks is in every D and stands last. Members meet only at what few others have."""
     rows = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -327,24 +327,39 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
     # A group of which all others are in the lead's component has nothing to compare.
     compared = met.join(met.filter("outside").select("b").distinct(), "b", "left_semi")
 
-    left = segments.select("node", "fragment", F.col("grams").alias("of_node"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
+    ends = [compared.select(F.col(c).alias("node")).distinct() for c in ("node", "b")]
+    nodes = stored(ends[0].unionByName(ends[1]).distinct(), "nodes")
+    used = segments.join(small_or_not(nodes), "node", "left_semi")
+    left = used.select("node", "fragment", F.col("grams").alias("of_node"))
+    right = used.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
     apart = F.array_union(F.array_except("of_node", "of_b"), F.array_except("of_b", "of_node"))
-    differ = compared.select("node", "b").join(left, "node").join(right, ["b", "fragment"]).select("node", "b", F.explode(apart).alias("gram"))
+    differ = compared.select("node", "b", "component", "outside").join(left, "node").join(right, ["b", "fragment"])
+    differ = differ.select("node", "b", "component", "outside", apart.alias("apart"))
+    # Every pair of a node and a lead has one row for each fragment, so d is summed over these few.
+    size = F.sum(F.size("apart")).over(Window.partitionBy("node", "b"))
+    differ = differ.withColumn("d", size).select("node", "b", "component", "outside", "d", F.explode("apart").alias("gram"))
     differ = stored(differ, "differ")
-    often = differ.groupBy("b", "gram").agg(F.count("*").alias("often")).filter("often > 1")
-    sizes = differ.groupBy("node", "b").agg(F.count("*").alias("d"))
-    # N-grams that nobody else in the group differs in come first, and cannot be met.
-    common = differ.join(often, ["b", "gram"]).join(sizes, ["node", "b"])
+    # A pair can share only what someone outside and another component differ in: the rest cannot be met, and
+    # `after` counts what can.
+    outer = stored(differ.filter("outside").select("b", "gram").distinct(), "outer")
+    common = differ.join(small_or_not(outer), ["b", "gram"], "left_semi")
+    often = common.groupBy("b", "gram").agg(
+        F.count("*").alias("often"), F.min("component").alias("first"), F.max("component").alias("last")
+    )
+    common = common.drop("component").join(often.filter("first <> last").select("b", "gram", "often"), ["b", "gram"])
     from_last = Window.partitionBy("node", "b").orderBy(F.desc("often"), "gram")
-    common = common.withColumn("after", F.row_number().over(from_last) - 1)  # n-grams of D that follow
-    common = stored(common.join(compared, ["node", "b"]).drop("often"), "common")
+    common = common.withColumn("after", F.row_number().over(from_last) - 1).drop("often")  # n-grams of D that follow
+    common = stored(common, "common")
 
     share = (100 - percent) / (100 + percent)
     names = ["node", "n", "own", "component", "d", "after"]
-    a = common.filter("outside").select("b", "gram", *(F.col(c).alias(f"{c}_a") for c in names))
-    late = F.col("after") + 1 >= F.ceil(F.col("d") * (1 - share) / 2 - 1e-6)
-    b = common.filter(late).select("b", "gram", "outside", *(F.col(c).alias(f"{c}_b") for c in names))
+    late = common.filter(F.col("after") + 1 >= F.ceil(F.col("d") * (1 - share) / 2 - 1e-6))
+    # Both of two nodes outside meet late in their D; only those in the lead's component meet more of `a`.
+    inner = late.filter(~F.col("outside")).select("b", "gram").distinct()
+    meeting = late.filter("outside").unionByName(common.filter("outside").join(inner, ["b", "gram"], "left_semi")).distinct()
+    wide = compared.select("node", "b", "n", "own", "component")
+    a = meeting.join(wide, ["node", "b"]).select("b", "gram", *(F.col(c).alias(f"{c}_a") for c in names))
+    b = late.join(wide, ["node", "b"]).select("b", "gram", "outside", *(F.col(c).alias(f"{c}_b") for c in names))
     needed = (F.col("d_a") + F.col("d_b") - difference(F.col("n_a") + F.col("n_b"), percent)) / 2
     pairs = a.join(b, ["b", "gram"]).filter(
         (F.col("component_a") != F.col("component_b"))
@@ -353,7 +368,7 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
         & possible("n_a", "own_a", "n_b", "own_b", percent)
     )
     found = stored(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    discard(rows, met, differ, common)
+    discard(rows, met, nodes, differ, outer, common)
     return found
 
 

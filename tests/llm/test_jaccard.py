@@ -189,3 +189,33 @@ def brute_force_by_index(rows):
     while (now := np.where(linked, component, len(sets)).min(axis=1)).tolist() != component.tolist():
         component = now
     return sorted(((i, len(s), rows[component[k]][0]) for k, ((i, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def test_near_copies_bring_only_what_others_outside_may_share(spark, monkeypatch):
+    """Copies that differ alike, in nothing that the texts outside their component differ in."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(10, 150, 10), 2):
+            words[at] = f"x{rng.randrange(2)}"
+        rows.append((i, " ".join(words)))
+    for i in range(3):
+        words = list(base)
+        for at in range(160, 250, 10):
+            words[at] = f"y{i}{at}"
+        rows.append((100 + i, " ".join(words)))
+    counted, inner = [], jaccard.stored
+
+    def spied(frame, label):
+        found = inner(frame, label)
+        if label == "common":
+            counted.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", spied)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, jaccard.similarity_join(docs).collect()), key=str)
+    assert found == brute_force(rows)
+    assert len(counted) == 1 and counted[0] <= 1300  # all that any two of the group differ in: 1788
