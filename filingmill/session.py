@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     # Rows that arrive partitioned by one column of a longer key are shuffled by the whole key, so
     # that one hot value of that column does not gather its rows in one task.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # Files that are written once and read several times.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -117,3 +117,8 @@ def test_a_load_does_not_clean_again(spark, monkeypatch):
     found = catalog._loaded(Inputs(spark, "unused"), cleaned, cleaned.schema)
     assert sorted(map(tuple, found.collect())) == [(1, "b"), (2, None)]
     assert len(plans) == 2 and not any("Window" in p for p in plans)
+
+
+def test_files_are_written_in_zstd(spark, tmp_path):
+    session.prepare(spark).range(9).write.parquet(f"{tmp_path}/rows")
+    assert list((tmp_path / "rows").glob("*.zstd.parquet"))
