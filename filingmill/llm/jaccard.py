@@ -243,7 +243,8 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("of_a"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
     part = F.size(F.array_intersect("of_a", "of_b"))
-    parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", part.alias("part"))
+    # So that few pairs do not have all segments of theirs shuffled twice.
+    parts = left.join(small_or_not(pairs), "a").join(right, ["b", "fragment"]).select("a", "b", part.alias("part"))
     return parts.filter("part > 0").groupBy("a", "b").agg(F.sum("part").alias("overlap"))
 
 
@@ -277,7 +278,9 @@ def links(
     able = stored(sizes.filter(F.greatest("own", near) * (100 + percent) <= 2 * F.col("n") * (100 - percent)), "able")
     keyed = segments.filter("fragment = 0").join(able.select("node"), "node", "left_semi")
     able = able.join(keyed.select("node", "least"), "node")
-    members = stored(shared_keys(keyed.select("node", "keys", "least")).join(able, "node"), "members")
+    shared = shared_keys(keyed.select("node", "keys", "least"))
+    members = stored(shared.join(able, "node"), "members")
+    discard(shared)
     segments = segments.select("node", "fragment", "grams")
 
     # The most central member has least for itself.
@@ -287,14 +290,15 @@ def links(
     pairs = stored(pairs.filter(possible("n", "own", "n_b", "own_b", percent)).select(F.col("node").alias("a"), "b").distinct(), "pairs")
     linked = stored(similar(pairs, segments, sizes, percent), "links")
 
-    rest = remaining(members, lead, components(linked), segments, percent)
+    rest = remaining(members, lead, components(linked), segments, sizes, percent)
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
-    discard(members)
     return linked.unionByName(similar(rest, segments, sizes, percent))
 
 
-def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def remaining(
+    members: DataFrame, lead: DataFrame, known: DataFrame, segments: DataFrame, sizes: DataFrame, percent: int
+) -> DataFrame:
     """a, b: pairs with a common key that may be similar and are not yet in one component.
 
     In a group of near copies nearly all n-grams are common, so what tells its members apart is what they
@@ -306,26 +310,34 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
     n-grams in common. With what each D may share in order of rarity in the group, the first of these stands
     so early in both that as many can follow. `a` is outside the lead's component, so |D(a)| is above what similar sets
     differ in, and b must share about half of its own D: only the rarer half of D(b) is looked up. What
-    the lead alone has or lacks is in every D and stands last. Members meet only at what few others have."""
-    rows = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    the lead alone has or lacks is in every D and stands last. Members meet only at what few others have.
+
+    The stored members and leads are deleted as soon as they are read for the last time."""
+    with_component = members.select("key", "node", "least").join(known, "node", "left")
+    # What is read more than once is stored, so that no shuffle is made twice; only keys and components travel.
+    rows = stored(with_component.withColumn("component", F.coalesce("component", "node")), "rows")
+    discard(members)
     for _ in range(CUTS):
         # Only keys with two components can be shared with another one, and of these a similar node shares
         # `least`; nodes that have fewer, such as those with a common passage, leave their keys to the others.
         parts = rows.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        rows = rows.join(parts.filter("first <> last").select("key"), "key", "left_semi")
-        enough = rows.groupBy("node", "least").agg(F.count("*").alias("keys")).filter("keys >= least")
-        before, rows = rows, stored(rows.join(enough.select("node"), "node", "left_semi"), "rows")
-        if hasattr(before, "stored_in"):
-            discard(before)
+        met = stored(rows.join(parts.filter("first <> last").select("key"), "key", "left_semi"), "met")
+        discard(rows)
+        enough = met.groupBy("node").agg(F.count("*").alias("keys"), F.min("least").alias("least")).filter("keys >= least")
+        rows = stored(met.join(enough.select("node"), "node", "left_semi"), "rows")
+        discard(met)
     # A similar pair has `least` keys in common, so one of a node's leads has an even share of them.
-    met = rows.join(lead.select("key", "b"), "key").groupBy("node", "n", "own", "component", "least", "b").agg(F.count("*").alias("keys"))
-    leads = met.groupBy("node").agg(F.count("*").alias("leads"))
-    met = met.join(leads, "node").filter("keys * leads >= least and node <> b").drop("keys", "leads", "least")
+    met = rows.join(lead.select("key", "b"), "key").groupBy("node", "component", "least", "b").agg(F.count("*").alias("keys"))
+    of_node = Window.partitionBy("node")  # a row for each of its leads, of which it has no more than keys
+    met = met.withColumn("leads", F.count("*").over(of_node)).filter("keys * leads >= least and node <> b").drop("keys", "leads", "least")
     of_lead = known.select(F.col("node").alias("b"), F.col("component").alias("lead_component"))
     met = met.join(of_lead, "b", "left").withColumn("outside", F.col("component") != F.coalesce("lead_component", "b"))
-    met = stored(met.drop("lead_component"), "met")
+    # Pairs of a node and a lead have numbers, which need fewer bytes in a shuffle than two hashes.
+    met = stored(met.drop("lead_component").withColumn("pair", F.monotonically_increasing_id()), "met")
+    discard(rows, lead)
     # A group of which all others are in the lead's component has nothing to compare.
-    compared = met.join(met.filter("outside").select("b").distinct(), "b", "left_semi")
+    compared = stored(met.join(met.filter("outside").select("b").distinct(), "b", "left_semi"), "compared")
+    discard(met)
 
     ends = [compared.select(F.col(c).alias("node")).distinct() for c in ("node", "b")]
     nodes = stored(ends[0].unionByName(ends[1]).distinct(), "nodes")
@@ -333,42 +345,43 @@ def remaining(members: DataFrame, lead: DataFrame, known: DataFrame, segments: D
     left = used.select("node", "fragment", F.col("grams").alias("of_node"))
     right = used.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("of_b"))
     apart = F.array_union(F.array_except("of_node", "of_b"), F.array_except("of_b", "of_node"))
-    differ = compared.select("node", "b", "component", "outside").join(left, "node").join(right, ["b", "fragment"])
-    differ = differ.select("node", "b", "component", "outside", apart.alias("apart"))
-    # Every pair of a node and a lead has one row for each fragment, so d is summed over these few.
-    size = F.sum(F.size("apart")).over(Window.partitionBy("node", "b"))
-    differ = differ.withColumn("d", size).select("node", "b", "component", "outside", "d", F.explode("apart").alias("gram"))
-    differ = stored(differ, "differ")
+    differ = left.join(small_or_not(compared), "node").join(right, ["b", "fragment"])
+    differ = differ.select("pair", "b", "component", "outside", F.explode(apart).alias("gram"))
+    # A hash says where nodes meet, the lead and the n-gram; were two equal, some pairs more would be compared.
+    differ = stored(differ.select("pair", "component", "outside", F.xxhash64("b", "gram").alias("at")), "differ")
     # A pair can share only what someone outside and another component differ in: the rest cannot be met, and
     # `after` counts what can.
-    outer = stored(differ.filter("outside").select("b", "gram").distinct(), "outer")
-    common = differ.join(small_or_not(outer), ["b", "gram"], "left_semi")
-    often = common.groupBy("b", "gram").agg(
-        F.count("*").alias("often"), F.min("component").alias("first"), F.max("component").alias("last")
-    )
-    common = common.drop("component").join(often.filter("first <> last").select("b", "gram", "often"), ["b", "gram"])
-    from_last = Window.partitionBy("node", "b").orderBy(F.desc("often"), "gram")
+    often = differ.groupBy("at").agg(
+        F.count("*").alias("often"), F.min("component").alias("first"), F.max("component").alias("last"),
+        F.max("outside").alias("outer"),
+    )
+    often = often.filter("outer and first <> last").select("at", "often")
+    common = differ.select("pair", "at").join(often, "at")
+    from_last = Window.partitionBy("pair").orderBy(F.desc("often"), "at")
     common = common.withColumn("after", F.row_number().over(from_last) - 1).drop("often")  # n-grams of D that follow
-    common = stored(common, "common")
+    # What is known of a pair joins where the rows already lie by pair.
+    size = differ.groupBy("pair").agg(F.count("*").alias("d"))
+    common = stored(common.join(compared.join(sizes, "node").join(size, "pair"), "pair").drop("pair", "b"), "common")
+    discard(differ)
 
     share = (100 - percent) / (100 + percent)
     names = ["node", "n", "own", "component", "d", "after"]
-    late = common.filter(F.col("after") + 1 >= F.ceil(F.col("d") * (1 - share) / 2 - 1e-6))
+    is_late = F.col("after") + 1 >= F.ceil(F.col("d") * (1 - share) / 2 - 1e-6)
+    late = common.filter(is_late)
     # Both of two nodes outside meet late in their D; only those in the lead's component meet more of `a`.
-    inner = late.filter(~F.col("outside")).select("b", "gram").distinct()
-    meeting = late.filter("outside").unionByName(common.filter("outside").join(inner, ["b", "gram"], "left_semi")).distinct()
-    wide = compared.select("node", "b", "n", "own", "component")
-    a = meeting.join(wide, ["node", "b"]).select("b", "gram", *(F.col(c).alias(f"{c}_a") for c in names))
-    b = late.join(wide, ["node", "b"]).select("b", "gram", "outside", *(F.col(c).alias(f"{c}_b") for c in names))
+    inner = late.filter(~F.col("outside")).select("at").distinct()
+    meeting = late.filter("outside").unionByName(common.filter(F.col("outside") & ~is_late).join(inner, "at", "left_semi"))
+    a = meeting.select("at", *(F.col(c).alias(f"{c}_a") for c in names))
+    b = late.select("at", "outside", *(F.col(c).alias(f"{c}_b") for c in names))
     needed = (F.col("d_a") + F.col("d_b") - difference(F.col("n_a") + F.col("n_b"), percent)) / 2
-    pairs = a.join(b, ["b", "gram"]).filter(
+    pairs = a.join(b, "at").filter(
         (F.col("component_a") != F.col("component_b"))
         & (~F.col("outside") | (F.col("node_a") < F.col("node_b")))
         & (F.least("after_a", "after_b") + 1 >= needed - 1e-6)
         & possible("n_a", "own_a", "n_b", "own_b", percent)
     )
     found = stored(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    discard(rows, met, nodes, differ, outer, common)
+    discard(compared, nodes, common)
     return found
 
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -219,3 +220,33 @@ def test_near_copies_bring_only_what_others_outside_may_share(spark, monkeypatch
     found = sorted(map(tuple, jaccard.similarity_join(docs).collect()), key=str)
     assert found == brute_force(rows)
     assert len(counted) == 1 and counted[0] <= 1300  # all that any two of the group differ in: 1788
+
+
+def test_steps_leave_only_what_is_read_again(spark, monkeypatch):
+    """What the comparison of the rest has made is deleted, and a place where texts differ is one number."""
+    frames, inner = [], jaccard.stored
+
+    def spied(frame, label):
+        found = inner(frame, label)
+        frames.append((label, found))
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", spied)
+    rows = corpus(random.Random(4), 150)
+    assert join(spark, rows) == brute_force(rows)
+    left = {label for label, frame in frames if Path(frame.stored_in.removeprefix("file:")).exists()}
+    assert not left & {"sets", "keys", "shared", "members", "lead", "rows", "met", "compared", "differ", "common"}
+    assert [frame.columns for label, frame in frames if label == "differ"] == [["pair", "component", "outside", "at"]]
+
+
+def test_few_pairs_are_sent_to_the_segments(spark):
+    segments = spark.createDataFrame([(1, 0, [1, 2]), (2, 0, [2, 3])], "node long, fragment int, grams array<long>")
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard.overlaps(pairs, segments)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [a" in plan and plan.count("SortMergeJoin") == 1
+        assert [tuple(r) for r in found.collect()] == [(1, 2, 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
