@@ -20,8 +20,12 @@ def _edges(value: Column) -> Column:
 
 
 def _bin(value: Column, edges: Column) -> Column:
-    """A whole number that never decreases as `value` grows; null lowest, then NaN."""
-    below = F.size(F.filter(F.coalesce(edges, F.array()), lambda edge: edge < value))
+    """A whole number that never decreases as `value` grows; null lowest, then NaN. Numbers are found among the
+    edges by halving: a step is taken if the edge before its end is lower."""
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range((BINS - 1).bit_length()))))
+    below = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at)
+    )
     numbers = F.when(F.isnan(value), F.lit(_NAN_BIN)).otherwise(below)
     return F.coalesce(F.when(value.isNotNull(), numbers), F.lit(_NULL_BIN))
 
@@ -33,12 +37,14 @@ def rank_descending(df: DataFrame, groups: Sequence[str], value: str, output: st
     in higher bins, plus rows with a higher value in the same bin, plus one. Values are counted
     before they are shuffled, so one that very many rows share is a single row by then. Bins are cut
     at quantiles of the group's own distinct values, so however close together these are, a bin has
-    its share of them. Ranks return to the rows by an equality join, which adaptive execution splits
+    its share of them. The quantiles ask for the counts only so that both read one shuffle of them, which
+    computes `df` once. Ranks return to the rows by an equality join, which adaptive execution splits
     where one value is hot.
     """
     groups = list(groups)
     counts = df.groupBy(*groups, value).agg(F.count("*").alias("_rows"))
-    edges = _prefixed(counts.groupBy(*groups).agg(_edges(F.col(value)).alias("edges")), "_e_")
+    seen = counts.filter("_rows > 0")
+    edges = _prefixed(seen.groupBy(*groups).agg(_edges(F.col(value)).alias("edges")), "_e_")
     counts = counts.join(edges, _same(groups, "_e_")).withColumn("_bin", _bin(F.col(value), F.col("_e_edges")))
     before = (Window.unboundedPreceding, -1)
     in_bin = Window.partitionBy(*groups, "_bin").orderBy(F.col(value).desc()).rowsBetween(*before)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -59,3 +59,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared one; never reused, so a rerun cannot read stale files."""
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Rows that are read several times, computed once, written to a fresh shared folder and read back."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -135,3 +135,25 @@ def test_bins_follow_the_data(spark):
     assert sizes.agg(F.max("count")).first()[0] < 3 * 100_000 / BINS
     last = rank_descending(df, ["g"], "value", "rank").agg(F.max("rank"), F.count_distinct("rank")).first()
     assert tuple(last) == (100_000, 100_000)
+
+
+def test_bins_count_the_edges_below(spark):
+    """Also with fewer edges than bins, equal ones, or none at all."""
+    rng = random.Random(13)
+    lists = [sorted(rng.choice([-math.inf, math.inf, *map(float, range(50))]) for _ in range(n)) for n in (63, 63, 40, 1, 0)]
+    values = [-math.inf, math.inf, 0.0, -0.0, *(k / 2 for k in range(-2, 101)), None, math.nan]
+    rows = [(value, edges) for value in values for edges in [*lists, None]]
+    df = spark.createDataFrame(rows, "v double, e array<double>")
+    for r in df.withColumn("bin", _bin(F.col("v"), F.col("e"))).collect():
+        expected = -2 if r.v is None else -1 if math.isnan(r.v) else sum(edge < r.v for edge in r.e or [])
+        assert r.bin == expected
+
+
+def test_counts_of_a_ranking_are_shuffled_once(spark, tmp_path):
+    """The quantiles read the counts that the ranks are made of, so what is ranked is computed for both at once."""
+    rng = random.Random(17)
+    spark.createDataFrame([(n % 3, rng.random()) for n in range(300)], "g int, v double").write.parquet(str(tmp_path / "rows"))
+    ranked = rank_descending(spark.read.parquet(str(tmp_path / "rows")), ["g"], "v", "rank")
+    assert ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2

@@ -77,3 +77,26 @@ def test_only_the_dates_concerned_are_compared(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "repdte" in plan and "NOT repdte" in plan
     assert changed_rows(marts.asset_growth(after), found).count() == 0
+
+
+def test_facts_are_compared_once(spark, tmp_path):
+    """The plan that is left reads stored rows: neither the compared facts nor the growth of what changed."""
+    rows = facts(random.Random(4), range(30), QUARTERS)
+    late = facts(random.Random(5), range(30), [QUARTERS[6]], rows)
+    for name, kept in (("old", rows), ("new", late)):
+        frame(spark, kept).write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    marts.asset_growth(old).write.parquet(str(tmp_path / "mart"))
+    found = propagate.asset_growth(spark.read.parquet(str(tmp_path / "mart")), old, new, [QUARTERS[6]])
+    files = list(found.inputFiles())
+    assert not any(f"/{name}/" in file for file in files for name in ("old", "new"))
+    assert any("/mart/" in file for file in files)
+    assert changed_rows(marts.asset_growth(new), found).count() == 0
+
+
+def test_a_change_that_a_mart_does_not_hold_reaches_nothing(spark):
+    rows = facts(random.Random(6), range(10), QUARTERS[:6])
+    old = frame(spark, rows)
+    new = old.withColumn("roa", propagate.F.col("roa") + 1)
+    assert propagate._reached(old, new, QUARTERS[:6], ["asset"], 4).count() == 0
+    assert propagate._reached(old, new, QUARTERS[:6], ["roa", "roe"], 1).count() == len(rows)
