@@ -12,6 +12,7 @@ left as they are.
 
 from __future__ import annotations
 
+import copy
 import gc
 import heapq
 import json
@@ -28,8 +29,8 @@ from tokenizers import Tokenizer
 from filingmill.llm.common import map_texts, parts, sha256_hex, text_rows
 
 WORD_END = "</w>"
-CACHED_CHUNKS = 200_000
-BATCH_CHARS = 4_000_000
+CACHED_CHUNKS = 100_000
+BATCH_CHARS = 1_000_000
 NEVER = np.iinfo(np.int32).max  # the rank of a pair that is never joined
 LONG = 64  # symbols; longer fragments are merged one at a time, by a heap
 
@@ -252,14 +253,12 @@ class WordBpe:
                 gc.enable()
 
     def _both(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        chunked = [self.chunks(t) for t in texts]
-        every: set[str] = set()
-        for chunks in chunked:
-            every.update(chunks)
-        new = list(every.difference(self.ids_of))
+        every: dict[str, str] = {}  # equal chunks are one string in memory
+        chunked = [[every.setdefault(c, c) for c in self.chunks(t)] for t in texts]
+        new = [c for c in every if c not in self.ids_of]
         if len(self.ids_of) + len(new) > CACHED_CHUNKS:
             # Only speed depends on what is kept: what these texts have again, as most that is common.
-            again = every.intersection(self.ids_of)
+            again = [c for c in every if c in self.ids_of]
             self.ids_of = {c: self.ids_of[c] for c in again}
             self.tokens_of = {c: self.tokens_of[c] for c in again}
         for chunk, ids in zip(new, self.encode_chunks(new)):
@@ -272,6 +271,13 @@ class WordBpe:
         return out
 
 
+    def for_task(self) -> WordBpe:
+        """The same tables with a cache of its own, which goes with the task: the worker lives on beside others."""
+        out = copy.copy(self)
+        out.ids_of, out.tokens_of = {}, {}
+        return out
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
     """Once per Python process: workers are used for many tasks."""
@@ -309,15 +315,17 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     empty table gives none; other columns are not read. A text is encoded whole, however long."""
 
     def start():
-        bpe = load(path)
+        bpe = load(path).for_task()
 
         def work(keys, texts):
-            found = [f for _, some in parts(keys, texts, BATCH_CHARS) for f in bpe.both(some)]
+            found = []
+            for _, some in parts(keys, texts, BATCH_CHARS):
+                found += [(n, sha256_hex(ids), sha256_hex(decoded)) for n, ids, decoded in bpe.both(some)]
             return {
                 "doc_id": keys,
                 "n_tokens": [f[0] for f in found],
-                "ids_sha256": [sha256_hex(f[1]) for f in found],
-                "decoded_sha256": [sha256_hex(f[2]) for f in found],
+                "ids_sha256": [f[1] for f in found],
+                "decoded_sha256": [f[2] for f in found],
             }
 
         return work

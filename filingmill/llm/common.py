@@ -83,15 +83,16 @@ def map_texts(
     out = rows.sparkSession.createDataFrame([], schema).schema
     target = _arrow_schema(out)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = start()
+    def worked(work: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, texts in parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), chars):
                 columns = work(keys, texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in target], schema=target
                 )
-        del work
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from worked(start(), batches)  # whose last batch and tables are free once it has ended
         give_back()
 
     return rows.mapInArrow(run, out)
@@ -120,8 +121,7 @@ def rewrite(
     target = _arrow_schema(docs.schema)
     names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = start()
+    def worked(work: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = range(batch.num_rows)
             texts = [t or "" for t in batch.column(names.index(text)).to_pylist()]
@@ -135,7 +135,9 @@ def rewrite(
                 ]
                 part = pa.RecordBatch.from_arrays(columns, schema=target)
                 yield part if keep is None else part.filter(pa.array(keep, pa.bool_()))
-        del work
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from worked(start(), batches)  # whose last batch and tables are free once it has ended
         give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ SWITCH_PENALTY = 12.0  # nats
 WORD_LIMIT = 6.0  # nats by which one word can favour a language over another
 SCRIPT_SHARE = 0.01  # of a language's letters, from which on it counts as written in a script
 CACHED_WORDS = 150_000
-BATCH_CHARS = 3_000_000  # of the texts whose paths are found together
+BATCH_CHARS = 1_000_000  # of the texts whose paths are found together
 LEARNED = 200_000  # words times languages scored at a time
 MAX_WORD = 32
 LONG_SPAN = 40  # letters, from which on a span is prose of its language and no part of a jumble
@@ -210,9 +210,8 @@ class Labeller:
         self.rows = np.array([i for _, i in short] + [len(model.scores) - 1], np.int64)
         self.whole = {g: i for g, i in model.grams.items() if len(g) > 3}
 
-    def _learn(self, words: list[set[str]]) -> None:
+    def _learn(self, every: set[str]) -> None:
         """Scores of the words not seen yet. Past a size it starts anew with the words at hand."""
-        every = set().union(*words)
         new = list(every.difference(self.number))
         if len(self.number) + len(new) > CACHED_WORDS:
             self.number, self.table, new = {}, self.table[:0], list(every)
@@ -265,7 +264,7 @@ class Labeller:
         n_steps = int(lengths[0]) if len(lengths) else 0
         if not n_steps:
             return [np.zeros(0, np.int16) for _ in texts]
-        self._learn([set(t) for t in texts])
+        self._learn(set().union(*texts))
         ids = [np.fromiter(map(self.number.__getitem__, texts[i]), np.int64, len(texts[i])) for i in order]
         active = np.searchsorted(-lengths, -np.arange(n_steps), side="left")  # texts with more words than the step
         offsets = np.concatenate([[0], np.cumsum(active)])
@@ -295,7 +294,8 @@ class Labeller:
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, str, int]]]:
         """Of each text the spans of one language: start and end in the text, language, letters."""
-        words = [words_of(t) for t in texts]
+        same: dict[str, str] = {}  # equal words are one string in memory
+        words = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
         if not self.model.languages:
             return [[] for _ in texts]
         out = []

@@ -1,8 +1,10 @@
 """BPE against the tokenizers library, which shares no code with it."""
 
 import hashlib
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,3 +95,24 @@ def test_chunks_that_come_again_are_encoded_once(monkeypatch):
         assert decoded == library.decode(expected, skip_special_tokens=False)
         assert len(own.ids_of) <= 150
     assert len(encoded) == 100 + 4 * 40
+
+
+def test_a_task_leaves_no_chunks_in_its_worker(spark):
+    docs = spark.createDataFrame([(i, f"left{i} behind{i}") for i in range(64)], "doc_id long, text string")
+    assert bpe.digests(docs, PATH).count() == 64
+    bpe.digests(docs, PATH).write.format("noop").mode("overwrite").save()
+
+    def kept(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(bpe.load(PATH).ids_of)]})
+
+    assert {r.n for r in spark.range(64).mapInArrow(kept, "n long").collect()} == {0}
+
+
+def test_equal_chunks_of_a_batch_are_held_once(own):
+    text = " ".join(f"chunk{i % 50}" for i in range(5_000))
+    tracemalloc.start()
+    own.both([text] * 40)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000_000  # 200,000 strings alone are more
